@@ -1,0 +1,46 @@
+import datetime as dt
+
+from zonelake.operators import quality as Q
+
+from tests.conftest import rows
+
+
+def _df(spark):
+    return spark.createDataFrame(
+        [(1, "a", 1.0, "F"), (1, None, float("nan"), "O"), (2, "b", None, "X"), (None, "b", 5.0, None)],
+        "id int, name string, v double, status string")
+
+
+def test_rules_and_details(spark):
+    df = _df(spark)
+    parent = spark.createDataFrame([(1,)], "pid int")
+    rules = (Q.no_nulls("id", "v", "absent") + Q.unique("id", "name") +
+             [Q.accepted_values("status", ["F", "O"]), Q.in_range("v", 0.0, 2.0), Q.references("id", parent, "pid")])
+    out = {(r.check_type, r.column): r for r in Q.run_checks(df, "t", rules, dt.datetime(2024, 1, 1)).collect()}
+    assert ("no_nulls", "absent") not in out                     # missing column skipped
+    assert out[("no_nulls", "id")].bad_count == 1
+    assert out[("no_nulls", "v")].bad_count == 2                 # NaN counts as null
+    assert out[("unique", "id")].details == "2 duplicate values found"   # one repeat + one null
+    assert out[("unique", "name")].bad_count == 2
+    assert out[("accepted_values", "status")].bad_count == 1     # null passes
+    assert out[("range", "v")].bad_count == 2                   # 5.0 and NaN (NaN sorts above all numbers)
+    assert out[("references", "id")].bad_count == 1              # id 2 is an orphan, null ignored
+    assert all(r.row_count == 4 for r in out.values())
+    assert [r.passed for r in out.values()].count(True) == 0
+
+
+def test_summary_failed_and_records(spark):
+    df = _df(spark)
+    checks = Q.run_checks(df, "t", Q.no_nulls("id", "name") + Q.unique("status"))
+    summ = {r.check_type: (r.passed_count, r.total_count, r.pass_rate) for r in Q.quality_summary(checks).collect()}
+    assert summ["no_nulls"] == (0, 2, 0.0) and summ["unique"] == (0, 1, 0.0)
+    assert Q.failed_checks(checks).count() == 3
+    recs = Q.to_records(checks)
+    assert recs.count() == 1
+    flat = Q.quality_report(recs)
+    assert rows(flat.select("check_type", "column"), "column") == [("no_nulls", "id"), ("no_nulls", "name"),
+                                                                   ("unique", "status")]
+
+
+def test_no_rules_gives_empty(spark):
+    assert Q.run_checks(_df(spark), "t", []).count() == 0

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from zonelake.functions.aggregates import exact_mean, sum_or_zero
 from zonelake.functions.scalar import ordinal, row_argmax, time_of_day, weekday_name
 from zonelake.operators.dedup import dedup_keep_first
+from zonelake.session import cut_lineage
 
 
 def left_enrich(df: DataFrame, info: DataFrame, keys: Sequence[str],
@@ -87,18 +88,15 @@ def drop_lenient(df: DataFrame, *cols: str) -> DataFrame:
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
-def _cells(df: DataFrame, x: str, y: str, x0: float, y0: float, side: float) -> DataFrame:
-    return (df.withColumn("_cx", F.floor((F.col(x) - F.lit(x0)) / F.lit(side)))
-              .withColumn("_cy", F.floor((F.col(y) - F.lit(y0)) / F.lit(side))))
-
-
 def nearest_reference(points: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str,
                       ref_x: str, ref_y: str, out_col: str = "nearest_id",
                       finest_cells_per_ref: float = 4.0) -> DataFrame:
     """Distinct (x, y) of ``points`` with the id of the nearest row of ``refs``.
 
     Returns columns ``x, y, out_col, _d2`` (squared distance).  Join the result back to
-    the full point table on (x, y): every distinct location is searched once.
+    the full point table on (x, y): every distinct location is searched once.  Each
+    level's outcome is checkpointed, so a level is computed once and the plan of the
+    next level starts from stored rows.
     """
     pts = points.select(F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py")) \
         .where(F.col("_px").isNotNull() & F.col("_py").isNotNull()).distinct()
@@ -106,46 +104,48 @@ def nearest_reference(points: DataFrame, refs: DataFrame, x: str, y: str, ref_id
                      F.col(ref_y).cast("double").alias("_ry")) \
         .where(F.col("_rx").isNotNull() & F.col("_ry").isNotNull())
 
-    # One-row extent of both sides (four numbers and a count on the driver).
-    ext_p = pts.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py"))
-    ext_r = rf.agg(F.min("_rx"), F.max("_rx"), F.min("_ry"), F.max("_ry"), F.count(F.lit(1)))
-    (pminx, pmaxx, pminy, pmaxy), (rminx, rmaxx, rminy, rmaxy, n_refs) = ext_p.first(), ext_r.first()
-    schema_out = [F.col("_px").alias(x), F.col("_py").alias(y), F.col("_rid").alias(out_col), F.col("_d2")]
-    if not n_refs or pminx is None:
+    # One job, one row: joint extent of both sides and the reference count.
+    both = pts.select("_px", "_py", F.lit(0).alias("_isref")).unionByName(
+        rf.select(F.col("_rx").alias("_px"), F.col("_ry").alias("_py"), F.lit(1).alias("_isref")))
+    ext = both.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py"), F.sum("_isref"),
+                   F.count(F.lit(1))).first()
+    minx, maxx, miny, maxy, n_refs, n_all = ext
+    if not n_refs or n_all == n_refs:
         return pts.select(F.col("_px").alias(x), F.col("_py").alias(y),
                           F.lit(None).cast(refs.schema[ref_id].dataType).alias(out_col),
                           F.lit(None).cast("double").alias("_d2"))
-    x0, y0 = min(pminx, rminx), min(pminy, rminy)
-    extent = max(max(pmaxx, rmaxx) - x0, max(pmaxy, rmaxy) - y0, 1e-12)
+    extent = max(maxx - minx, maxy - miny, 1e-12)
     cells_across = max(1.0, math.sqrt(n_refs * finest_cells_per_ref))
     levels = max(1, math.ceil(math.log2(cells_across)) + 1)
     side = extent / (2 ** (levels - 1))
 
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
+    d2 = (F.col("_px") - F.col("_rx")) * (F.col("_px") - F.col("_rx")) + \
+         (F.col("_py") - F.col("_ry")) * (F.col("_py") - F.col("_ry"))
     pending = pts
     settled: list[DataFrame] = []
     for level in range(levels):
         last = level == levels - 1
-        p = _cells(pending, "_px", "_py", x0, y0, side) \
-            .select("_px", "_py", F.explode(offsets).alias("_o")) \
-            .select("_px", "_py", (F.floor((F.col("_px") - x0) / side) + F.col("_o.dx")).alias("_cx"),
-                    (F.floor((F.col("_py") - y0) / side) + F.col("_o.dy")).alias("_cy"))
-        r = _cells(rf, "_rx", "_ry", x0, y0, side)
-        cand = p.join(r, ["_cx", "_cy"])
-        d2 = (F.col("_px") - F.col("_rx")) * (F.col("_px") - F.col("_rx")) + \
-             (F.col("_py") - F.col("_ry")) * (F.col("_py") - F.col("_ry"))
-        best = cand.groupBy("_px", "_py").agg(F.min(F.struct(d2.alias("_d2"), F.col("_rid"))).alias("_b")) \
+        cell = lambda c, o: F.floor((F.col(c) - F.lit(o)) / F.lit(side))
+        p = pending.select("_px", "_py", F.explode(offsets).alias("_o")) \
+            .select("_px", "_py", (cell("_px", minx) + F.col("_o.dx")).alias("_cx"),
+                    (cell("_py", miny) + F.col("_o.dy")).alias("_cy"))
+        r = rf.select("_rid", "_rx", "_ry", cell("_rx", minx).alias("_cx"), cell("_ry", miny).alias("_cy"))
+        cand = p.join(r, ["_cx", "_cy"], "left")
+        best = cand.groupBy("_px", "_py").agg(
+            F.min(F.when(F.col("_rid").isNotNull(), F.struct(d2.alias("_d2"), F.col("_rid")))).alias("_b")) \
             .select("_px", "_py", "_b._rid", "_b._d2")
-        ok = best if last else best.where(F.col("_d2") < F.lit(side * side))
-        settled.append(ok)
         if last:
+            settled.append(best)
             break
-        pending = pending.join(ok.select("_px", "_py"), ["_px", "_py"], "left_anti")
+        best = cut_lineage(best.withColumn("_ok", F.col("_d2") < F.lit(side * side)))
+        settled.append(best.where(F.col("_ok")).drop("_ok"))
+        pending = best.where(~F.coalesce(F.col("_ok"), F.lit(False))).select("_px", "_py")
         side *= 2
     out = settled[0]
     for s in settled[1:]:
         out = out.unionByName(s)
-    return out.select(*schema_out)
+    return out.select(F.col("_px").alias(x), F.col("_py").alias(y), F.col("_rid").alias(out_col), F.col("_d2"))
 
 
 def assign_nearest(df: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str, ref_x: str, ref_y: str,

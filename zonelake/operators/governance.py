@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -30,14 +31,21 @@ def metadata_catalog(records: DataFrame) -> DataFrame:
 
 
 def profile_tables(tables: Mapping[str, DataFrame], bucket: str, fmt: str = "parquet") -> DataFrame:
-    """One metadata row per table: row count (an aggregate per table), column count and names."""
-    parts = []
-    for name, df in tables.items():
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(bucket).alias("source_bucket"), F.lit(name).alias("object_name"), F.lit(fmt).alias("format"),
-            F.col("rows"), F.lit(len(df.columns)).alias("n_columns"),
-            F.array(*[F.lit(c) for c in df.columns]).alias("columns")))
-    return reduce(DataFrame.unionByName, parts)
+    """One metadata row per table: row count, column count.
+
+    All tables are counted by one aggregation: each scan contributes only its table
+    name (no data columns are read) and is pre-aggregated per task before the
+    single shuffle.  Tables with no rows keep a count of 0.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    names = reduce(DataFrame.unionByName,
+                   [df.select(F.lit(name).alias("object_name")) for name, df in tables.items()])
+    counts = names.groupBy("object_name").agg(F.count(F.lit(1)).alias("rows"))
+    listing = spark.createDataFrame([(n, len(df.columns)) for n, df in tables.items()],
+                                    "object_name string, n_columns int")
+    out = listing.join(counts, "object_name", "left").na.fill(0, subset=["rows"])
+    return out.select(F.lit(bucket).alias("source_bucket"), "object_name", F.lit(fmt).alias("format"),
+                      "rows", "n_columns")
 
 
 # --- lineage -----------------------------------------------------------------------------
@@ -87,7 +95,7 @@ def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> D
             break
         found.append(step)
         frontier = step.select(*key)
-        visited = cut_lineage(visited.unionByName(frontier))
+        visited = visited.unionByName(frontier)      # a union of stored hops: flat plan
     if not found:
         return frontier.limit(0).withColumn("depth", F.lit(0))
     return reduce(DataFrame.unionByName, found)
@@ -199,31 +207,56 @@ def role_members(spark: SparkSession, policy: Mapping | None = None) -> DataFram
     return df.select("role", "description", F.explode("members").alias("member"))
 
 
-def table_grants(assignments: DataFrame, grants: DataFrame, zone_col: str = "zone") -> DataFrame:
-    """Who may do what on each table: table->zone assignments joined to the zone grants."""
-    return assignments.join(grants, zone_col)
+def _grant_map(policy: Mapping | None = None):
+    """Literal map zone -> array of (action, role) built from the fixed policy document."""
+    pairs = []
+    for zone, spec in _policy(policy)["zones"].items():
+        grants = [F.struct(F.lit(a).alias("action"), F.lit(r).alias("role"))
+                  for a, roles in spec["access_levels"].items() for r in roles]
+        pairs += [F.lit(zone), F.array(*grants)]
+    return F.create_map(*pairs)
+
+
+def table_grants(assignments: DataFrame, zone_col: str = "zone", policy: Mapping | None = None) -> DataFrame:
+    """Who may do what on each table: one row per (table row, action, role) of its zone.
+
+    The policy is a fixed document, so the lookup is a literal map inside the
+    projection (no join); a table in an unknown zone gets no grants.
+    """
+    g = F.explode(F.try_element_at(_grant_map(policy), F.col(zone_col))).alias("_g")
+    return assignments.select("*", g).select(*assignments.columns, "_g.action", "_g.role")
+
+
+def _retention(policy: Mapping | None, zone: str) -> tuple[str | None, int | None, int | None]:
+    text = _policy(policy)["zones"].get(zone, {}).get("retention_policy")
+    m = re.match(r"^(\d+)\s+(day|days|year|years)$", text or "")
+    if not m:
+        return text, None, None
+    n = int(m.group(1))
+    return (text, n, None) if m.group(2).startswith("day") else (text, None, 12 * n)
 
 
-def retention_report(df: DataFrame, ts_col: str, dataset: str, zone: str, zones: DataFrame,
-                     as_of: _dt.datetime) -> DataFrame:
+def retention_report(df: DataFrame, ts_col: str, dataset: str, zone: str, as_of: _dt.datetime,
+                     policy: Mapping | None = None) -> DataFrame:
     """Rows past the retention of their zone at ``as_of`` (reported, nothing is deleted).
 
-    ``zones`` is the fixed zone-policy table (one row per zone, broadcast); the rows
-    are flagged and counted in a single aggregation.  "permanent" never expires.
+    The zone's retention comes from the fixed policy document; "permanent" never
+    expires.  One aggregation counts, flags and bounds the rows.
     """
-    pol = zones.where(F.col("zone") == zone).select("zone", "retention_policy", "retention_days",
-                                                    "retention_months")
+    text, days, months = _retention(policy, zone)
     asof = F.lit(as_of).cast("timestamp_ntz")
-    cutoff = F.when(F.col("retention_days").isNotNull(), F.date_sub(asof, F.col("retention_days"))) \
-        .when(F.col("retention_months").isNotNull(), F.add_months(asof, -F.col("retention_months")))
-    rows = df.select(F.col(ts_col).alias("_ts"), F.lit(zone).alias("zone")).join(F.broadcast(pol), "zone", "left")
-    return rows.groupBy("zone").agg(
-        F.max("retention_policy").alias("retention_policy"),
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("_ts") < cutoff.cast("timestamp_ntz")).cast("long").alias("expired_rows"),
-        F.min("_ts").alias("oldest"), F.max("_ts").alias("newest"),
-    ).select(F.lit(dataset).alias("dataset"), "zone", "retention_policy", "total_rows", "expired_rows",
-             "oldest", "newest")
+    if days is not None:
+        cutoff = F.date_sub(asof, days).cast("timestamp_ntz")
+    elif months is not None:
+        cutoff = F.add_months(asof, -months).cast("timestamp_ntz")
+    else:
+        cutoff = F.lit(None).cast("timestamp_ntz")
+    ts = F.col(ts_col)
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  F.count_if(F.coalesce(ts < cutoff, F.lit(False))).cast("long").alias("expired_rows"),
+                  F.min(ts).alias("oldest"), F.max(ts).alias("newest")) \
+        .select(F.lit(dataset).alias("dataset"), F.lit(zone).alias("zone"),
+                F.lit(text).cast("string").alias("retention_policy"), "total_rows", "expired_rows", "oldest", "newest")
 
 
 def mask_columns(df: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -19,17 +19,14 @@ from zonelake.functions.scalar import ratio, route_label
 def with_share_of_total(df: DataFrame, shares: Mapping[str, str], scale: int = 2) -> DataFrame:
     """Add ``out = 100 * col / sum(col)`` for each ``out -> col`` of ``shares``.
 
-    The totals are one aggregated row (summed as decimals at ``scale``, so exact),
-    joined on a constant key and broadcast.
+    Each total is a scalar subquery (summed as decimals at ``scale``, so exact): it
+    is computed once and inlined into the projection, with no join at all.
     """
-    totals = df.agg(*[F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double").alias(f"_t_{c}")
-                      for c in set(shares.values())]) \
-        .withColumn("_one", F.lit(1))
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
     cols = [F.col(c) for c in df.columns]
-    cols += [(F.try_divide(F.col(c).cast("double"), F.col(f"_t_{c}")) * F.lit(100.0)).alias(out)
-             for out, c in shares.items()]
-    return joined.select(*cols)
+    for out, c in shares.items():
+        total = df.select(F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double")).scalar()
+        cols.append((F.try_divide(F.col(c).cast("double"), total) * F.lit(100.0)).alias(out))
+    return df.select(*cols)
 
 
 def route_counts(fact: DataFrame, origin: str, dest: str, group: Sequence[str] = (),
@@ -125,9 +122,8 @@ def recommendations(category_perf: DataFrame, segment_val: DataFrame, category:
     """Top category by revenue, most valuable segment, most efficient category (one row)."""
     cat = category_perf.agg(argmax_label(category_perf, category, "total_revenue").alias("top_category"),
                             argmax_label(category_perf, category, "revenue_per_product").alias("efficient_category"))
-    seg = segment_val.agg(argmax_label(segment_val, segment, "avg_customer_value").alias("valuable_segment"))
-    return cat.withColumn("_one", F.lit(1)).join(seg.withColumn("_one", F.lit(1)), "_one") \
-        .select("top_category", "valuable_segment", "efficient_category")
+    seg = segment_val.select(argmax_label(segment_val, segment, "avg_customer_value")).scalar()
+    return cat.select("top_category", seg.alias("valuable_segment"), "efficient_category")
 
 
 def method_totals(df: DataFrame, method: str, amount: str) -> DataFrame:

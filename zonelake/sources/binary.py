@@ -11,6 +11,7 @@ def file_manifest(spark: SparkSession, path: str, bucket: str, glob: str | None
     """One row per file: bucket, object name, original path, upload time, hash, size.
 
     ``binaryFile`` hands each file to one task as a byte array (limit 2 GB per file).
+    Zero-length files are skipped by Spark's file scan and do not appear.
     """
     reader = spark.read.format("binaryFile")
     if glob:

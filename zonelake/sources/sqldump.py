@@ -22,9 +22,14 @@ _CSV_OPTIONS = {"quote": "'", "escape": "\\", "nullValue": "NULL",
                 "mode": "PERMISSIVE"}
 
 
+def _strip(c):
+    """Trim all whitespace, newlines included (``trim`` removes spaces only)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def _statements(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", ";\n").text(path)
-    body = F.trim(F.regexp_replace("value", r"(?m)^\s*--.*$", ""))
+    body = _strip(F.regexp_replace("value", r"(?m)^\s*--.*$", ""))
     body = F.regexp_replace(body, r";\s*$", "")
     return raw.select(body.alias("stmt"), F.monotonically_increasing_id().alias("_stmt"))
 
@@ -36,7 +41,7 @@ def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
     values = F.regexp_extract("stmt", r"(?is)\bVALUES\s*(.*)$", 1)
     pieces = F.split(values, r"(?<=\))\s*,\s*(?=\()")
     exploded = stmts.select(table.alias("table"), "_stmt", F.posexplode(pieces).alias("_pos", "piece"))
-    inner = F.regexp_extract(F.trim("piece"), r"(?s)^\((.*)\)$", 1)
+    inner = F.regexp_extract(_strip(F.col("piece")), r"(?s)^\((.*)\)$", 1)
     return exploded.select("table", "_stmt", "_pos", inner.alias("tuple"))
 
 
