@@ -7,7 +7,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,11 +74,15 @@ def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> D
     ``edges``: src_bucket, src_object, dst_bucket, dst_object.  ``starts``: bucket, object.
     Breadth-first over all starts at once: each hop is one distributed join of the
     frontier with the edges; nodes already visited from the same start are removed
-    (anti join), so cycles end; ``max_depth`` bounds the walk.  Each hop's result is
-    checkpointed so the plan stays flat however long the chains are.
+    (anti join), so cycles end; ``max_depth`` bounds the walk.  The edges are stored
+    once, hash-partitioned on the target node, so no hop re-shuffles them; each hop
+    is checkpointed (one job, which also counts its rows) so the plan stays flat.
     Output: start_bucket, start_object, bucket, object, depth (1 = direct source).
     """
-    e = edges.select("src_bucket", "src_object", "dst_bucket", "dst_object").dropDuplicates()
+    spark = edges.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = cut_lineage(edges.select("src_bucket", "src_object", "dst_bucket", "dst_object").dropDuplicates()
+                    .repartition(n, "dst_bucket", "dst_object"))
     frontier = starts.select(F.col("bucket").alias("start_bucket"), F.col("object").alias("start_object"),
                              F.col("bucket"), F.col("object")).dropDuplicates()
     key = ["start_bucket", "start_object", "bucket", "object"]
@@ -90,8 +94,9 @@ def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> D
                         F.col("src_object").alias("object"))
                 .dropDuplicates()
                 .join(visited, key, "left_anti"))
-        step = cut_lineage(step.withColumn("depth", F.lit(depth)))
-        if step.isEmpty():
+        obs = Observation(f"lineage_hop_{depth}")
+        step = cut_lineage(step.withColumn("depth", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n")))
+        if obs.get["n"] == 0:
             break
         found.append(step)
         frontier = step.select(*key)
