@@ -30,16 +30,20 @@ def with_share_of_total(df: DataFrame, shares: Mapping[str, str], scale: int = 2
 
 
 def route_counts(fact: DataFrame, origin: str, dest: str, group: Sequence[str] = (),
-                 label_col: str = "ruta", count_col: str = "total_viajes") -> DataFrame:
-    """Trips per (group..., origin, destination), labelled ``origin → destination``."""
-    agg = fact.groupBy(*group, origin, dest).agg(F.count(F.lit(1)).alias(count_col))
+                 label_col: str = "ruta", count_col: str = "total_viajes", weight: str | None = None) -> DataFrame:
+    """Trips per (group..., origin, destination), labelled ``origin → destination``.
+
+    ``weight`` names a column of pre-aggregated trip counts (summed instead of counting rows).
+    """
+    n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+    agg = fact.groupBy(*group, origin, dest).agg(n.alias(count_col))
     return agg.select(*group, route_label(origin, dest).alias(label_col), count_col)
 
 
 def top_routes(fact: DataFrame, origin: str, dest: str, n: int = 10,
-               label_col: str = "ruta", count_col: str = "total_viajes") -> DataFrame:
+               label_col: str = "ruta", count_col: str = "total_viajes", weight: str | None = None) -> DataFrame:
     """Global top-n routes by trip count; ties broken by the route label."""
-    return (route_counts(fact, origin, dest, (), label_col, count_col)
+    return (route_counts(fact, origin, dest, (), label_col, count_col, weight)
             .orderBy(F.col(count_col).desc(), F.col(label_col).asc()).limit(n))
 
 
@@ -51,8 +55,9 @@ def top_n_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int,
 
 
 def top_routes_by_group(fact: DataFrame, group: str, origin: str, dest: str, n: int = 10,
-                        label_col: str = "ruta", count_col: str = "total_viajes") -> DataFrame:
-    counts = route_counts(fact, origin, dest, (group,), label_col, count_col)
+                        label_col: str = "ruta", count_col: str = "total_viajes",
+                        weight: str | None = None) -> DataFrame:
+    counts = route_counts(fact, origin, dest, (group,), label_col, count_col, weight)
     ranked = top_n_per_group(counts, group, [F.col(count_col).desc(), F.col(label_col).asc()], n)
     return ranked.select(group, label_col, count_col).orderBy(group, F.col(count_col).desc(), label_col)
 
