@@ -334,6 +334,26 @@ def q_top_routes(spark, sf_dir):
     return reports.top_routes(trip_rows(spark, sf_dir), "estacion_origen", "estacion_destino", 10)
 
 
+TOP_ROUTES_SQL = """
+SELECT estacion_origen || ' → ' || estacion_destino AS ruta, COUNT(*) AS total_viajes
+FROM zl_trips
+GROUP BY 1
+ORDER BY total_viajes DESC, ruta
+LIMIT 10
+"""
+
+
+def sql_over_views(spark: SparkSession, sql: str, views: dict[str, DataFrame]) -> DataFrame:
+    """Run a SQL string over DataFrames registered as temporary views (same plan as the DataFrame API)."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(sql)
+
+
+def q_top_routes_sql(spark, sf_dir):
+    return sql_over_views(spark, TOP_ROUTES_SQL, {"zl_trips": trip_rows(spark, sf_dir)})
+
+
 def q_top_routes_by_type(spark, sf_dir):
     return reports.top_routes_by_group(trip_rows(spark, sf_dir), "tipo_usuario", "estacion_origen",
                                        "estacion_destino", 10)

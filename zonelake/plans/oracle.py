@@ -261,6 +261,10 @@ SELECT * FROM cand WHERE event_id NOT IN (SELECT event_id FROM existing)""",
     "top_routes": f"""
 WITH {_TRIP_STAGING}
 SELECT estacion_origen || ' → ' || estacion_destino AS ruta, CAST(COUNT(*) AS BIGINT) AS total_viajes
+FROM trips GROUP BY estacion_origen, estacion_destino ORDER BY total_viajes DESC, ruta LIMIT 10""",
+    "top_routes_sql": f"""
+WITH {_TRIP_STAGING}
+SELECT estacion_origen || ' → ' || estacion_destino AS ruta, CAST(COUNT(*) AS BIGINT) AS total_viajes
 FROM trips GROUP BY estacion_origen, estacion_destino ORDER BY total_viajes DESC, ruta LIMIT 10""",
     "top_routes_by_type": f"""
 WITH {_TRIP_STAGING},
