@@ -35,7 +35,7 @@ def test_sql_dump_parse(spark, tmp_dir):
     with open(path, "w") as f:
         f.write(DUMP)
     tabs = read_sql_dump(spark, path, DUMP_TABLES)
-    d = rows(tabs["distritos"].drop("_stmt", "_pos"), "id")
+    d = rows(tabs["distritos"].drop("_file", "_ord", "_pos"), "id")
     assert d == [(1, "Centro", 134881, 5.23, 25790.0, 40.4167, -3.7033, 28013),
                  (2, "Arganzuela", 154432, 6.85, 22545.0, 40.4, -3.6933, None)]
     z = tabs["zonas_verdes"].first()
@@ -43,11 +43,36 @@ def test_sql_dump_parse(spark, tmp_dir):
     assert tabs["consumo_energetico"].count() == 0
 
 
+def test_sql_dump_one_insert_spread_over_many_splits(spark, tmp_dir):
+    n = 400
+    body = ["-- big table", "INSERT INTO lineas_transporte (id, nombre, tipo, longitud_km, num_paradas, "
+            "frecuencia_media_min, año_inauguracion) VALUES"]
+    body += [f"({i}, 'Línea {i}', 'Metro', {i}.5, {i % 30}, 4.0, {1900 + i % 100})," for i in range(1, n)]
+    body += [f"({n}, 'Línea {n}', 'EMT', 1.0, 1, 2.0, 2000);", "",
+             "INSERT INTO distritos (id, nombre, poblacion, superficie_km2, densidad_poblacion, latitud, longitud, "
+             "codigo_postal_principal) VALUES (1, 'Centro', 1, 1.0, 1.0, 40.0, -3.0, 28013), "
+             "(2, 'Retiro', 2, 2.0, 2.0, 41.0, -3.1, NULL);"]
+    path = os.path.join(tmp_dir, "big.sql")
+    with open(path, "w") as f:
+        f.write("\n".join(body))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")      # ~25 splits, most without a header
+    try:
+        tabs = read_sql_dump(spark, path, DUMP_TABLES)
+        lines = tabs["lineas_transporte"]
+        got = lines.select("id", "tipo", "_ord", "_pos").collect()
+        assert sorted(r.id for r in got) == list(range(1, n + 1))
+        assert [r.id for r in sorted(got, key=lambda r: (r._ord, r._pos))] == list(range(1, n + 1))
+        assert rows(tabs["distritos"].select("id", "codigo_postal_principal"), "id") == [(1, 28013), (2, None)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_sql_dump_roundtrip_with_quotes_and_nulls(spark, tmp_dir):
     df = spark.createDataFrame([(1, "it's", True, None), (2, "back\\slash", False, 2.5)],
                                "id int, s string, b boolean, v double")
     write_sql_dump(df, tmp_dir + "/d", "t")
-    back = read_sql_dump(spark, tmp_dir + "/d", {"t": df.schema})["t"].drop("_stmt", "_pos")
+    back = read_sql_dump(spark, tmp_dir + "/d", {"t": df.schema})["t"].drop("_file", "_ord", "_pos")
     assert rows(back, "id") == rows(df, "id")
 
 

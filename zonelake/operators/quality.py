@@ -136,10 +136,13 @@ def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule],
                                 F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_rows"))
             parts.append(one.select(_rule_row(i, r, F.col("_bad"), F.col("_rows")).alias("r")).select("r.*"))
         elif r.kind == "references":
+            # rows per child key first (a hot key collapses map-side), then one row per key is joined
+            per_key = df.groupBy(col.alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
             keys = r.parent.select(F.col(f"`{r.parent_column}`").alias("_pk")).distinct()
-            joined = df.select(col.alias("_fk")).join(keys, F.col("_fk") == F.col("_pk"), "left")
-            one = joined.agg(F.count_if(F.col("_fk").isNotNull() & F.col("_pk").isNull()).cast("long").alias("_bad"),
-                             F.count(F.lit(1)).alias("_rows"))
+            joined = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left")
+            orphan = F.col("_fk").isNotNull() & F.col("_pk").isNull()
+            one = joined.agg(F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("long").alias("_bad"),
+                             F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_rows"))
             parts.append(one.select(_rule_row(i, r, F.col("_bad"), F.col("_rows")).alias("r")).select("r.*"))
 
     spark = df.sparkSession

@@ -141,11 +141,17 @@ def method_totals(df: DataFrame, method: str, amount: str) -> DataFrame:
 
 def two_level_segmentation(customers: DataFrame, transactions: DataFrame, cust_key: str, tx_key: str,
                            tx_id: str, amount: str, region: str, segment: str) -> DataFrame:
-    """Per customer (count, spend), then per (region, segment): customers, revenue, mean spend."""
-    per_customer = (customers.join(transactions, customers[cust_key] == transactions[tx_key])
-                    .groupBy(customers[cust_key], region, segment)
-                    .agg(F.count(tx_id).alias("transaction_count"),
-                         F.sum(F.col(amount).cast("decimal(18,2)")).alias("total_spend")))
+    """Per customer (count, spend), then per (region, segment): customers, revenue, mean spend.
+
+    Transactions are aggregated per customer key before the join, so the join sees
+    one row per customer and a customer with a huge share of transactions is
+    collapsed by the map-side partial aggregation instead of skewing the join.
+    """
+    per_key = transactions.groupBy(F.col(tx_key).alias("_ck")).agg(
+        F.count(tx_id).alias("transaction_count"),
+        F.sum(F.col(amount).cast("decimal(18,2)")).alias("total_spend"))
+    per_customer = customers.join(per_key, customers[cust_key] == per_key["_ck"]) \
+        .select(cust_key, region, segment, "transaction_count", "total_spend")
     return (per_customer.groupBy(region, segment)
             .agg(F.count(F.lit(1)).alias("customer_count"),
                  F.sum("total_spend").cast("double").alias("total_revenue"),
@@ -174,6 +180,17 @@ def monthly_pivot(df: DataFrame, ts: str, category: str, value: str, categories:
     return out.na.fill(0.0, subset=list(categories)).orderBy(month_col)
 
 
+def monthly_pivot_by_key(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str, ts: str, category: str,
+                         value: str, categories: Sequence[str], month_col: str = "month_year") -> DataFrame:
+    """``monthly_pivot`` where the category lives in a dimension: facts are first summed per
+    (key, month), so the join carries one row per key and month instead of every fact."""
+    per = facts.groupBy(F.col(fact_key).alias("_k"), F.date_format(ts, "yyyy-MM").alias(month_col)) \
+        .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("_v"))
+    j = per.join(dims.select(F.col(dim_key).alias("_k"), F.col(category)), "_k")
+    out = j.groupBy(month_col).pivot(category, list(categories)).agg(F.sum("_v").cast("double"))
+    return out.na.fill(0.0, subset=list(categories)).orderBy(month_col)
+
+
 def density_vs_coverage(areas: DataFrame, area_key: str, left: DataFrame, left_key: str, left_out: str,
                         right: DataFrame, right_key: str, right_out: str) -> DataFrame:
     """Per area: counts from two child tables (aggregated first), zeros kept for empty areas."""

@@ -73,7 +73,7 @@ def clean_zone(spark: SparkSession, raw: Mapping[str, str], root: str,
         frames["parking"] = enrich.left_enrich(usage, info, ["aparcamiento_id"])
     if "dump" in raw:
         for table, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items():
-            frames[DUMP_DATASETS[table]] = df.drop("_stmt", "_pos")
+            frames[DUMP_DATASETS[table]] = df.drop("_file", "_ord", "_pos")
     if "citizen_reports" in raw:
         frames["citizen_reports"] = read_dataset(spark, raw["citizen_reports"], "json",
                                                  schemas.CITIZEN_REPORTS, multiline=True)

@@ -416,10 +416,9 @@ def q_monthly_summary(spark, sf_dir):
 
 
 def q_monthly_pivot(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return reports.monthly_pivot(o.join(c, o.o_custkey == c.c_custkey), "o_orderdate", "c_mktsegment",
-                                 "o_totalprice", SEGMENTS)
+    return reports.monthly_pivot_by_key(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"),
+                                        "o_custkey", "c_custkey", "o_orderdate", "c_mktsegment", "o_totalprice",
+                                        SEGMENTS)
 
 
 def q_fact_dim_join(spark, sf_dir):
@@ -522,7 +521,7 @@ def q_sql_dump_roundtrip(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     write_sql_dump(c, path, "customer")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in c.schema.fields])
-    return read_sql_dump(spark, path, {"customer": schema})["customer"].drop("_stmt", "_pos")
+    return read_sql_dump(spark, path, {"customer": schema})["customer"].drop("_file", "_ord", "_pos")
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

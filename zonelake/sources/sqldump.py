@@ -1,25 +1,34 @@
 """SQL-dump load and write as plain Spark text jobs (no database, no SQL parser).
 
-A dump is read with ``;\\n`` as the record separator, so every statement is one row
-and statements are spread over tasks.  ``--`` comment lines (which may sit inside an
-INSERT) are removed, tuples are split out with ``posexplode`` and parsed by
-``from_csv`` against the table's declared schema.  Strings use single quotes with
-backslash escapes; ``NULL`` is null; ``true``/``false`` are booleans.
-
-Limits: a string literal containing ``;`` + newline or ``),(`` is not supported.
+The dump is read line by line, so a table held in one huge ``INSERT`` statement is
+still spread over every input split.  Lines are classified as ``INSERT INTO`` headers,
+tuple lines ``(...)`` or other (DDL, ``--`` comments, blank).  A tuple line belongs to
+the last header above it in the same file: found inside its own split by a window
+over that split's lines, or, for the lines before the first header of a split, from
+a carry computed over a table with one row per split.  Tuples are parsed by
+``from_csv`` against the declared schema: single quotes with backslash escapes,
+``NULL`` is null, ``true``/``false`` are booleans.  Headers that carry their values
+on the same line (``INSERT ... VALUES (..), (..);``) are split into tuples as well.
+
+``_file`` and ``_ord`` (increasing in file order within a file) are kept so that
+keep-first deduplication can follow file order.
+
+Limits: a tuple spanning several lines (a string literal with a newline) and a
+string literal containing ``),(`` are not supported.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CSV_OPTIONS = {"quote": "'", "escape": "\\", "nullValue": "NULL",
                 "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
                 "mode": "PERMISSIVE"}
+_HEADER = r"(?i)^\s*INSERT\s+INTO\s+`?(\w+)`?"
 
 
 def _strip(c):
@@ -27,38 +36,55 @@ def _strip(c):
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def _statements(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.option("lineSep", ";\n").text(path)
-    body = _strip(F.regexp_replace("value", r"(?m)^\s*--.*$", ""))
-    body = F.regexp_replace(body, r";\s*$", "")
-    return raw.select(body.alias("stmt"), F.monotonically_increasing_id().alias("_stmt"))
+def _split_tuples(values):
+    """``(a), (b);`` -> array of the texts inside each pair of parentheses."""
+    body = F.regexp_replace(_strip(values), r"[;,]\s*$", "")
+    return F.transform(F.split(body, r"(?<=\))\s*,\s*(?=\()"),
+                       lambda p: F.regexp_extract(_strip(p), r"(?s)^\((.*)\)$", 1))
 
 
 def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
-    """One row per VALUES tuple: ``table``, ``_stmt``, ``_pos``, ``tuple`` (text inside the parens)."""
-    stmts = _statements(spark, path).where(F.upper(F.col("stmt")).startswith("INSERT INTO"))
-    table = F.regexp_extract("stmt", r"(?i)^INSERT\s+INTO\s+`?(\w+)`?", 1)
-    values = F.regexp_extract("stmt", r"(?is)\bVALUES\s*(.*)$", 1)
-    pieces = F.split(values, r"(?<=\))\s*,\s*(?=\()")
-    exploded = stmts.select(table.alias("table"), "_stmt", F.posexplode(pieces).alias("_pos", "piece"))
-    inner = F.regexp_extract(_strip(F.col("piece")), r"(?s)^\((.*)\)$", 1)
-    return exploded.select("table", "_stmt", "_pos", inner.alias("tuple"))
+    """One row per VALUES tuple: ``table``, ``_file``, ``_ord``, ``_pos``, ``tuple`` (text inside the parens)."""
+    lines = spark.read.text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("_file"),
+        F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_ord"))
+    header = F.regexp_extract("value", _HEADER, 1)
+    kind = (F.when(header != "", "header")
+            .when(F.regexp_replace("value", r"^\s+", "").startswith("("), "tuple"))
+    lines = lines.select("*", kind.alias("_kind"), header.alias("_hdr")).where(F.col("_kind").isNotNull())
+
+    # last header above each line inside its own split (a window over one split's lines)
+    hdr_struct = F.when(F.col("_kind") == "header", F.struct(F.col("_ord").alias("o"), F.col("_hdr").alias("t")))
+    in_split = Window.partitionBy("_file", "_pid").orderBy("_ord") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("_last", F.last(hdr_struct, ignorenulls=True).over(in_split))
+
+    # carry for lines above the first header of a split: one row per split, prefix over earlier splits
+    per_split = lines.groupBy("_file", "_pid").agg(
+        F.max(hdr_struct).alias("_split_last"), F.min("_ord").alias("_first_ord"))
+    before = Window.partitionBy("_file").orderBy("_first_ord").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("_file", "_pid", F.last("_split_last", ignorenulls=True).over(before).alias("_carry"))
+    # one row per input split: bounded by the split count, safe to broadcast
+    lines = lines.join(F.broadcast(carry), ["_file", "_pid"], "left")
+    table = F.coalesce(F.col("_last.t"), F.col("_carry.t"))
+
+    inline = F.regexp_extract("value", r"(?is)\bVALUES\s*(\(.*)$", 1)
+    pieces = F.when(F.col("_kind") == "tuple", _split_tuples(F.col("value"))) \
+        .when(inline != "", _split_tuples(inline))
+    return (lines.select(table.alias("table"), "_file", "_ord", F.posexplode(pieces).alias("_pos", "tuple"))
+            .where(F.col("table").isNotNull()))
 
 
 def read_sql_dump(spark: SparkSession, path: str,
                   schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
-    """Every table of the dump named in ``schemas`` as a typed DataFrame.
-
-    ``_stmt`` / ``_pos`` carry the loader order, so keep-first deduplication can use
-    the order rows had in the file.
-    """
+    """Every table of the dump named in ``schemas`` as a typed DataFrame (plus ``_file``, ``_ord``, ``_pos``)."""
     tuples = insert_tuples(spark, path)
     out = {}
     for name, schema in schemas.items():
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parsed = F.from_csv(F.col("tuple"), ddl, _CSV_OPTIONS).alias("r")
         out[name] = (tuples.where(F.col("table") == name)
-                     .select(parsed, "_stmt", "_pos").select("r.*", "_stmt", "_pos"))
+                     .select(parsed, "_file", "_ord", "_pos").select("r.*", "_file", "_ord", "_pos"))
     return out
 
 
