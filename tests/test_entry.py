@@ -37,3 +37,15 @@ def test_top_routes_prunes_and_preaggregates(spark):
 def test_all_queries_run_on_smoke_data(spark):
     for name, fn in E.queries().items():
         assert fn(spark, SF_SMALL).count() >= 0, name
+
+
+def test_skew_safe_plan_shapes(spark):
+    q = E.queries()
+    p = _plan(q["top_routes_by_type"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p                      # per-group top-N pruned before the shuffle
+    p = _plan(q["referential_check"](spark, SF_SMALL))
+    assert "partial_count" in p                         # child keys counted map-side before the join
+    p = _plan(q["dedup_keep_first"](spark, SF_SMALL))
+    assert "partial_min" in p                           # keep-first collapses hot keys map-side
+    p = _plan(q["segment_share"](spark, SF_SMALL))
+    assert "Subquery" in p and "Window" not in p        # grand totals as scalar subqueries
