@@ -21,26 +21,27 @@ from zonelake.session import cut_lineage
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start: int = 0,
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Distinct ``keys`` of ``df`` with ``sk_col`` = start + dense rank by ``keys`` (1-based).
 
     Equals ``start + ROW_NUMBER() OVER (ORDER BY keys)`` over the distinct keys.
+    ``carry`` columns ride along; ``df`` must hold one value of them per key.
     """
-    keys = list(keys)
+    keys, carry = list(keys), list(carry)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    distinct = df.select(*keys).where(not_null).dropDuplicates()
+    distinct = df.select(*keys, *carry).where(not_null).dropDuplicates(keys)
     ranged = cut_lineage(distinct.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    tagged = ranged.select(*keys, pid.alias("_pid"), local.alias("_pos"))
+    tagged = ranged.select(*keys, *carry, pid.alias("_pid"), local.alias("_pos"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col))
+    return out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col), *carry)
 
 
 def max_key(dim: DataFrame, sk_col: str) -> int:
@@ -73,8 +74,7 @@ def user_dimension(staging: DataFrame, id_col: str, type_col: str, order_col: st
     """One row per user; a user seen with several types keeps the type of the earliest row."""
     attrs = staging.groupBy(id_col).agg(
         F.min_by(F.col(type_col), F.struct(F.col(order_col), F.col(type_col))).alias(type_col))
-    keyed = assign_surrogate_keys(attrs, [id_col], sk_col)
-    return keyed.join(attrs, id_col).select(sk_col, id_col, type_col)
+    return assign_surrogate_keys(attrs, [id_col], sk_col, carry=[type_col]).select(sk_col, id_col, type_col)
 
 
 def station_dimension(staging: DataFrame, origin_col: str, dest_col: str, id_col: str = "estacion_id",
