@@ -80,3 +80,15 @@ def test_city_flow_end_to_end_and_idempotent(spark, tmp_dir):
     assert stats["Anual"].total_viajes == 3 and stats["Ocasional"].distancia_media_metros == 4500.0
     lineage = spark.read.parquet(f"{root}/govern-zone-metadata/lineage")
     assert lineage.where("target.bucket = 'access-zone'").count() == 3
+
+
+def test_city_run_all_cli(spark, tmp_dir, capsys):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    args = ["--root", os.path.join(tmp_dir, "lake"),
+            "--traffic", _write(f"{raw}/t.csv", TRAFFIC), "--trips", _write(f"{raw}/v.csv", TRIPS),
+            "--parking-usage", _write(f"{raw}/u.csv", USAGE), "--parking-info", _write(f"{raw}/i.csv", INFO),
+            "--dump", _write(f"{raw}/d.sql", [DUMP])]
+    city.main(args)
+    out = capsys.readouterr().out
+    assert "== top_routes" in out and "1 → 2" in out and "== stats_by_type" in out
