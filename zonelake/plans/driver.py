@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from zonelake.functions.scalar import round_half_up_int, safe_cast, safe_timestamp, to_bool, weekday_name
 from zonelake.operators import enrich, governance, quality as Q, reports, warehouse
-from zonelake.operators.clean import CleanSpec, clean
+from zonelake.operators.clean import CleanSpec, clean, clean_and_check
 from zonelake.operators.dedup import dedup_full, dedup_keep_first
 from zonelake.session import apply_core_conf, data_path, scratch_path
 from zonelake.sources.io import read_dataset, write_dataset
@@ -163,6 +163,11 @@ def q_clean_pipeline(spark, sf_dir):
     return clean(table(spark, sf_dir, "events"), EVENTS_SPEC)
 
 
+def q_clean_checks(spark, sf_dir):
+    _, checks = clean_and_check(table(spark, sf_dir, "events"), EVENTS_SPEC)
+    return checks.select(*CHECK_COLS)
+
+
 def q_trip_publish(spark, sf_dir):
     return enrich.drop_lenient(table(spark, sf_dir, "orders"), "o_orderkey", "Unnamed: 0")
 
@@ -238,6 +243,11 @@ def q_failed_checks(spark, sf_dir):
     return Q.failed_checks(_all_checks(spark, sf_dir)).select(*CHECK_COLS)
 
 
+def q_quality_report(spark, sf_dir):
+    """Checks nested into one record per dataset run, then flattened back (the report of the records)."""
+    return Q.quality_report(Q.to_records(_all_checks(spark, sf_dir))).drop("timestamp")
+
+
 def q_accepted_values_check(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return Q.run_checks(o, "orders", [Q.accepted_values("o_orderstatus", ["F", "O"])]).select(*CHECK_COLS)

@@ -150,6 +150,11 @@ near AS (
 
 _ROUND1 = "CAST(ROUND(CAST(AVG({c}) AS DECIMAL(38,10)), 1) AS DOUBLE)"
 
+_CLEAN_EVENTS = "(SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events)"
+_CLEAN_CHECKS = " UNION ALL ".join(
+    _checks_sql("events_clean", _CLEAN_EVENTS, [(0, "no_nulls", "ts"), (1, "no_nulls", "user_id"),
+                                                (2, "no_nulls", "event_type"), (3, "unique", "event_id")]))
+
 ORACLE_SQL: dict[str, str] = {
     "hourly_profile": _PROFILE,
     "top_hours": f"""
@@ -195,6 +200,8 @@ SELECT e.vec_id, e.label, CAST(DATE '2024-01-01' + CAST(e.vec_id AS INTEGER) AS
        dayname(DATE '2024-01-01' + CAST(e.vec_id AS INTEGER)) AS dia_semana, n.nearest_label
 FROM embeddings e LEFT JOIN near n ON e.vec_id = n.vec_id""",
     "quality_checks": _CHECKS,
+    "clean_checks": _CLEAN_CHECKS,
+    "quality_report": f"SELECT dataset, check_type, \"column\", passed, details FROM ({_CHECKS})",
     "quality_summary": f"""
 SELECT dataset, check_type, CAST(SUM(CAST(passed AS INTEGER)) AS BIGINT) AS passed_count,
        CAST(COUNT(*) AS BIGINT) AS total_count,
