@@ -49,3 +49,11 @@ def test_skew_safe_plan_shapes(spark):
     assert "partial_min" in p                           # keep-first collapses hot keys map-side
     p = _plan(q["segment_share"](spark, SF_SMALL))
     assert "Subquery" in p and "Window" not in p        # grand totals as scalar subqueries
+
+
+def test_fact_load_does_not_shuffle_facts_for_small_dimensions(spark):
+    # keyed dimensions are written tables with real sizes: the small station dimension is broadcast
+    # in the static plan, so the fact rows are never hash-partitioned on the station keys
+    p = _plan(E.queries()["fact_trip"](spark, SF_SMALL))
+    assert "Exchange hashpartitioning(estacion_origen" not in p
+    assert "Exchange hashpartitioning(estacion_destino" not in p

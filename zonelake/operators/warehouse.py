@@ -4,7 +4,8 @@ Surrogate keys are dense ranks of the natural key, computed without a global
 single-task sort: keys are range-partitioned and sorted within partitions, the
 result is checkpointed (both passes below must see the very same partitions), the
 per-partition row counts (one row per partition) are prefix-summed and broadcast,
-and each row's key is its partition offset plus its position in the partition.
+and each row's key is its partition offset plus its position in the partition.  The
+keyed result is written as a table, so later joins see its true size.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from zonelake.functions.scalar import round_half_up_int
 from zonelake.operators.dedup import dedup_keep_first
-from zonelake.session import cut_lineage
+from zonelake.session import cut_lineage, materialize
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start: int = 0,
@@ -41,7 +42,9 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col), *carry)
+    keyed = out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col), *carry)
+    # a written table: the joins that use these keys see the dimension's real size
+    return materialize(keyed, f"keys-{sk_col}")
 
 
 def max_key(dim: DataFrame, sk_col: str) -> int:
