@@ -122,3 +122,19 @@ def test_file_manifest_hash(spark, tmp_dir):
     m = {r.object_name: r for r in file_manifest(spark, tmp_dir, "raw-ingestion-zone", glob="*.csv").collect()}
     assert m["a.csv"].file_hash == hashlib.sha256(b"x,y\n1,2\n").hexdigest() and m["a.csv"].file_size == 8
     assert "b.csv" not in m          # known limit: Spark's file scan skips zero-length files
+
+
+def test_preview_catalog_and_ctas(spark, tmp_dir):
+    from zonelake.operators.reports import period_summary
+    from zonelake.sources import create_table_as, describe, drop_table, preview, show_tables
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 5), 10.0), (dt.datetime(2024, 2, 1), 5.0)], "ts timestamp, a double")
+    write_dataset(df, tmp_dir + "/src", "parquet")
+    assert preview(spark, tmp_dir + "/src", n=1).count() == 1
+    t = create_table_as(period_summary(df, "ts", "a"), "zl_monthly_summary", tmp_dir + "/monthly")
+    assert rows(t.select("year", "month", "order_count"), "month") == [(2024, 1, 1), (2024, 2, 1)]
+    assert "zl_monthly_summary" in [r.tableName for r in show_tables(spark).collect()]
+    d = describe(t).collect()
+    assert [(r.col_name, r.data_type) for r in d][:2] == [("year", "int"), ("month", "int")]
+    drop_table(spark, "zl_monthly_summary")
+    assert "zl_monthly_summary" not in [r.tableName for r in show_tables(spark).collect()]

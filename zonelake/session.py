@@ -89,10 +89,5 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-only helpers (tests, bench)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def data_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

@@ -87,3 +87,36 @@ def publish(df: DataFrame, path: str, bucket: str, object_name: str, fmt: str =
               {f.name: f.dataType.simpleString() for f in df.schema.fields},
               dict(properties or {}))
     return df.sparkSession.createDataFrame([record], METADATA_SCHEMA)
+
+
+def preview(spark: SparkSession, path: str, fmt: str = "parquet", n: int = 5) -> DataFrame:
+    """First ``n`` rows of a dataset for a quick look (a limit is the feature; no order is implied)."""
+    return read_dataset(spark, path, fmt).limit(n)
+
+
+def create_table_as(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``CREATE TABLE name AS SELECT ...``: replace the catalog table ``name`` with ``df``.
+
+    With ``path`` the table is external (its files live there, e.g. a shared lake folder).
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """``DROP TABLE IF EXISTS name``."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def show_tables(spark: SparkSession) -> DataFrame:
+    """``SHOW TABLES`` of the current catalog database (temporary views included)."""
+    return spark.sql("SHOW TABLES")
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """``DESCRIBE``: one row per column (position, name, type, nullable) of a DataFrame."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, col_name string, data_type string, nullable boolean")
