@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonelake.session import cut_lineage
+from zonelake.session import scratch_path
 
 # --- catalog -----------------------------------------------------------------------------
 
@@ -68,42 +69,57 @@ def lineage_edges(lineage: DataFrame) -> DataFrame:
     return latest_per_key(flat, ["src_bucket", "src_object", "dst_bucket", "dst_object"], "timestamp")
 
 
+def _bucketed_table(spark: SparkSession, name: str) -> str:
+    return f"zl_{name}_{uuid.uuid4().hex}"
+
+
 def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> DataFrame:
     """All ancestors of every start node, with the hop count at which each is first reached.
 
     ``edges``: src_bucket, src_object, dst_bucket, dst_object.  ``starts``: bucket, object.
-    Breadth-first over all starts at once: each hop is one distributed join of the
-    frontier with the edges; nodes already visited from the same start are removed
-    (anti join), so cycles end; ``max_depth`` bounds the walk.  The edges are stored
-    once, hash-partitioned on the target node, so no hop re-shuffles them; each hop
-    is checkpointed (one job, which also counts its rows) so the plan stays flat.
+    Breadth-first over all starts at once, one job per hop, on two written tables in
+    the shared checkpoint folder:
+
+    * the edges, bucketed on the target node: joining the frontier never shuffles them;
+    * the visited (start, node) pairs, bucketed on that pair and partitioned by depth:
+      each hop's new pairs are anti-joined with it without shuffling it (cycles end
+      there) and appended to it; the next frontier is a partition-pruned read of the
+      newest depth.
+
+    Only the new frontier moves between tasks, so the work per hop follows the size of
+    that hop.  The walk stops when a hop is empty or after ``max_depth`` hops.
     Output: start_bucket, start_object, bucket, object, depth (1 = direct source).
     """
     spark = edges.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = cut_lineage(edges.select("src_bucket", "src_object", "dst_bucket", "dst_object").dropDuplicates()
-                    .repartition(n, "dst_bucket", "dst_object"))
-    frontier = starts.select(F.col("bucket").alias("start_bucket"), F.col("object").alias("start_object"),
-                             F.col("bucket"), F.col("object")).dropDuplicates()
     key = ["start_bucket", "start_object", "bucket", "object"]
-    visited = frontier.select(*key)
-    found: list[DataFrame] = []
-    for depth in range(1, max_depth + 1):
-        step = (frontier.join(e, (frontier["bucket"] == e["dst_bucket"]) & (frontier["object"] == e["dst_object"]))
-                .select("start_bucket", "start_object", F.col("src_bucket").alias("bucket"),
-                        F.col("src_object").alias("object"))
-                .dropDuplicates()
-                .join(visited, key, "left_anti"))
-        obs = Observation(f"lineage_hop_{depth}")
-        step = cut_lineage(step.withColumn("depth", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n")))
-        if obs.get["n"] == 0:
-            break
-        found.append(step)
-        frontier = step.select(*key)
-        visited = visited.unionByName(frontier)      # a union of stored hops: flat plan
-    if not found:
-        return frontier.limit(0).withColumn("depth", F.lit(0))
-    return reduce(DataFrame.unionByName, found)
+    edge_table, seen_table = _bucketed_table(spark, "edges"), _bucketed_table(spark, "visited")
+    seen_path = scratch_path(spark, "lineage-visited")
+    (edges.select("src_bucket", "src_object", "dst_bucket", "dst_object").dropDuplicates()
+     .write.bucketBy(n, "dst_bucket", "dst_object").option("path", scratch_path(spark, "lineage-edges"))
+     .saveAsTable(edge_table))
+    start_rows = starts.select(F.col("bucket").alias("start_bucket"), F.col("object").alias("start_object"),
+                               F.col("bucket"), F.col("object")).dropDuplicates().withColumn("depth", F.lit(0))
+    start_rows.write.partitionBy("depth").bucketBy(n, *key).option("path", seen_path).saveAsTable(seen_table)
+    try:
+        e = spark.table(edge_table)
+        for depth in range(1, max_depth + 1):
+            frontier = spark.table(seen_table).where(F.col("depth") == depth - 1)
+            step = (frontier.join(e, (frontier["bucket"] == e["dst_bucket"]) &
+                                  (frontier["object"] == e["dst_object"]))
+                    .select("start_bucket", "start_object", F.col("src_bucket").alias("bucket"),
+                            F.col("src_object").alias("object"))
+                    .dropDuplicates(key)
+                    .join(spark.table(seen_table).select(*key), key, "left_anti"))
+            obs = Observation(f"lineage_hop_{depth}")
+            (step.withColumn("depth", F.lit(depth)).observe(obs, F.count(F.lit(1)).alias("n"))
+             .write.mode("append").partitionBy("depth").bucketBy(n, *key).saveAsTable(seen_table))
+            if obs.get["n"] == 0:
+                break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {edge_table}")
+        spark.sql(f"DROP TABLE IF EXISTS {seen_table}")       # external: the files stay for the result
+    return spark.read.parquet(seen_path).where(F.col("depth") > 0).select(*key, "depth")
 
 
 # --- security policy (declared; kept as data) ----------------------------------------------
