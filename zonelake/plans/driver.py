@@ -62,9 +62,10 @@ def trip_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           .join(c, o.o_custkey == c.c_custkey))
+    # orders meet customers first (both smaller than lineitem), so when nothing can be broadcast the
+    # lineitem-sized rows are shuffled twice (order key, supplier key) rather than three times
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
     return j.select(
         F.col("o_custkey").alias("usuario_id"), F.col("c_mktsegment").alias("tipo_usuario"),
         F.col("s_nationkey").alias("estacion_origen"), F.col("c_nationkey").alias("estacion_destino"),
