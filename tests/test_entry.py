@@ -57,3 +57,25 @@ def test_fact_load_does_not_shuffle_facts_for_small_dimensions(spark):
     p = _plan(E.queries()["fact_trip"](spark, SF_SMALL))
     assert "Exchange hashpartitioning(estacion_origen" not in p
     assert "Exchange hashpartitioning(estacion_destino" not in p
+
+
+def test_no_single_task_funnel_at_scale(spark):
+    # with broadcasts disabled (the shape of the plans on very large tables), every exchange into a
+    # single partition must be fed by a map-side partial aggregate, i.e. at most one row per task
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        skip = {"csv_roundtrip", "json_roundtrip", "sql_dump_roundtrip", "lineage_trace", "file_manifest"}
+        for name, fn in E.queries().items():
+            if name in skip:
+                continue
+            lines = _plan(fn(spark, SF_SMALL)).splitlines()
+            for i, line in enumerate(lines):
+                if "Exchange SinglePartition" in line:
+                    feed = lines[i + 1]
+                    assert "partial_" in feed, (name, feed)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
