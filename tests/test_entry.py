@@ -62,8 +62,8 @@ def test_fact_load_does_not_shuffle_facts_for_small_dimensions(spark):
 def test_no_single_task_funnel_at_scale(spark):
     # with broadcasts disabled (the shape of the plans on very large tables), every exchange into a
     # single partition must be fed by a map-side partial aggregate, i.e. at most one row per task
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in old:
         spark.conf.set(k, "-1")
     try:
@@ -78,4 +78,7 @@ def test_no_single_task_funnel_at_scale(spark):
                     assert "partial_" in feed, (name, feed)
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
