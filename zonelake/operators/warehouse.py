@@ -1,11 +1,11 @@
 """Star-schema load: surrogate keys, dimensions, facts, idempotent incremental loads.
 
 Surrogate keys are dense ranks of the natural key, computed without a global
-single-task sort: keys are range-partitioned and sorted within partitions, the
-result is checkpointed (both passes below must see the very same partitions), the
+single-task sort: keys are range-partitioned, sorted within partitions and, in the
+same job, tagged with (partition, position) and written as a table; the
 per-partition row counts (one row per partition) are prefix-summed and broadcast,
-and each row's key is its partition offset plus its position in the partition.  The
-keyed result is written as a table, so later joins see its true size.
+and each row's key is its partition offset plus its position in the partition.
+Because the result is built on a written table, later joins see its true size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from zonelake.functions.scalar import round_half_up_int
 from zonelake.operators.dedup import dedup_keep_first
-from zonelake.session import cut_lineage, materialize
+from zonelake.session import cut_lineage, scratch_path
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start: int = 0,
@@ -33,18 +33,23 @@ def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     distinct = df.select(*keys, *carry).where(not_null).dropDuplicates(keys)
-    ranged = cut_lineage(distinct.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    tagged = ranged.select(*keys, *carry, pid.alias("_pid"), local.alias("_pos"))
+    # one job: range-partition, sort inside each partition, tag every row with (partition, position)
+    # and write.  The tags are produced with the data, so the counting pass below reads exactly the
+    # partitions that were numbered (a retried task re-reads the same shuffle output).
+    path = scratch_path(spark, f"keys-{sk_col}")
+    (distinct.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .select(*keys, *carry, pid.alias("_pid"), local.alias("_pos"))
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = tagged.join(F.broadcast(offsets), "_pid")
-    keyed = out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col), *carry)
-    # a written table: the joins that use these keys see the dimension's real size
-    return materialize(keyed, f"keys-{sk_col}")
+    # built on a written table: joins that use these keys see the dimension's real size
+    return out.select(*keys, (F.lit(start) + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col), *carry)
 
 
 def max_key(dim: DataFrame, sk_col: str) -> int:

@@ -77,17 +77,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage like a checkpoint and, unlike an RDD checkpoint, gives Catalyst the
-    real size of the data, so its broadcast threshold decides the join strategy
-    statically (a small dimension is broadcast before any fact row is shuffled).
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def data_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
