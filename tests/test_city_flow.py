@@ -52,8 +52,10 @@ def test_city_flow_end_to_end_and_idempotent(spark, tmp_dir):
 
     manifest = city.ingest(spark, raw, root)
     assert manifest.count() == 6
-    clean = city.clean_zone(spark, paths, root, now)
+    failures = {}
+    clean = city.clean_zone(spark, {**paths, "citizen_reports": paths["citizen_reports"]}, root, now, failures)
     assert set(clean) >= {"traffic", "trips", "parking", "districts", "green_zones", "citizen_reports"}
+    assert failures == {}
     traffic = spark.read.parquet(clean["traffic"])
     assert traffic.count() == 7                                   # duplicate removed, bad date kept as null
     checks = spark.read.parquet(f"{root}/govern-zone-metadata/quality_checks")
@@ -82,6 +84,15 @@ def test_city_flow_end_to_end_and_idempotent(spark, tmp_dir):
     assert lineage.where("target.bucket = 'access-zone'").count() == 3
 
 
+def test_sources_fail_independently(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    paths = {"traffic": _write(f"{raw}/t.csv", TRAFFIC), "citizen_reports": f"{raw}/missing.json"}
+    failures = {}
+    clean = city.clean_zone(spark, paths, os.path.join(tmp_dir, "lake"), dt.datetime(2024, 12, 2), failures)
+    assert set(clean) == {"traffic"} and set(failures) == {"citizen_reports"}
+
+
 def test_city_run_all_cli(spark, tmp_dir, capsys):
     raw = os.path.join(tmp_dir, "raw")
     os.makedirs(raw)

@@ -54,41 +54,63 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
     return m
 
 
+def _read_sources(spark: SparkSession, raw: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Typed-as-text frames of every raw source; a source that cannot be read is reported, not fatal."""
+    readers = {
+        "traffic": lambda: {"traffic": read_dataset(spark, raw["traffic"], "csv", schemas.all_text(schemas.TRAFFIC))},
+        "trips": lambda: {"trips": read_dataset(spark, raw["trips"], "csv", schemas.all_text(schemas.TRIPS))},
+        "parking_usage": lambda: {"parking": enrich.left_enrich(
+            read_dataset(spark, raw["parking_usage"], "csv", schemas.all_text(schemas.PARKING_USAGE)),
+            read_dataset(spark, raw["parking_info"], "csv", schemas.all_text(schemas.PARKING_INFO)),
+            ["aparcamiento_id"])},
+        "dump": lambda: {DUMP_DATASETS[t]: df.drop("_file", "_ord", "_pos")
+                         for t, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items()},
+        "citizen_reports": lambda: {"citizen_reports": read_dataset(
+            spark, raw["citizen_reports"], "json", schemas.CITIZEN_REPORTS, multiline=True)},
+    }
+    frames, failures = {}, {}
+    for name, read in readers.items():
+        if name not in raw or (name == "parking_usage" and "parking_info" not in raw):
+            continue
+        try:
+            got = read()
+            for df in got.values():
+                df.schema  # noqa: B018 - resolve now: a missing path or bad file fails here
+            frames.update(got)
+        except Exception as exc:  # noqa: BLE001 - one bad source must not stop the others
+            failures[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+    return frames, failures
+
+
 def clean_zone(spark: SparkSession, raw: Mapping[str, str], root: str,
-               now: _dt.datetime | None = None) -> dict[str, str]:
+               now: _dt.datetime | None = None, failures: dict | None = None) -> dict[str, str]:
     """Read, clean, check and publish every raw dataset present in ``raw``.
 
     ``raw`` keys: traffic, trips, parking_usage, parking_info (CSV), dump (SQL dump),
-    citizen_reports (JSON array).  Returns dataset -> clean path.
+    citizen_reports (JSON array).  Returns dataset -> clean path.  Sources fail
+    independently: a source that cannot be read or cleaned is recorded in
+    ``failures`` (when given) and the others are still processed.
     """
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    frames: dict[str, DataFrame] = {}
-    if "traffic" in raw:
-        frames["traffic"] = read_dataset(spark, raw["traffic"], "csv", schemas.all_text(schemas.TRAFFIC))
-    if "trips" in raw:
-        frames["trips"] = read_dataset(spark, raw["trips"], "csv", schemas.all_text(schemas.TRIPS))
-    if "parking_usage" in raw and "parking_info" in raw:
-        usage = read_dataset(spark, raw["parking_usage"], "csv", schemas.all_text(schemas.PARKING_USAGE))
-        info = read_dataset(spark, raw["parking_info"], "csv", schemas.all_text(schemas.PARKING_INFO))
-        frames["parking"] = enrich.left_enrich(usage, info, ["aparcamiento_id"])
-    if "dump" in raw:
-        for table, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items():
-            frames[DUMP_DATASETS[table]] = df.drop("_file", "_ord", "_pos")
-    if "citizen_reports" in raw:
-        frames["citizen_reports"] = read_dataset(spark, raw["citizen_reports"], "json",
-                                                 schemas.CITIZEN_REPORTS, multiline=True)
+    frames, failed = _read_sources(spark, raw)
     typed = _typed_casts()
     out, checks, lineage, metas = {}, [], [], []
     for name, df in frames.items():
         spec = CITY_SPECS[name]
-        df = df.select(*[typed[name].get(c, F.col(f"`{c}`")).alias(c) if c in typed[name] else F.col(f"`{c}`")
-                         for c in df.columns])
-        cleaned, chk = clean_and_check(df, spec, now)
-        path = zone(root, f"clean-zone/{name}")
-        metas.append(publish(cleaned, path, "clean-zone", name, properties={"spec": spec.name}, uploaded_at=now))
+        try:
+            df = df.select(*[typed[name][c].alias(c) if c in typed[name] else F.col(f"`{c}`") for c in df.columns])
+            cleaned, chk = clean_and_check(df, spec, now)
+            path = zone(root, f"clean-zone/{name}")
+            metas.append(publish(cleaned, path, "clean-zone", name, properties={"spec": spec.name},
+                                 uploaded_at=now))
+        except Exception as exc:  # noqa: BLE001 - keep going with the other datasets
+            failed[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+            continue
         checks.append(chk)
         lineage.append(("raw-ingestion-zone", name, "clean-zone", name, f"clean spec {spec.name}"))
         out[name] = path
+    if failures is not None:
+        failures.update(failed)
     gov = zone(root, "govern-zone-metadata")
     for c in checks:
         _append(c, f"{gov}/quality_checks")
