@@ -87,3 +87,16 @@ def test_drop_strict_and_lenient(spark):
         enrich.drop_strict(df, "zz")
     assert enrich.with_weekday(spark.createDataFrame([(dt.date(2024, 12, 1),)], "fecha date"), "fecha") \
         .first().dia_semana == "Sunday"
+
+
+def test_nearest_reference_dense_cluster_refines_cells(spark):
+    rnd = random.Random(11)
+    refs = [(i, 40.0 + rnd.random() * 1e-6, -3.0 + rnd.random() * 1e-6) for i in range(200)]   # one dense spot
+    refs += [(1000 + i, 40.0 + rnd.random(), -3.0 + rnd.random()) for i in range(20)]          # sparse rest
+    pts = [(j, 40.0 + rnd.random(), -3.0 + rnd.random()) for j in range(300)]
+    pts += [(900 + j, 40.0 + rnd.random() * 2e-6, -3.0 + rnd.random() * 2e-6) for j in range(30)]  # inside the spot
+    pdf = spark.createDataFrame(pts, "pid int, x double, y double")
+    rdf = spark.createDataFrame(refs, "rid int, rx double, ry double")
+    out = enrich.assign_nearest(pdf, rdf, "x", "y", "rid", "rx", "ry", "near")
+    got = {r.pid: r.near for r in out.collect()}
+    assert got == _brute(pts, refs)

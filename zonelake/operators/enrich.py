@@ -90,11 +90,12 @@ _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 def nearest_reference(points: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str,
                       ref_x: str, ref_y: str, out_col: str = "nearest_id",
-                      finest_cells_per_ref: float = 4.0) -> DataFrame:
+                      finest_cells_per_ref: float = 4.0, max_refs_per_cell: int = 64) -> DataFrame:
     """Distinct (x, y) of ``points`` with the id of the nearest row of ``refs``.
 
     Returns columns ``x, y, out_col, _d2`` (squared distance).  Join the result back to
-    the full point table on (x, y): every distinct location is searched once.  Each
+    the full point table on (x, y): every distinct location is searched once.  The
+    finest cells hold at most ``max_refs_per_cell`` references (unless they share a location).  Each
     level's outcome is checkpointed, so a level is computed once and the plan of the
     next level starts from stored rows.
     """
@@ -118,6 +119,18 @@ def nearest_reference(points: DataFrame, refs: DataFrame, x: str, y: str, ref_id
     cells_across = max(1.0, math.sqrt(n_refs * finest_cells_per_ref))
     levels = max(1, math.ceil(math.log2(cells_across)) + 1)
     side = extent / (2 ** (levels - 1))
+    # Densely packed references: refine the finest level until no cell holds more than
+    # ``max_refs_per_cell`` of them (one small aggregate over the reference side per step),
+    # so points in a dense spot get few candidates.  Identical locations cannot be split: stop
+    # after a bounded number of halvings.
+    for _ in range(16):
+        occupancy = rf.groupBy(F.floor((F.col("_rx") - F.lit(minx)) / F.lit(side)),
+                               F.floor((F.col("_ry") - F.lit(miny)) / F.lit(side))).count() \
+            .agg(F.max("count")).first()[0]
+        if occupancy <= max_refs_per_cell:
+            break
+        side /= 2
+        levels += 1
 
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
     d2 = (F.col("_px") - F.col("_rx")) * (F.col("_px") - F.col("_rx")) + \
