@@ -60,7 +60,7 @@ def test_city_flow_end_to_end_and_idempotent(spark, tmp_dir):
     assert traffic.count() == 7                                   # duplicate removed, bad date kept as null
     checks = spark.read.parquet(f"{root}/govern-zone-metadata/quality_checks")
     failed = {(r.dataset, r.column) for r in checks.where("NOT passed").collect()}
-    assert ("trafico_clean", "fecha_hora") in failed
+    assert ("traffic_clean", "fecha_hora") in failed
 
     access = city.access_zone(spark, clean, root, now)
     prof = {r.hora: r for r in spark.read.parquet(access["traffic_hourly"]).collect()}

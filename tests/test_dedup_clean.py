@@ -36,7 +36,7 @@ def test_clean_trips_injected_defects(spark):
            ("1", "10", "Anual", "5", "6", "2024-12-01 08:00:00", "2024-12-01 08:10:00", "600", "1.5", "40", "90"),
            ("2", None, "Ocasional", "5", "7", "31/12/2024", "2024-12-01 09:10:00", "abc", "x", "40", "90")]
     df = spark.createDataFrame(raw, all_text(TRIPS))
-    spec = CleanSpec("bicimad_clean", timestamps={"fecha_hora_inicio": "yyyy-MM-dd HH:mm:ss",
+    spec = CleanSpec("trips_clean", timestamps={"fecha_hora_inicio": "yyyy-MM-dd HH:mm:ss",
                                                   "fecha_hora_fin": "yyyy-MM-dd HH:mm:ss"},
                      numerics={"usuario_id": "int", "duracion_segundos": "int", "distancia_km": "double"},
                      dedup="full", no_nulls=CITY_SPECS["trips"].no_nulls)

@@ -83,36 +83,36 @@ def clean_and_check(df: DataFrame, spec: CleanSpec, timestamp=None) -> tuple[Dat
 TS = "yyyy-MM-dd HH:mm:ss"
 DAY = "yyyy-MM-dd"
 CITY_SPECS: dict[str, CleanSpec] = {
-    "traffic": CleanSpec("trafico_clean", timestamps={"fecha_hora": TS}, dedup="full",
+    "traffic": CleanSpec("traffic_clean", timestamps={"fecha_hora": TS}, dedup="full",
                          no_nulls=("fecha_hora", "total_vehiculos")),
-    "trips": CleanSpec("bicimad_clean", timestamps={"fecha_hora_inicio": TS, "fecha_hora_fin": TS},
+    "trips": CleanSpec("trips_clean", timestamps={"fecha_hora_inicio": TS, "fecha_hora_fin": TS},
                        dedup="full", no_nulls=("usuario_id", "estacion_origen", "estacion_destino")),
-    "parking": CleanSpec("parkings_merged_clean", dates={"fecha": DAY},
+    "parking": CleanSpec("parking_clean", dates={"fecha": DAY},
                          numerics={"capacidad_total": "int", "plazas_movilidad_reducida": "int",
                                    "plazas_vehiculos_electricos": "int", "tarifa_hora_euros": "double",
                                    "latitud": "double", "longitud": "double"},
                          dedup=("aparcamiento_id", "fecha", "hora"),
                          no_nulls=("aparcamiento_id", "fecha", "hora", "nombre", "capacidad_total",
                                    "latitud", "longitud")),
-    "energy": CleanSpec("consumo_energetico_clean", dates={"fecha": DAY}, dedup=("edificio_id", "fecha"),
+    "energy": CleanSpec("energy_clean", dates={"fecha": DAY}, dedup=("edificio_id", "fecha"),
                         no_nulls=("fecha", "consumo_electrico_kwh", "consumo_gas_m3")),
-    "districts": CleanSpec("distritos_clean", numerics={"latitud": "double", "longitud": "double"},
+    "districts": CleanSpec("districts_clean", numerics={"latitud": "double", "longitud": "double"},
                            dedup=("id",), no_nulls=("nombre", "latitud", "longitud", "superficie_km2")),
-    "buildings": CleanSpec("edificios_clean",
+    "buildings": CleanSpec("buildings_clean",
                            numerics={"latitud": "double", "longitud": "double", "año_construccion": "int",
                                      "ultimo_renovado": "int"},
                            dedup=("id", "direccion"),
                            no_nulls=("nombre", "tipo", "distrito_id", "latitud", "longitud")),
-    "stations": CleanSpec("estaciones_clean",
+    "stations": CleanSpec("stations_clean",
                           numerics={"latitud": "double", "longitud": "double", "año_inauguracion": "int"},
                           dedup=("nombre", "linea_id"), no_nulls=("nombre", "linea_id", "latitud", "longitud")),
-    "lines": CleanSpec("lineas_clean", numerics={"longitud_km": "double"}, dedup=("nombre", "tipo"),
+    "lines": CleanSpec("lines_clean", numerics={"longitud_km": "double"}, dedup=("nombre", "tipo"),
                        no_nulls=("nombre", "tipo", "longitud_km")),
-    "green_zones": CleanSpec("zonas_verdes_clean",
+    "green_zones": CleanSpec("green_zones_clean",
                              numerics={"latitud": "double", "longitud": "double", "año_creacion": "int"},
                              booleans=("tiene_area_infantil", "tiene_area_deportiva", "tiene_area_canina"),
                              no_nulls=("nombre", "distrito_id", "latitud", "longitud")),
-    "citizen_reports": CleanSpec("avisamadrid_clean", timestamps={"fecha_reporte": None, "fecha_resolucion": None},
+    "citizen_reports": CleanSpec("citizen_reports_clean", timestamps={"fecha_reporte": None, "fecha_resolucion": None},
                                  dedup=("id",),
                                  no_nulls=("id", "categoria", "descripcion", "fecha_reporte", "latitud", "longitud"),
                                  unique=("id",)),
