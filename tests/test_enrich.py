@@ -100,3 +100,32 @@ def test_nearest_reference_dense_cluster_refines_cells(spark):
     out = enrich.assign_nearest(pdf, rdf, "x", "y", "rid", "rx", "ry", "near")
     got = {r.pid: r.near for r in out.collect()}
     assert got == _brute(pts, refs)
+
+
+def test_hot_key_join_is_salted(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        usage = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997)
+                                      .cast("int").alias("aparcamiento_id"), F.col("id").alias("v"))
+        info = spark.range(997).select(F.col("id").cast("int").alias("aparcamiento_id"),
+                                       F.concat(F.lit("lot-"), F.col("id").cast("string")).alias("nombre"))
+        out = enrich.left_enrich(usage, info, ["aparcamiento_id"])
+        got = out.groupBy("nombre").count().where("nombre = 'lot-7'").first()["count"]
+        assert got == n // 3 + len([i for i in range(n) if i % 3 and i % 997 == 7])
+        assert out.count() == n
+        # the hot key is spread over the salt buckets: no task of the join holds all its rows
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and "xxhash64" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

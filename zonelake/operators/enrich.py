@@ -11,19 +11,25 @@ from pyspark.sql import functions as F
 from zonelake.functions.aggregates import exact_mean, sum_or_zero
 from zonelake.functions.scalar import ordinal, row_argmax, time_of_day, weekday_name
 from zonelake.operators.dedup import dedup_keep_first
+from zonelake.operators.joins import salted_join
 from zonelake.session import cut_lineage
 
 
 def left_enrich(df: DataFrame, info: DataFrame, keys: Sequence[str],
-                info_order: Sequence[str] | None = None) -> DataFrame:
+                info_order: Sequence[str] | None = None, salt_buckets: int = 16,
+                hot_fraction: float = 0.01) -> DataFrame:
     """``df`` left-joined with reference ``info`` on ``keys``.
 
     ``info`` is first reduced to one row per key (keep-first), so a duplicated
     reference key cannot fan rows out.  Null keys stay unmatched (SQL equality).
-    The join strategy is left to Catalyst/AQE: the reference side is broadcast
-    only when its measured size is under the broadcast threshold.
+    Keys of ``df`` holding more than ``hot_fraction`` of its rows are salted over
+    ``salt_buckets`` tasks (the reference rows of those keys are replicated), because
+    the aggregation on the reference side keeps AQE from splitting a skewed join by
+    itself.  The reference side is still broadcast when its measured size is small.
     """
     ref = dedup_keep_first(info, keys, info_order)
+    if salt_buckets and salt_buckets > 1:
+        return salted_join(df, ref, keys, "left", salt_buckets, hot_fraction)
     return df.join(ref, list(keys), "left")
 
 
