@@ -75,7 +75,9 @@ def test_no_single_task_funnel_at_scale(spark):
             for i, line in enumerate(lines):
                 if "Exchange SinglePartition" in line:
                     feed = lines[i + 1]
-                    assert "partial_" in feed, (name, feed)
+                    # allowed: map-side partial aggregates, or the per-partition counts of key
+                    # assignment (grouped by partition id: one row per partition)
+                    assert "partial_" in feed or "keys=[_pid" in feed, (name, feed)
     finally:
         for k, v in old.items():
             if v is None:
