@@ -129,3 +129,13 @@ def test_hot_key_join_is_salted(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_nearest_with_hot_location(spark):
+    pts = [(i, 40.5, -3.5) for i in range(300)] + [(1000 + i, 40.0 + i / 100, -3.0) for i in range(50)]
+    refs = [(1, 40.4, -3.4), (2, 40.0, -3.0), (3, 40.9, -3.1)]
+    pdf = spark.createDataFrame(pts, "pid int, x double, y double")
+    rdf = spark.createDataFrame(refs, "rid int, rx double, ry double")
+    out = enrich.assign_nearest(pdf, rdf, "x", "y", "rid", "rx", "ry", "near")
+    assert out.count() == len(pts)
+    assert {r.pid: r.near for r in out.collect()} == _brute(pts, refs)

@@ -173,4 +173,5 @@ def assign_nearest(df: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str,
     near = nearest_reference(df, refs, x, y, ref_id, ref_x, ref_y, out_col).drop("_d2")
     keyed = df.withColumn("_px", F.col(x).cast("double")).withColumn("_py", F.col(y).cast("double"))
     near = near.withColumnRenamed(x, "_px").withColumnRenamed(y, "_py")
-    return keyed.join(near, ["_px", "_py"], "left").drop("_px", "_py")
+    # many rows may share one location: the join back is salted on hot locations
+    return salted_join(keyed, near, ["_px", "_py"], "left").drop("_px", "_py")
