@@ -70,8 +70,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (checkpoint into the shared folder) and cut its lineage.
 
-    Used where a plan is read twice and both reads must see identical partitions
-    (key assignment) and inside iterative loops (lineage trace).
+    Used between the levels of the nearest-reference search and before an
+    idempotent append counts and writes the rows it computed.
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
