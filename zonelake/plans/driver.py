@@ -172,7 +172,7 @@ EVENTS_SPEC = CleanSpec("events_clean", timestamps={"ts": "yyyy-MM-dd HH:mm:ss"}
                         no_nulls=("ts", "user_id", "event_type"), unique=("event_id",))
 
 
-def q_clean_pipeline(spark, sf_dir):
+def q_clean_spec(spark, sf_dir):
     return clean(table(spark, sf_dir, "events"), EVENTS_SPEC)
 
 

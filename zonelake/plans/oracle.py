@@ -180,7 +180,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
                  l_linestatus, l_shipdate) AS rn FROM lineitem) WHERE rn = 1""",
-    "clean_pipeline": """
+    "clean_spec": """
 SELECT DISTINCT event_id, ts, user_id, event_type, value, props,
        TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 FROM events""",
