@@ -107,3 +107,40 @@ def test_quality_counts_match_pandas(spark, data):
     for c in ("a", "b"):
         assert got[("no_nulls", c)] == int(pdf[c].isnull().sum())
         assert got[("unique", c)] == len(pdf) - int(pdf[c].nunique())
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5), st.just(2), st.just(2)), st.integers(0, 9)),
+                min_size=1, max_size=80),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["p", "q"])), max_size=8),
+       st.sampled_from(["inner", "left"]), st.integers(2, 5))
+def test_salted_join_equals_plain_join(spark, big, small, how, buckets):
+    from zonelake.operators.joins import salted_join
+    b = spark.createDataFrame(big, "k int, v int")
+    s = spark.createDataFrame(small, "k int, w string") if small else spark.createDataFrame([], "k int, w string")
+    def order(t):
+        return tuple((x is None, "" if x is None else x) for x in t)
+    got = sorted((tuple(r) for r in salted_join(b, s, ["k"], how, buckets, min_fraction=0.1).collect()), key=order)
+    want = sorted((tuple(r) for r in b.join(s, ["k"], how).collect()), key=order)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 50)),
+                          st.sampled_from(["Baja", "Alta", "Otro", None])), min_size=1, max_size=40))
+def test_hourly_profile_matches_pandas(spark, data):
+    import datetime as dt
+
+    import pandas as pd
+    rows_in = [(None if h is None else dt.datetime(2024, 12, 1, h), n, lvl) for h, n, lvl in data]
+    df = spark.createDataFrame(rows_in, "ts timestamp, n int, lvl string")
+    prof = {r.hora: r for r in enrich.hourly_profile(df, "ts", ["n"], [], "lvl", {"Baja": 1, "Alta": 3}).collect()}
+    pdf = pd.DataFrame(rows_in, columns=["ts", "n", "lvl"])
+    pdf["lvl"] = pdf["lvl"].map({"Baja": 1, "Alta": 3})
+    pdf["ts"] = pd.to_datetime(pdf["ts"])
+    pdf["hora"] = pdf["ts"].dt.strftime("%H:%M:%S")
+    want = pdf.dropna(subset=["ts"]).groupby("hora").agg({"n": "sum", "lvl": "mean"})
+    assert set(prof) == set(want.index)
+    for h, r in want.iterrows():
+        assert prof[h].n == int(r["n"])
+        assert (prof[h].lvl is None) if pd.isna(r["lvl"]) else abs(prof[h].lvl - r["lvl"]) < 1e-12
