@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from zonelake.llm.simhash import op1_simhash_near_dedup
 
 QUERIES = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
 }
 
