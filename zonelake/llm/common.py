@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from zonelake.session import apply_core_conf, data_path, scratch_path
 
 # Rows an Arrow batch may hold: bounds a Python worker's memory when texts are long.
-ARROW_ROWS = 64
+ARROW_ROWS = 128
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
