@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from zonelake.llm.langid import op6_language_id
+from zonelake.llm.packing import op9_packing
 from zonelake.llm.simhash import op1_simhash_near_dedup
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op6_language_id": op6_language_id,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL = {
