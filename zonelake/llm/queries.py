@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from zonelake.llm.decontam import op5_decontamination
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from zonelake.llm.langid import op6_language_id
 from zonelake.llm.packing import op9_packing
@@ -10,6 +11,7 @@ from zonelake.llm.simhash import op1_simhash_near_dedup
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op9_packing": op9_packing,
 }
