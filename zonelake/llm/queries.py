@@ -5,6 +5,7 @@ from __future__ import annotations
 from zonelake.llm.decontam import op5_decontamination
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from zonelake.llm.langid import op6_language_id
+from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
 from zonelake.llm.simhash import op1_simhash_near_dedup
 
@@ -13,9 +14,11 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
+    "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
+    "op7_line_dedup": OP7_SQL,
 }
