@@ -81,6 +81,11 @@ def test_bit_sliced_groups_equal_brute_force(radius):
     assert (label == want).all()
 
 
+def test_one_block_of_two():
+    prints = np.array([5, 7], np.uint64)
+    assert S.bucket_groups(prints, np.zeros(2, int), 3).tolist() == [0, 0] and S.bucket_groups(prints[:1], np.zeros(1, int), 3).tolist() == [0]
+
+
 def near_rows():
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(300)]

@@ -132,7 +132,7 @@ def planes_of(prints: np.ndarray, block: np.ndarray, lane: np.ndarray, n_blocks:
     bits[block, lane] = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     used = np.zeros((n_blocks, LANES), np.uint8)
     used[block, lane] = 1
-    planes = np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view("<u8")[:, :, 0]
+    planes = np.ascontiguousarray(np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]
     return planes, np.packbits(used, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
