@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import SF_MID
+from zonelake.llm import common as C
 from zonelake.llm import decontam as D
 from zonelake.llm.queries import QUERIES
 
@@ -121,10 +122,13 @@ def test_filter_keeps_clean_rows_and_columns(spark):
 
 def test_bitmap_holds_every_hash(spark):
     hashes = np.random.default_rng(0).integers(-2**63, 2**63, 500)
-    bits = D.bitmap_of(spark.createDataFrame([(int(h),) for h in hashes], "hash long"))
-    at = hashes.astype(np.int64).view(np.uint64) & np.uint64(D.BITMAP_BITS - 1)
-    assert (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all()
-    assert np.unpackbits(bits).sum() == len(np.unique(at))
+    frame = spark.createDataFrame([(int(h),) for h in hashes], "hash long")
+    bits = C.bitmap_bytes(C.bitmap(frame, "hash"))
+    own = hashes.view(np.uint64)
+    assert C.bits_set(bits, own).all() and np.unpackbits(bits).sum() == len(np.unique(own & np.uint64(C.BITMAP_BITS - 1)))
+    other = spark.createDataFrame([(int(h) + 1, "x") for h in hashes], "hash long, part string").union(frame.selectExpr("hash", "'y'"))
+    found = C.maybe_in(other, "hash", C.bitmap(frame, "hash"))
+    assert found.columns == ["hash", "part"] and found.where("part = 'y'").count() == 500 and found.where("part = 'x'").count() < 5
 
 
 def test_query_equals_brute_force(spark):

@@ -8,7 +8,7 @@ documents.  For matches on one diagonal (same shift between item and document) t
 consistent: every item value stands for one and the same document value.  A document is contaminated by an
 item if windows on consistent diagonals cover ``similarity`` or more of the item's windows.
 
-Scale: a document emits only windows whose bit is set in a bitmap of fixed size (``BITMAP_BITS``) built from
+Scale: a document emits only windows whose bit is set in a bitmap of fixed size built from
 the benchmark windows, whatever their number; false positives fall out in the join, nothing is missed.
 Rows are keyed by the SHA-256 of their text, so copies collapse before the join and nothing of the
 documents or the benchmark but that bitmap passes the driver.
@@ -29,11 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm.common import bound_batches, fresh, load, stored, text_or_empty
+from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, fresh, load, stored, text_or_empty
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 2
-BITMAP_BITS = 1 << 25
-SEGMENT_BITS = 32768      # bits of one bitmap of bitmap_construct_agg
 CACHED_WORDS = 300_000
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t ton tons tonne
 tonnes oz lb lbs pound pounds ml cl l liter liters litre litres gallon gallons s sec second seconds min minute
@@ -153,8 +151,7 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFram
                 n = int((t.plain_ok | t.typed_ok).sum())
                 for typed, values, usable in ((False, t.plain, t.plain_ok), (True, t.typed, t.typed_ok)):
                     if wanted is not None:
-                        bit = values & np.uint64(BITMAP_BITS - 1)
-                        usable = usable & (wanted[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 > 0)
+                        usable = usable & bits_set(wanted, values)
                     for p in np.flatnonzero(usable).tolist():
                         source.append(i)
                         total.append(n)
@@ -169,17 +166,6 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFram
     return rows.mapInArrow(cut, f"key {key_type}, n_windows long, {WINDOW_SCHEMA}")
 
 
-def bitmap_of(windows: DataFrame) -> np.ndarray:
-    """Bitmap of the hashes' low bits as bytes: ``BITMAP_BITS`` / 8 bytes, whatever the number of windows."""
-    place = F.col("hash").bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1
-    parts = windows.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")) \
-        .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    out = np.zeros((BITMAP_BITS // SEGMENT_BITS, SEGMENT_BITS // 8), np.uint8)
-    for r in parts:
-        out[r.part - 1] = np.frombuffer(bytes(r.bits), np.uint8)
-    return out.reshape(-1)
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Stored rows (text_sha256, item_ids, containment) of the contaminated texts."""
@@ -190,7 +176,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     own = stored(own.select(F.col("key").alias("row"), "n_windows", F.col("position").alias("item_at"), "hash",
                             F.col("slots").alias("item_slots")), "decontam-windows")
     texts = docs.select(F.sha2(text_or_empty(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = _windows(texts, words, bitmap_of(own)).drop("n_windows").distinct()
+    found = _windows(texts, words, bitmap_bytes(bitmap(own, "hash"))).drop("n_windows").distinct()
     match = found.join(own, "hash").withColumn("shift", F.col("position") - F.col("item_at"))
     match = stored(match.select("key", "row", "n_windows", "shift", "item_at", "item_slots", "slots"), "decontam-matches")
     pairs = match.select("key", "row", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))

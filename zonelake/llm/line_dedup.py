@@ -27,10 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonelake.llm.common import fresh, load, stored
+from zonelake.llm.common import bitmap, fresh, load, maybe_in, stored
 
 MIN_CHARS, NEAR_CHARS = 10, 20
-BITMAP_BITS = 1 << 25
 BLANKS = " \t\r"
 
 
@@ -64,27 +63,11 @@ def shared_halves(distinct: DataFrame, near_chars: int) -> DataFrame:
     return counts.where((F.col("same") > 1) | (F.col("same") > 0) & (F.col("longer") > 0))
 
 
-def _bit_place(key: str) -> Column:
-    return F.col(key).bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1
-
-
-def bitmap(keys: DataFrame) -> DataFrame:
-    """(part, bits): at most ``BITMAP_BITS`` / 32768 rows of 4 KB, whatever the number of keys."""
-    place = keys.select(_bit_place("key").alias("p"))
-    return place.groupBy(F.bitmap_bucket_number("p").alias("part")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-
-
-HAS_BIT = "shiftright(cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int), cast(bit % 8 as int)) & 1 = 1"
-
-
 def candidates(lines: DataFrame, shared: DataFrame) -> DataFrame:
     """Stored distinct lines that share a half with another: cid (in order of place), line, chars and the
     roles in which they can have a partner (same length, the shorter, the longer; by first or last half)."""
     keyed = lines.select("place", "line", "chars", F.explode(_half_keys()).alias("h")).select("place", "line", "chars", "h.*")
-    keyed = keyed.withColumn("part", F.bitmap_bucket_number(_bit_place("key"))) \
-        .withColumn("bit", F.bitmap_bit_position(_bit_place("key")))
-    likely = keyed.join(F.broadcast(bitmap(shared)), "part").where(HAS_BIT).drop("part", "bits", "bit")
+    likely = maybe_in(keyed, "key", bitmap(shared, "key"))
     first = likely.groupBy("line", "chars", "side", "shorter", "key").agg(F.min("place").alias("place"))
     own = first.join(shared, "key")
     roles = {"sub": (F.col("shorter") == 0) & (F.col("same") > 1), "short": (F.col("shorter") == 0) & (F.col("longer") > 0),
