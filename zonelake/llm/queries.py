@@ -8,6 +8,7 @@ from zonelake.llm.langid import op6_language_id
 from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
 from zonelake.llm.simhash import op1_simhash_near_dedup
+from zonelake.llm.suffix_dedup import op8_suffix_dedup
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_line_dedup": op7_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
 }
 
