@@ -7,6 +7,7 @@ from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from zonelake.llm.langid import op6_language_id
 from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
+from zonelake.llm.quotes import OP10_SQL, op10_chat_formatting
 from zonelake.llm.simhash import op1_simhash_near_dedup
 from zonelake.llm.suffix_dedup import op8_suffix_dedup
 from zonelake.llm.token_counts import op4_token_counts
@@ -20,9 +21,11 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op10_chat_formatting": OP10_SQL,
 }
