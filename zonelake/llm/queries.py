@@ -8,6 +8,7 @@ from zonelake.llm.langid import op6_language_id
 from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
 from zonelake.llm.quotes import OP10_SQL, op10_chat_formatting
+from zonelake.llm.secrets import op3_secret_scan
 from zonelake.llm.simhash import op1_simhash_near_dedup
 from zonelake.llm.suffix_dedup import op8_suffix_dedup
 from zonelake.llm.token_counts import op4_token_counts
@@ -15,6 +16,7 @@ from zonelake.llm.token_counts import op4_token_counts
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
