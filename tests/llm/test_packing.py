@@ -23,7 +23,10 @@ def plain():
 def test_cached_encoding_equals_the_tokenizer(plain):
     rnd = random.Random(1)
     alphabet = list("abzAZ  \t\n.,'’!?09éÉßΣΑσ‐́  ẞÅ漢字🙂<|>_") + ["'s", "'LL ", "don't", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    latin = [chr(c) for c in range(0xA1, 0x250)] + list("abcDEF ,.")
     enc = P.WordEncoder(cached_words=50)
+    for text in ("".join(rnd.choices(latin, k=rnd.randint(1, 30))) for _ in range(600)):
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == plain(text), text
     for _ in range(600):
         text = "".join(rnd.choices(alphabet, k=rnd.randint(0, 60)))
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == plain(text), text

@@ -12,7 +12,8 @@
    before it; the rank selects sequence and offset from the plan.  No task sees all pieces of a length.
 
 Encoding is exact: the tokenizer never joins text across ASCII white space and is case-insensitive, so ids
-are kept per lower-cased word in a bounded cache; texts that may hold a special token are encoded whole.
+are kept per lower-cased word in a bounded cache; words of Latin letters, which are one run for the
+tokenizer, go straight to its merge model; texts that may hold a special token are encoded whole.
 
 Defined results: a null text is empty and has the end id only; repeated rows and null ids give pieces of
 their own; an empty table gives an empty result; other input columns are not read.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -35,13 +37,25 @@ from zonelake.llm.common import bound_batches, load, stored
 
 WINDOW, END_ID = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 GRID = 16            # lengths of the short grid that a combination of three may take its third from
 SWEEPS = 25
 
 
 # --- encoding ----------------------------------------------------------------------------
 
+def _byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary writes for each byte: printable Latin-1 bytes stand for
+    themselves, the others take the code points from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    own = set(shown)
+    return [chr(b) if b in own else chr(next(hidden)) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
@@ -56,6 +70,19 @@ class WordEncoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[bytes]):
+        """(word, ids) of lower-cased words."""
+        merge, others = self.tokenizer.model.tokenize, []
+        for w in words:
+            run = w.decode()
+            if not w.isalpha():
+                if not run.isalpha() or max(run) >= "\u0250" or "\u0130" in run:
+                    others.append(w)
+                    continue
+                run = "".join(map(BYTE_LETTERS.__getitem__, run.lower().encode()))
+            yield w, array("I", [t.id for t in merge(run)]).tobytes()
+        yield from zip(others, self._encode([w.decode() for w in others]))
+
     def _learn(self, words: list[bytes]) -> None:
         if len(self.cache) > self.cached_words:
             self.cache.clear()
@@ -64,7 +91,7 @@ class WordEncoder:
             # a final point or comma after a letter is a token run of its own
             stems[w] = (w[:-1], w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w,)
         new = [p for p in {p for parts in stems.values() for p in parts} if p not in cache]
-        cache.update(zip(new, self._encode([p.decode() for p in new])))
+        cache.update(self._words(new))
         for w, parts in stems.items():
             cache[w] = b"".join(cache[p] for p in parts)
 
