@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, fresh, load, stored, text_or_empty
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 2
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t ton tons tonne
 tonnes oz lb lbs pound pounds ml cl l liter liters litre litres gallon gallons s sec second seconds min minute
 minutes h hr hour hours day days week weeks month months year years percent % degree degrees c f k w kw v a hz
@@ -56,15 +56,20 @@ class Vocabulary:
 
     def _learn(self, word: bytes) -> int:
         shown = word.decode()
-        core = re.sub(r"^[\W_]+|[\W_]+$", "", shown)
-        flags = ENDS if shown.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", BREAK.decode())) else 0
-        low = core.lower()
-        if not core:
-            low, flags = ("%", flags | IS_UNIT) if shown == "%" else ("", flags | EMPTY)
-        elif NUMBER.fullmatch(low):
-            flags |= IS_NUM
+        stem = shown[:-1] if shown[-1:] in (".", ",") else shown
+        if stem.isalpha():  # the common case: letters, at most a point or comma behind
+            low = stem.lower()
+            flags = ENDS * (shown[-1] == ".") | IS_UNIT * (low in UNITS) | IS_CAP * (stem[0].isupper() and stem != stem.upper())
         else:
-            flags |= IS_UNIT * (low in UNITS) | IS_CAP * (core[0].isupper() and core != core.upper())
+            core = re.sub(r"^[\W_]+|[\W_]+$", "", shown)
+            flags = ENDS if shown.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", BREAK.decode())) else 0
+            low = core.lower()
+            if not core:
+                low, flags = ("%", flags | IS_UNIT) if shown == "%" else ("", flags | EMPTY)
+            elif NUMBER.fullmatch(low):
+                flags |= IS_NUM
+            else:
+                flags |= IS_UNIT * (low in UNITS) | IS_CAP * (core[0].isupper() and core != core.upper())
         at = len(self.cores)
         if at == len(self.hashes):
             self.hashes, self.flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.flags))
@@ -108,20 +113,24 @@ class Template:
         self.name = ((flags & IS_CAP) > 0) & ~first & ~self.fixed
         plain = vocabulary.hashes[self.at]
         plain[num], plain[unit] = NUM, UNIT
-        typed = np.where(self.name, NAME, plain)
         self.words, self.n = words, max(0, len(plain) - words + 1)
-        # (hash, position, typed?) of the windows with enough literal words; the typed form only where it differs
-        self.plain, self.typed = self._hashes(plain), self._hashes(typed)
-        self.plain_ok = self._sums(~self.fixed) >= LITERALS
-        self.typed_ok = (self._sums(~(self.fixed | self.name)) >= LITERALS) & (self.typed != self.plain)
+        # hashes of the windows, and which have enough literal words; the typed form only where it differs
+        self.plain, self.plain_ok = self._hashes(plain), np.ones(self.n, bool)
+        if self.fixed.any():
+            self.plain_ok = self._sums(~self.fixed) >= LITERALS
+        self.typed, self.typed_ok = self.plain, np.zeros(self.n, bool)
+        if self.name.any():
+            self.typed = self._hashes(np.where(self.name, NAME, plain))
+            self.typed_ok = (self._sums(~(self.fixed | self.name)) >= LITERALS) & (self.typed != self.plain)
 
     def _sums(self, mask: np.ndarray) -> np.ndarray:
         return sum(mask[j:j + self.n].astype(np.int8) for j in range(self.words)) if self.n else np.zeros(0, np.int8)
 
     def _hashes(self, tokens: np.ndarray) -> np.ndarray:
-        h = np.zeros(self.n, np.uint64)
+        h, mixed = np.zeros(self.n, np.uint64), _mixed(tokens)
         for j in range(self.words if self.n else 0):
-            h = (h ^ _mixed(tokens[j:j + self.n])) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= mixed[j:j + self.n]
+            h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
         return h
 
@@ -152,7 +161,7 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFram
                 for typed, values, usable in ((False, t.plain, t.plain_ok), (True, t.typed, t.typed_ok)):
                     if wanted is not None:
                         usable = usable & bits_set(wanted, values)
-                    for p in np.flatnonzero(usable).tolist():
+                    for p in np.flatnonzero(usable).tolist() if usable.any() else ():
                         source.append(i)
                         total.append(n)
                         position.append(p)
