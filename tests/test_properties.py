@@ -120,7 +120,7 @@ def test_salted_join_equals_plain_join(spark, big, small, how, buckets):
     s = spark.createDataFrame(small, "k int, w string") if small else spark.createDataFrame([], "k int, w string")
     def order(t):
         return tuple((x is None, "" if x is None else x) for x in t)
-    got = sorted((tuple(r) for r in salted_join(b, s, ["k"], how, buckets, min_fraction=0.1).collect()), key=order)
+    got = sorted((tuple(r) for r in salted_join(b, s, ["k"], how, buckets).collect()), key=order)
     want = sorted((tuple(r) for r in b.join(s, ["k"], how).collect()), key=order)
     assert got == want
 

@@ -71,3 +71,16 @@ def test_period_summary_and_methods(spark):
                                 (dt.datetime(2024, 3, 1), "card", 5.0)], "ts timestamp, m string, a double")
     assert rows(R.period_summary(df, "ts", "a")) == [(2024, 1, 2, 10.3, 5.15), (2024, 3, 1, 5.0, 5.0)]
     assert rows(R.method_totals(df, "m", "a")) == [("card", 2, 15.1, 7.55), ("cash", 1, 0.2, 0.2)]
+
+
+def test_exact_sums_keep_small_and_large_values(spark):
+    from zonelake.functions.aggregates import exact_mean, exact_sum
+    df = spark.createDataFrame([(0.004, 1e17)] * 1000, "v double, big double")
+    assert rows(df.agg(exact_sum("v"), exact_mean("v"), exact_sum("big"))) == [(4.0, 0.004, 1e20)]
+
+
+def test_pivot_keeps_unlisted_and_null_categories(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), "A", 1.0), (dt.datetime(2024, 1, 2), "NEW", 99.0),
+                                (dt.datetime(2024, 1, 3), None, 0.5)], "ts timestamp, cat string, v double")
+    out = R.monthly_pivot(df, "ts", "cat", "v", ["A", "B"])
+    assert out.columns == ["month_year", "A", "B", "NEW", "null"] and rows(out) == [("2024-01", 1.0, 0.0, 99.0, 0.5)]

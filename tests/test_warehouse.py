@@ -63,3 +63,31 @@ def test_decimal_columns(spark):
     df = spark.createDataFrame([(1.234, "x")], "t double, s string")
     out = W.decimal_columns(df, {"t": "decimal(4,2)"})
     assert str(out.schema["t"].dataType) == "DecimalType(4,2)" and out.first().t == __import__("decimal").Decimal("1.23")
+
+
+def test_null_keys_are_kept_apart_and_loaded_once(spark, tmp_dir):
+    path = tmp_dir + "/fact"
+    batch = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "id int, v string")
+    assert [W.append_new_rows(path, batch, ["id"]) for _ in range(3)] == [3, 0, 0]
+    assert sorted(rows(spark.read.parquet(path)), key=str) == [(1, "c"), (None, "a"), (None, "b")]
+
+
+def test_an_unreadable_table_is_not_a_first_load(spark, tmp_dir):
+    import os
+    import pytest
+    path = tmp_dir + "/fact"
+    os.makedirs(path)
+    with open(path + "/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    batch = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(Exception):
+        W.append_new_rows(path, batch, ["id"])
+    assert os.listdir(path) == ["part-0.parquet"]
+
+
+def test_salted_join_spreads_equal_rows(spark):
+    from zonelake.operators.joins import hot_keys, salted_join
+    big = spark.range(10_000).select(F.lit(7).alias("k")).union(spark.range(200).select(F.col("id").cast("int").alias("k")))
+    assert rows(hot_keys(big, ["k"], 8)) == [(7, 8)]
+    small = spark.createDataFrame([(7, "x"), (8, "y")], "k int, w string")
+    assert salted_join(big, small, ["k"], "inner", 8).count() == 10_002

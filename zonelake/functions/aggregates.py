@@ -14,15 +14,22 @@ from pyspark.sql import functions as F
 from zonelake.functions.scalar import ColumnOrName, _col
 
 
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Sum as ``DECIMAL(18, scale)`` (exact), returned as double."""
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+EXACT = "decimal(38,10)"
 
 
-def exact_mean(c: ColumnOrName, scale: int = 2) -> Column:
+def exact(c: ColumnOrName) -> Column:
+    """The value as ``EXACT``: ten decimals, 28 digits before the point (larger values are an error)."""
+    return _col(c).cast(EXACT)
+
+
+def exact_sum(c: ColumnOrName) -> Column:
+    """Exact decimal sum, returned as double."""
+    return F.sum(exact(c)).cast("double")
+
+
+def exact_mean(c: ColumnOrName) -> Column:
     """Mean computed from the exact decimal sum and the non-null count."""
-    col = _col(c)
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double") / F.count(col)
+    return exact_sum(c) / F.count(_col(c))
 
 
 def rounded_mean(c: ColumnOrName, digits: int = 1) -> Column:

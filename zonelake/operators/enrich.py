@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -12,42 +11,37 @@ from zonelake.functions.aggregates import exact_mean, sum_or_zero
 from zonelake.functions.scalar import ordinal, row_argmax, time_of_day, weekday_name
 from zonelake.operators.dedup import dedup_keep_first
 from zonelake.operators.joins import salted_join
-from zonelake.session import cut_lineage
+from zonelake.session import stored_table
 
 
 def left_enrich(df: DataFrame, info: DataFrame, keys: Sequence[str],
-                info_order: Sequence[str] | None = None, salt_buckets: int = 16,
-                hot_fraction: float = 0.01) -> DataFrame:
+                info_order: Sequence[str] | None = None) -> DataFrame:
     """``df`` left-joined with reference ``info`` on ``keys``.
 
     ``info`` is first reduced to one row per key (keep-first), so a duplicated
     reference key cannot fan rows out.  Null keys stay unmatched (SQL equality).
-    Keys of ``df`` holding more than ``hot_fraction`` of its rows are salted over
-    ``salt_buckets`` tasks (the reference rows of those keys are replicated), because
-    the aggregation on the reference side keeps AQE from splitting a skewed join by
-    itself.  The reference side is still broadcast when its measured size is small.
+    Keys of ``df`` that hold more than an even share of its rows are spread over several
+    tasks (the reference rows of those keys are replicated), because the aggregation on
+    the reference side keeps AQE from splitting a skewed join by itself.  The reference side is still broadcast when its measured size is small.
     """
-    ref = dedup_keep_first(info, keys, info_order)
-    if salt_buckets and salt_buckets > 1:
-        return salted_join(df, ref, keys, "left", salt_buckets, hot_fraction)
-    return df.join(ref, list(keys), "left")
+    return salted_join(df, dedup_keep_first(info, keys, info_order), keys, "left")
 
 
 def hourly_profile(df: DataFrame, ts_col: str, sum_cols: Sequence[str], mean_cols: Sequence[str] = (),
                    level_col: str | None = None, level_map: Mapping[str, int] | None = None,
                    bucket: str = "time", out_col: str = "hora", level_out: str | None = None,
-                   mean_scale: int | None = None) -> DataFrame:
+                   exact_means: bool = False) -> DataFrame:
     """Group by time of day: sums of count columns, means of measures and of an ordinal level.
 
     ``bucket="time"`` groups by the full ``HH:mm:ss``; ``"hour"`` truncates to the hour
     first.  Rows whose time is null are dropped; an all-null sum is 0; means skip nulls.
-    With ``mean_scale`` the means are taken from an exact decimal sum at that scale.
+    With ``exact_means`` the means are taken from an exact decimal sum.
     Result ordered by time ascending.
     """
     ts = F.col(ts_col)
     key = time_of_day(F.date_trunc("hour", ts) if bucket == "hour" else ts)
     aggs = [sum_or_zero(c).alias(c) for c in sum_cols]
-    aggs += [(exact_mean(c, mean_scale) if mean_scale is not None else F.avg(c)).alias(c) for c in mean_cols]
+    aggs += [(exact_mean(c) if exact_means else F.avg(c)).alias(c) for c in mean_cols]
     if level_col:
         aggs.append(F.avg(ordinal(level_col, level_map or {})).alias(level_out or level_col))
     return (df.where(ts.isNotNull()).groupBy(key.alias(out_col)).agg(*aggs)
@@ -82,89 +76,111 @@ def drop_lenient(df: DataFrame, *cols: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # Nearest reference point (k = 1, Euclidean distance in the coordinate units).
 #
-# Exact multi-level grid join instead of a points x references product.  At level l the
-# plane is cut into square cells of side s_l; a point is joined (equi-join on the cell id)
-# with the references of its own and the 8 neighbouring cells.  Every reference outside
-# that 3x3 block is at least s_l away, so a best candidate closer than s_l is the true
-# nearest one.  Points not settled at level l go to level l+1 with cells twice as large;
-# at the last level one cell spans the whole extent and every point is settled.  Ties go
-# to the lowest reference id.  Points with a null coordinate get no reference.
+# Exact search down a grid hierarchy instead of a points x references product.  References
+# that share a place count once (lowest id).  A cell with more than LEAF_REFS places is cut
+# into four, level by level; only crowded cells go deeper.  Each point carries the few cells
+# that may hold its nearest reference: a cell goes as soon as the least distance to its
+# bounding box exceeds the least of the farthest distances to the boxes the point has seen
+# (some reference is at least that near).  What is left at the end are leaves, and only
+# their references are compared.  Ties go to the lowest reference id.  Points with a null,
+# NaN or infinite coordinate get no reference.
 # ---------------------------------------------------------------------------------------
 
-_NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+LEAF_REFS = 64
+DEEPEST = 40  # cells are then 2**-40 of the extent wide
+
+
+def _finite(c: str):
+    return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+
+
+def _grid(refs: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Cells per level (level, gx, gy, box, leaf) and the references with their leaf (level, gx, gy)."""
+    minx, maxx, miny, maxy = refs.agg(F.min("_rx"), F.max("_rx"), F.min("_ry"), F.max("_ry")).first()
+    if minx is None:
+        return [], None
+    extent = max(maxx - minx, maxy - miny)
+
+    def place(c: str, least: float):
+        unit = (F.col(c) - F.lit(least)) / F.lit(extent) if extent else F.lit(0.0)
+        return F.least(F.floor(unit * F.lit(float(2 ** DEEPEST))), F.lit(2 ** DEEPEST - 1)).cast("long")
+
+    open_ = stored_table(refs.select("*", place("_rx", minx).alias("_ix"), place("_ry", miny).alias("_iy")), "grid-places")
+    levels, leaves = [], None
+    for level in range(DEEPEST + 1):
+        at = open_.select("*", F.shiftright("_ix", DEEPEST - level).alias("_gx"), F.shiftright("_iy", DEEPEST - level).alias("_gy"))
+        cells = at.groupBy("_gx", "_gy").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_rx").alias("_x0"), F.max("_rx").alias("_x1"),
+            F.min("_ry").alias("_y0"), F.max("_ry").alias("_y1"))
+        cells = stored_table(cells.withColumn("_leaf", (F.col("_n") <= LEAF_REFS) | F.lit(level == DEEPEST)), "grid-cells")
+        levels.append(cells)
+        marked = stored_table(at.join(cells.select("_gx", "_gy", "_leaf"), ["_gx", "_gy"]), "grid-places")
+        done = marked.where("_leaf").select(F.lit(level).alias("_level"), "_gx", "_gy", "_rid", "_rx", "_ry")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        if cells.where("not _leaf").isEmpty():
+            return levels, leaves
+        open_ = marked.where("not _leaf").drop("_gx", "_gy", "_leaf")
+    return levels, leaves
+
+
+def _square_distance(near: bool):
+    """Squared distance of the point to the nearest or farthest place of the box."""
+    def side(p: str, low: str, high: str):
+        if near:
+            return F.greatest(F.col(low) - F.col(p), F.col(p) - F.col(high), F.lit(0.0))
+        return F.greatest(F.abs(F.col(p) - F.col(low)), F.abs(F.col(p) - F.col(high)))
+    dx, dy = side("_px", "_x0", "_x1"), side("_py", "_y0", "_y1")
+    return dx * dx + dy * dy
 
 
 def nearest_reference(points: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str,
-                      ref_x: str, ref_y: str, out_col: str = "nearest_id",
-                      finest_cells_per_ref: float = 4.0, max_refs_per_cell: int = 64) -> DataFrame:
-    """Distinct (x, y) of ``points`` with the id of the nearest row of ``refs``.
+                      ref_x: str, ref_y: str, out_col: str = "nearest_id") -> DataFrame:
+    """Distinct finite (x, y) of ``points`` with the id of the nearest row of ``refs``.
 
     Returns columns ``x, y, out_col, _d2`` (squared distance).  Join the result back to
-    the full point table on (x, y): every distinct location is searched once.  The
-    finest cells hold at most ``max_refs_per_cell`` references (unless they share a location).  Each
-    level's outcome is checkpointed, so a level is computed once and the plan of the
-    next level starts from stored rows.
+    the full point table on (x, y): every distinct location is searched once.
     """
     pts = points.select(F.col(x).cast("double").alias("_px"), F.col(y).cast("double").alias("_py")) \
-        .where(F.col("_px").isNotNull() & F.col("_py").isNotNull()).distinct()
+        .where(_finite("_px") & _finite("_py")).distinct()
     rf = refs.select(F.col(ref_id).alias("_rid"), F.col(ref_x).cast("double").alias("_rx"),
                      F.col(ref_y).cast("double").alias("_ry")) \
-        .where(F.col("_rx").isNotNull() & F.col("_ry").isNotNull())
-
-    # One job, one row: joint extent of both sides and the reference count.
-    both = pts.select("_px", "_py", F.lit(0).alias("_isref")).unionByName(
-        rf.select(F.col("_rx").alias("_px"), F.col("_ry").alias("_py"), F.lit(1).alias("_isref")))
-    ext = both.agg(F.min("_px"), F.max("_px"), F.min("_py"), F.max("_py"), F.sum("_isref"),
-                   F.count(F.lit(1))).first()
-    minx, maxx, miny, maxy, n_refs, n_all = ext
-    if not n_refs or n_all == n_refs:
+        .where(_finite("_rx") & _finite("_ry")).groupBy("_rx", "_ry").agg(F.min("_rid").alias("_rid"))
+    levels, leaves = _grid(rf)
+    if not levels:
         return pts.select(F.col("_px").alias(x), F.col("_py").alias(y),
                           F.lit(None).cast(refs.schema[ref_id].dataType).alias(out_col),
                           F.lit(None).cast("double").alias("_d2"))
-    extent = max(maxx - minx, maxy - miny, 1e-12)
-    cells_across = max(1.0, math.sqrt(n_refs * finest_cells_per_ref))
-    levels = max(1, math.ceil(math.log2(cells_across)) + 1)
-    side = extent / (2 ** (levels - 1))
-    # Densely packed references: refine the finest level until no cell holds more than
-    # ``max_refs_per_cell`` of them (one small aggregate over the reference side per step),
-    # so points in a dense spot get few candidates.  Identical locations cannot be split: stop
-    # after a bounded number of halvings.
-    for _ in range(16):
-        occupancy = rf.groupBy(F.floor((F.col("_rx") - F.lit(minx)) / F.lit(side)),
-                               F.floor((F.col("_ry") - F.lit(miny)) / F.lit(side))).count() \
-            .agg(F.max("count")).first()[0]
-        if occupancy <= max_refs_per_cell:
-            break
-        side /= 2
-        levels += 1
-
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _NEIGHBOURS])
-    d2 = (F.col("_px") - F.col("_rx")) * (F.col("_px") - F.col("_rx")) + \
-         (F.col("_py") - F.col("_ry")) * (F.col("_py") - F.col("_ry"))
-    pending = pts
-    settled: list[DataFrame] = []
-    for level in range(levels):
-        last = level == levels - 1
-        cell = lambda c, o: F.floor((F.col(c) - F.lit(o)) / F.lit(side))
-        p = pending.select("_px", "_py", F.explode(offsets).alias("_o")) \
-            .select("_px", "_py", (cell("_px", minx) + F.col("_o.dx")).alias("_cx"),
-                    (cell("_py", miny) + F.col("_o.dy")).alias("_cy"))
-        r = rf.select("_rid", "_rx", "_ry", cell("_rx", minx).alias("_cx"), cell("_ry", miny).alias("_cy"))
-        cand = p.join(r, ["_cx", "_cy"], "left")
-        best = cand.groupBy("_px", "_py").agg(
-            F.min(F.when(F.col("_rid").isNotNull(), F.struct(d2.alias("_d2"), F.col("_rid")))).alias("_b")) \
-            .select("_px", "_py", "_b._rid", "_b._d2")
-        if last:
-            settled.append(best)
-            break
-        best = cut_lineage(best.withColumn("_ok", F.col("_d2") < F.lit(side * side)))
-        settled.append(best.where(F.col("_ok")).drop("_ok"))
-        pending = best.where(~F.coalesce(F.col("_ok"), F.lit(False))).select("_px", "_py")
-        side *= 2
-    out = settled[0]
-    for s in settled[1:]:
-        out = out.unionByName(s)
-    return out.select(F.col("_px").alias(x), F.col("_py").alias(y), F.col("_rid").alias(out_col), F.col("_d2"))
+    # one row per point: the best bound so far, the leaves kept and the crowded cells to go into
+    cell = "struct<lo: double, level: int, gx: bigint, gy: bigint, leaf: boolean>"
+    state = pts.select("_px", "_py", F.lit(float("inf")).alias("_bound"), F.expr(f"cast(array() as array<{cell}>)").alias("_kept"),
+                       F.expr("array(named_struct('gx', 0L, 'gy', 0L))").alias("_into"))
+    for level, cells in enumerate(levels):
+        if level == 0:
+            boxes = cells.select(F.col("_gx").alias("_ux"), F.col("_gy").alias("_uy"), "*")
+        else:
+            boxes = cells.select(F.shiftright("_gx", 1).alias("_ux"), F.shiftright("_gy", 1).alias("_uy"), "*")
+        if level <= 5:
+            boxes = F.broadcast(boxes)  # 4 ** 5 cells at most
+        going = state.select("_px", "_py", F.explode("_into").alias("_u")) \
+            .select("_px", "_py", F.col("_u.gx").alias("_ux"), F.col("_u.gy").alias("_uy"))
+        seen = going.join(boxes, ["_ux", "_uy"]).groupBy("_px", "_py").agg(
+            F.min(_square_distance(near=False)).alias("_far"),
+            F.collect_list(F.struct(_square_distance(near=True).alias("lo"), F.lit(level).alias("level"), F.col("_gx").alias("gx"),
+                                    F.col("_gy").alias("gy"), F.col("_leaf").alias("leaf"))).alias("_new"))
+        state = state.drop("_into").join(seen, ["_px", "_py"], "left") \
+            .withColumn("_bound", F.least("_bound", F.coalesce("_far", F.lit(float("inf"))))) \
+            .withColumn("_all", F.filter(F.concat("_kept", F.coalesce("_new", F.expr(f"cast(array() as array<{cell}>)"))),
+                                         lambda c: c["lo"] <= F.col("_bound"))) \
+            .select("_px", "_py", "_bound", F.filter("_all", lambda c: c["leaf"]).alias("_kept"),
+                    F.transform(F.filter("_all", lambda c: ~c["leaf"]), lambda c: F.struct(c["gx"].alias("gx"), c["gy"].alias("gy"))).alias("_into"))
+        if level % 4 == 3:
+            state = stored_table(state, "grid-search")
+    dx, dy = F.col("_px") - F.col("_rx"), F.col("_py") - F.col("_ry")
+    best = state.select("_px", "_py", F.explode("_kept").alias("_c")) \
+        .select("_px", "_py", F.col("_c.level").alias("_level"), F.col("_c.gx").alias("_gx"), F.col("_c.gy").alias("_gy")) \
+        .join(leaves, ["_level", "_gx", "_gy"]).groupBy("_px", "_py") \
+        .agg(F.min(F.struct((dx * dx + dy * dy).alias("_d2"), F.col("_rid"))).alias("_b"))
+    return best.select(F.col("_px").alias(x), F.col("_py").alias(y), F.col("_b._rid").alias(out_col), F.col("_b._d2").alias("_d2"))
 
 
 def assign_nearest(df: DataFrame, refs: DataFrame, x: str, y: str, ref_id: str, ref_x: str, ref_y: str,

@@ -7,6 +7,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,7 @@ def _bucketed_table(spark: SparkSession, name: str) -> str:
     return f"zl_{name}_{uuid.uuid4().hex}"
 
 
-def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> DataFrame:
+def lineage_trace(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """All ancestors of every start node, with the hop count at which each is first reached.
 
     ``edges``: src_bucket, src_object, dst_bucket, dst_object.  ``starts``: bucket, object.
@@ -87,7 +88,7 @@ def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> D
       newest depth.
 
     Only the new frontier moves between tasks, so the work per hop follows the size of
-    that hop.  The walk stops when a hop is empty or after ``max_depth`` hops.
+    that hop.  The walk goes on until a hop is empty, however long the chains are.
     Output: start_bucket, start_object, bucket, object, depth (1 = direct source).
     """
     spark = edges.sparkSession
@@ -103,7 +104,7 @@ def lineage_trace(edges: DataFrame, starts: DataFrame, max_depth: int = 64) -> D
     start_rows.write.partitionBy("depth").bucketBy(n, *key).option("path", seen_path).saveAsTable(seen_table)
     try:
         e = spark.table(edge_table)
-        for depth in range(1, max_depth + 1):
+        for depth in count(1):
             frontier = spark.table(seen_table).where(F.col("depth") == depth - 1)
             step = (frontier.join(e, (frontier["bucket"] == e["dst_bucket"]) &
                                   (frontier["object"] == e["dst_object"]))

@@ -4,39 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_fraction: float) -> DataFrame:
-    """Keys holding more than ``min_fraction`` of the rows (at most ``1 / min_fraction`` of them).
+def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Keys with more rows than an even share per task, and ``_buckets``: the even shares they hold.
 
-    Counted with map-side partial aggregation; the result is bounded by construction,
-    so it is safe to broadcast.
+    One pass, pre-aggregated map-side: the ``tasks`` largest keys (no more can exceed an even
+    share) and, observed on the way, the number of rows.  At most ``tasks`` rows come back, so
+    the result is safe to broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_n") > total * F.lit(min_fraction)).select(*keys)
+    spark = df.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = Observation()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(total, F.sum("_n").alias("n"))
+    largest = counts.orderBy(F.col("_n").desc()).limit(tasks).collect()
+    share = max(1.0, (total.get["n"] or 0) / tasks)
+    rows = [(*r[:-1], -int(-r["_n"] // share)) for r in largest if r["_n"] > share and None not in r[:-1]]
+    schema = T.StructType([*(T.StructField(k, df.schema[k].dataType) for k in keys), T.StructField("_buckets", T.IntegerType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                buckets: int = 16, min_fraction: float = 0.01) -> DataFrame:
-    """``big`` joined with ``small`` on ``keys`` (``inner`` or ``left``), hot keys spread over ``buckets``.
+                tasks: int | None = None) -> DataFrame:
+    """``big`` joined with ``small`` on ``keys`` (``inner`` or ``left``), hot keys spread over several tasks.
 
-    Rows of ``big`` whose key is hot get a salt from a hash of the whole row; the rows of
-    ``small`` for those keys are replicated once per salt value (``explode``), every other
-    key keeps salt 0 on both sides.  Each hot key is thus split over ``buckets`` tasks,
-    while ``small`` grows only by (hot keys x buckets) rows.  Null keys never match.
+    Rows of ``big`` with a hot key are dealt by their position to as many buckets as the key
+    holds even shares of the rows; the rows of ``small`` for those keys are replicated once per
+    bucket, every other key keeps bucket 0 on both sides.  Equal rows are spread like any
+    others, and ``small`` grows by one row per bucket only.  Null keys never match.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, min_fraction).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(big, keys, tasks))
     b = big.join(hot, keys, "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(buckets))) \
-        .otherwise(F.lit(0)).cast("int")
-    b = b.withColumn("_salt", salt).drop("_hot")
+    salt = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_buckets")), F.lit(0)).cast("int")
+    b = b.withColumn("_salt", salt).drop("_buckets")
     s = small.join(hot, keys, "left")
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    s = s.withColumn("_salt", F.explode(spread)).drop("_hot")
+    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_buckets", F.lit(1)) - 1))).drop("_buckets")
     return b.join(s, keys + ["_salt"], how).drop("_salt")

@@ -1,7 +1,7 @@
 """Reporting operators: route rankings, per-group statistics, shares, segments, pivots.
 
-Shares of a grand total join a one-row total (broadcast; exactly one row), never an
-unpartitioned window over the detail rows.  Rankings aggregate on the keys first and
+Shares of a grand total are a window over the grouped rows (one row per group), never
+over the detail rows.  Rankings aggregate on the keys first and
 only then build labels, so the shuffle carries groups, not detail rows.
 """
 
@@ -12,19 +12,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonelake.functions.aggregates import exact_mean, exact_sum, rounded_mean
+from zonelake.functions.aggregates import exact, exact_mean, exact_sum, rounded_mean
 from zonelake.functions.scalar import ratio, route_label
 
 
-def with_share_of_total(df: DataFrame, shares: Mapping[str, str], scale: int = 2) -> DataFrame:
+def with_share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
     """Add ``out = 100 * col / sum(col)`` for each ``out -> col`` of ``shares``.
 
-    Each total is a scalar subquery (summed as decimals at ``scale``, so exact): it
-    is computed once and inlined into the projection, with no join at all.
+    ``df`` is a small aggregate: the totals are a window over its few grouped rows, so
+    the detail rows below it are read and aggregated once.
     """
     cols = [F.col(c) for c in df.columns]
     for out, c in shares.items():
-        total = df.select(F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double")).scalar()
+        total = F.sum(exact(c)).over(Window.partitionBy()).cast("double")
         cols.append((F.try_divide(F.col(c).cast("double"), total) * F.lit(100.0)).alias(out))
     return df.select(*cols)
 
@@ -149,7 +149,7 @@ def two_level_segmentation(customers: DataFrame, transactions: DataFrame, cust_k
     """
     per_key = transactions.groupBy(F.col(tx_key).alias("_ck")).agg(
         F.count(tx_id).alias("transaction_count"),
-        F.sum(F.col(amount).cast("decimal(18,2)")).alias("total_spend"))
+        F.sum(exact(amount)).alias("total_spend"))
     per_customer = customers.join(per_key, customers[cust_key] == per_key["_ck"]) \
         .select(cust_key, region, segment, "transaction_count", "total_spend")
     return (per_customer.groupBy(region, segment)
@@ -167,28 +167,37 @@ def period_summary(df: DataFrame, ts: str, amount: str) -> DataFrame:
             .orderBy("year", "month"))
 
 
-def monthly_pivot(df: DataFrame, ts: str, category: str, value: str, categories: Sequence[str],
+def _pivot_sum(df: DataFrame, month_col: str, category: str, value: str, always: Sequence[str]) -> DataFrame:
+    """Month x category sums of exact values, empty cells 0.
+
+    The columns are ``always`` and every category found in the data (a null one is named ``null``), so
+    the cells of a month add up to its total whatever categories turn up.
+    """
+    named = df.withColumn(category, F.coalesce(F.col(category).cast("string"), F.lit("null")))
+    found = [r[0] for r in named.select(category).distinct().orderBy(category).collect()]  # one per output column
+    columns = [*always, *(c for c in found if c not in set(always))]
+    out = named.groupBy(month_col).pivot(category, columns).agg(F.sum(value).cast("double"))
+    return out.na.fill(0.0, subset=columns).orderBy(month_col)
+
+
+def monthly_pivot(df: DataFrame, ts: str, category: str, value: str, categories: Sequence[str] = (),
                   month_col: str = "month_year") -> DataFrame:
-    """Month x category sums, one column per category, empty cells 0.
+    """Month x category sums, one column per listed category and per further one in the data, empty cells 0.
 
-    The category list is passed in, so no extra job collects the distinct values.
     Duplicate (month, category) cells are summed.
     """
-    out = (df.groupBy(F.date_format(ts, "yyyy-MM").alias(month_col))
-           .pivot(category, list(categories))
-           .agg(F.sum(F.col(value).cast("decimal(18,2)")).cast("double")))
-    return out.na.fill(0.0, subset=list(categories)).orderBy(month_col)
+    per = df.groupBy(F.date_format(ts, "yyyy-MM").alias(month_col), F.col(category)).agg(F.sum(exact(value)).alias("_v"))
+    return _pivot_sum(per, month_col, category, "_v", categories)
 
 
 def monthly_pivot_by_key(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str, ts: str, category: str,
-                         value: str, categories: Sequence[str], month_col: str = "month_year") -> DataFrame:
+                         value: str, categories: Sequence[str] = (), month_col: str = "month_year") -> DataFrame:
     """``monthly_pivot`` where the category lives in a dimension: facts are first summed per
     (key, month), so the join carries one row per key and month instead of every fact."""
     per = facts.groupBy(F.col(fact_key).alias("_k"), F.date_format(ts, "yyyy-MM").alias(month_col)) \
-        .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("_v"))
+        .agg(F.sum(exact(value)).alias("_v"))
     j = per.join(dims.select(F.col(dim_key).alias("_k"), F.col(category)), "_k")
-    out = j.groupBy(month_col).pivot(category, list(categories)).agg(F.sum("_v").cast("double"))
-    return out.na.fill(0.0, subset=list(categories)).orderBy(month_col)
+    return _pivot_sum(j, month_col, category, "_v", categories)
 
 
 def density_vs_coverage(areas: DataFrame, area_key: str, left: DataFrame, left_key: str, left_out: str,

@@ -13,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from zonelake.functions.scalar import round_half_up_int
 from zonelake.operators.dedup import dedup_keep_first
-from zonelake.session import cut_lineage, scratch_path
+from zonelake.session import cut_lineage, read_if_there, scratch_path
 
 
 def assign_surrogate_keys(df: DataFrame, keys: Sequence[str], sk_col: str, start: int = 0,
@@ -118,10 +118,25 @@ def insert_if_absent(existing: DataFrame, candidates: DataFrame, keys: Sequence[
     """Rows of ``candidates`` whose key is not in ``existing`` (one per key, keep-first).
 
     ``INSERT ... ON CONFLICT DO NOTHING``: appending the result makes a re-run a no-op.
+    A row with a null in its key has no key: it is kept apart and counts as present only if
+    the very same row is (all columns compared, nulls equal).
     """
     keys = list(keys)
-    fresh = dedup_keep_first(candidates, keys, order_by)
-    return fresh.join(existing.select(*keys).dropDuplicates(), keys, "left_anti")
+    keyed = dedup_keep_first(candidates.where(_has_key(keys)), keys, order_by)
+    keyed = keyed.join(existing.where(_has_key(keys)).select(*keys).dropDuplicates(), keys, "left_anti")
+    loose = candidates.where(~_has_key(keys)).dropDuplicates()
+    return keyed.unionByName(_rows_not_in(loose, existing.where(~_has_key(keys))))
+
+
+def _has_key(keys: Sequence[str]):
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
+def _rows_not_in(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of which ``existing`` holds no equal one (nulls compare equal)."""
+    old = existing.select(*[F.col(f"`{c}`").alias(f"_e{i}") for i, c in enumerate(rows.columns)])
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(old[f"_e{i}"]) for i, c in enumerate(rows.columns)])
+    return rows.join(old, same, "left_anti")
 
 
 def incremental_merge(existing: DataFrame, candidates: DataFrame, keys: Sequence[str],
@@ -131,26 +146,23 @@ def incremental_merge(existing: DataFrame, candidates: DataFrame, keys: Sequence
 
 
 def append_new_rows(table_path: str, candidates: DataFrame, keys: Sequence[str],
-                    order_by: Sequence[str] | None = None) -> int:
+                    order_by: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> int:
     """Append to the Parquet table at ``table_path`` only rows whose key is absent.
 
     The new rows are computed against the current table and written with
     ``mode("append")`` (new files only; the files being read are never overwritten).
     Returns the number of rows appended.
     """
-    spark = candidates.sparkSession
-    try:
-        existing = spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - first load: table does not exist yet
-        existing = None
-    new_rows = candidates if existing is None else insert_if_absent(existing, candidates, keys, order_by)
+    existing = read_if_there(candidates.sparkSession, table_path)
     if existing is None:
-        new_rows = dedup_keep_first(candidates, list(keys), order_by)
-    new_rows = cut_lineage(new_rows)
-    n = new_rows.count()
-    if n:
-        new_rows.write.mode("append").parquet(table_path)
-    return n
+        existing = candidates.limit(0)
+    new_rows = cut_lineage(insert_if_absent(existing, candidates, keys, order_by))
+    if new_rows.isEmpty():
+        return 0
+    added = Observation()
+    writer = new_rows.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(table_path)
+    return added.get["n"]
 
 
 def decimal_columns(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:

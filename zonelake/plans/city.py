@@ -18,8 +18,9 @@ from zonelake import schemas
 from zonelake.operators import enrich, reports, warehouse
 from zonelake.operators.clean import CITY_SPECS, clean_and_check
 from zonelake.operators.governance import LINEAGE_SCHEMA
+from zonelake.session import read_if_there
 from zonelake.sources.binary import file_manifest
-from zonelake.sources.io import publish, read_dataset
+from zonelake.sources.io import publish, read_dataset, utc
 from zonelake.sources.sqldump import read_sql_dump
 
 # Ordinal of the congestion levels, vehicle count columns, star-schema decimal types.
@@ -91,7 +92,7 @@ def clean_zone(spark: SparkSession, raw: Mapping[str, str], root: str,
     independently: a source that cannot be read or cleaned is recorded in
     ``failures`` (when given) and the others are still processed.
     """
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = utc(now)
     frames, failed = _read_sources(spark, raw)
     typed = _typed_casts()
     out, checks, lineage, metas = {}, [], [], []
@@ -137,7 +138,7 @@ def _typed_casts() -> dict[str, dict]:
 def access_zone(spark: SparkSession, clean: Mapping[str, str], root: str,
                 now: _dt.datetime | None = None) -> dict[str, str]:
     """Hourly congestion profile, trip publish, parking with weekday and nearest district."""
-    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = utc(now)
     out, lineage = {}, []
     gov = zone(root, "govern-zone-metadata")
     if "traffic" in clean:
@@ -173,10 +174,7 @@ def load_warehouse(spark: SparkSession, access: Mapping[str, str], clean: Mappin
                                       "dim_distrito", "fact_parking_ocupacion")}
 
     def existing(name):
-        try:
-            return spark.read.parquet(paths[name])
-        except Exception:  # noqa: BLE001 - first load
-            return None
+        return read_if_there(spark, paths[name])
 
     counts = {}
     if "trips" in access:
@@ -211,7 +209,7 @@ def load_warehouse(spark: SparkSession, access: Mapping[str, str], clean: Mappin
                           F.col("porcentaje_ocupacion").cast("decimal(5,2)").alias("porcentaje_ocupacion"),
                           "distrito_id")
         counts["fact_parking_ocupacion"] = warehouse.append_new_rows(
-            paths["fact_parking_ocupacion"], fact_p, ["aparcamiento_id", "fecha", "hora"])
+            paths["fact_parking_ocupacion"], fact_p, ["aparcamiento_id", "fecha", "hora"], partition_by=["fecha"])
     if "districts" in clean:
         d = spark.read.parquet(clean["districts"])
         dim_d = warehouse.decimal_columns(
@@ -227,15 +225,19 @@ def trip_reports(spark: SparkSession, warehouse_paths: Mapping[str, str]) -> dic
     f = spark.read.parquet(warehouse_paths["fact_viaje"])
     u = spark.read.parquet(warehouse_paths["dim_usuario"])
     s = spark.read.parquet(warehouse_paths["dim_estacion"])
-    # aggregate on the surrogate keys first, then attach the station ids (labels)
-    pairs = f.groupBy("usuario_sk", "origen_sk", "destino_sk").agg(F.count(F.lit(1)).alias("_n"))
     o = s.select(F.col("estacion_sk").alias("origen_sk"), F.col("estacion_id").alias("o"))
     d = s.select(F.col("estacion_sk").alias("destino_sk"), F.col("estacion_id").alias("d"))
-    labelled = pairs.join(o, "origen_sk").join(d, "destino_sk").join(u, "usuario_sk")
     stats = f.join(u, "usuario_sk")
+
+    def routes(trips, *group):
+        # aggregate on the surrogate keys first, then attach the station ids (labels)
+        pairs = trips.groupBy(*group, "origen_sk", "destino_sk").agg(F.count(F.lit(1)).alias("_n"))
+        return pairs.join(o, "origen_sk").join(d, "destino_sk")
+
     return {
-        "top_routes": reports.top_routes(labelled, "o", "d", 10, weight="_n"),
-        "top_routes_by_type": reports.top_routes_by_group(labelled, "tipo_usuario", "o", "d", 10, weight="_n"),
+        "top_routes": reports.top_routes(routes(f), "o", "d", 10, weight="_n"),
+        "top_routes_by_type": reports.top_routes_by_group(routes(stats, "tipo_usuario"), "tipo_usuario", "o", "d", 10,
+                                                          weight="_n"),
         "stats_by_type": reports.group_stats(stats, "tipo_usuario", {
             "duracion_media_segundos": "duracion_segundos", "distancia_media_metros": "distancia_m",
             "calorias_media": "calorias", "co2_evitado_medio_g": "co2_evitado_g"}),

@@ -17,6 +17,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonelake.functions.aggregates import exact
 from zonelake.functions.scalar import round_half_up_int, safe_cast, safe_timestamp, to_bool, weekday_name
 from zonelake.operators import enrich, governance, quality as Q, reports, warehouse
 from zonelake.operators.clean import CleanSpec, clean, clean_and_check
@@ -94,7 +95,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     per = o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total_spend"),
+        F.sum(exact("o_totalprice")).alias("total_spend"),
         F.max("o_orderdate").alias("last_order"))
     j = per.join(c, per.o_custkey == c.c_custkey)
     rfm = F.concat(F.lit("R"), F.when(F.col("last_order") >= F.lit(RFM_RECENT_FROM), "H").otherwise("L"),
@@ -111,7 +112,7 @@ def product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
     per = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("sales_count"),
-                                      F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total_revenue"))
+                                      F.sum(exact("l_extendedprice")).alias("total_revenue"))
     j = per.join(p, per.l_partkey == p.p_partkey)
     return j.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
                     F.col("p_type").alias("category"), "sales_count", "total_revenue",
@@ -124,7 +125,7 @@ def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
                         *[(F.col("event_type") == t).cast("int").alias(f"n_{t}") for t in EVENT_TYPES])
     prof = enrich.hourly_profile(counted, "ts", ["total_events"] + [f"n_{t}" for t in EVENT_TYPES],
                                  mean_cols=["value"], level_col="event_type", level_map=EVENT_LEVELS,
-                                 bucket="hour", out_col="hora", level_out="nivel", mean_scale=2)
+                                 bucket="hour", out_col="hora", level_out="nivel", exact_means=True)
     return prof
 
 
@@ -480,7 +481,7 @@ def conversation_lineage(spark, sf_dir):
 
 def q_lineage_trace(spark, sf_dir):
     edges, starts = conversation_lineage(spark, sf_dir)
-    return governance.lineage_trace(edges, starts, max_depth=64)
+    return governance.lineage_trace(edges, starts)
 
 
 def _profiles(spark, sf_dir):

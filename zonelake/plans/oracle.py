@@ -12,7 +12,7 @@ _PROFILE = """
 SELECT strftime(date_trunc('hour', ts), '%H:%M:%S') AS hora,
        CAST(COUNT(*) AS BIGINT) AS total_events,
        {type_sums},
-       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS value,
+       CAST(SUM(CAST(value AS DECIMAL(38,4))) AS DOUBLE) / COUNT(value) AS value,
        AVG(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
                            WHEN 'purchase' THEN 4 END) AS nivel
 FROM events WHERE ts IS NOT NULL GROUP BY 1
@@ -53,7 +53,7 @@ cs AS (
          p.total_spend, CAST(p.total_spend AS DOUBLE) / p.transaction_count AS average_spend,
          p.transaction_count
   FROM (SELECT o_custkey, CAST(COUNT(*) AS BIGINT) AS transaction_count,
-               SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total_spend, MAX(o_orderdate) AS last_order
+               SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS total_spend, MAX(o_orderdate) AS last_order
         FROM orders GROUP BY o_custkey) p
   JOIN customer c ON p.o_custkey = c.c_custkey
 )"""
@@ -63,7 +63,7 @@ pp AS (
   SELECT p.p_partkey AS product_id, p.p_name AS product_name, p.p_type AS category,
          x.sales_count, x.total_revenue, CAST(x.total_revenue AS DOUBLE) / x.sales_count AS average_price
   FROM (SELECT l_partkey, CAST(COUNT(*) AS BIGINT) AS sales_count,
-               SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total_revenue
+               SUM(CAST(l_extendedprice AS DECIMAL(38,4))) AS total_revenue
         FROM lineitem GROUP BY l_partkey) x
   JOIN part p ON x.l_partkey = p.p_partkey
 )"""
@@ -73,8 +73,8 @@ sv AS (
   SELECT customer_segment, customer_count, total_revenue, avg_customer_value, avg_transactions,
          total_revenue / (customer_count * avg_transactions) AS avg_transaction_value
   FROM (SELECT customer_segment, CAST(COUNT(customer_id) AS BIGINT) AS customer_count,
-               CAST(SUM(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-               CAST(SUM(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) / COUNT(total_spend) AS avg_customer_value,
+               CAST(SUM(CAST(total_spend AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue,
+               CAST(SUM(CAST(total_spend AS DECIMAL(38,4))) AS DOUBLE) / COUNT(total_spend) AS avg_customer_value,
                AVG(transaction_count) AS avg_transactions
         FROM cs GROUP BY customer_segment)
 )"""
@@ -85,7 +85,7 @@ ce AS (
          total_revenue / CAST(product_count AS DOUBLE) AS revenue_per_product,
          CAST(total_sales AS DOUBLE) / CAST(product_count AS DOUBLE) AS sales_per_product
   FROM (SELECT category, CAST(SUM(sales_count) AS BIGINT) AS total_sales,
-               CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+               CAST(SUM(CAST(total_revenue AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue,
                CAST(COUNT(product_id) AS BIGINT) AS product_count
         FROM pp GROUP BY category)
 )"""
@@ -162,8 +162,8 @@ SELECT hora, nivel, total_events, {_ARGMAX} AS tipo_predominante
 FROM ({_PROFILE}) ORDER BY nivel DESC NULLS LAST, hora LIMIT 5""",
     "weekday_profile": """
 SELECT dayname(o_orderdate) AS dia_semana, CAST(COUNT(*) AS BIGINT) AS transaction_count,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS average_sale
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS total_sales,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) / COUNT(o_totalprice) AS average_sale
 FROM orders GROUP BY 1""",
     "safe_casts": """
 SELECT c_custkey, TRY_CAST(substr(c_name, 10) AS BIGINT) AS name_number,
@@ -292,25 +292,25 @@ FROM trips GROUP BY tipo_usuario""",
     "segment_share": f"""
 WITH {_CUSTOMER_SUMMARY},
 seg AS (SELECT customer_segment, CAST(COUNT(customer_id) AS BIGINT) AS customer_count,
-               CAST(SUM(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) AS total_spend,
+               CAST(SUM(CAST(total_spend AS DECIMAL(38,4))) AS DOUBLE) AS total_spend,
                CAST(ROUND(CAST(AVG(average_spend) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_spend,
                CAST(SUM(transaction_count) AS BIGINT) AS transaction_count
         FROM cs GROUP BY customer_segment)
-SELECT *, CAST(customer_count AS DOUBLE) / (SELECT CAST(SUM(CAST(customer_count AS DECIMAL(38,2))) AS DOUBLE) FROM seg) * CAST(100 AS DOUBLE)
+SELECT *, CAST(customer_count AS DOUBLE) / (SELECT CAST(SUM(CAST(customer_count AS DECIMAL(38,4))) AS DOUBLE) FROM seg) * CAST(100 AS DOUBLE)
             AS percent_of_customers,
-          total_spend / (SELECT CAST(SUM(CAST(total_spend AS DECIMAL(38,2))) AS DOUBLE) FROM seg) * CAST(100 AS DOUBLE) AS percent_of_revenue
+          total_spend / (SELECT CAST(SUM(CAST(total_spend AS DECIMAL(38,4))) AS DOUBLE) FROM seg) * CAST(100 AS DOUBLE) AS percent_of_revenue
 FROM seg""",
     "segment_value": f"WITH {_CUSTOMER_SUMMARY}, {_SEGMENT_VALUE} SELECT * FROM sv",
     "category_efficiency": f"WITH {_PRODUCT_PERF}, {_CATEGORY_EFF} SELECT * FROM ce",
     "rfm_top5": f"""
 WITH {_CUSTOMER_SUMMARY},
 r AS (SELECT rfm_segment, CAST(COUNT(customer_id) AS BIGINT) AS customer_count,
-             CAST(SUM(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+             CAST(SUM(CAST(total_spend AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue,
              CAST(SUM(transaction_count) AS BIGINT) AS transaction_count
       FROM cs GROUP BY rfm_segment)
-SELECT *, CAST(customer_count AS DOUBLE) / (SELECT CAST(SUM(CAST(customer_count AS DECIMAL(38,2))) AS DOUBLE) FROM r) * CAST(100 AS DOUBLE)
+SELECT *, CAST(customer_count AS DOUBLE) / (SELECT CAST(SUM(CAST(customer_count AS DECIMAL(38,4))) AS DOUBLE) FROM r) * CAST(100 AS DOUBLE)
             AS percent_customers,
-          total_revenue / (SELECT CAST(SUM(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) FROM r) * CAST(100 AS DOUBLE) AS percent_revenue
+          total_revenue / (SELECT CAST(SUM(CAST(total_revenue AS DECIMAL(38,4))) AS DOUBLE) FROM r) * CAST(100 AS DOUBLE) AS percent_revenue
 FROM r ORDER BY total_revenue DESC, rfm_segment LIMIT 5""",
     "top_products": f"""
 WITH {_PRODUCT_PERF}
@@ -323,13 +323,13 @@ SELECT (SELECT category FROM ce ORDER BY total_revenue DESC, category LIMIT 1) A
        (SELECT category FROM ce ORDER BY revenue_per_product DESC, category LIMIT 1) AS efficient_category""",
     "method_totals": """
 SELECT o_orderpriority, CAST(COUNT(*) AS BIGINT) AS transaction_count,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS average_sale
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS total_sales,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) / COUNT(o_totalprice) AS average_sale
 FROM orders GROUP BY o_orderpriority""",
     "customer_segmentation_cte": """
 WITH ct AS (
   SELECT c.c_custkey, r.r_name AS region, c.c_mktsegment AS customer_segment,
-         COUNT(o.o_orderkey) AS transaction_count, SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total_spend
+         COUNT(o.o_orderkey) AS transaction_count, SUM(CAST(o.o_totalprice AS DECIMAL(38,4))) AS total_spend
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   JOIN orders o ON c.c_custkey = o.o_custkey
   GROUP BY c.c_custkey, r.r_name, c.c_mktsegment)
@@ -340,11 +340,11 @@ FROM ct GROUP BY region, customer_segment""",
     "monthly_summary": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
        CAST(COUNT(*) AS BIGINT) AS order_count,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_amount
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) AS total_amount,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS DOUBLE) / COUNT(o_totalprice) AS avg_amount
 FROM orders GROUP BY 1, 2""",
     "monthly_pivot": "SELECT strftime(o_orderdate, '%Y-%m') AS month_year, " + ", ".join(
-        f"COALESCE(CAST(SUM(CASE WHEN c_mktsegment = '{s}' THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE), "
+        f"COALESCE(CAST(SUM(CASE WHEN c_mktsegment = '{s}' THEN CAST(o_totalprice AS DECIMAL(38,4)) END) AS DOUBLE), "
         f"0.0) AS {s}" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
     + " FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1",
     "fact_dim_join": """
@@ -369,8 +369,7 @@ starts AS (SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS b, 'turn-' || CAST(MAX(
 walk(sb, so, b, o, depth) AS (
   SELECT b, o, b, o, 0 FROM starts
   UNION ALL
-  SELECT w.sb, w.so, e.src_b, e.src_o, w.depth + 1 FROM walk w JOIN e ON e.dst_b = w.b AND e.dst_o = w.o
-  WHERE w.depth < 64)
+  SELECT w.sb, w.so, e.src_b, e.src_o, w.depth + 1 FROM walk w JOIN e ON e.dst_b = w.b AND e.dst_o = w.o)
 SELECT sb AS start_bucket, so AS start_object, b AS bucket, o AS object, CAST(MIN(depth) AS INTEGER) AS depth
 FROM walk WHERE depth > 0 AND NOT (b = sb AND o = so) GROUP BY sb, so, b, o""",
     "metadata_catalog": _PROFILE_SQL,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,15 +50,17 @@ def apply_core_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system); only a local-mode session
-    without it gets a private temporary folder.
+    A cluster must set it (a shared file system).  Only a session that runs in this one
+    process (master ``local`` or ``local[...]``) may leave it unset; it gets a folder of
+    its own that is deleted when the process ends.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="zonelake-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
@@ -67,6 +72,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/zonelake-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def _path_of(spark: SparkSession, path: str):
+    """The Hadoop path and its file system, whatever store it is in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists; a store that cannot be asked is an error, not a no."""
+    hadoop, store = _path_of(spark, path)
+    return store.exists(hadoop)
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing is there yet; every other error goes through."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of our own."""
+    hadoop, store = _path_of(spark, path)
+    store.delete(hadoop, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time in ms) of the files in a folder (or of one file), empty ones included."""
+    hadoop, store = _path_of(spark, path)
+    return [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in store.listStatus(hadoop) if s.isFile()]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (checkpoint into the shared folder) and cut its lineage.
 
@@ -77,5 +111,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once into the shared scratch folder and read back: cuts lineage like a
+    checkpoint, and later joins see the table's real size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def data_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

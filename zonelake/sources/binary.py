@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+from fnmatch import fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonelake.session import list_files
+
+LARGEST = 2**31 - 16  # bytes that one row can hold
+LISTING = "path string, file_size bigint, modified timestamp"
+
 
 def file_manifest(spark: SparkSession, path: str, bucket: str, glob: str | None = None,
                   uploaded_at: Column | None = None) -> DataFrame:
-    """One row per file: bucket, object name, original path, upload time, hash, size.
+    """One row per file of a folder: bucket, object name, original path, upload time, hash, size.
 
-    ``binaryFile`` hands each file to one task as a byte array (limit 2 GB per file).
-    Zero-length files are skipped by Spark's file scan and do not appear.
+    The rows come from the file system's listing, so empty files are in it (with the hash of no
+    bytes).  The hashes are computed by tasks, one file each; a file over 2 GB does not fit a row
+    and has a null hash.
     """
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    return files.select(
+    found = [(p, n, _dt.datetime.fromtimestamp(ms / 1000, _dt.timezone.utc)) for p, n, ms in list_files(spark, path)
+             if glob is None or fnmatch(p.rsplit("/", 1)[-1], glob)]
+    listing = spark.createDataFrame(found, LISTING)
+    out = listing.withColumn("file_hash", F.when(F.col("file_size") == 0, F.sha2(F.lit(b""), 256)))
+    if any(0 < n <= LARGEST for _, n, _ in found):
+        reader = spark.read.format("binaryFile")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        hashes = reader.load(path).where(F.col("length") <= LARGEST) \
+            .select(F.col("path").alias("_path"), F.sha2("content", 256).alias("_hash"))
+        out = out.join(hashes, F.col("path") == F.col("_path"), "left") \
+            .withColumn("file_hash", F.coalesce("file_hash", "_hash"))
+    return out.select(
         F.lit(bucket).alias("source_bucket"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("object_name"),
         F.col("path").alias("original_file_path"),
-        (uploaded_at if uploaded_at is not None else F.col("modificationTime")).alias("uploaded_at"),
-        F.sha2(F.col("content"), 256).alias("file_hash"),
-        F.col("length").alias("file_size"),
-    )
+        (uploaded_at if uploaded_at is not None else F.col("modified")).alias("uploaded_at"),
+        "file_hash", "file_size")

@@ -72,6 +72,13 @@ METADATA_SCHEMA = T.StructType([
 ])
 
 
+def utc(moment: _dt.datetime | None = None) -> _dt.datetime:
+    """An aware UTC time: now if none is given; a time without a zone is taken as UTC, not as the machine's."""
+    if moment is None:
+        return _dt.datetime.now(_dt.timezone.utc)
+    return moment.replace(tzinfo=_dt.timezone.utc) if moment.tzinfo is None else moment.astimezone(_dt.timezone.utc)
+
+
 def publish(df: DataFrame, path: str, bucket: str, object_name: str, fmt: str = "parquet",
             properties: Mapping[str, str] | None = None,
             uploaded_at: _dt.datetime | None = None) -> DataFrame:
@@ -82,7 +89,7 @@ def publish(df: DataFrame, path: str, bucket: str, object_name: str, fmt: str =
     obs = Observation(f"publish_{abs(hash((bucket, object_name)))}")
     write_dataset(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
     rows = obs.get["rows"]
-    record = (bucket, object_name, uploaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+    record = (bucket, object_name, utc(uploaded_at),
               fmt, int(rows), list(df.columns),
               {f.name: f.dataType.simpleString() for f in df.schema.fields},
               dict(properties or {}))
