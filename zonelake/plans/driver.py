@@ -22,7 +22,7 @@ from zonelake.functions.scalar import round_half_up_int, safe_cast, safe_timesta
 from zonelake.operators import enrich, governance, quality as Q, reports, warehouse
 from zonelake.operators.clean import CleanSpec, clean, clean_and_check
 from zonelake.operators.dedup import dedup_full, dedup_keep_first
-from zonelake.session import apply_core_conf, data_path, scratch_path
+from zonelake.session import apply_core_conf, data_path, scratch_path, stored_table
 from zonelake.sources.io import read_dataset, write_dataset
 from zonelake.sources.sqldump import read_sql_dump, write_sql_dump
 from zonelake.sources.binary import file_manifest
@@ -187,10 +187,8 @@ def q_trip_publish(spark, sf_dir):
 
 
 def q_left_enrich(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    info = table(spark, sf_dir, "part").where(F.col("p_size") <= 25) \
-        .select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
-    return enrich.left_enrich(li, info, ["l_partkey"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return enrich.left_enrich(docs, table(spark, sf_dir, "labels"), ["doc_id"])
 
 
 def _embedding_points(spark, sf_dir):
@@ -268,9 +266,9 @@ def q_accepted_values_check(spark, sf_dir):
 
 
 def q_referential_check(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    parents = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
-    return Q.run_checks(o, "orders", [Q.references("o_custkey", parents, "c_custkey")]).select(*CHECK_COLS)
+    docs = table(spark, sf_dir, "documents")
+    return Q.run_checks(docs, "documents", [Q.references("doc_id", table(spark, sf_dir, "labels"), "doc_id")]) \
+        .select(*CHECK_COLS)
 
 
 def q_range_check(spark, sf_dir):
@@ -308,15 +306,18 @@ def q_dim_station(spark, sf_dir):
 
 
 def q_fact_trip(spark, sf_dir):
-    # The staging feeds both dimensions and the fact.  It is not stored: each dimension reads only its
-    # key columns, so Catalyst prunes those re-evaluations to narrow joins, which measured cheaper than
-    # writing the full staging (the dimension keys themselves are checkpointed in assign_surrogate_keys).
-    st = trip_staging(spark, sf_dir).withColumn("_dist_m", F.col("distancia_km") * 1000)
+    return trip_star(spark, sf_dir)[0]
+
+
+def trip_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Trip fact, user and station dimension.  The staging joins run once; both dimensions and the fact read it."""
+    st = stored_table(trip_staging(spark, sf_dir).withColumn("_dist_m", F.col("distancia_km") * 1000), "trip-staging")
     users = warehouse.user_dimension(st, "usuario_id", "tipo_usuario", "fecha_hora_inicio")
     stations = warehouse.station_dimension(st, "estacion_origen", "estacion_destino")
-    return warehouse.trip_fact(st, users, stations, user_col="usuario_id", origin_col="estacion_origen",
+    fact = warehouse.trip_fact(st, users, stations, user_col="usuario_id", origin_col="estacion_origen",
                                dest_col="estacion_destino", measures=TRIP_MEASURES,
                                passthrough=["duracion_segundos", "fecha_hora_inicio", "fecha_hora_fin"])
+    return fact, users, stations
 
 
 def q_dim_parking(spark, sf_dir):
@@ -360,12 +361,12 @@ def q_top_routes(spark, sf_dir):
     return reports.top_routes(trip_rows(spark, sf_dir), "estacion_origen", "estacion_destino", 10)
 
 
+# The star query as a SQL string: pairs of surrogate keys are counted first, then named.
 TOP_ROUTES_SQL = """
-SELECT estacion_origen || ' → ' || estacion_destino AS ruta, COUNT(*) AS total_viajes
-FROM zl_trips
-GROUP BY 1
-ORDER BY total_viajes DESC, ruta
-LIMIT 10
+WITH pairs AS (SELECT origen_sk, destino_sk, count(*) AS n FROM zl_fact GROUP BY origen_sk, destino_sk)
+SELECT concat_ws(' → ', a.estacion_id, b.estacion_id) AS ruta, n AS total_viajes
+FROM pairs JOIN zl_station a ON a.estacion_sk = origen_sk JOIN zl_station b ON b.estacion_sk = destino_sk
+ORDER BY n DESC, ruta LIMIT 10
 """
 
 
@@ -377,7 +378,8 @@ def sql_over_views(spark: SparkSession, sql: str, views: dict[str, DataFrame]) -
 
 
 def q_top_routes_sql(spark, sf_dir):
-    return sql_over_views(spark, TOP_ROUTES_SQL, {"zl_trips": trip_rows(spark, sf_dir)})
+    fact, _, stations = trip_star(spark, sf_dir)
+    return sql_over_views(spark, TOP_ROUTES_SQL, {"zl_fact": fact, "zl_station": stations})
 
 
 def q_top_routes_by_type(spark, sf_dir):
@@ -522,30 +524,24 @@ def q_file_manifest(spark, sf_dir):
     return m.select("source_bucket", "object_name", "file_hash", "file_size")
 
 
-# round trips (write the customer table, read it back with the declared schema) -------------
-
-CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-
+# round trips (write the documents table, read it back with its schema) ---------------------
 
 def q_csv_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "csv")
-    write_dataset(table(spark, sf_dir, "customer"), path, "csv")
-    return read_dataset(spark, path, "csv", CUSTOMER_DDL)
+    path, docs = scratch_path(spark, "csv"), table(spark, sf_dir, "documents")
+    write_dataset(docs, path, "csv")
+    return read_dataset(spark, path, "csv", docs.schema, multiline=True)
 
 
 def q_json_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "json")
-    write_dataset(table(spark, sf_dir, "customer"), path, "json")
-    return read_dataset(spark, path, "json", CUSTOMER_DDL)
+    path, docs = scratch_path(spark, "json"), table(spark, sf_dir, "documents")
+    write_dataset(docs, path, "json")
+    return read_dataset(spark, path, "json", docs.schema)
 
 
 def q_sql_dump_roundtrip(spark, sf_dir):
-    from pyspark.sql import types as T
-    path = scratch_path(spark, "dump")
-    c = table(spark, sf_dir, "customer")
-    write_sql_dump(c, path, "customer")
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in c.schema.fields])
-    return read_sql_dump(spark, path, {"customer": schema})["customer"].drop("_file", "_ord", "_pos")
+    path, docs = scratch_path(spark, "dump"), table(spark, sf_dir, "documents")
+    write_sql_dump(docs, path, "documents")
+    return read_sql_dump(spark, path, {"documents": docs.schema})["documents"].drop("_file", "_ord", "_pos")
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -186,13 +186,10 @@ SELECT DISTINCT event_id, ts, user_id, event_type, value, props,
 FROM events""",
     "trip_publish": "SELECT o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "left_enrich": """
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, p.p_name, p.p_brand
-FROM lineitem l LEFT JOIN (
-  SELECT p_partkey, p_name, p_brand FROM (
-    SELECT p_partkey, p_name, p_brand,
-           ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY p_name, p_brand) AS rn
-    FROM part WHERE p_size <= 25) WHERE rn = 1) p
-ON l.l_partkey = p.p_partkey""",
+SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN (
+  SELECT doc_id, quality, toxic FROM labels
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY quality, toxic) = 1) l ON d.doc_id = l.doc_id""",
     "nearest_reference": f"WITH {_EMB_POINTS} SELECT vec_id, nearest_label FROM near",
     "parking_enriched": f"""
 WITH {_EMB_POINTS}
@@ -212,9 +209,8 @@ FROM ({_CHECKS}) GROUP BY dataset, check_type""",
                                            "COUNT_IF(o_orderstatus NOT IN ('F', 'O'))",
                                            " values outside the accepted list"),
     "referential_check": _single_check(
-        "orders", "orders o LEFT JOIN (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') p "
-        "ON o.o_custkey = p.c_custkey", 0, "references", "o_custkey",
-        "COUNT_IF(o.o_custkey IS NOT NULL AND p.c_custkey IS NULL)", " orphan keys found"),
+        "documents", "documents o LEFT JOIN (SELECT DISTINCT doc_id AS parent FROM labels) p ON o.doc_id = p.parent",
+        0, "references", "doc_id", "COUNT_IF(o.doc_id IS NOT NULL AND p.parent IS NULL)", " orphan keys found"),
     "range_check": _single_check("lineitem", "lineitem", 0, "range", "l_discount",
                                  "COUNT_IF(l_discount < 0.0 OR l_discount > 0.05)", " values out of range"),
     "dim_user": """
@@ -389,7 +385,7 @@ UNION ALL
 SELECT 'events', 'access-zone', '365 days', CAST(COUNT(*) AS BIGINT),
        CAST(COUNT_IF(ts < TIMESTAMP '2025-01-10' - INTERVAL 365 DAY) AS BIGINT), MIN(ts), MAX(ts) FROM events""",
     "masked_customers": "SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
-    "csv_roundtrip": "SELECT * FROM customer",
-    "json_roundtrip": "SELECT * FROM customer",
-    "sql_dump_roundtrip": "SELECT * FROM customer",
+    "csv_roundtrip": "SELECT * FROM documents",
+    "json_roundtrip": "SELECT * FROM documents",
+    "sql_dump_roundtrip": "SELECT * FROM documents",
 }

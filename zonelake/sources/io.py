@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
 
 
+# Quotes and blanks of text fields survive a round trip.
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _check_format(fmt: str) -> str:
     fmt = fmt.lower()
     if fmt not in SUPPORTED_FORMATS:
@@ -27,7 +31,9 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: T.StructType | str | None = None, multiline: bool = False) -> DataFrame:
     """Read one dataset.
 
-    * ``csv``: header row, declared schema, malformed values become null (PERMISSIVE).
+    * ``csv``: header row, declared schema, malformed values become null (PERMISSIVE);
+      an empty field is null, an empty field in quotes is the empty text, a doubled quote
+      is a quote, and blanks are kept.  ``multiline=True`` for texts with line ends.
     * ``json``: declared schema; ``multiline=True`` reads a JSON array of records and
       fails on malformed input (FAILFAST), as a document loader should.
     * ``parquet``: schema from the files.
@@ -37,7 +43,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        return reader.options(header=True, mode="PERMISSIVE", multiLine=multiline, **CSV_TEXT, nullValue="\u0000").csv(path)
     if fmt == "json":
         if multiline:
             reader = reader.option("multiLine", True).option("mode", "FAILFAST")
@@ -53,7 +59,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, **CSV_TEXT).csv(path)
     elif fmt == "json":
         writer.json(path)
     else:

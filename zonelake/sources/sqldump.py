@@ -1,20 +1,20 @@
 """SQL-dump load and write as plain Spark text jobs (no database, no SQL parser).
 
 The dump is read line by line, so a table held in one huge ``INSERT`` statement is
-still spread over every input split.  Lines are classified as ``INSERT INTO`` headers,
-tuple lines ``(...)`` or other (DDL, ``--`` comments, blank).  A tuple line belongs to
-the last header above it in the same file: found inside its own split by a window
-over that split's lines, or, for the lines before the first header of a split, from
-a carry computed over a table with one row per split.  Tuples are parsed by
-``from_csv`` against the declared schema: single quotes with backslash escapes,
-``NULL`` is null, ``true``/``false`` are booleans.  Headers that carry their values
-on the same line (``INSERT ... VALUES (..), (..);``) are split into tuples as well.
+still spread over every input split.  Lines are classified as ``INSERT INTO`` headers
+(with or without a schema name and a column list), tuple lines ``(...)`` or other (DDL,
+``--`` comments, blank).  A tuple line belongs to the last header above it in the same
+file: found inside its own split by a window over that split's lines, or, for the lines
+before the first header of a split, from a carry computed over a table with one row per
+split.  Headers may carry tuples on their own line.
+
+Tuples and values are found by quote-aware patterns: strings in single quotes, with
+backslash escapes or doubled quotes; a bare ``NULL`` is null, a quoted one is text.
+Values go to columns by the statement's column list, else by position.  A line that does
+not parse, e.g. a string literal that goes over several lines, is an error.
 
 ``_file`` and ``_ord`` (increasing in file order within a file) are kept so that
 keep-first deduplication can follow file order.
-
-Limits: a tuple spanning several lines (a string literal with a newline) and a
-string literal containing ``),(`` are not supported.
 """
 
 from __future__ import annotations
@@ -25,66 +25,81 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CSV_OPTIONS = {"quote": "'", "escape": "\\", "nullValue": "NULL",
-                "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
-                "mode": "PERMISSIVE"}
-_HEADER = r"(?i)^\s*INSERT\s+INTO\s+`?(\w+)`?"
-
-
-def _strip(c):
-    """Trim all whitespace, newlines included (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
+from zonelake.session import scratch_path
 
-def _split_tuples(values):
-    """``(a), (b);`` -> array of the texts inside each pair of parentheses."""
-    body = F.regexp_replace(_strip(values), r"[;,]\s*$", "")
-    return F.transform(F.split(body, r"(?<=\))\s*,\s*(?=\()"),
-                       lambda p: F.regexp_extract(_strip(p), r"(?s)^\((.*)\)$", 1))
+_STRING = r"'(?:[^'\\]++|\\.|'')*+'"
+_TUPLE = rf"\((?:[^'()]++|{_STRING})*+\)"
+_LIST = rf"(?s)^((?:\s*,?\s*{_TUPLE})++)\s*[,;]?\s*(?:--.*)?$"
+_VALUE = rf"(?s)(?:^|,)\s*({_STRING}|[^,']*?)\s*(?=,|$)"
+_HEADER = r"(?is)^\s*INSERT\s+INTO\s+(?:[`\"]?\w+[`\"]?\.)?[`\"]?(\w+)[`\"]?\s*(?:\(([^)]*)\))?\s*VALUES\s*(.*)$"
+_MARK = "￿"  # stands for an escaped backslash while the other escapes are resolved
 
 
 def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
-    """One row per VALUES tuple: ``table``, ``_file``, ``_ord``, ``_pos``, ``tuple`` (text inside the parens)."""
+    """One row per VALUES tuple: ``table``, ``columns`` (null without a list), ``_file``, ``_ord``, ``_pos``, ``values``."""
     lines = spark.read.text(path).select(
-        F.col("value"), F.col("_metadata.file_path").alias("_file"),
-        F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_ord"))
+        F.col("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"))
     header = F.regexp_extract("value", _HEADER, 1)
     kind = (F.when(header != "", "header")
             .when(F.regexp_replace("value", r"^\s+", "").startswith("("), "tuple"))
-    lines = lines.select("*", kind.alias("_kind"), header.alias("_hdr")).where(F.col("_kind").isNotNull())
+    split = Window.partitionBy("_file", "_block").orderBy("_id")
+    # a line has one byte at least, so block start + line number grows through the whole file
+    lines = lines.withColumn("_ord", F.col("_block") + F.row_number().over(split) - 1)
+    names = F.regexp_extract("value", _HEADER, 2)
+    columns = F.when(names != "", F.transform(F.split(names, ","), lambda c: F.regexp_replace(c, r"[\s`\"]", "")))
+    statement = F.struct(F.col("_ord").alias("o"), header.alias("t"), columns.alias("c"))
+    lines = lines.select("*", kind.alias("_kind")).where(F.col("_kind").isNotNull()) \
+        .withColumn("_own", F.when(F.col("_kind") == "header", statement))
 
     # last header above each line inside its own split (a window over one split's lines)
-    hdr_struct = F.when(F.col("_kind") == "header", F.struct(F.col("_ord").alias("o"), F.col("_hdr").alias("t")))
-    in_split = Window.partitionBy("_file", "_pid").orderBy("_ord") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("_last", F.last(hdr_struct, ignorenulls=True).over(in_split))
-
+    lines = lines.withColumn("_last", F.last("_own", ignorenulls=True).over(
+        split.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # carry for lines above the first header of a split: one row per split, prefix over earlier splits
-    per_split = lines.groupBy("_file", "_pid").agg(
-        F.max(hdr_struct).alias("_split_last"), F.min("_ord").alias("_first_ord"))
-    before = Window.partitionBy("_file").orderBy("_first_ord").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select("_file", "_pid", F.last("_split_last", ignorenulls=True).over(before).alias("_carry"))
-    # one row per input split: bounded by the split count, safe to broadcast
-    lines = lines.join(F.broadcast(carry), ["_file", "_pid"], "left")
-    table = F.coalesce(F.col("_last.t"), F.col("_carry.t"))
-
-    inline = F.regexp_extract("value", r"(?is)\bVALUES\s*(\(.*)$", 1)
-    pieces = F.when(F.col("_kind") == "tuple", _split_tuples(F.col("value"))) \
-        .when(inline != "", _split_tuples(inline))
-    return (lines.select(table.alias("table"), "_file", "_ord", F.posexplode(pieces).alias("_pos", "tuple"))
-            .where(F.col("table").isNotNull()))
+    per_split = lines.groupBy("_file", "_block").agg(F.max("_own").alias("_split_last"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("_file", "_block", F.last("_split_last", ignorenulls=True).over(before).alias("_carry"))
+    lines = lines.join(carry, ["_file", "_block"], "left").withColumn("_into", F.coalesce("_last", "_carry"))
+
+    content = F.btrim(F.when(F.col("_kind") == "tuple", F.col("value")).otherwise(F.regexp_extract("value", _HEADER, 3)))
+    found = F.regexp_extract(content, _LIST, 1)
+    bad = (content != "") & ~content.startswith("--") & (found == "")
+    error = F.raise_error(F.concat(F.lit("INSERT line does not parse: "), F.substring("value", 1, 200)))
+    tuples = F.when(bad, error.cast("array<string>")).otherwise(F.regexp_extract_all(found, F.lit(_TUPLE), F.lit(0)))
+    rows = lines.where(F.col("_into").isNotNull()) \
+        .select(F.col("_into.t").alias("table"), F.col("_into.c").alias("columns"), "_file", "_ord", F.posexplode(tuples).alias("_pos", "t"))
+    body = F.btrim(F.expr("substring(t, 2, length(t) - 2)"))
+    return rows.select("table", "columns", "_file", "_ord", "_pos", F.regexp_extract_all(body, F.lit(_VALUE), F.lit(1)).alias("values"))
+
+
+def _text(value):
+    """Content of a string literal; a bare value as it is, a bare NULL as null."""
+    inner = F.regexp_replace(F.regexp_replace(value, r"(?s)^'(.*)'$", "$1"), r"\\\\", _MARK)
+    inner = F.regexp_replace(F.regexp_replace(inner, r"\\n", "\n"), r"\\r", "\r")
+    inner = F.regexp_replace(F.regexp_replace(inner, r"(?s)\\(.)", "$1"), "''", "'")
+    plain = F.when(F.upper(value) == "NULL", F.lit(None)).otherwise(value)
+    return F.when(value.startswith("'"), F.replace(inner, F.lit(_MARK), F.lit("\\"))).otherwise(plain)
 
 
 def read_sql_dump(spark: SparkSession, path: str,
                   schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
-    """Every table of the dump named in ``schemas`` as a typed DataFrame (plus ``_file``, ``_ord``, ``_pos``)."""
+    """Every table of the dump named in ``schemas`` as a typed DataFrame (plus ``_file``, ``_ord``, ``_pos``).
+
+    The dump is read once: its tuples are stored by table and each table reads its own part.
+    """
+    store = scratch_path(spark, "dump-tuples")
     tuples = insert_tuples(spark, path)
+    tuples.write.partitionBy("table").parquet(store)
+    stored = spark.read.schema(tuples.schema).parquet(store)
     out = {}
     for name, schema in schemas.items():
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parsed = F.from_csv(F.col("tuple"), ddl, _CSV_OPTIONS).alias("r")
-        out[name] = (tuples.where(F.col("table") == name)
-                     .select(parsed, "_file", "_ord", "_pos").select("r.*", "_file", "_ord", "_pos"))
+        columns = []
+        for i, f in enumerate(schema.fields):
+            named = F.get("values", F.array_position("columns", f.name).cast("int") - 1)
+            value = F.when(F.col("columns").isNull(), F.get("values", F.lit(i))).when(F.array_contains("columns", f.name), named)
+            text = _text(value)
+            columns.append((text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)).alias(f.name))
+        out[name] = stored.where(F.col("table") == name).select(*columns, "_file", "_ord", "_pos")
     return out
 
 
@@ -92,7 +107,8 @@ def _sql_literal(field: T.StructField):
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         text = c.cast("string")
-        escaped = F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), "'", r"\\'")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+        escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
         lit = F.concat(F.lit("'"), escaped, F.lit("'"))
     elif isinstance(field.dataType, T.BooleanType):
         lit = F.when(c, F.lit("true")).otherwise(F.lit("false"))
@@ -104,7 +120,8 @@ def _sql_literal(field: T.StructField):
 def write_sql_dump(df: DataFrame, path: str, table: str) -> None:
     """Write ``df`` as ``INSERT`` statements, one statement per row, one line each.
 
-    One statement per row keeps every record small and the dump splittable.
+    One statement per row keeps every record small and the dump splittable; line ends in
+    texts are escaped.
     """
     cols = ", ".join(f.name for f in df.schema.fields)
     values = F.concat_ws(", ", *[_sql_literal(f) for f in df.schema.fields])
