@@ -66,7 +66,7 @@ def test_city_flow_end_to_end_and_idempotent(spark, tmp_dir):
     prof = {r.hora: r for r in spark.read.parquet(access["traffic_hourly"]).collect()}
     assert prof["00:00:00"].total_vehiculos == 200 and prof["02:00:00"].nivel_congestion == 4.0
     parking = spark.read.parquet(access["parking"])
-    assert {r.distrito_id for r in parking.collect()} == {1}      # both lots are nearest to district 1
+    assert {r.distrito_id for r in parking.collect()} == {72}     # both lots are nearest to district 72
     assert "plazas_ocupadas" not in parking.columns and parking.first().dia_semana == "Sunday"
 
     first = city.load_warehouse(spark, access, clean, root)
@@ -103,3 +103,27 @@ def test_city_run_all_cli(spark, tmp_dir, capsys):
     city.main(args)
     out = capsys.readouterr().out
     assert "== top_routes" in out and "1 → 2" in out and "== stats_by_type" in out
+
+
+def test_keep_first_follows_the_file_and_every_rule_is_checked(spark, tmp_dir):
+    dump = "\n".join([
+        "INSERT INTO distritos (id, nombre, poblacion, superficie_km2, densidad_poblacion, latitud, longitud, codigo_postal_principal) VALUES",
+        "(1, 'Zeta first', -5, 1.0, 2.0, 95.0, -3.0, 1),", "(1, 'Alfa second', 10, 1.0, 2.0, 40.0, -3.0, 1);",
+        "INSERT INTO lineas_transporte (id, nombre, tipo, longitud_km, num_paradas, frecuencia_media_min, año_inauguracion) VALUES",
+        "(1, 'L1', 'Globo', -1.0, 3, 4.0, 1990);"])
+    usage = ["aparcamiento_id,fecha,hora,plazas_ocupadas,plazas_libres,porcentaje_ocupacion", "1,2024-12-01,25,5,5,150.0", "1,2024-12-01,25,1,9,10.0"]
+    info = ["aparcamiento_id,nombre,direccion,capacidad_total,plazas_movilidad_reducida,plazas_vehiculos_electricos,tarifa_hora_euros,horario,latitud,longitud",
+            "1,Zoco,calle,10,1,1,2.0,24h,40.0,-3.0", "1,Alto,calle,10,1,1,2.0,24h,40.0,-3.0"]
+    raw = {"dump": _write(os.path.join(tmp_dir, "d.sql"), [dump]), "parking_usage": _write(os.path.join(tmp_dir, "u.csv"), usage),
+           "parking_info": _write(os.path.join(tmp_dir, "i.csv"), info)}
+    root, failures = os.path.join(tmp_dir, "lake"), {}
+    clean = city.clean_zone(spark, raw, root, dt.datetime(2024, 12, 2), failures)
+    assert failures == {}
+    districts = spark.read.parquet(clean["districts"])
+    assert [r.nombre for r in districts.collect()] == ["Zeta first"] and "_ord" not in districts.columns
+    assert [(r.nombre, r.porcentaje_ocupacion) for r in spark.read.parquet(clean["parking"]).collect()] == [("Zoco", 150.0)]
+    checks = spark.read.parquet(f"{root}/govern-zone-metadata/quality_checks").where("not passed")
+    failed = {(r.dataset, r.check_type, r.column) for r in checks.collect()}
+    assert {("districts_clean", "range", "latitud"), ("districts_clean", "range", "poblacion"), ("lines_clean", "accepted_values", "tipo"),
+            ("lines_clean", "range", "longitud_km"), ("parking_clean", "range", "hora"), ("parking_clean", "range", "porcentaje_ocupacion")} <= failed
+    assert checks.first().timestamp == dt.datetime(2024, 12, 2)

@@ -20,7 +20,7 @@ from zonelake.operators.clean import CITY_SPECS, clean_and_check
 from zonelake.operators.governance import LINEAGE_SCHEMA
 from zonelake.session import read_if_there
 from zonelake.sources.binary import file_manifest
-from zonelake.sources.io import publish, read_dataset, utc
+from zonelake.sources.io import in_file_order, publish, read_dataset, utc
 from zonelake.sources.sqldump import read_sql_dump
 
 # Ordinal of the congestion levels, vehicle count columns, star-schema decimal types.
@@ -57,17 +57,19 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
 
 def _read_sources(spark: SparkSession, raw: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Typed-as-text frames of every raw source; a source that cannot be read is reported, not fatal."""
+    def raw_csv(name, schema):
+        return in_file_order(read_dataset(spark, raw[name], "csv", schemas.all_text(schema)))
+
     readers = {
-        "traffic": lambda: {"traffic": read_dataset(spark, raw["traffic"], "csv", schemas.all_text(schemas.TRAFFIC))},
-        "trips": lambda: {"trips": read_dataset(spark, raw["trips"], "csv", schemas.all_text(schemas.TRIPS))},
+        "traffic": lambda: {"traffic": raw_csv("traffic", schemas.TRAFFIC)},
+        "trips": lambda: {"trips": raw_csv("trips", schemas.TRIPS)},
         "parking_usage": lambda: {"parking": enrich.left_enrich(
-            read_dataset(spark, raw["parking_usage"], "csv", schemas.all_text(schemas.PARKING_USAGE)),
-            read_dataset(spark, raw["parking_info"], "csv", schemas.all_text(schemas.PARKING_INFO)),
-            ["aparcamiento_id"])},
-        "dump": lambda: {DUMP_DATASETS[t]: df.drop("_file", "_ord", "_pos")
-                         for t, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items()},
-        "citizen_reports": lambda: {"citizen_reports": read_dataset(
-            spark, raw["citizen_reports"], "json", schemas.CITIZEN_REPORTS, multiline=True)},
+            raw_csv("parking_usage", schemas.PARKING_USAGE),
+            raw_csv("parking_info", schemas.PARKING_INFO).withColumnsRenamed({"_file": "_info_file", "_ord": "_info_ord"}),
+            ["aparcamiento_id"], ["_info_file", "_info_ord"]).drop("_info_file", "_info_ord")},
+        "dump": lambda: {DUMP_DATASETS[t]: df for t, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items()},
+        "citizen_reports": lambda: {"citizen_reports": in_file_order(read_dataset(
+            spark, raw["citizen_reports"], "json", schemas.CITIZEN_REPORTS, multiline=True))},
     }
     frames, failures = {}, {}
     for name, read in readers.items():

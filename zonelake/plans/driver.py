@@ -30,6 +30,14 @@ from zonelake.sources.binary import file_manifest
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Zone of each driver table in the policy query: raw landings, derived facts, dimensions, governance records.
+TABLE_ZONES = {
+    "events": "raw-ingestion-zone", "documents": "raw-ingestion-zone", "pages": "raw-ingestion-zone",
+    "conversations": "raw-ingestion-zone", "orders": "process-zone", "lineitem": "process-zone",
+    "embeddings": "process-zone", "region": "access-zone", "nation": "access-zone", "customer": "access-zone",
+    "supplier": "access-zone", "part": "access-zone", "labels": "govern-zone-metadata",
+    "benchmark": "govern-zone-security"}
+
 # Fixed values used by the bindings (the oracle SQL repeats them literally).
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 EVENT_LEVELS = {"view": 1, "click": 2, "signup": 3, "purchase": 4}
@@ -497,8 +505,8 @@ def q_metadata_catalog(spark, sf_dir):
 
 
 def q_policy_grants(spark, sf_dir):
-    tables = _profiles(spark, sf_dir).where(F.col("rows") > 0) \
-        .select("object_name", F.col("source_bucket").alias("zone"))
+    zone = F.element_at(F.create_map(*[F.lit(x) for pair in TABLE_ZONES.items() for x in pair]), F.col("object_name"))
+    tables = _profiles(spark, sf_dir).where(F.col("rows") > 0).select("object_name", zone.alias("zone"))
     return governance.table_grants(tables).select("object_name", "zone", "action", "role")
 
 

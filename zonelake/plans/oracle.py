@@ -124,9 +124,24 @@ def _single_check(dataset, source, idx, kind, col, bad, suffix):
             f"CAST({bad} AS BIGINT) AS bad_count, CAST({bad} AS VARCHAR) || '{suffix}' AS details FROM {source}")
 
 
-_GRANTS_ACCESS_ZONE = """(VALUES ('read', 'data_engineer'), ('read', 'data_scientist'), ('read', 'data_analyst'),
-  ('read', 'business_user'), ('read', 'admin'), ('write', 'data_engineer'), ('write', 'admin'),
-  ('delete', 'admin')) g(action, role)"""
+_GRANTS = """(VALUES
+  ('raw-ingestion-zone', 'read', ['data_engineer', 'data_scientist', 'admin']),
+  ('raw-ingestion-zone', 'write', ['data_engineer', 'admin', 'system_integrator']),
+  ('process-zone', 'read', ['data_engineer', 'data_scientist', 'data_analyst', 'admin']),
+  ('process-zone', 'write', ['data_engineer', 'admin']),
+  ('access-zone', 'read', ['data_engineer', 'data_scientist', 'data_analyst', 'business_user', 'admin']),
+  ('access-zone', 'write', ['data_engineer', 'admin']),
+  ('govern-zone-metadata', 'read', ['data_engineer', 'admin', 'governance_team']),
+  ('govern-zone-metadata', 'write', ['data_engineer', 'admin', 'system']),
+  ('govern-zone-security', 'read', ['admin', 'security_team', 'compliance_officer']),
+  ('govern-zone-security', 'write', ['admin', 'system']),
+  ('raw-ingestion-zone', 'delete', ['admin']), ('process-zone', 'delete', ['admin']), ('access-zone', 'delete', ['admin']),
+  ('govern-zone-metadata', 'delete', ['admin']), ('govern-zone-security', 'delete', ['admin'])) g(zone, action, roles)"""
+
+_ZONE_OF = """CASE WHEN object_name IN ('events', 'documents', 'pages', 'conversations') THEN 'raw-ingestion-zone'
+  WHEN object_name IN ('orders', 'lineitem', 'embeddings') THEN 'process-zone'
+  WHEN object_name = 'labels' THEN 'govern-zone-metadata' WHEN object_name = 'benchmark' THEN 'govern-zone-security'
+  ELSE 'access-zone' END"""
 
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
            "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -370,8 +385,8 @@ SELECT sb AS start_bucket, so AS start_object, b AS bucket, o AS object, CAST(MI
 FROM walk WHERE depth > 0 AND NOT (b = sb AND o = so) GROUP BY sb, so, b, o""",
     "metadata_catalog": _PROFILE_SQL,
     "policy_grants": f"""
-SELECT t.object_name, t.source_bucket AS zone, g.action, g.role
-FROM ({_PROFILE_SQL}) t, {_GRANTS_ACCESS_ZONE} WHERE t.rows > 0""",
+SELECT t.object_name, t.zone, g.action, unnest(g.roles) AS role
+FROM (SELECT object_name, {_ZONE_OF} AS zone FROM ({_PROFILE_SQL}) WHERE rows > 0) t JOIN {_GRANTS} ON g.zone = t.zone""",
     "retention_report": """
 SELECT 'orders' AS dataset, 'raw-ingestion-zone' AS zone, '90 days' AS retention_policy,
        CAST(COUNT(*) AS BIGINT) AS total_rows,

@@ -27,6 +27,15 @@ def _check_format(fmt: str) -> str:
     return fmt
 
 
+FILE_ORDER = ("_file", "_ord")
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """A frame just read from files with the place of every row: ``_file`` and ``_ord`` (grows in a file)."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), place.alias("_ord"))
+
+
 def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: T.StructType | str | None = None, multiline: bool = False) -> DataFrame:
     """Read one dataset.
