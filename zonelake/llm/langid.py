@@ -208,7 +208,8 @@ def training_pieces(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     rows = rows.where(F.col("i").isNotNull() & F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out("i"))
     # a share of the ids by hash first: about four times the rows wanted of a language reach its ranking
     share = rows.groupBy("l").agg(F.least(F.lit(1.0), 4.0 * per_lang / F.count(F.lit(1))).alias("share"))
-    few = rows.select("i", "l").join(share, "l").where(F.abs(F.xxhash64("i") / 2.0**63) <= F.col("share"))
+    # one row per language, as many as the network has outputs
+    few = rows.select("i", "l").join(F.broadcast(share), "l").where(F.abs(F.xxhash64("i") / 2.0**63) <= F.col("share"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.abs(F.xxhash64("i") / 2.0**63), "i"))
     picked = few.withColumn("k", rank).where(F.col("k") <= per_lang).select("i", "l").distinct()
     size = F.char_length("t")
