@@ -27,8 +27,8 @@ def slow(rows, threshold):
     return sorted(out, key=str)
 
 
-def fast(spark, rows, threshold, grams):
-    got = D.dedup_passages(spark.createDataFrame(rows, SCHEMA).repartition(3), threshold=threshold, grams=grams)
+def fast(spark, rows, threshold, gram):
+    got = D.dedup_passages(spark.createDataFrame(rows, SCHEMA).repartition(3), threshold=threshold, gram=gram)
     return sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()], key=str)
 
 
@@ -52,10 +52,11 @@ def planted(seed, threshold):
     return rows + [rows[7]]
 
 
-@pytest.mark.parametrize("seed,threshold,grams", [(1, 20, (4, 12)), (2, 20, (8, 16)), (3, 37, (5, 20)), (4, 200, (32, 160))])
-def test_equals_brute_force(spark, monkeypatch, seed, threshold, grams):
+@pytest.mark.parametrize("seed,threshold,gram,bucket", [(1, 20, 4, 3), (2, 20, 8, 32768), (3, 37, 5, 1), (4, 200, 32, 32768)])
+def test_equals_brute_force(spark, monkeypatch, seed, threshold, gram, bucket):
+    monkeypatch.setattr(D.repeated_spans, "__defaults__", (*D.repeated_spans.__defaults__[:-1], bucket))
     rows = planted(seed, threshold)
-    assert fast(spark, rows, threshold, grams) == slow(rows, threshold)
+    assert fast(spark, rows, threshold, gram) == slow(rows, threshold)
 
 
 def test_chunks_of_long_texts(monkeypatch):
@@ -66,21 +67,20 @@ def test_chunks_of_long_texts(monkeypatch):
     monkeypatch.setattr(D, "_TABLES", [])
     small = {(int(t), int(p)) for b in D.bunches(texts, 8, 40) for t, f, e in zip(b["text"], b["first"], b["last"]) for p in range(f, e + 1)}
     assert small == {(i, p) for i, t in enumerate(texts) for p in range(len(t) - 39)}
-    got = {}
-    for b in D.bunches(texts, 8, 40, digits=True):
-        for t, f, x, y, a in zip(b["text"], b["first"], b["from"], b["to"], b["anchor"]):
-            for k in range(y - x):
-                got[(int(t), int(f) + k)] = (int(b["d1"][x + k]), int(b["d2"][x + k]), int(a))
+    whole = [texts[0][:950], *texts[2:]]
+    owner, start, d1, d2 = D.windows(whole, 40)
     by_window = {}
-    for (t, p), keys in got.items():
-        assert by_window.setdefault(texts[t][p:p + 40], keys) == keys
+    for t, p, keys in zip(owner, start, zip(d1.tolist(), d2.tolist())):
+        assert by_window.setdefault(whole[t][p:p + 40], keys) == keys
     assert len(set(by_window.values())) == len(by_window)
+    alone = Counter(whole[t][p:p + 40] for t, p in zip(owner, start))
+    assert D.repeated((d1, d2), np.ones(len(d1), int)).tolist() == [alone[whole[t][p:p + 40]] > 1 for t, p in zip(owner, start)]
 
 
 def test_empty_table_and_bad_parameters(spark):
-    assert fast(spark, [], 200, (32, 160)) == []
+    assert fast(spark, [], 200, 32) == []
     with pytest.raises(ValueError):
-        fast(spark, [], 200, (32, 200))
+        fast(spark, [], 200, 200)
 
 
 def test_query_equals_brute_force(spark):

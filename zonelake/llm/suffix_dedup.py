@@ -9,12 +9,12 @@ So that a pass need not move every suffix, suffixes are taken in bunches.  A win
 ``gram`` bytes in it with the least hash; equal windows have equal anchors at equal places.  The windows of
 a text that share an anchor are a bunch, about ``threshold - gram`` of them at most:
 
-1. Pass over the anchors (``gram`` = 32): a bunch whose anchor occurs once holds no repeated window.
+1. Pass over the anchors: a bunch whose anchor occurs once holds no repeated window.
 2. Bunches with equal anchors and equal bytes all around (*context*) repeat as a whole and are decided.
-3. Of the rest, one bunch per context is cut by longer anchors (160 bytes), which gives smaller bunches;
-   steps 1 and 2 again.
-4. What is still open, a few windows at each end of a repeated passage, is sorted window by window: first
-   digit, singles dropped, second digit.
+3. Of the rest one bunch per context goes on, as a slice of its text: a few hundred bytes at each end of a
+   repeated passage.  The slices are dealt by anchor, and in each bucket the windows are sorted by their first
+   digit, those alone dropped, and by their second.  A bucket of more than ``BUCKET`` slices is not put into
+   one task: its windows are dealt by their digits instead, the same two passes over all tasks.
 
 Texts that occur more than once repeat whole and take part as one text.  All minima and counts are
 pre-aggregated before they are shuffled; nothing is capped.  A bitmap of fixed size thins out anchors and
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, load, maybe_in, stored, text_or_empty
 
-THRESHOLD, GRAMS = 200, (32, 160)
+THRESHOLD, GRAM = 200, 32
+BUCKET = 32768           # slices of one anchor that a task may hold (about 10 MB)
 CHUNK = 1 << 19          # window starts treated at once
 TEXT = ["t1", "t2"]      # 128-bit key of a text
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -73,9 +74,9 @@ def _least_before(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1:width - 1 + n])
 
 
-def bunches(texts: list[bytes], gram: int, threshold: int = THRESHOLD, digits: bool = False):
-    """Bunches of windows with a common anchor, chunk by chunk: text, first, last window start, anchor hash,
-    context hash and (``digits``) the two digits of every window with the bunch's bounds in them."""
+def bunches(texts: list[bytes], gram: int, threshold: int = THRESHOLD):
+    """Bunches of windows with a common anchor, chunk by chunk: text, first and last window start, anchor hash
+    and context hash."""
     if not _TABLES:
         _TABLES.extend(_power_tables())
     powers, inverses, letters = _TABLES
@@ -108,14 +109,42 @@ def bunches(texts: list[bytes], gram: int, threshold: int = THRESHOLD, digits: b
         context = _mixed(ranges(first, last + threshold), 2) + _mixed(
             ((where - first).astype(np.uint64) << np.uint64(32)) + (last - first).astype(np.uint64), 3)
         text = owner[first]
-        out = {"text": text, "first": first + at - begins[text], "last": last + at - begins[text],
+        yield {"text": text, "first": first + at - begins[text], "last": last + at - begins[text],
                "anchor": _mixed(grams[where], 4), "context": context}
-        if digits:
-            half = threshold // 2
-            start = np.arange(n)
-            out |= {"d1": _mixed(ranges(start, start + half), 5), "d2": _mixed(ranges(start + half, start + threshold), 6),
-                    "from": first, "to": last + 1}
-        yield out
+
+
+def windows(texts: list[bytes], threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, start and the two digits of every window of short texts."""
+    if not _TABLES:
+        _TABLES.extend(_power_tables())
+    powers, inverses, letters = _TABLES
+    out = []
+    for at, text in enumerate(texts):
+        raw = np.frombuffer(text, np.uint8)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(letters[raw] * powers[:len(raw)], out=sums[1:])
+        start = np.arange(len(raw) - threshold + 1)
+        half = start + threshold // 2
+        out.append((np.full(len(start), at), start, _mixed((sums[half] - sums[start]) * inverses[start], 5),
+                    _mixed((sums[start + threshold] - sums[half]) * inverses[half], 6)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def repeated(digits: tuple[np.ndarray, np.ndarray], weight: np.ndarray) -> np.ndarray:
+    """Which windows are not alone, sorting by one digit after the other; weights of 2 count as two windows."""
+    rows = np.arange(len(weight))
+    key = np.zeros(len(weight), np.int64)
+    for digit in digits:
+        order = np.lexsort((digit[rows], key[rows]))
+        rows = rows[order]
+        opens = np.ones(len(rows), bool)
+        opens[1:] = (digit[rows][1:] != digit[rows][:-1]) | (key[rows][1:] != key[rows][:-1])
+        group = np.cumsum(opens) - 1
+        key[rows] = group
+        rows = rows[np.bincount(group, weight[rows])[group] > 1]  # suffixes that are alone are sorted no further
+    out = np.zeros(len(weight), bool)
+    out[rows] = True
+    return out
 
 
 # --- passes ------------------------------------------------------------------------------
@@ -153,63 +182,72 @@ def bunch_rows(texts: DataFrame, threshold: int, gram: int, wanted: np.ndarray)
     return texts.mapInArrow(run, "t1 long, t2 long, anchor long, context long, place long")
 
 
-def cut_rows(ranges: DataFrame, threshold: int, gram: int) -> DataFrame:
-    """Bunches by a longer anchor of window ranges (t1, t2, text, bunches[place, many]): t1, t2, anchor, context,
-    place, many and the digits of the windows as packed longs."""
+def slices_of(ranges: DataFrame, threshold: int) -> DataFrame:
+    """One row per open bunch of (t1, t2, text, bunches): t1, t2, anchor, begin, many, large, bytes."""
     def run(batches):
         for batch in batches:
-            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in TEXT]
-            texts, slices, source, shift, many = batch.column("text").cast(pa.binary()).to_pylist(), [], [], [], []
+            keys, source, rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in TEXT], [], []
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             for i, found in enumerate(batch.column("bunches").to_pylist()):
                 for f in found:
-                    start, extra = f["place"] >> 9, f["place"] & 511
-                    slices.append(texts[i][start:start + extra + threshold])
+                    begin = f["place"] >> 9
                     source.append(i)
-                    shift.append(start)
-                    many.append(f["many"])
-            source, shift, many = np.array(source, np.int64), np.array(shift, np.int64), np.array(many, bool)
-            for b in bunches(slices, gram, threshold, digits=True):
-                own = b["text"]
-                packed = [pa.array([b[d][x:y].tobytes() for x, y in zip(b["from"].tolist(), b["to"].tolist())], pa.binary()) for d in ("d1", "d2")]
-                yield pa.record_batch([
-                    *(pa.array(k[source[own]]) for k in keys), _longs(b["anchor"]), _longs(b["context"]),
-                    pa.array((b["first"] + shift[own]) << 9 | (b["last"] - b["first"])), pa.array(many[own]), *packed],
-                    names=[*TEXT, "anchor", "context", "place", "many", "d1", "d2"])
-
-    return ranges.mapInArrow(run, "t1 long, t2 long, anchor long, context long, place long, many boolean, d1 binary, d2 binary")
-
-
-def window_rows(cut: DataFrame) -> DataFrame:
-    """One row per window of packed bunches: t1, t2, at, many, d1, d2."""
+                    rows.append((f["anchor"], begin, f["many"], f["large"], texts[i][begin:begin + (f["place"] & 511) + threshold]))
+            anchor, begin, many, large, part = zip(*rows) if rows else [()] * 5
+            source = np.array(source, np.int64)
+            yield pa.record_batch([
+                *(pa.array(k[source]) for k in keys), pa.array(anchor, pa.int64()), pa.array(begin, pa.int64()),
+                pa.array(many, pa.bool_()), pa.array(large, pa.bool_()), pa.array(part, pa.binary())],
+                names=[*TEXT, "anchor", "begin", "many", "large", "bytes"])
+
+    return ranges.mapInArrow(run, "t1 long, t2 long, anchor long, begin long, many boolean, large boolean, bytes binary")
+
+
+def repeated_in_bucket(rows, threshold: int, rows_at_once: int = 2048):
+    """mapInArrow body: slices sorted by anchor in, spans (t1, t2, begin, end) of their repeated windows out."""
+    names = [*TEXT, "anchor", "begin", "many", "bytes"]
+
+    def spans(held):
+        t1, t2, _, begin, many, part = held
+        text, start, d1, d2 = windows(part, threshold)
+        many = np.array(many, bool)
+        found = repeated((d1, d2), 1 + many[text].astype(np.int64)) & ~many[text]
+        text, start = text[found], start[found]
+        opens = np.ones(len(text), bool)
+        opens[1:] = (text[1:] != text[:-1]) | (start[1:] > start[:-1] + threshold)
+        first = np.flatnonzero(opens)
+        last = np.append(first[1:], len(text))[:len(first)] - 1
+        t1, t2, begin = (np.array(x, np.int64) for x in (t1, t2, begin))
+        owner = text[first]
+        return pa.record_batch([pa.array(t1[owner]), pa.array(t2[owner]), pa.array(begin[owner] + start[first]),
+                                pa.array(begin[owner] + start[last] + threshold)], names=[*TEXT, "begin", "end"])
+
+    held = [[] for _ in names]
+    for batch in rows:
+        for kept, c in zip(held, names):
+            kept.extend(batch.column(c).to_pylist())
+        if len(held[0]) < rows_at_once or held[2][0] == held[2][-1]:
+            continue
+        cut = np.searchsorted(np.array(held[2]), held[2][-1], "left")  # the last bucket may go on in the next batch
+        yield spans([x[:cut] for x in held])
+        held = [x[cut:] for x in held]
+    if held[0]:
+        yield spans(held)
+
+
+def window_rows(slices: DataFrame, threshold: int) -> DataFrame:
+    """One row per window of the slices: t1, t2, at, many, d1, d2."""
     def run(batches):
         for batch in batches:
-            counts = np.array([len(x) // 8 for x in batch.column("d1").to_pylist()], np.int64)
-            row = np.repeat(np.arange(len(counts)), counts)
-            offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            place = batch.column("place").to_numpy(zero_copy_only=False)
-            yield pa.record_batch([
-                *(pa.array(batch.column(c).to_numpy(zero_copy_only=False)[row]) for c in TEXT),
-                pa.array((place[row] >> 9) + offset), batch.column("many").take(pa.array(row)),
-                *(pa.array(np.frombuffer(b"".join(batch.column(d).to_pylist()), np.int64)) for d in ("d1", "d2"))],
-                names=[*TEXT, "at", "many", "d1", "d2"])
-
-    return cut.mapInArrow(run, "t1 long, t2 long, at long, many boolean, d1 long, d2 long")
+            if not batch.num_rows:
+                continue
+            text, start, d1, d2 = windows(batch.column("bytes").to_pylist(), threshold)
+            columns = {c: batch.column(c).to_numpy(zero_copy_only=False)[text] for c in (*TEXT, "begin")}
+            yield pa.record_batch([pa.array(columns["t1"]), pa.array(columns["t2"]), pa.array(columns["begin"] + start),
+                                   batch.column("many").take(pa.array(text)), _longs(d1), _longs(d2)],
+                                  names=[*TEXT, "at", "many", "d1", "d2"])
 
-
-def _sorted_out(rows: DataFrame, threshold: int, many: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """From bunches with repeated anchors: (t1, t2, begin, end) of those that repeat as a whole, and one bunch
-    per context, with ``many`` set if it repeats, of the anchors that have several contexts."""
-    place = F.struct(*TEXT, "place")
-    extra = [c for c in ("d1", "d2") if c in rows.columns]
-    groups = rows.groupBy("anchor", "context").agg(
-        F.min(F.struct(*TEXT, "place", *extra)).alias("low"),
-        ((F.min(place) != F.max(place)) | F.max(F.expr(many))).alias("many"))
-    groups = stored(groups, f"suffix-{name}")
-    whole = rows.join(groups.where("many").select("anchor", "context"), ["anchor", "context"], "left_semi") \
-        .select(*TEXT, F.shiftright("place", 9).alias("begin"),
-                (F.shiftright("place", 9) + F.col("place").bitwiseAND(F.lit(511)) + threshold).alias("end"))
-    torn = groups.groupBy("anchor").count().where("count > 1").select("anchor")
-    return whole, groups.join(torn, "anchor", "left_semi").select("low.*", "anchor", "context", "many")
+    return slices.mapInArrow(run, "t1 long, t2 long, at long, many boolean, d1 long, d2 long")
 
 
 def repeated_windows(rows: DataFrame, threshold: int) -> DataFrame:
@@ -232,11 +270,6 @@ def _merged(found: DataFrame) -> DataFrame:
     return runs.groupBy(*TEXT).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
-def _check(threshold: int, grams: tuple) -> None:
-    if not 1 <= min(grams) <= max(grams) < threshold <= min(grams) + 511:
-        raise ValueError("anchors must be shorter than the threshold, by 511 bytes at most")
-
-
 def distinct_texts(docs: DataFrame, text_col: str, threshold: int) -> tuple[DataFrame, DataFrame]:
     """One row (t1, t2, text) per distinct text of at least ``threshold`` bytes, and the stored keys of those
     that occur more than once.  Only texts that may be copies are shuffled."""
@@ -247,25 +280,34 @@ def distinct_texts(docs: DataFrame, text_col: str, threshold: int) -> tuple[Data
     return maybe_in(texts, "t1", bits, keep=False).union(first), copies
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD,
-                   grams: tuple = GRAMS) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, gram: int = GRAM,
+                   bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """(t1, t2, spans): the merged byte spans that go, per text that occurs once and loses any (stored); and
     (t1, t2) of the texts that occur more than once, which go whole (stored)."""
-    _check(threshold, grams)
+    if not 1 <= gram < threshold <= gram + 511:
+        raise ValueError("anchors must be shorter than the threshold, by 511 bytes at most")
     bound_batches(docs.sparkSession)
     texts, copies = distinct_texts(docs, text_col, threshold)
-    shared = anchors(texts, threshold, grams[0]).groupBy("anchor").count().where("count > 1").select("anchor")
+    shared = anchors(texts, threshold, gram).groupBy("anchor").count().where("count > 1").select("anchor")
     shared = stored(shared, "suffix-anchors")
-    rows = bunch_rows(texts, threshold, grams[0], bitmap_bytes(bitmap(shared, "anchor")))
+    rows = bunch_rows(texts, threshold, gram, bitmap_bytes(bitmap(shared, "anchor")))
     rows = stored(rows.join(shared, "anchor", "left_semi"), "suffix-bunches")
-    whole, torn = _sorted_out(rows, threshold, "false", "contexts")
-    torn = stored(torn.groupBy(*TEXT).agg(F.collect_list(F.struct("place", "many")).alias("bunches")), "suffix-torn")
-    ranges = maybe_in(texts, "t1", bitmap(torn, "t1")).join(torn, TEXT)
-    cut = stored(cut_rows(ranges, threshold, grams[1]), "suffix-cut")
-    sizes = cut.groupBy("anchor").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1")
-    finer, ends = _sorted_out(cut.join(sizes.select("anchor"), "anchor", "left_semi"), threshold, "many", "ends")
-    single = repeated_windows(stored(window_rows(ends), "suffix-windows"), threshold)
-    found = whole.union(finer).union(single).join(copies, TEXT, "left_anti").distinct()
+    place = F.struct(*TEXT, "place")
+    groups = rows.groupBy("anchor", "context").agg(F.min(place).alias("low"), (F.min(place) != F.max(place)).alias("many"))
+    groups = stored(groups, "suffix-contexts")
+    whole = rows.join(groups.where("many").select("anchor", "context"), ["anchor", "context"], "left_semi") \
+        .select(*TEXT, F.shiftright("place", 9).alias("begin"),
+                (F.shiftright("place", 9) + F.col("place").bitwiseAND(F.lit(511)) + threshold).alias("end"))
+    torn = groups.groupBy("anchor").count().where("count > 1").select("anchor", (F.col("count") > bucket).alias("large"))
+    torn = groups.join(torn, "anchor").select("low.*", "anchor", "many", "large")
+    torn = torn.groupBy(*TEXT).agg(F.collect_list(F.struct("place", "anchor", "many", "large")).alias("bunches"))
+    torn = stored(torn, "suffix-torn")
+    slices = slices_of(maybe_in(texts, "t1", bitmap(torn, "t1")).join(torn, TEXT), threshold)
+    slices = stored(slices, "suffix-slices")
+    local = slices.where("not large").repartition("anchor").sortWithinPartitions("anchor") \
+        .mapInArrow(lambda it: repeated_in_bucket(it, threshold), "t1 long, t2 long, begin long, end long")
+    wide = repeated_windows(window_rows(slices.where("large"), threshold), threshold)
+    found = whole.union(local).union(wide).join(copies, TEXT, "left_anti").distinct()
     return stored(_merged(found), "suffix-spans"), copies
 
 
@@ -295,9 +337,9 @@ def _kept(docs: DataFrame, text_col: str, spans: DataFrame) -> DataFrame:
     return likely.join(spans, TEXT).mapInArrow(run, "t1 long, t2 long, n_removed long, n_spans long, kept binary")
 
 
-def remaining_bytes(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, grams: tuple = GRAMS) -> DataFrame:
+def remaining_bytes(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """(t1, t2, n_removed, n_spans, kept) of every distinct text that loses bytes; ``t1, t2`` as in ``text_key``."""
-    spans, copies = repeated_spans(docs, text_col, threshold, grams)
+    spans, copies = repeated_spans(docs, text_col, threshold, gram)
     gone = copies.select(*TEXT, F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
                          F.lit(b"").alias("kept"))
     return _kept(docs, text_col, spans).union(gone)
@@ -310,12 +352,12 @@ def text_key(text_col: str = "text") -> list:
 
 
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                   grams: tuple = GRAMS) -> DataFrame:
+                   gram: int = GRAM) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), *text_key(text_col), F.octet_length(text).cast("long").alias("n_bytes"),
                        F.sha2(text, 256).alias("own"))
-    lost = remaining_bytes(docs, text_col, threshold, grams) \
+    lost = remaining_bytes(docs, text_col, threshold, gram) \
         .select(*TEXT, "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     lost = stored(lost, "suffix-lost")
     return rows.join(lost, TEXT, "left").select(
