@@ -200,7 +200,7 @@ def labelled_sample(labelled: DataFrame, per_class: int = PER_CLASS) -> list:
     """The bounded training sample: ``per_class`` rows of each class, by hash of id and value."""
     share = labelled.where("label in (0, 1)").groupBy("label").agg(F.least(F.lit(1.0), 4.0 * per_class / F.count(F.lit(1))).alias("share"))
     order = F.abs(F.xxhash64("doc_id", "value", "start") / 2.0**63)
-    few = labelled.join(F.broadcast(share), "label")  # two rows.withColumn("order", order).where("order <= share")
+    few = labelled.join(F.broadcast(share), "label").withColumn("order", order).where("order <= share")  # two shares
     rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "doc_id", "start", "value"))
     return few.withColumn("k", rank).where(F.col("k") <= per_class).select("path", "value", "left", "right", "label", "order") \
         .orderBy("order", "value", "left").collect()
