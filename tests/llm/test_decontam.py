@@ -139,3 +139,37 @@ def test_query_equals_brute_force(spark):
     by = {r.doc_id: r for r in got}
     for doc, text in docs:
         assert set(by[doc].item_ids) >= {i for i, t in items if t in text}
+
+
+def slow_shares(text, item):
+    """Share of the item's windows that a text covers, slot by slot with the value of most windows."""
+    own, diagonals = slow_windows(item), defaultdict(list)
+    for (p, _), (tokens, slots) in slow_windows(text).items():
+        for (q, _), (other, values) in own.items():
+            if tokens == other:
+                diagonals[p - q].append((q, values, slots))
+    covered = set()
+    for found in diagonals.values():
+        votes = defaultdict(lambda: defaultdict(set))
+        for q, values, slots in found:
+            for a, b in zip(values, slots):
+                votes[a][b].add(q)
+        best = {a: max(v, key=lambda b: (len(v[b]), a == b, b)) for a, v in votes.items()}
+        covered |= {q for q, values, slots in found if values == slots or all(best[a] == b for a, b in zip(values, slots))}
+    return len(covered) / len({p for p, _ in own})
+
+
+LONG = ("The keeper in Boston counts 3 crates of oranges each morning and then he sends a note about 3 more crates "
+        "of oranges to the office in Boston where the clerk writes down the numbers in a ledger every single day")
+
+
+def test_one_inconsistent_slot_costs_its_own_windows_only(spark):
+    texts = [LONG.replace("3 more", "5 more"), LONG.replace("3 crates", "5 crates", 1), LONG.replace("in Boston where", "in Lisbon where"),
+             LONG.replace("3", "8").replace("8 more", "9 more"), LONG.replace("3", "8").replace("Boston", "Lisbon"),
+             "The sum of 6 and 7 is the same as 5 more than that"]
+    items = [(0, LONG), (3, ITEMS[3][1])]
+    got = fast_flags(spark, [(i, t, None, None) for i, t in enumerate(texts)], items)
+    for doc, hit, found, share in got:
+        want = {k: slow_shares(texts[doc], t) for k, t in items}
+        assert found == [k for k in want if want[k] >= 0.8] and share == round(max([v for v in want.values() if v >= 0.8], default=0.0), 9)
+    assert [hit for _, hit, *_ in got] == [True] * 5 + [False]

@@ -4,9 +4,10 @@ Words (split at white space, outer punctuation removed, lower-cased) become temp
 into ``<num>``, a unit after a number into ``<unit>`` and, in the *typed* form, a capitalised word inside a
 sentence into ``<name>``; the *plain* form keeps names, so that re-cased copies are found as well.  Five
 consecutive tokens are a window.  The windows of the benchmark items are hash-joined with those of all
-documents.  For matches on one diagonal (same shift between item and document) the slots must be
-consistent: every item value stands for one and the same document value.  A document is contaminated by an
-item if windows on consistent diagonals cover ``similarity`` or more of the item's windows.
+documents.  On one diagonal (same shift between item and document) an item value stands for one document
+value, the one in most windows (then the equal one, then the greatest); windows with another one are no
+match, unless they equal the item's word for word.  A document is contaminated by an item if its matches
+cover ``similarity`` or more of the item's windows.
 
 Scale: a document emits only windows whose bit is set in a bitmap of fixed size built from
 the benchmark windows, whatever their number; false positives fall out in the join, nothing is missed.
@@ -175,6 +176,17 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFram
     return rows.mapInArrow(cut, f"key {key_type}, n_windows long, {WINDOW_SCHEMA}")
 
 
+def torn_pairs(match: DataFrame) -> DataFrame:
+    """Per diagonal with an item value that stands for several document values: the pairs (a, b) that lose."""
+    diagonal = ["key", "row", "shift"]
+    votes = match.select(*diagonal, "item_at", F.explode("pairs").alias("pair")).distinct() \
+        .groupBy(*diagonal, "pair.a", "pair.b").agg(F.count(F.lit(1)).alias("n"))
+    values = votes.groupBy(*diagonal, "a").agg(F.max(F.struct("n", F.col("a") == F.col("b"), "b"))["b"].alias("best"),
+                                               F.collect_list("b").alias("bs")).where(F.size("bs") > 1)
+    lost = values.select(*diagonal, "a", "best", F.explode("bs").alias("b")).where("b <> best")
+    return lost.groupBy(*diagonal).agg(F.collect_list(F.struct("a", "b")).alias("torn"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Stored rows (text_sha256, item_ids, containment) of the contaminated texts."""
@@ -188,10 +200,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     found = _windows(texts, words, bitmap_bytes(bitmap(own, "hash"))).drop("n_windows").distinct()
     match = found.join(own, "hash").withColumn("shift", F.col("position") - F.col("item_at"))
     match = stored(match.select("key", "row", "n_windows", "shift", "item_at", "item_slots", "slots"), "decontam-matches")
-    pairs = match.select("key", "row", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("pair"))
-    bad = pairs.groupBy("key", "row", "shift", "pair.item_slots") \
-        .agg((F.min("pair.slots") != F.max("pair.slots")).alias("torn")).where("torn").select("key", "row", "shift").distinct()
-    cover = match.join(bad, ["key", "row", "shift"], "left_anti") \
+    match = match.withColumn("pairs", F.expr("zip_with(item_slots, slots, (a, b) -> struct(a, b))"))
+    cover = match.join(torn_pairs(match), ["key", "row", "shift"], "left") \
+        .where(F.col("item_slots").eqNullSafe(F.col("slots")) | F.col("torn").isNull() | ~F.arrays_overlap("pairs", "torn")) \
         .select("key", "row", "n_windows", "item_at").distinct() \
         .groupBy("key", "row", "n_windows").agg((F.count(F.lit(1)) / F.col("n_windows")).alias("share"))
     hit = cover.where(F.col("share") >= similarity - 1e-9).join(items.select("row", "item"), "row")
