@@ -173,3 +173,12 @@ def test_one_inconsistent_slot_costs_its_own_windows_only(spark):
         want = {k: slow_shares(texts[doc], t) for k, t in items}
         assert found == [k for k in want if want[k] >= 0.8] and share == round(max([v for v in want.values() if v >= 0.8], default=0.0), 9)
     assert [hit for _, hit, *_ in got] == [True] * 5 + [False]
+
+
+def test_sentences_that_begin_with_a_name(spark):
+    item = "Tom has 3 apples. Tom buys 4 more apples. How many apples does Tom have now?"
+    anna = item.replace("Tom", "Anna")
+    texts = [item, anna, anna.replace("4", "9"), "A word before. " + anna, anna.replace("Anna has", "Now Anna has"),
+             item.replace("Tom buys", "Anna buys").replace("does Tom", "does Eve"), "Pears cost 3 pence. Plums cost 4 more pence. What do all of them cost?"]
+    got = fast_flags(spark, [(i, t, None, None) for i, t in enumerate(texts)], [(0, item)])
+    assert [hit for _, hit, *_ in got] == [True] * 5 + [False] * 2 and got[1][3] == 1.0

@@ -2,8 +2,9 @@
 
 Words (split at white space, outer punctuation removed, lower-cased) become template tokens: numbers turn
 into ``<num>``, a unit after a number into ``<unit>`` and, in the *typed* form, a capitalised word inside a
-sentence into ``<name>``; the *plain* form keeps names, so that re-cased copies are found as well.  Five
-consecutive tokens are a window.  The windows of the benchmark items are hash-joined with those of all
+sentence into ``<name>``; in the *opened* form, so does a capitalised word that begins a sentence and may be
+a name.  The *plain* form keeps names, so that re-cased copies are found as well.  Five consecutive tokens
+are a window.  The windows of the benchmark items are hash-joined with those of all
 documents.  On one diagonal (same shift between item and document) an item value stands for one document
 value, the one in most windows (then the equal one, then the greatest); windows with another one are no
 match, unless they equal the item's word for word.  A document is contaminated by an item if its matches
@@ -111,35 +112,41 @@ class Template:
         unit[:1] = False
         unit[1:] &= num[:-1]
         self.fixed = num | unit
-        self.name = ((flags & IS_CAP) > 0) & ~first & ~self.fixed
+        cap = ((flags & IS_CAP) > 0) & ~self.fixed
+        self.name, opens = cap & ~first, cap & first
         plain = vocabulary.hashes[self.at]
         plain[num], plain[unit] = NUM, UNIT
         self.words, self.n = words, max(0, len(plain) - words + 1)
-        # hashes of the windows, and which have enough literal words; the typed form only where it differs
-        self.plain, self.plain_ok = self._hashes(plain), np.ones(self.n, bool)
+        # hashes of the windows with enough literal words; further forms only where they differ
+        usable = np.ones(self.n, bool)
         if self.fixed.any():
-            self.plain_ok = self._sums(~self.fixed) >= LITERALS
-        self.typed, self.typed_ok = self.plain, np.zeros(self.n, bool)
-        if self.name.any():
-            self.typed = self._hashes(np.where(self.name, NAME, plain))
-            self.typed_ok = (self._sums(~(self.fixed | self.name)) >= LITERALS) & (self.typed != self.plain)
+            usable = self._sums(~self.fixed) >= LITERALS
+        self.forms = [(self.fixed, *self._form(plain, usable))]  # slots, positions, hashes
+        slots = self.fixed
+        for added in (self.name, opens):
+            if added.any():
+                slots = slots | added
+                tokens = np.where(slots & ~self.fixed, NAME, plain)
+                self.forms.append((slots, *self._form(tokens, (self._sums(~slots) >= LITERALS) & (self._sums(added) > 0))))
+        self.usable = int(usable.sum())
 
     def _sums(self, mask: np.ndarray) -> np.ndarray:
         return sum(mask[j:j + self.n].astype(np.int8) for j in range(self.words)) if self.n else np.zeros(0, np.int8)
 
-    def _hashes(self, tokens: np.ndarray) -> np.ndarray:
-        h, mixed = np.zeros(self.n, np.uint64), _mixed(tokens)
-        for j in range(self.words if self.n else 0):
-            h ^= mixed[j:j + self.n]
+    def _form(self, tokens: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and hashes of the usable windows."""
+        at = np.flatnonzero(usable)
+        h, mixed = np.zeros(len(at), np.uint64), _mixed(tokens)
+        for j in range(self.words if len(at) else 0):
+            h ^= mixed[at + j]
             h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
-        return h
+        return at, h
 
-    def slots(self, position: int, typed: bool) -> list[str]:
+    def values(self, position: int, slots: np.ndarray) -> list[str]:
         """Values of the window's placeholders, in order."""
         part = slice(position, position + self.words)
-        slot = self.fixed[part] | self.name[part] if typed else self.fixed[part]
-        return [self.cores[k] for k in self.at[part][slot]]
+        return [self.cores[k] for k in self.at[part][slots[part]]]
 
 
 _VOCABULARY = Vocabulary()
@@ -149,7 +156,7 @@ WINDOW_SCHEMA = "position int, hash long, slots array<string>"
 
 def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFrame:
     """Windows of ``rows`` (key, text): key, n_windows, position, hash, slots; only those whose bit is set in
-    ``wanted``.  Positions with both forms give two rows."""
+    ``wanted``.  Positions with several forms give a row of each."""
     bound_batches(rows.sparkSession)
     key_type = rows.schema["key"].dataType.simpleString()
 
@@ -158,16 +165,16 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFram
             source, total, position, hashes, slots = [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 t = Template(text, _VOCABULARY, words)
-                n = int((t.plain_ok | t.typed_ok).sum())
-                for typed, values, usable in ((False, t.plain, t.plain_ok), (True, t.typed, t.typed_ok)):
-                    if wanted is not None:
-                        usable = usable & bits_set(wanted, values)
-                    for p in np.flatnonzero(usable).tolist() if usable.any() else ():
+                for form, at, values in t.forms:
+                    if wanted is not None and len(at):
+                        set_ = bits_set(wanted, values)
+                        at, values = at[set_], values[set_]
+                    for p, h in zip(at.tolist(), values):
                         source.append(i)
-                        total.append(n)
+                        total.append(t.usable)
                         position.append(p)
-                        hashes.append(values[p])
-                        slots.append(t.slots(p, typed))
+                        hashes.append(h)
+                        slots.append(t.values(p, form))
             yield pa.record_batch([
                 batch.column("key").take(pa.array(source, pa.int64())), pa.array(total, pa.int64()),
                 pa.array(position, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64)),
