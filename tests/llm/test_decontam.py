@@ -182,3 +182,19 @@ def test_sentences_that_begin_with_a_name(spark):
              item.replace("Tom buys", "Anna buys").replace("does Tom", "does Eve"), "Pears cost 3 pence. Plums cost 4 more pence. What do all of them cost?"]
     got = fast_flags(spark, [(i, t, None, None) for i, t in enumerate(texts)], [(0, item)])
     assert [hit for _, hit, *_ in got] == [True] * 5 + [False] * 2 and got[1][3] == 1.0
+
+
+def test_items_without_windows_match_whole(spark):
+    items = [(0, "What is 12 + 7?"), (1, "1 2 3 4 5 6 7 8 9"), (2, "小明有三个苹果吗"), (3, "一天有几个小时?"), (4, "..."), (5, "Why?")]
+    texts = ["Say, what is 12 + 7? I ask.", "what is 12 - 7?", "what is 12 + 8?", "0 1 2 3 4 5 6 7 8 9", "1 2 3 4 5 6 7 8 10",
+             "前文在此。小明有三个苹果吗?后文在此。", "我们问,一天有几个小时?谁知道", "nothing of it + 7 ...", "so why not"]
+    got = fast_flags(spark, [(i, t, None, None) for i, t in enumerate(texts)], items)
+    assert [found for _, _, found, _ in got] == [[0], [], [], [1], [], [2], [3], [], [5]]
+
+
+def test_exact_runs_equal_plain_slices():
+    t = D.Template("a b a b c + a b a b c - a", D.Vocabulary())
+    for size in (1, 2, 5, 13, 14):
+        runs = [tuple(t.whole[i:i + size].tolist()) for i in range(len(t.whole) - size + 1)]
+        hashes = t.exact(size).tolist()
+        assert len(hashes) == len(runs) and all((a == b) == (x == y) for a, x in zip(hashes, runs) for b, y in zip(hashes, runs))

@@ -15,8 +15,11 @@ the benchmark windows, whatever their number; false positives fall out in the jo
 Rows are keyed by the SHA-256 of their text, so copies collapse before the join and nothing of the
 documents or the benchmark but that bitmap passes the driver.
 
-Defined results: a null text has no words; an item with fewer than five words, or whose windows have fewer
-than ``LITERALS`` words that are no placeholder, has no windows and contaminates nothing; an item or
+An item with fewer than five words, or whose windows all have fewer than ``LITERALS`` words that are no
+placeholder, is matched whole: its words and symbols, numbers included, are one window of its own length.
+Characters of scripts without blanks are a word each.
+
+Defined results: a null text has no words; an item without words contaminates nothing; an item or
 document that occurs repeatedly counts each time; an empty benchmark flags nothing; further columns are
 kept by ``drop_contaminated`` and not read otherwise.
 """
@@ -24,6 +27,7 @@ kept by ``drop_contaminated`` and not read otherwise.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +45,11 @@ minutes h hr hour hours day days week weeks month months year years percent % de
 mb gb tb usd eur gbp dollar dollars euro euros cent cents people items""".split())
 NUMBER = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th|%|[a-zµ°]{1,4})?")
 NUM, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(f"<{x}>", 1)) for x in ("num", "unit", "name"))
-LITERAL, IS_NUM, IS_UNIT, IS_CAP, ENDS, EMPTY = 0, 1, 2, 4, 8, 16
+LITERAL, IS_NUM, IS_UNIT, IS_CAP, ENDS, EMPTY, SYMBOL = 0, 1, 2, 4, 8, 16, 32
+NO_BLANKS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff][\u0300-\u036f\u0e31\u0e34-\u0e3a\u0e47-\u0e4e\u3099\u309a]*)")
 BREAK = b"\x00"
+BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
 class Vocabulary:
@@ -67,7 +74,8 @@ class Vocabulary:
             flags = ENDS if shown.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", BREAK.decode())) else 0
             low = core.lower()
             if not core:
-                low, flags = ("%", flags | IS_UNIT) if shown == "%" else ("", flags | EMPTY)
+                symbol = SYMBOL * any(c in "-*/&#@" or unicodedata.category(c) == "Sm" for c in shown)
+                low, flags = ("%", flags | IS_UNIT) if shown == "%" else (shown, flags | EMPTY | symbol)
             elif NUMBER.fullmatch(low):
                 flags |= IS_NUM
             else:
@@ -99,13 +107,17 @@ class Template:
     """Template tokens of one text and its windows."""
 
     def __init__(self, text: str | None, vocabulary: Vocabulary, words: int = WORDS):
-        raw = (text or "").encode().replace(b"\n", b" " + BREAK + b" ").split()
+        text = text or ""
+        if not text.isascii():
+            text = NO_BLANKS.sub(r" \1 ", text)
+        raw = text.encode().replace(b"\n", b" " + BREAK + b" ").split()
         at = vocabulary.look_up(raw)
         self.cores = vocabulary.cores
         flags = vocabulary.flags[at]
         first = np.ones(len(at), bool)
         first[1:] = (flags[:-1] & ENDS) > 0
         real = (flags & EMPTY) == 0
+        self.whole = vocabulary.hashes[at[real | ((flags & SYMBOL) > 0)]] if real.any() else np.zeros(0, np.uint64)
         self.at, flags, first = at[real], flags[real], first[real]
         num = (flags & IS_NUM) > 0
         unit = (flags & IS_UNIT) > 0
@@ -143,6 +155,15 @@ class Template:
             h ^= h >> np.uint64(32)
         return at, h
 
+    def exact(self, size: int) -> np.ndarray:
+        """Hashes of all runs of ``size`` words and symbols as they are."""
+        n = max(0, len(self.whole) - size + 1)
+        total = np.zeros(len(self.whole) + 1, np.uint64)  # a polynomial in odd BASE, modulo 2 ** 64
+        power = np.cumprod(np.full(len(self.whole), BASE, np.uint64))
+        np.cumsum(_mixed(self.whole) * power, out=total[1:])
+        back = np.cumprod(np.full(n, BASE_INVERSE, np.uint64))
+        return _mixed((total[size:size + n] - total[:n]) * back + np.uint64(size))
+
     def values(self, position: int, slots: np.ndarray) -> list[str]:
         """Values of the window's placeholders, in order."""
         part = slice(position, position + self.words)
@@ -150,35 +171,42 @@ class Template:
 
 
 _VOCABULARY = Vocabulary()
-WINDOW_TYPE = pa.struct([("position", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string()))])
-WINDOW_SCHEMA = "position int, hash long, slots array<string>"
+WINDOW_TYPE = pa.struct([("position", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("size", pa.int32())])
+WINDOW_SCHEMA = "position int, hash long, slots array<string>, size int"
 
 
-def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None) -> DataFrame:
+def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None, sizes: list[int] | None = None) -> DataFrame:
     """Windows of ``rows`` (key, text): key, n_windows, position, hash, slots; only those whose bit is set in
-    ``wanted``.  Positions with several forms give a row of each."""
+    ``wanted``.  Positions with several forms give a row of each.  Without ``sizes`` a text that has no
+    usable window gives itself as one; with them every run of these sizes is a window, too.  ``size`` is null
+    for the windows of ``words`` tokens."""
     bound_batches(rows.sparkSession)
     key_type = rows.schema["key"].dataType.simpleString()
 
     def cut(batches):
         for batch in batches:
-            source, total, position, hashes, slots = [], [], [], [], []
+            source, total, position, hashes, slots, size = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 t = Template(text, _VOCABULARY, words)
-                for form, at, values in t.forms:
+                lengths = sizes if sizes is not None else [len(t.whole)] * (len(t.whole) > 0 and not t.usable)
+                runs = [(k, t.exact(k)) for k in lengths if k <= len(t.whole)]
+                forms = [(None, form, at, values) for form, at, values in t.forms]
+                for k, form, at, values in forms + [(k, None, np.arange(len(h)), h) for k, h in runs]:
                     if wanted is not None and len(at):
                         set_ = bits_set(wanted, values)
                         at, values = at[set_], values[set_]
                     for p, h in zip(at.tolist(), values):
                         source.append(i)
-                        total.append(t.usable)
+                        total.append(t.usable if k is None else 1)
                         position.append(p)
                         hashes.append(h)
-                        slots.append(t.values(p, form))
+                        slots.append(t.values(p, form) if k is None else [])
+                        size.append(k)
             yield pa.record_batch([
                 batch.column("key").take(pa.array(source, pa.int64())), pa.array(total, pa.int64()),
                 pa.array(position, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64)),
-                pa.array(slots, pa.list_(pa.string()))], names=["key", "n_windows", "position", "hash", "slots"])
+                pa.array(slots, pa.list_(pa.string())), pa.array(size, pa.int32())],
+                names=["key", "n_windows", "position", "hash", "slots", "size"])
 
     return rows.mapInArrow(cut, f"key {key_type}, n_windows long, {WINDOW_SCHEMA}")
 
@@ -202,9 +230,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     items = stored(items.select("key.item", "key.row", "text"), "decontam-items")
     own = _windows(items.select(F.col("row").alias("key"), "text"), words, None)
     own = stored(own.select(F.col("key").alias("row"), "n_windows", F.col("position").alias("item_at"), "hash",
-                            F.col("slots").alias("item_slots")), "decontam-windows")
+                            F.col("slots").alias("item_slots"), "size"), "decontam-windows")
+    sizes = sorted(r[0] for r in own.where("size is not null").select("size").distinct().collect())  # a number per length
     texts = docs.select(F.sha2(text_or_empty(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = _windows(texts, words, bitmap_bytes(bitmap(own, "hash"))).drop("n_windows").distinct()
+    found = _windows(texts, words, bitmap_bytes(bitmap(own, "hash")), sizes).drop("n_windows", "size").distinct()
     match = found.join(own, "hash").withColumn("shift", F.col("position") - F.col("item_at"))
     match = stored(match.select("key", "row", "n_windows", "shift", "item_at", "item_slots", "slots"), "decontam-matches")
     match = match.withColumn("pairs", F.expr("zip_with(item_slots, slots, (a, b) -> struct(a, b))"))
