@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on all that its predecessor kept.
 The stages, their input and what they do with it:
 
-1. language ID: rows whose language is ``und`` (null text, no letter) go.
+1. language ID: rows whose language is ``und`` (null text, no letter) or whose score is under the least score
+   go; if nothing could be learned every row with a letter stays.
 2. line dedup: lines that occur earlier in the corpus go; the row stays, ``n_chars`` follows the text.
 3. SimHash near-dedup: one row of each group stays, the one with the smallest id.
 4. benchmark decontamination: rows contaminated by an item of ``benchmark`` go.

@@ -103,3 +103,18 @@ def test_held_out_accuracy_of_the_query(spark):
     truth = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang")
     right = got.join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_keep_identified_goes_by_the_prediction(spark, monkeypatch):
+    docs = spark.createDataFrame(table() + [(900, "12 !?", "en", None, None)], SCHEMA)
+    assert sorted(r.doc_id for r in L.keep_identified(docs, languages=["en"]).collect()) == list(range(0, 80, 2))
+    assert sorted(r.doc_id for r in L.keep_identified(docs).collect()) == list(range(80))
+    flat = {**L.new_network([f"l{k}" for k in range(4)]), "O": np.zeros((2, L.UNITS, 4), np.float32)}
+    monkeypatch.setattr(L, "learn", lambda *a, **k: flat)  # every language alike: score 0.25
+    assert L.keep_identified(docs).count() == 0 and L.keep_identified(docs, least_score=0.2).count() == 80
+
+
+def test_keep_identified_without_labels_keeps_rows_with_a_letter(spark):
+    docs = spark.createDataFrame([(1, "some text", None, None, None), (2, "12 !?", None, None, 3), (3, None, None, "s", None)], SCHEMA)
+    kept = L.keep_identified(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]

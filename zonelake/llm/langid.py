@@ -30,6 +30,7 @@ PER_LANG, PIECES = 400, 6
 EPOCHS, BATCH, RATE = 12, 256, 0.02
 WINDOWS_AT_ONCE = 2048
 UND = "und"
+LEAST_SCORE, LIFT = 0.3, 1.2  # a text in two or three of the languages reaches this
 
 
 # --- network -----------------------------------------------------------------------------
@@ -236,6 +237,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return net
 
 
+def has_letter(text_col: str):
+    return F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
+
+
 def with_language(docs: DataFrame, net: dict | None, text_col: str, lang_out: str, score_out: str) -> DataFrame:
     """``docs`` with the predicted language and its score; reads nothing but the text."""
     bound_batches(docs.sparkSession)
@@ -249,7 +254,7 @@ def with_language(docs: DataFrame, net: dict | None, text_col: str, lang_out: st
         best = p.argmax(axis=1)
         return pd.DataFrame({"lang": [net["langs"][k] for k in best], "score": np.clip(p.max(axis=1), 0, 1)})
 
-    known = F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False))
+    known = has_letter(text_col)
     named = docs.withColumn(both, predict(F.col(text_col).cast("string")))
     return named.withColumns({
         lang_out: F.when(known, F.col(both)["lang"]).otherwise(F.lit(UND)),
@@ -263,11 +268,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return with_language(rows, net, "text", "lang_pred", "score").drop("text")
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; all columns unchanged."""
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    least_score: float = LEAST_SCORE, languages: list[str] | None = None) -> DataFrame:
+    """``docs`` without the rows that have no letter, whose score is under ``least_score`` (with many languages:
+    under ``LIFT`` times that of a uniform guess) or whose language is not in ``languages`` (default: all
+    learned).  If nothing could be learned every row with a letter stays.  All columns unchanged."""
+    net = learn(docs, id_col, text_col, lang_col)
+    if net is None:
+        return docs.where(has_letter(text_col))
     lang, score = fresh(docs, "lang", "score")
-    named = with_language(docs, learn(docs, id_col, text_col, lang_col), text_col, lang, score)
-    return named.where(F.col(lang) != UND).drop(lang, score)
+    named = with_language(docs, net, text_col, lang, score)
+    stays = (F.col(lang) != UND) & (F.col(score) >= min(least_score, LIFT / len(net["langs"])))
+    if languages is not None:
+        stays &= F.col(lang).isin(list(languages))
+    return named.where(stays).drop(lang, score)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
