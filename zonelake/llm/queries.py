@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from zonelake.llm.decontam import op5_decontamination
+from zonelake.llm.divergence import OP11_SQL, op11_source_divergence
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from zonelake.llm.langid import op6_language_id
 from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
+from zonelake.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from zonelake.llm.quotes import OP10_SQL, op10_chat_formatting
 from zonelake.llm.secrets import op3_secret_scan
 from zonelake.llm.simhash import op1_simhash_near_dedup
@@ -24,10 +26,14 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }
