@@ -5,6 +5,7 @@ from __future__ import annotations
 from zonelake.llm.decontam import op5_decontamination
 from zonelake.llm.divergence import OP11_SQL, op11_source_divergence
 from zonelake.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from zonelake.llm.group_join import OP13_SQL, op13_jaccard_join
 from zonelake.llm.langid import op6_language_id
 from zonelake.llm.line_dedup import OP7_SQL, op7_line_dedup
 from zonelake.llm.packing import op9_packing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_source_divergence": op11_source_divergence,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op10_chat_formatting": OP10_SQL,
     "op11_source_divergence": OP11_SQL,
     "op12_prefix_trie": OP12_SQL,
+    "op13_jaccard_join": OP13_SQL,
 }
