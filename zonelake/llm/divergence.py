@@ -45,6 +45,8 @@ TASK_TERMS = 400_000      # entries of a task's tables before they are emitted
 DENSE_SLOTS = 1 << 23     # slots of a task's dense counters (8 bytes each) before they are emitted
 WINDOW_BYTES = 2 << 20    # bytes of text that are hashed at once
 TERM_BLOCK, SOURCE_BLOCK = 2048, 64
+SLOT_BLOCK, TASKS_AT_ONCE = 16384, 256
+FEW_LANGS = 10_000        # a row a language is broadcast up to so many
 DISPLACEMENTS = 1024      # tried at once
 
 # ASCII letters in lower case, every other ASCII character a blank, other bytes unchanged.
@@ -59,28 +61,30 @@ def terms_of(text: str) -> list[bytes]:
     return text.encode().translate(LETTERS).split()
 
 
-def _rows(table: dict, schema: pa.Schema):
-    """The entries ((key, ...), count) of a task's table in record batches."""
-    items = list(table.items())
-    for i in range(0, len(items), 8192):
-        part = items[i:i + 8192]
-        columns = [*zip(*(k for k, _ in part)), [n for _, n in part]]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
-
-
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """(lang, term, n_docs) over all documents (lang, text)."""
     schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("n", pa.int64())])
 
     def count(batches):
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
+
+        def emit():
+            for lang, counts in held.items():
+                terms, numbers = list(counts), list(counts.values())
+                for i in range(0, len(terms), 16384):
+                    part = terms[i:i + 16384]
+                    yield pa.record_batch([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()),
+                                           pa.array(numbers[i:i + 16384], pa.int64())], schema=schema)
+            held.clear()
+
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                held.update((lang, t) for t in set(terms_of(text)))
-                if len(held) > TASK_TERMS:
-                    yield from _rows(held, schema)
-                    held.clear()
-        yield from _rows(held, schema)
+                if lang not in held:
+                    held[lang] = Counter()
+                held[lang].update(set(terms_of(text)))
+            if sum(map(len, held.values())) > TASK_TERMS:
+                yield from emit()
+        yield from emit()
 
     return docs.select("lang", "text").mapInArrow(count, "lang string, term string, n long") \
         .groupBy("lang", "term").agg(F.sum("n").alias("n_docs"))
@@ -175,7 +179,7 @@ def shards(head: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
     def hashed(terms: pd.Series) -> pd.Series:
         return pd.Series(word_hashes(*_pack([t.encode() for t in terms])).view(np.int64))
 
-    per_lang = head.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / shard_keys).alias("n_shards"))
+    per_lang = _per_lang(head.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / shard_keys).alias("n_shards")))
     rows = head.withColumn("h", hashed("term"))
     rows = rows.withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("lang", "h"))).where("same = 1")
     rows = rows.join(per_lang, "lang").withColumn("shard", F.expr("shiftrightunsigned(h, 40) % n_shards"))
@@ -259,11 +263,19 @@ def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buffer, edge[::2], edge[1::2] - edge[::2]
 
 
-def recount(docs: DataFrame, lookup: Lookup, with_rest: bool) -> DataFrame:
-    """(g, slot, term, n): occurrences by group, of keys by slot and, ``with_rest``, of all other terms by name."""
-    schema = pa.schema([("g", pa.int64()), ("slot", pa.int64()), ("lang", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+def recount(docs: DataFrame, lookup: Lookup, with_rest: bool) -> tuple[DataFrame, DataFrame]:
+    """Occurrences by group: (g, slot, n) of the keys and, ``with_rest``, (g, lang, term, n) of all other terms.
+
+    A task emits the used slots of a group's dense counters by blocks of ``SLOT_BLOCK`` slots, as one row a block.
+    """
+    schema = pa.schema([("task", pa.int64()), ("g", pa.int64()), ("block", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary()),
+                        ("lang", pa.string()), ("term", pa.string()), ("n", pa.int64())])
     shared = docs.sparkSession.sparkContext.broadcast(lookup)
 
+    def batch_of(**columns):
+        n = len(next(iter(columns.values())))
+        return pa.record_batch([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
     def count(batches):
         table = shared.value
         dense: dict[int, tuple[int, np.ndarray]] = {}
@@ -271,19 +283,19 @@ def recount(docs: DataFrame, lookup: Lookup, with_rest: bool) -> DataFrame:
 
         def emit():
             for g, (low, counts) in dense.items():
-                used = np.flatnonzero(counts)
-                for i in range(0, len(used), 65536):
-                    part = used[i:i + 65536]
-                    n = len(part)
-                    yield pa.record_batch([pa.array(np.full(n, g)), pa.array(part + low), pa.nulls(n, pa.string()),
-                                           pa.nulls(n, pa.string()), pa.array(counts[part])], schema=schema)
+                out = []
+                for at in range(0, len(counts), SLOT_BLOCK):
+                    part = counts[at:at + SLOT_BLOCK]
+                    used = np.flatnonzero(part)
+                    if len(used):
+                        out.append((g, low + at, used.astype("<u2").tobytes(), part[used].astype("<i8").tobytes()))
+                if out:
+                    yield batch_of(**dict(zip(("g", "block", "slots", "counts"), zip(*out))))
             items = list(rest.items())
             for i in range(0, len(items), 8192):
-                part = items[i:i + 8192]
-                yield pa.record_batch([pa.array([k[0] for k, _ in part], pa.int64()), pa.nulls(len(part), pa.int64()),
-                                       pa.array([k[1] for k, _ in part], pa.string()),
-                                       pa.array([k[2].decode() for k, _ in part], pa.string()),
-                                       pa.array([c for _, c in part], pa.int64())], schema=schema)
+                keys, numbers = zip(*items[i:i + 8192])
+                g, lang, term = zip(*keys)
+                yield batch_of(g=g, lang=lang, term=term, n=numbers)
             dense.clear()
             rest.clear()
 
@@ -331,7 +343,43 @@ def recount(docs: DataFrame, lookup: Lookup, with_rest: bool) -> DataFrame:
             add(held)
         yield from emit()
 
-    return docs.select("g", "lang", "text").mapInArrow(count, "g long, slot long, lang string, term string, n long")
+    raw = stored(docs.select("g", "lang", "text").mapInArrow(
+        count, "task long, g long, block long, slots binary, counts binary, lang string, term string, n long")
+        .withColumn("task", F.spark_partition_id().cast("long")), "divergence-recount")
+    rest = raw.where("term is not null").groupBy("g", "lang", "term").agg(F.sum("n").alias("n"))
+    return merged_blocks(raw.where("block is not null").select("task", "g", "block", "slots", "counts")), rest
+
+
+def merged_blocks(blocks: DataFrame) -> DataFrame:
+    """(g, slot, n): the blocks of all tasks added up, those of ``TASKS_AT_ONCE`` tasks first."""
+    part = pa.schema([("task", pa.int64()), ("g", pa.int64()), ("block", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary())])
+    flat = pa.schema([("g", pa.int64()), ("slot", pa.int64()), ("n", pa.int64())])
+
+    def add(batches, last: bool):
+        now, total = None, None
+
+        def done():
+            used = np.flatnonzero(total)
+            if last:
+                return pa.record_batch([pa.array(np.full(len(used), now[1])), pa.array(used + now[2]), pa.array(total[used])], schema=flat)
+            return pa.record_batch([pa.array([x], t) for x, t in zip((*now, used.astype("<u2").tobytes(), total[used].tobytes()), part.types)], schema=part)
+
+        for b in batches:
+            for *key, slots, counts in zip(*(b.column(c).to_pylist() for c in part.names)):
+                if key != now:
+                    if now is not None:
+                        yield done()
+                    now, total = key, np.zeros(SLOT_BLOCK, np.int64)
+                total[np.frombuffer(slots, "<u2")] += np.frombuffer(counts, "<i8")
+        if now is not None:
+            yield done()
+
+    def dealt(df):
+        return df.repartition("task", "g", "block").sortWithinPartitions("task", "g", "block").select(part.names)
+
+    some = dealt(blocks.withColumn("task", F.expr(f"task div {TASKS_AT_ONCE}"))) \
+        .mapInArrow(lambda it: add(it, False), "task long, g long, block long, slots binary, counts binary")
+    return dealt(some.withColumn("task", F.lit(0).cast("long"))).mapInArrow(lambda it: add(it, True), "g long, slot long, n long")
 
 
 # --- operator -----------------------------------------------------------------------------
@@ -369,11 +417,15 @@ def term_counts(docs: DataFrame, least_docs: int = LEAST_DOCS, head_bytes: int =
         (F.monotonically_increasing_id() + len(lookup.lengths)).alias("term_id"), "lang", "term")
     terms = stored(keys.unionByName(others), "divergence-terms")
     rest = terms.where(F.col("term_id") >= len(lookup.lengths))
-    raw = recount(docs, lookup, not rest.isEmpty())
-    raw = stored(raw.groupBy("g", "slot", "lang", "term").agg(F.sum("n").alias("n")), "divergence-raw")
-    found = raw.where("slot is not null").select("g", F.col("slot").alias("term_id"), "n")
-    named = raw.where("slot is null").join(rest, ["lang", "term"]).select("g", "term_id", "n")
-    return terms, stored(found.unionByName(named), "divergence-counts")
+    found, others = recount(docs, lookup, not rest.isEmpty())
+    named = others.join(rest, ["lang", "term"]).select("g", "term_id", "n")
+    return terms, stored(found.withColumnRenamed("slot", "term_id").unionByName(named), "divergence-counts")
+
+
+def _per_lang(df: DataFrame) -> DataFrame:
+    """A table of one row a language, to be joined: broadcast if it is counted as small."""
+    df = stored(df, "divergence-langs")
+    return F.broadcast(df) if df.count() <= FEW_LANGS else df
 
 
 def _share(count: str, total: str, smoothing: int, scale: int):
@@ -417,8 +469,8 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         raise ValueError("two groups have the same 64-bit hash")
     terms, counts = term_counts(docs, least_docs, head_bytes, shard_keys)
 
-    sizes = names.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources")) \
-        .join(terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v")), "lang", "left").fillna(0, ["v"])
+    sizes = _per_lang(names.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"))
+                      .join(terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v")), "lang", "left").fillna(0, ["v"]))
     totals = counts.groupBy("g").agg(F.sum("n").alias("total"))
     groups = names.join(totals, "g", "left").fillna(0, ["total"]).join(sizes, "lang") \
         .withColumn("z", F.when(F.col("v") > 0, _share("0", "total", smoothing, scale)).otherwise(F.lit(0)))
@@ -449,7 +501,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     # terms: the group's share against its language's
     whole = counts.join(terms.select("term_id", "lang"), "term_id").groupBy("lang", "term_id").agg(F.sum("n").alias("n"))
-    whole = whole.join(whole.groupBy("lang").agg(F.sum("n").alias("total")), "lang").join(sizes, "lang") \
+    whole = whole.join(_per_lang(groups.groupBy("lang").agg(F.sum("total").alias("total"))), "lang").join(sizes, "lang") \
         .select("term_id", _share("n", "total", smoothing, scale).alias("q"))
     above = shares.join(whole, "term_id").where("p > q") \
         .join(terms.select("term_id", "term"), "term_id").join(groups.select("g", "source"), "g") \
