@@ -3,12 +3,13 @@
 Documents whose sets of word shingles overlap by a least share of their union, and the groups they form:
 
 1. Every text becomes its set of 64-bit shingle hashes; documents with equal sets are one class.  The same pass
-   counts shingles in 2**20 bins of their hashes, which gives the order of shingles: rare bins first, then by hash.
-   The order decides about the work only, never about the result; its broadcast is one byte a bin.
+   counts shingles in 2**20 bins of their hashes, which gives an order of shingles: rare bins first, then by hash.
+   Shingles that turn out to be in several prefixes are moved to the end of the order (bits of a fixed-size bitmap).
+   The order decides about the work only, never about the result.
 2. Two sets of similarity t share one of their first n - ceil(t * n) + 1 shingles.  Classes with identical prefixes and
    size are one group; only a group's prefix is posted, once for all its members.
-3. Group pairs from the same posting are filtered by size and by the places of the common shingle.  Those that are left
-   are expanded to their members, and the sets are compared.
+3. Group pairs from the same posting are filtered by size, by the places of the common shingle and by the shingles their
+   prefixes share at most.  Those that are left are expanded to their members, and the whole sets are compared.
 4. Links come in two passes, so that n copies that differ by a word don't cost n * n pairs.  First every group is paired
    with one group per posting and size band, and every member with the first of its group.  Then postings hold classes
    by the component reached; components that meet in a posting are paired, and all their members that meet there are
@@ -31,11 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.llm.common import bitmap, bound_batches, load, maybe_in, stored
+from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, load, maybe_in, stored
 from zonelake.llm.components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5          # similarity 4/5
 BINS, BIN_BLOCK, DEALT = 1 << 20, 8192, 64
+ROUNDS = 2                                         # of counting prefixes before they are taken
 
 
 # --- sets ---------------------------------------------------------------------------------
@@ -111,39 +113,96 @@ def prefix_length(n: int, numerator: int = NUMERATOR, denominator: int = DENOMIN
     return n - -(-n * numerator // denominator) + 1 if n else 0
 
 
-def prefixes(sets: DataFrame, levels: np.ndarray, numerator: int, denominator: int) -> DataFrame:
-    """Stored (row_no, doc_id, n, digest, prefix_digest, prefix): the first shingles in order, rarest first."""
+def _prefixes(sets: DataFrame, order: tuple, numerator: int, denominator: int, several: np.ndarray | None = None) -> DataFrame:
+    """(row_no, doc_id, n, digest, prefix_digest, last, at, prefix): places and hashes of each set's first shingles.
+
+    ``last`` is the place of the last of them in the order (hashes with equal upper 48 bits share one).  ``order`` is (levels, bits of shingles that come last); with ``several`` only the shingles whose bit is set are given.
+    """
     schema = pa.schema([("row_no", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                        ("prefix_digest", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-    shared = sets.sparkSession.sparkContext.broadcast(levels)
+                        ("prefix_digest", pa.binary()), ("last", pa.int64()), ("at", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+    shared = sets.sparkSession.sparkContext.broadcast((*order, several))
+
+    def lists(parts):
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()),
+                                        pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
 
     def first(batches):
-        level = shared.value
+        levels, late, wanted = shared.value
         for b in batches:
-            column = b.column("shingles")
-            values, ends = column.flatten().to_numpy(), np.cumsum(b.column("n").to_numpy())
-            out, start = [], 0
-            for end in ends.tolist():
-                h = values[start:end].view(np.uint64)
-                order = np.lexsort((h, level[(h >> np.uint64(44)).astype(np.int64)]))
-                out.append(h[order[:prefix_length(len(h), numerator, denominator)]].view(np.int64))
+            values = b.column("shingles").flatten().to_numpy().view(np.uint64)
+            rank = levels[(values >> np.uint64(44)).astype(np.int64)].astype(np.uint16)
+            if late is not None:
+                rank += bits_set(late, values).astype(np.uint16) << 8
+            place = (rank.astype(np.uint64) << np.uint64(48) | values >> np.uint64(16)).view(np.int64)
+            digests, last, places, tokens, start = [], [], [], [], 0
+            for end in np.cumsum(b.column("n").to_numpy()).tolist():
+                # the hashes of a set are sorted, so a stable sort by rank is the order
+                least = prefix_length(end - start, numerator, denominator)
+                first_ones = start + np.argsort(rank[start:end], kind="stable")[:least]
+                h = values[first_ones]
+                last.append(int(place[first_ones[-1]]) if least else 0)
+                digests.append(hashlib.sha256(h.tobytes()).digest()[:16])
+                at = np.arange(len(h)) if wanted is None else np.flatnonzero(bits_set(wanted, h))
+                places.append(at)
+                tokens.append(h[at].view(np.int64))
                 start = end
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, out)]), pa.int32()),
-                                             pa.array(np.concatenate([*out, np.zeros(0, np.int64)])))
             yield pa.record_batch([b.column("row_no"), b.column("doc_id"), b.column("n"), b.column("digest"),
-                                   pa.array([hashlib.sha256(p.tobytes()).digest()[:16] for p in out], pa.binary()), lists], schema=schema)
+                                   pa.array(digests, pa.binary()), pa.array(last, pa.int64()), lists(places), lists(tokens)], schema=schema)
+
+    return sets.select("row_no", "doc_id", "n", "digest", "shingles").mapInArrow(
+        first, "row_no long, doc_id long, n long, digest binary, prefix_digest binary, last long, "
+               "at array<long>, prefix array<long>")
+
 
-    return stored(sets.select("row_no", "doc_id", "n", "digest", "shingles").mapInArrow(
-        first, "row_no long, doc_id long, n long, digest binary, prefix_digest binary, prefix array<long>"), "join-prefixes")
+def prefixes(sets: DataFrame, levels: np.ndarray, numerator: int, denominator: int, rounds: int = ROUNDS) -> DataFrame:
+    """Stored prefixes, of whose shingles those that no other row's prefix holds are left out.
+
+    Shingles found in several prefixes come last in the next round's order: a passage that many documents share
+    thus leaves the prefixes of those that have enough shingles of their own.  Both bitmaps have a fixed size; where
+    they fill up, the order is less helpful and more shingles are given.
+    """
+    late = several = None
+    for _ in range(rounds):
+        if several is not None:
+            late = several if late is None else late | several
+        held = _prefixes(sets, (levels, late), numerator, denominator).select(F.explode("prefix").alias("token"))
+        several = bitmap_bytes(bitmap(held.groupBy("token").count().where("count > 1"), "token"))
+    return stored(_prefixes(sets, (levels, late), numerator, denominator, several), "join-prefixes")
 
 
 # --- candidates ---------------------------------------------------------------------------
 
-def _may_link(n_a: str, pos_a: str, n_b: str, pos_b: str, numerator: int, denominator: int):
-    """Sizes and places of a common shingle that allow the similarity (if it is their first common one)."""
-    both = numerator + denominator
-    return F.expr(f"{n_a} * {numerator} <= {n_b} * {denominator} and {n_b} * {numerator} <= {n_a} * {denominator} and "
-                  f"{both} * (1 + least({n_a} - {pos_a} - 1, {n_b} - {pos_b} - 1)) >= {numerator} * ({n_a} + {n_b})")
+def _sizes_fit(a: str, b: str, numerator: int, denominator: int) -> str:
+    return f"{a} * {numerator} <= {b} * {denominator} and {b} * {numerator} <= {a} * {denominator}"
+
+
+def _rest(n: str, numerator: int, denominator: int) -> str:
+    """How many shingles of a set come after its prefix: ceil(t * n) - 1."""
+    return f"(({n} * {numerator} + {denominator - 1}) div {denominator} - 1)"
+
+
+def _may_link(a: str, b: str, numerator: int, denominator: int):
+    """Whether the groups of two postings may be similar if this is their first common shingle: by their sizes, by
+    the shingles from here on, and by those left in their prefixes that any other prefix holds."""
+    n_a, n_b = f"n{a}", f"n{b}"
+    return F.expr(" and ".join([
+        _sizes_fit(n_a, n_b, numerator, denominator),
+        f"{numerator + denominator} * least({n_a} - pos{a}, {n_b} - pos{b}) >= {numerator} * ({n_a} + {n_b})",
+        f"{numerator + denominator} * (least(left{a}, left{b}) + {_rest(f'greatest({n_a}, {n_b})', numerator, denominator)}) "
+        f">= {numerator} * ({n_a} + {n_b})"]))
+
+
+def promising(pairs: DataFrame, rows: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (a, b) whose prefixes have enough shingles in common.
+
+    Of the set whose prefix ends first in the order, only the shingles after its prefix can be common beside those
+    that both prefixes hold.
+    """
+    a, b = (rows.select(F.col("row_no").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "last", "prefix"))) for s in "ab")
+    rest_a, rest_b = _rest("n_a", numerator, denominator), _rest("n_b", numerator, denominator)
+    rest = f"case when last_a < last_b then {rest_a} when last_a > last_b then {rest_b} else greatest({rest_a}, {rest_b}) end"
+    return pairs.join(a, "a").join(b, "b").where(_sizes_fit("n_a", "n_b", numerator, denominator)).where(
+        f"{numerator + denominator} * (size(array_intersect(prefix_a, prefix_b)) + {rest}) >= {numerator} * (n_a + n_b)").select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -169,10 +228,11 @@ def star_pairs(postings: DataFrame, classes: DataFrame, numerator: int, denomina
     """Class pairs (a, b): every member with the first class of its group, and with that of one group per posting and size band."""
     band = F.floor(F.log("n") / F.log(F.lit(denominator / numerator)))
     rows = postings.withColumn("band", band)
-    hubs = rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct(
-        F.xxhash64("group").alias("place"), F.col("group").alias("hub"), F.col("n").alias("n_h"), F.col("pos").alias("pos_h"))).alias("h"))
+    hubs = rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("held"), F.max(F.struct(
+        (F.col("given") / F.col("n")).alias("central"), F.col("group").alias("hub"), F.col("n").alias("n_h"), F.col("pos").alias("pos_h"),
+        F.col("left").alias("left_h"))).alias("h"))
     met = rows.join(hubs.where("held > 1").select("token", "band", "h.*"), ["token", "band"]) \
-        .where(F.col("group") != F.col("hub")).where(_may_link("n", "pos", "n_h", "pos_h", numerator, denominator)) \
+        .where(F.col("group") != F.col("hub")).where(_may_link("", "_h", numerator, denominator)) \
         .select("group", "hub").distinct()
     outside = met.join(classes.select("group", "class"), "group").select(F.col("class").alias("a"), F.col("hub").alias("b"))
     return outside.unionByName(classes.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b")))
@@ -183,15 +243,19 @@ def cross_pairs(postings: DataFrame, classes: DataFrame, numerator: int, denomin
     rows = postings.join(classes.select("group", "root").distinct(), "group")
     mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     rows = stored(rows.join(mixed, "token"), "join-mixed")
-    sizes = rows.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    x = sizes.select("token", F.col("root").alias("root_a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"))
-    y = sizes.select("token", F.col("root").alias("root_b"), F.col("least").alias("least_b"), F.col("most").alias("most_b"))
-    met = x.join(y, "token").where(f"root_a < root_b and least_a * {numerator} <= most_b * {denominator} "
-                                   f"and least_b * {numerator} <= most_a * {denominator}").select("token", "root_a", "root_b")
-    a = rows.select("token", F.col("root").alias("root_a"), F.col("group").alias("group_a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    b = rows.select("token", F.col("root").alias("root_b"), F.col("group").alias("group_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    # what the members of a component have at best
+    best = rows.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("room"),
+                                             F.max("left").alias("left"))
+    x, y = (best.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "least", "most", "room", "left"))) for s in "ab")
+    met = x.join(y, "token").where(" and ".join([
+        "root_a < root_b", f"least_a * {numerator} <= most_b * {denominator}", f"least_b * {numerator} <= most_a * {denominator}",
+        f"{numerator + denominator} * least(room_a, room_b) >= {numerator} * (least_a + least_b)",
+        f"{numerator + denominator} * (least(left_a, left_b) + {_rest('greatest(most_a, most_b)', numerator, denominator)}) "
+        f">= {numerator} * (least_a + least_b)"])) \
+        .select("token", "root_a", "root_b")
+    a, b = (rows.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "group", "n", "pos", "left"))) for s in "ab")
     groups = met.join(a, ["token", "root_a"]).join(b, ["token", "root_b"]) \
-        .where(F.col("group_a") != F.col("group_b")).where(_may_link("n_a", "pos_a", "n_b", "pos_b", numerator, denominator)) \
+        .where(F.col("group_a") != F.col("group_b")).where(_may_link("_a", "_b", numerator, denominator)) \
         .select("group_a", "root_a", "group_b", "root_b").distinct()
     parts = classes.select("group", "root").distinct()      # of a group whose members reached different components
     inside = parts.select("group", F.col("root").alias("root_a")).join(parts.select("group", F.col("root").alias("root_b")), "group") \
@@ -217,13 +281,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = named.groupBy("n", "prefix_digest").agg(F.min("class").alias("group"))
     classes = stored(named.join(groups, ["n", "prefix_digest"]).select("class", "digest", "least", "n", "group"), "join-groups")
 
-    posted = rows.select(F.col("row_no").alias("group"), "n", "prefix").join(classes.select("group").distinct(), "group") \
-        .select("group", "n", F.posexplode("prefix").alias("pos", "token"))
-    postings = stored(posted, "join-postings")
+    postings = rows.join(classes.select(F.col("group").alias("row_no")).distinct(), "row_no") \
+        .select(F.col("row_no").alias("group"), "n", F.size("prefix").alias("given"), F.posexplode(F.arrays_zip("at", "prefix")).alias("i", "t"))
+    postings = stored(postings.select("group", "n", "given", (F.col("given") - F.col("i")).alias("left"), F.col("t.at").alias("pos"), F.col("t.prefix").alias("token")), "join-postings")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return verified(promising(pairs, rows, numerator, denominator), sets, numerator, denominator)
 
-    stars = verified(star_pairs(postings, classes, numerator, denominator), sets, numerator, denominator)
+    stars = linked(star_pairs(postings, classes, numerator, denominator))
     reached = stored(with_component(classes, stars), "join-reached")
-    links = stars.unionByName(verified(cross_pairs(postings, reached, numerator, denominator), sets, numerator, denominator))
+    links = stars.unionByName(linked(cross_pairs(postings, reached, numerator, denominator)))
     final = stored(with_component(classes, links).select("digest", "least", "root"), "join-final")
     ids = final.join(final.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("digest", "component_id")
     linked = rows.where("n > 0").join(ids, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
