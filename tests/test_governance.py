@@ -88,3 +88,76 @@ def test_mask_columns(spark):
     out = G.mask_columns(df, ["email", "phone"]).collect()
     assert out[0].email == hashlib.sha256(b"ana@x.es").hexdigest() and out[0].name == "Ana"
     assert out[1].email is None
+
+
+# --- history of a dataset ---------------------------------------------------------------------
+
+def _records(spark, recs):
+    """(source, target, minute, transformation); a source None means several sources."""
+    made = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), ("multiple", None) if s is None else ("z", s), ("z", t), x)
+            for s, t, m, x in recs]
+    return spark.createDataFrame(made, G.LINEAGE_SCHEMA)
+
+
+def _history(recs, start):
+    """One start walked by hand: (seq, source, target, note) from the oldest record on."""
+    picked = {}
+    for s, t, m, x in recs:
+        key = (m, "multiple" if s is None else "z", s is not None, s or "", x)
+        if t not in picked or key < picked[t][0]:
+            picked[t] = (key, s)
+    out, seen = [], set()
+    while start in picked and start not in seen:
+        seen.add(start)
+        source = picked[start][1]
+        out.append((source, start, None))
+        if source is None:
+            out.append((None, None, G.MULTIPLE_NOTE))
+        start = source
+    return [(i + 1, *row) for i, row in enumerate(reversed(out))]
+
+
+def _traced(spark, recs, starts):
+    frame = spark.createDataFrame([("z", s) for s in starts], "bucket string, object string")
+    out = {}
+    for r in G.lineage_history(_records(spark, recs), frame).orderBy("start_object", "seq").collect():
+        out.setdefault(r.start_object, []).append((r.seq, r.source_object, r.target_object, r.note))
+    return out
+
+
+def test_history_order_ties_note_and_missing_records(spark):
+    recs = [("raw", "clean", 5, "later"), ("other", "clean", 1, "first"), ("b", "other", 2, "x"), ("a", "other", 2, "x"),
+            (None, "a", 0, "merge"), ("clean", "access", 9, "publish"), ("nowhere", "island", 1, "y")]
+    starts = ["access", "clean", "a", "island", "unknown", "access"]
+    assert _traced(spark, recs, starts) == {s: _history(recs, s) for s in set(starts) - {"unknown"}}
+    full = G.lineage_history(_records(spark, recs), spark.createDataFrame([("z", "access")], "bucket string, object string")).orderBy("seq").collect()
+    assert [(r.transformation, r.note) for r in full] == [("merge", G.MULTIPLE_NOTE), ("merge", None), ("x", None), ("first", None), ("publish", None)]
+    assert full[1].source_bucket == "multiple" and full[0].timestamp == full[1].timestamp
+
+
+def test_history_of_cycles(spark):
+    recs = [(f"c{i}", f"c{(i + 1) % 5}", i, "ring") for i in range(5)] + [("c2", "t1", 1, "in"), ("t1", "t2", 1, "in"), ("self", "self", 1, "loop"),
+                                                                        ("self", "after", 2, "x"), ("p", "q", 1, "chain")]
+    starts = ["c0", "c3", "t2", "t1", "self", "after", "q"]
+    assert _traced(spark, recs, starts) == {s: _history(recs, s) for s in starts}
+
+
+def test_history_of_a_long_chain_takes_few_jobs(spark):
+    recs = [(f"n{i}", f"n{i + 1}", 0, "step") for i in range(500)] + [("loop", "loop", 0, "x")]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lineage-history", "chain")
+    got = _traced(spark, recs[:-1], ["n500", "n250", "n0"])
+    writes = [j for j in tracker.getJobIdsForGroup("lineage-history")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {s: _history(recs, s) for s in ("n500", "n250")}
+    assert len(got["n500"]) == 500 and writes
+
+
+def test_history_empty_tables_and_null_names(spark):
+    empty = spark.createDataFrame([], G.LINEAGE_SCHEMA)
+    start = spark.createDataFrame([("z", "a")], "bucket string, object string")
+    assert G.lineage_history(empty, start).count() == 0
+    assert G.lineage_history(_records(spark, [("a", "b", 1, "x")]), start.limit(0)).count() == 0
+    recs = spark.createDataFrame([(None, (None, "src"), ("z", "a"), None), (None, None, (None, "src"), "t")], G.LINEAGE_SCHEMA)
+    got = G.lineage_history(recs, start).orderBy("seq").collect()
+    assert [(r.target_object, r.note) for r in got] == [(None, G.MULTIPLE_NOTE), ("src", None), ("a", None)]

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,6 +123,129 @@ def lineage_trace(edges: DataFrame, starts: DataFrame) -> DataFrame:
     return spark.read.parquet(seen_path).where(F.col("depth") > 0).select(*key, "depth")
 
 
+MULTIPLE = "multiple"
+MULTIPLE_NOTE = "Built from several source datasets."
+_NODE = ("bucket", "object")
+
+
+def first_records(lineage: DataFrame) -> DataFrame:
+    """The record that a trace follows at each target: the first by time, then by source and transformation (nulls first)."""
+    order = F.struct(*(F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")) for c in (
+        "timestamp", "source.bucket", "source.object", "transformation")))
+    fields = F.struct("timestamp", F.col("source.bucket").alias("source_bucket"), F.col("source.object").alias("source_object"),
+                      "transformation")
+    return lineage.groupBy(F.col("target.bucket").alias("bucket"), F.col("target.object").alias("object")) \
+        .agg(F.min_by(fields, order).alias("r")).select(*_NODE, "r.*")
+
+
+def _doubled(spark: SparkSession, pointers: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Pointer tables (node, up) that go 1, 2, 4, ... steps, and the last one if some of its nodes never reach an end.
+
+    A node at depth D of a chain has nodes at all smaller depths above it.  So when as many nodes as before
+    have a pointer of doubled length, none of them has an end, and all lead into cycles.
+    """
+    tables, alive = [], None
+    while True:
+        pointers, n = _counted(pointers, "lineage-pointers")
+        if not n:
+            return tables, None
+        tables.append(pointers)
+        if n == alive and 1 << (len(tables) - 1) >= n:
+            return tables, pointers
+        alive = n
+        above = pointers.select(F.col("node").alias("up"), F.col("up").alias("far"))
+        pointers = pointers.join(above, "up").select("node", F.col("far").alias("up"))
+
+
+def _counted(df: DataFrame, name: str, what: Column | None = None) -> tuple[DataFrame, int]:
+    """``df`` written into the shared folder, with the row count (or another sum) that the writing job observed."""
+    spark, path, obs = df.sparkSession, scratch_path(df.sparkSession, name), Observation(f"{name}-{uuid.uuid4().hex}")
+    df.observe(obs, (F.count(F.lit(1)) if what is None else what).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["n"])
+
+
+def _positions(starts: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """Every node on the way of ``starts`` (start, node, pos): the steps of a way are sums of powers of two, each taken once."""
+    here = starts
+    for k in range(len(tables) - 1, -1, -1):
+        stay, moved = F.struct("node", "pos"), F.struct(F.col("up").alias("node"), (F.col("pos") + (1 << k)).alias("pos"))
+        both = F.when(F.col("up").isNull(), F.array(stay)).otherwise(F.array(stay, moved))
+        rest = [c for c in starts.columns if c not in ("node", "pos")]
+        here = here.join(tables[k], "node", "left").select(*rest, F.explode(both).alias("at")).select(*rest, "at.node", "at.pos")
+    return here
+
+
+def lineage_history(lineage: DataFrame, starts: DataFrame) -> DataFrame:
+    """How each start dataset came about: the records from its oldest ancestor to itself.
+
+    ``lineage`` has ``LINEAGE_SCHEMA``, ``starts`` bucket and object.  From a dataset the trace follows the first record
+    whose target it is (``first_records``) to that record's source, until no record is found, the source is
+    ``multiple`` (bucket ``multiple``, or no source at all: a row with a note then stands before that record), or a dataset would
+    come again.  Output: start_bucket, start_object, seq (1 = oldest), timestamp, source_bucket, source_object,
+    target_bucket, target_object, transformation, note.
+
+    Pointers to the parent are doubled, so a chain of n records takes log2(n) jobs, whatever the number of
+    starts; positions come from the same tables, each row exactly once.  Cycles are found by the nodes that doubled pointers
+    end on; there the way goes round once from where it came in.  Starts without a record give no row; repeated starts count once;
+    null names are names of their own.
+    """
+    spark = lineage.sparkSession
+    name = lambda b, o: F.to_json(F.struct(F.col(b).alias("b"), F.col(o).alias("o")))  # noqa: E731  one key, nulls kept apart
+    records, _ = _counted(first_records(lineage).withColumn("node", name(*_NODE)), "lineage-records")
+    several = F.coalesce(F.col("source_bucket") == MULTIPLE, F.col("source_bucket").isNull() & F.col("source_object").isNull())
+    known = records.select(F.col("node").alias("up"))
+    pointers = records.where(~several).select("node", name("source_bucket", "source_object").alias("up")).join(known, "up", "left_semi")
+    begun = starts.select(*_NODE).distinct().select(F.col("bucket").alias("start_bucket"), F.col("object").alias("start_object"),
+                                                    name(*_NODE).alias("node"), F.lit(0).cast("long").alias("pos")) \
+        .join(records.select("node"), "node", "left_semi")
+    tables, endless = _doubled(spark, pointers)
+    if endless is None:
+        way = _positions(begun, tables)
+    else:
+        # nodes on cycles lose their pointers; what is left are chains that end on them
+        ring, _ = _counted(endless.select(F.col("up").alias("node")).distinct(), "lineage-rings")
+        tails, _ = _doubled(spark, tables[0].join(ring, "node", "left_anti"))
+        tail = _positions(begun, tails)
+        way = tail.unionByName(_rounds(tail.join(ring, "node", "left_semi"), tables[0].join(ring, "node", "left_semi")))
+    order = Window.partitionBy("start_bucket", "start_object").orderBy(F.desc("pos"))
+    rows = way.join(records, "node").select(
+        "start_bucket", "start_object", F.row_number().over(order).alias("seq"), "timestamp", "source_bucket", "source_object",
+        F.col("bucket").alias("target_bucket"), F.col("object").alias("target_object"), "transformation",
+        F.lit(None).cast("string").alias("note"), several.alias("several"))
+    # only the oldest record of a way can have several sources; its note moves the others by one
+    noted = rows.where("several").select("start_bucket", "start_object")
+    moved = rows.join(noted.withColumn("by", F.lit(1)), [rows["start_bucket"].eqNullSafe(noted["start_bucket"]),
+                                                         rows["start_object"].eqNullSafe(noted["start_object"])], "left") \
+        .select(rows["*"], F.coalesce("by", F.lit(0)).alias("by"))
+    note = rows.where("several").select("start_bucket", "start_object", F.lit(1).alias("seq"), "timestamp", *(
+        F.lit(None).cast("string").alias(c) for c in ("source_bucket", "source_object", "target_bucket", "target_object")),
+        "transformation", F.lit(MULTIPLE_NOTE).alias("note"))
+    return moved.withColumn("seq", F.col("seq") + F.col("by")).drop("by", "several").unionByName(note)
+
+
+def _rounds(entries: DataFrame, ring: DataFrame) -> DataFrame:
+    """The way once round a cycle, from each entry (start, node, pos) to the node before it.
+
+    A cycle is cut at its least node, whose pointer goes; the chain that is left gives every node a place.
+    """
+    spark = entries.sparkSession
+    least, obs = ring.select("node", "up", F.least("node", "up").alias("least"), F.lit(True).alias("new")), None
+    while obs is None or obs:      # least node within 2, 4, 8, ... steps, until no node finds a lesser one
+        least, obs = _counted(least, "lineage-least", F.count_if("new"))
+        above = least.select(F.col("node").alias("up"), F.col("up").alias("far"), F.col("least").alias("beyond"))
+        least = least.join(above, "up").select("node", F.col("far").alias("up"), F.least("least", "beyond").alias("least"),
+                                               (F.col("beyond") < F.col("least")).alias("new"))
+    cycle, _ = _counted(least.select("node", F.col("least").alias("cycle")), "lineage-cycles")
+    tables, _ = _doubled(spark, ring.join(cycle.where("node = cycle").select("node"), "node", "left_anti"))
+    # pos of the least node seen from each node: the number of steps to the end of the cut chain
+    ends = _positions(cycle.select(F.col("node").alias("from"), "cycle", "node", F.lit(0).cast("long").alias("pos")), tables)
+    place = ends.groupBy("cycle", F.col("from").alias("node")).agg(F.max("pos").alias("to_end"))
+    size = place.groupBy("cycle").agg(F.count(F.lit(1)).alias("size"))
+    at = entries.join(place, "node").join(size, "cycle").withColumnRenamed("to_end", "own").drop("node")
+    return at.join(place, "cycle").where("to_end <> own") \
+        .withColumn("pos", F.col("pos") + F.expr("pmod(own - to_end, size)")).select("start_bucket", "start_object", "node", "pos")
+
+
 # --- security policy (declared; kept as data) ----------------------------------------------
 
 # The data-lake security policy (zones, grants, retention, classifications, roles).

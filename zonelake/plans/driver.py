@@ -494,6 +494,34 @@ def q_lineage_trace(spark, sf_dir):
     return governance.lineage_trace(edges, starts)
 
 
+def conversation_records(spark, sf_dir):
+    """Lineage records of the conversations: a turn comes from the one before it, a first turn from the last turn of
+    the conversation before, from several sources (every seventh) or from its own last turn (a cycle, every thirtieth).
+    Every third turn has a later record, every fifth one of the same time with another source."""
+    conv = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null") \
+        .select("conv_id", "turn", "role").distinct()
+    ends = conv.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    rows = conv.join(ends, "conv_id").join(ends.select((F.col("conv_id") + 1).alias("conv_id"), F.col("last").alias("before")), "conv_id", "left")
+    node = lambda c, t: F.struct(F.concat(F.lit("conv-"), c.cast("string")).alias("bucket"), F.concat(F.lit("turn-"), t.cast("string")).alias("object"))
+    c, t = F.col("conv_id"), F.col("turn")
+    source = F.when(t > 0, node(c, t - 1)).when(c % 30 == 0, node(c, F.col("last"))).when(c % 7 == 0, F.struct(
+        F.lit(governance.MULTIPLE).alias("bucket"), F.lit(None).cast("string").alias("object"))) \
+        .when(F.col("before").isNotNull(), node(c - 1, F.col("before")))
+    minute = F.timestamp_add("MINUTE", (c * 100 + t).cast("int"), F.lit(_dt.datetime(2024, 1, 1)))
+    made = rows.where(source.isNotNull()).select(
+        minute.alias("timestamp"), source.alias("source"), node(c, t).alias("target"), F.col("role").alias("transformation"), "conv_id", "turn")
+    later = made.where("turn % 3 = 0").withColumn("timestamp", F.timestamp_add("HOUR", F.lit(1), F.col("timestamp"))) \
+        .withColumn("source", node(c, t + 1))
+    same = made.where("turn % 5 = 0").withColumn("source", F.struct(F.lit("zone").alias("bucket"), F.lit("other").alias("object")))
+    starts = ends.select(node(c, F.col("last")).alias("n")).select("n.*")
+    return made.unionByName(later).unionByName(same).drop("conv_id", "turn"), starts
+
+
+def q_lineage_history(spark, sf_dir):
+    out = governance.lineage_history(*conversation_records(spark, sf_dir))
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def _profiles(spark, sf_dir):
     return governance.profile_tables({t: table(spark, sf_dir, t) for t in DRIVER_TABLES}, "access-zone")
 

@@ -383,6 +383,36 @@ walk(sb, so, b, o, depth) AS (
   SELECT w.sb, w.so, e.src_b, e.src_o, w.depth + 1 FROM walk w JOIN e ON e.dst_b = w.b AND e.dst_o = w.o)
 SELECT sb AS start_bucket, so AS start_object, b AS bucket, o AS object, CAST(MIN(depth) AS INTEGER) AS depth
 FROM walk WHERE depth > 0 AND NOT (b = sb AND o = so) GROUP BY sb, so, b, o""",
+    "lineage_history": """
+WITH RECURSIVE conv AS (SELECT DISTINCT conv_id, turn, role FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+ends AS (SELECT conv_id, max(turn) AS last FROM conv GROUP BY conv_id),
+base AS (
+  SELECT TIMESTAMP '2024-01-01' + (conv_id * 100 + turn) * INTERVAL 1 MINUTE AS ts, conv_id, turn, role,
+         CASE WHEN turn > 0 THEN 'conv-' || conv_id WHEN conv_id % 30 = 0 THEN 'conv-' || conv_id
+              WHEN conv_id % 7 = 0 THEN 'multiple' WHEN b.last IS NOT NULL THEN 'conv-' || (conv_id - 1) END AS sb,
+         CASE WHEN turn > 0 THEN 'turn-' || (turn - 1) WHEN conv_id % 30 = 0 THEN 'turn-' || e.last
+              WHEN conv_id % 7 = 0 THEN NULL WHEN b.last IS NOT NULL THEN 'turn-' || b.last END AS so
+  FROM conv JOIN ends e USING (conv_id) LEFT JOIN (SELECT conv_id + 1 AS conv_id, last FROM ends) b USING (conv_id)
+), made AS (SELECT ts, sb, so, 'conv-' || conv_id AS tb, 'turn-' || turn AS tob, role, conv_id, turn FROM base WHERE sb IS NOT NULL),
+rec AS (
+  SELECT ts, sb, so, tb, tob, role FROM made
+  UNION ALL SELECT ts + INTERVAL 1 HOUR, 'conv-' || conv_id, 'turn-' || (turn + 1), tb, tob, role FROM made WHERE turn % 3 = 0
+  UNION ALL SELECT ts, 'zone', 'other', tb, tob, role FROM made WHERE turn % 5 = 0
+), pick AS (
+  SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY tb, tob ORDER BY ts, sb NULLS FIRST, so NULLS FIRST, role NULLS FIRST) = 1
+), walk AS (
+  SELECT tb AS start_b, tob AS start_o, 0 AS pos, pick.*, [tb || '/' || tob] AS seen
+  FROM pick JOIN ends ON tb = 'conv-' || conv_id AND tob = 'turn-' || last
+  UNION ALL
+  SELECT w.start_b, w.start_o, w.pos + 1, p.ts, p.sb, p.so, p.tb, p.tob, p.role, list_append(w.seen, p.tb || '/' || p.tob)
+  FROM walk w JOIN pick p ON p.tb = w.sb AND p.tob = w.so WHERE NOT list_contains(w.seen, p.tb || '/' || p.tob)
+), rows AS (
+  SELECT start_b, start_o, ts, sb, so, tb, tob, role, CAST(NULL AS VARCHAR) AS note, pos AS place FROM walk
+  UNION ALL SELECT start_b, start_o, ts, NULL, NULL, NULL, NULL, role, 'Built from several source datasets.', pos + 1 FROM walk WHERE sb = 'multiple'
+)
+SELECT start_b AS start_bucket, start_o AS start_object,
+       CAST(row_number() OVER (PARTITION BY start_b, start_o ORDER BY place DESC) AS INTEGER) AS seq, ts AS "timestamp",
+       sb AS source_bucket, so AS source_object, tb AS target_bucket, tob AS target_object, role AS transformation, note FROM rows""",
     "metadata_catalog": _PROFILE_SQL,
     "policy_grants": f"""
 SELECT t.object_name, t.zone, g.action, unnest(g.roles) AS role
