@@ -12,8 +12,8 @@
    before it; the rank selects sequence and offset from the plan.  No task sees all pieces of a length.
 
 Encoding is exact: the tokenizer never joins text across ASCII white space and is case-insensitive, so ids
-are kept per lower-cased word in a bounded cache; words of Latin letters, which are one run for the
-tokenizer, go straight to its merge model; texts that may hold a special token are encoded whole.
+are kept per lower-cased word in a bounded cache; new words of Latin letters, which are one run for the
+tokenizer, are encoded together and cut at the ends of runs; texts that may hold a special token are encoded whole.
 
 Defined results: a null text is empty and has the end id only; repeated rows and null ids give pieces of
 their own; an empty table gives an empty result; other input columns are not read.
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 
 import numpy as np
 import pandas as pd
@@ -37,27 +36,21 @@ from zonelake.llm.common import bound_batches, load, stored
 
 WINDOW, END_ID = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 600_000
+CACHED_WORDS = 700_000   # of a generation
+WORDS_AT_ONCE, TEXT_AT_ONCE = 512, 4 << 20
+RUN_END = "</w>"         # fixed value: ends the last token of a run of characters
 GRID = 16            # lengths of the short grid that a combination of three may take its third from
 SWEEPS = 25
 
 
 # --- encoding ----------------------------------------------------------------------------
 
-def _byte_letters() -> list[str]:
-    """The letter that a byte-level vocabulary writes for each byte: printable Latin-1 bytes stand for
-    themselves, the others take the code points from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = iter(range(256, 512))
-    own = set(shown)
-    return [chr(b) if b in own else chr(next(hidden)) for b in range(256)]
-
-
-BYTE_LETTERS = _byte_letters()
-
-
 class WordEncoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    Ids of words are kept in two generations of ``cached_words`` words at most: when the young one is full it becomes the
+    old one, and only words that are met again come back from there.
+    """
 
     def __init__(self, tokenizer: str = TOKENIZER, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -65,48 +58,70 @@ class WordEncoder:
             import public_tokenizers
             tokenizer = public_tokenizers.path(tokenizer)
         self.tokenizer = Tokenizer.from_file(str(tokenizer))
-        self.cached_words, self.cache = cached_words, {}
+        self.cached_words, self.cache, self.old = cached_words, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_run = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_run[[i for t, i in vocabulary.items() if t.endswith(RUN_END)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, words: list[bytes], runs: list[int]):
+        """(word, ids) of words of so many runs, encoded together and cut where their runs end."""
+        ids = np.frombuffer(b"".join(self._encode([b" ".join(words[i:i + WORDS_AT_ONCE]).decode()
+                                                   for i in range(0, len(words), WORDS_AT_ONCE)])), "<u4")
+        ends, last = np.flatnonzero(self.ends_run[ids]) + 1, np.cumsum(runs) - 1
+        if not words or len(ends) != last[-1] + 1:  # not cut as expected: each by itself
+            return zip(words, self._encode([w.decode() for w in words]))
+        cuts, whole = [0, *(4 * ends[last]).tolist()], ids.tobytes()
+        return zip(words, [whole[a:b] for a, b in zip(cuts, cuts[1:])])
 
-    def _words(self, words: list[bytes]):
-        """(word, ids) of lower-cased words."""
-        merge, others = self.tokenizer.model.tokenize, []
+    def _learn(self, words: list[bytes]) -> None:
+        """Words of letters (lower-cased, of Latin scripts), perhaps with a point or comma behind them, are one
+        or two runs and encoded together, all others one by one."""
+        simple, runs, others = [], [], []
         for w in words:
-            run = w.decode()
-            if not w.isalpha():
-                if not run.isalpha() or max(run) >= "\u0250" or "\u0130" in run:
+            if (ids := self.old.get(w)) is not None:
+                self.cache[w] = ids
+                continue
+            stem = w[:-1] if w[-1:] in (b".", b",") else w
+            if not stem.isalpha():
+                shown = stem.decode()
+                if not shown.isalpha() or max(shown) >= "\u0250" or "\u0130" in shown:
                     others.append(w)
                     continue
-                run = "".join(map(BYTE_LETTERS.__getitem__, run.lower().encode()))
-            yield w, array("I", [t.id for t in merge(run)]).tobytes()
-        yield from zip(others, self._encode([w.decode() for w in others]))
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.cache) > self.cached_words:
-            self.cache.clear()
-        cache, stems = self.cache, {}
-        for w in words:
-            # a final point or comma after a letter is a token run of its own
-            stems[w] = (w[:-1], w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w,)
-        new = [p for p in {p for parts in stems.values() for p in parts} if p not in cache]
-        cache.update(self._words(new))
-        for w, parts in stems.items():
-            cache[w] = b"".join(cache[p] for p in parts)
+            simple.append(w)
+            runs.append(1 + (stem is not w))
+        self.cache.update(self._together(simple, runs))
+        self.cache.update(zip(others, self._encode([w.decode() for w in others])))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the words that are new in any of them are learned at once."""
+        lows = [t.encode().lower() for t in texts]
+        split = [None if b"<|" in low else low.split() for low in lows]
+        words = set().union(*filter(None, split))
+        new = words.difference(self.cache)
+        if new and len(self.cache) + len(new) > self.cached_words:
+            self.old, self.cache, new = self.cache, {}, words
+        if new:
+            self._learn(list(new))
+        get = self.cache.__getitem__
+        return [self._encode([t])[0] if words is None else b"".join(map(get, words)) for t, words in zip(texts, split)]
 
     def encode(self, text: str) -> bytes:
-        low = text.encode().lower()
-        if b"<|" in low:
-            return self._encode([text])[0]
-        words = low.split()
-        ids = list(map(self.cache.get, words))
-        if None in ids:
-            self._learn([w for w in set(words) if w not in self.cache])
-            if (ids := list(map(self.cache.get, words))) and None in ids:  # the cache was emptied in between
-                self._learn(list(set(words)))
-                ids = [self.cache[w] for w in words]
-        return b"".join(ids)
+        return self.encode_all([text])[0]
+
+
+def in_parts(texts: list[str], size: int = TEXT_AT_ONCE):
+    """Runs of texts of ``size`` characters, or a single longer one."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        if held and held + len(t) > size:
+            yield texts[start:i]
+            start, held = i, 0
+        held += len(t)
+    if start < len(texts):
+        yield texts[start:]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -129,12 +144,12 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, window: int, tokenizer:
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches):
-        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode_all, TaskContext.get().partitionId()
         placed = np.zeros(window + 1, np.int64)
         for batch in batches:
             source, out = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for i, ids in enumerate(ids + end for part_of in in_parts(texts) for ids in encode(part_of)):
                 n = len(ids) // 4
                 for start in range(0, n, window):
                     length = min(window, n - start)
