@@ -198,3 +198,33 @@ def test_exact_runs_equal_plain_slices():
         runs = [tuple(t.whole[i:i + size].tolist()) for i in range(len(t.whole) - size + 1)]
         hashes = t.exact(size).tolist()
         assert len(hashes) == len(runs) and all((a == b) == (x == y) for a, x in zip(hashes, runs) for b, y in zip(hashes, runs))
+
+
+def test_common_stem_pairs_nothing(spark):
+    """300 texts and 200 items that share only the beginning of a question: no match is stored, none is flagged."""
+    stem = "which of the following is the best"
+    own = lambda kind, i: " ".join(f"{kind}{i}{w}" for w in "abcdefghij")
+    docs = spark.createDataFrame([(i, f"{stem} {own('doc', i)}") for i in range(300)] + [(900, f"{stem} {own('item', 7)}")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"{stem} {own('item', i)}") for i in range(200)], "item_id long, text string")
+    stored_rows = {}
+
+    def keep(df, name):
+        stored_rows[name] = original(df, name)
+        return stored_rows[name]
+
+    original, D.stored = D.stored, keep
+    try:
+        got = {r.doc_id: r.item_ids for r in D.flag_contaminated(docs, items).where("contaminated").collect()}
+    finally:
+        D.stored = original
+    assert got == {900: [7]}
+    assert stored_rows["decontam-matches"].select("key", "row").distinct().count() == 1
+
+
+def test_worker_vocabulary_is_not_copied_with_the_task():
+    from pyspark.cloudpickle import dumps, loads
+
+    def task():
+        return D.vocabulary()
+
+    assert loads(dumps(task))() is loads(dumps(task))() is D.vocabulary()

@@ -28,11 +28,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, fresh, load, stored, text_or_empty
@@ -158,11 +159,16 @@ class Template:
     def exact(self, size: int) -> np.ndarray:
         """Hashes of all runs of ``size`` words and symbols as they are."""
         n = max(0, len(self.whole) - size + 1)
-        total = np.zeros(len(self.whole) + 1, np.uint64)  # a polynomial in odd BASE, modulo 2 ** 64
-        power = np.cumprod(np.full(len(self.whole), BASE, np.uint64))
-        np.cumsum(_mixed(self.whole) * power, out=total[1:])
-        back = np.cumprod(np.full(n, BASE_INVERSE, np.uint64))
-        return _mixed((total[size:size + n] - total[:n]) * back + np.uint64(size))
+        total, back = self._polynomial
+        return _mixed((total[size:size + n] - total[:n]) * back[:n] + np.uint64(size))
+
+    @cached_property
+    def _polynomial(self) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix sums of a polynomial in odd BASE, modulo 2 ** 64, and the inverse powers that take a run to its start."""
+        m = len(self.whole)
+        total = np.zeros(m + 1, np.uint64)
+        np.cumsum(_mixed(self.whole) * np.cumprod(np.full(m, BASE, np.uint64)), out=total[1:])
+        return total, np.cumprod(np.full(m, BASE_INVERSE, np.uint64))
 
     def values(self, position: int, slots: np.ndarray) -> list[str]:
         """Values of the window's placeholders, in order."""
@@ -171,6 +177,13 @@ class Template:
 
 
 _VOCABULARY = Vocabulary()
+
+
+def vocabulary() -> Vocabulary:
+    """The worker's vocabulary.  Tasks reach it through this function: a global that a task's function names is copied with it."""
+    return _VOCABULARY
+
+
 WINDOW_TYPE = pa.struct([("position", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("size", pa.int32())])
 WINDOW_SCHEMA = "position int, hash long, slots array<string>, size int"
 
@@ -187,7 +200,7 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None, sizes: list
         for batch in batches:
             source, total, position, hashes, slots, size = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                t = Template(text, _VOCABULARY, words)
+                t = Template(text, vocabulary(), words)
                 lengths = sizes if sizes is not None else [len(t.whole)] * (len(t.whole) > 0 and not t.usable)
                 runs = [(k, t.exact(k)) for k in lengths if k <= len(t.whole)]
                 forms = [(None, form, at, values) for form, at, values in t.forms]
@@ -222,6 +235,21 @@ def torn_pairs(match: DataFrame) -> DataFrame:
     return lost.groupBy(*diagonal).agg(F.collect_list(F.struct("a", "b")).alias("torn"))
 
 
+def candidates(found: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (key, row) of texts and items that share one of the item's rarest windows.
+
+    A text that covers the share of an item's windows misses n - ceil(share * n) of them at most, so it holds one
+    of any n - ceil(share * n) + 1.  Taken are those that fewest texts hold: a beginning that many questions and
+    texts have in common pairs none of them.
+    """
+    held = found.groupBy("hash").agg(F.count(F.lit(1)).alias("held"))
+    weight = own.join(held, "hash", "left").groupBy("row", "item_at", "n_windows").agg(F.coalesce(F.sum("held"), F.lit(0)).alias("weight"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("weight", "item_at"))
+    rare = weight.withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - F.ceil((similarity - 1e-9) * F.col("n_windows")) + 1)
+    rare = own.join(rare.where("weight > 0").select("row", "item_at"), ["row", "item_at"]).select("row", "hash").distinct()
+    return found.select("key", "hash").distinct().join(rare, "hash").select("key", "row").distinct()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Stored rows (text_sha256, item_ids, containment) of the contaminated texts."""
@@ -233,8 +261,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                             F.col("slots").alias("item_slots"), "size"), "decontam-windows")
     sizes = sorted(r[0] for r in own.where("size is not null").select("size").distinct().collect())  # a number per length
     texts = docs.select(F.sha2(text_or_empty(text_col), 256).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = _windows(texts, words, bitmap_bytes(bitmap(own, "hash")), sizes).drop("n_windows", "size").distinct()
-    match = found.join(own, "hash").withColumn("shift", F.col("position") - F.col("item_at"))
+    found = stored(_windows(texts, words, bitmap_bytes(bitmap(own, "hash")), sizes).drop("n_windows", "size").distinct(), "decontam-found")
+    match = candidates(found, own, similarity).join(own, "row").join(found, ["key", "hash"]) \
+        .withColumn("shift", F.col("position") - F.col("item_at"))
     match = stored(match.select("key", "row", "n_windows", "shift", "item_at", "item_slots", "slots"), "decontam-matches")
     match = match.withColumn("pairs", F.expr("zip_with(item_slots, slots, (a, b) -> struct(a, b))"))
     cover = match.join(torn_pairs(match), ["key", "row", "shift"], "left") \
