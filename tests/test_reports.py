@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from zonelake.operators import reports as R
@@ -73,10 +75,20 @@ def test_period_summary_and_methods(spark):
     assert rows(R.method_totals(df, "m", "a")) == [("card", 2, 15.1, 7.55), ("cash", 1, 0.2, 0.2)]
 
 
-def test_exact_sums_keep_small_and_large_values(spark):
-    from zonelake.functions.aggregates import exact_mean, exact_sum
-    df = spark.createDataFrame([(0.004, 1e17)] * 1000, "v double, big double")
-    assert rows(df.agg(exact_sum("v"), exact_mean("v"), exact_sum("big"))) == [(4.0, 0.004, 1e20)]
+def test_reports_keep_small_and_large_values(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 5), "a", 1e-11)] * 1000 + [(dt.datetime(2024, 1, 5), "b", 1e30), (dt.datetime(2024, 2, 5), "b", 1.0)],
+                               "ts timestamp, m string, a double").repartition(7)
+    assert rows(R.method_totals(df, "m", "a")) == [("b", 2, 1e30, 5e29), ("a", 1000, 1e-8, 1e-8 / 1000)]
+    assert rows(R.monthly_pivot(df, "ts", "m", "a")) == [("2024-01", 1e-8, 1e30), ("2024-02", 0.0, 1.0)]
+    shares = R.with_share_of_total(R.method_totals(df, "m", "a"), {"share": "total_sales"})
+    assert rows(shares.select("m", "share"), "m") == [("a", 1e-36), ("b", 100.0)]
+
+
+def test_a_pivot_that_is_too_wide_is_an_error(spark):
+    df = spark.range(R.PIVOT_COLUMNS + 1).select(F.lit(dt.datetime(2024, 1, 1)).alias("ts"), F.col("id").cast("string").alias("cat"), F.lit(1.0).alias("v"))
+    with pytest.raises(ValueError, match="categories"):
+        R.monthly_pivot(df, "ts", "cat", "v")
+    assert R.category_months(df, "ts", "cat", "v").count() == R.PIVOT_COLUMNS + 1
 
 
 def test_pivot_keeps_unlisted_and_null_categories(spark):

@@ -5,5 +5,6 @@ from zonelake.functions.scalar import (  # noqa: F401
     safe_timestamp, time_of_day, to_bool, weekday_name,
 )
 from zonelake.functions.aggregates import (  # noqa: F401
-    exact_mean, exact_sum, rounded_mean, sum_or_zero,
+    rounded_mean, sum_or_zero,
 )
+from zonelake.functions.totals import grouped  # noqa: F401

@@ -1,10 +1,4 @@
-"""Aggregate expressions whose results do not depend on the order rows are added in.
-
-Floating-point sums differ in the last bit with the summation order, which changes
-across partitionings.  Money-like columns are therefore summed as decimals and
-means computed from the exact sum, so the same input gives the same double on
-every cluster layout.
-"""
+"""Small aggregate expressions; exact sums of doubles are in ``functions.totals``."""
 
 from __future__ import annotations
 
@@ -14,24 +8,6 @@ from pyspark.sql import functions as F
 from zonelake.functions.scalar import ColumnOrName, _col
 
 
-EXACT = "decimal(38,10)"
-
-
-def exact(c: ColumnOrName) -> Column:
-    """The value as ``EXACT``: ten decimals, 28 digits before the point (larger values are an error)."""
-    return _col(c).cast(EXACT)
-
-
-def exact_sum(c: ColumnOrName) -> Column:
-    """Exact decimal sum, returned as double."""
-    return F.sum(exact(c)).cast("double")
-
-
-def exact_mean(c: ColumnOrName) -> Column:
-    """Mean computed from the exact decimal sum and the non-null count."""
-    return exact_sum(c) / F.count(_col(c))
-
-
 def rounded_mean(c: ColumnOrName, digits: int = 1) -> Column:
     """``ROUND(AVG(c), digits)`` half away from zero, done in decimal arithmetic."""
     return F.round(F.avg(_col(c)).cast("decimal(38,10)"), digits).cast("double")

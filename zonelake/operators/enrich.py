@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonelake.functions.aggregates import exact_mean, sum_or_zero
+from zonelake.functions.aggregates import sum_or_zero
 from zonelake.functions.scalar import ordinal, row_argmax, time_of_day, weekday_name
+from zonelake.functions.totals import grouped
 from zonelake.operators.dedup import dedup_keep_first
 from zonelake.operators.joins import salted_join
 from zonelake.session import stored_table
@@ -35,17 +36,20 @@ def hourly_profile(df: DataFrame, ts_col: str, sum_cols: Sequence[str], mean_col
 
     ``bucket="time"`` groups by the full ``HH:mm:ss``; ``"hour"`` truncates to the hour
     first.  Rows whose time is null are dropped; an all-null sum is 0; means skip nulls.
-    With ``exact_means`` the means are taken from an exact decimal sum.
+    With ``exact_means`` the means are taken from exact sums.
     Result ordered by time ascending.
     """
     ts = F.col(ts_col)
     key = time_of_day(F.date_trunc("hour", ts) if bucket == "hour" else ts)
-    aggs = [sum_or_zero(c).alias(c) for c in sum_cols]
-    aggs += [(exact_mean(c) if exact_means else F.avg(c)).alias(c) for c in mean_cols]
-    if level_col:
-        aggs.append(F.avg(ordinal(level_col, level_map or {})).alias(level_out or level_col))
-    return (df.where(ts.isNotNull()).groupBy(key.alias(out_col)).agg(*aggs)
-            .orderBy(F.col(out_col).asc_nulls_last()))
+    rows, order = df.where(ts.isNotNull()), F.col(out_col).asc_nulls_last()
+    levels = {level_out or level_col: ordinal(level_col, level_map or {})} if level_col else {}
+    if exact_means:
+        out = grouped(rows, {out_col: key}, {f"_s_{c}": c for c in mean_cols},
+                      {**{c: ("sum", c) for c in sum_cols}, **{name: ("avg", c) for name, c in levels.items()}},
+                      means={c: f"_s_{c}" for c in mean_cols})
+        return out.select(out_col, *(F.coalesce(c, F.lit(0)).alias(c) for c in sum_cols), *mean_cols, *levels).orderBy(order)
+    aggs = [sum_or_zero(c).alias(c) for c in sum_cols] + [F.avg(c).alias(c) for c in mean_cols] + [F.avg(c).alias(name) for name, c in levels.items()]
+    return rows.groupBy(key.alias(out_col)).agg(*aggs).orderBy(order)
 
 
 def top_hours(profile: DataFrame, level_col: str, total_col: str, count_cols: Sequence[str],

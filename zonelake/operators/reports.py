@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonelake.functions.aggregates import exact, exact_mean, exact_sum, rounded_mean
+from zonelake.functions.aggregates import rounded_mean
 from zonelake.functions.scalar import ratio, route_label
+from zonelake.functions.totals import grouped, parts, total
 
 
 def with_share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
@@ -24,8 +25,8 @@ def with_share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
     """
     cols = [F.col(c) for c in df.columns]
     for out, c in shares.items():
-        total = F.sum(exact(c)).over(Window.partitionBy()).cast("double")
-        cols.append((F.try_divide(F.col(c).cast("double"), total) * F.lit(100.0)).alias(out))
+        whole = total(F.collect_list(parts(c)).over(Window.partitionBy()))
+        cols.append((F.try_divide(F.col(c).cast("double"), whole) * F.lit(100.0)).alias(out))
     return df.select(*cols)
 
 
@@ -76,9 +77,10 @@ def segment_share(customers: DataFrame, segment: str = "customer_segment", id_co
                   spend: str = "total_spend", avg_spend: str = "average_spend",
                   tx: str = "transaction_count") -> DataFrame:
     """Per segment: customers, revenue, mean of average spend, transactions, % of customers, % of revenue."""
-    agg = customers.groupBy(segment).agg(
-        F.count(id_col).alias("customer_count"), exact_sum(spend).alias("total_spend"),
-        rounded_mean(avg_spend, 2).alias("average_spend"), F.sum(tx).cast("long").alias("transaction_count"))
+    agg = grouped(customers, [segment], {"total_spend": spend},
+                  {"customer_count": ("count", id_col), "_mean": ("avg", avg_spend), "transaction_count": ("sum", tx)})
+    agg = agg.select(segment, "customer_count", "total_spend", F.round(F.col("_mean").cast("decimal(38,10)"), 2).cast("double").alias("average_spend"),
+                     F.col("transaction_count").cast("long").alias("transaction_count"))
     return with_share_of_total(agg, {"percent_of_customers": "customer_count",
                                      "percent_of_revenue": "total_spend"})
 
@@ -86,18 +88,17 @@ def segment_share(customers: DataFrame, segment: str = "customer_segment", id_co
 def segment_value(customers: DataFrame, segment: str = "customer_segment", id_col: str = "customer_id",
                   spend: str = "total_spend", tx: str = "transaction_count") -> DataFrame:
     """Customer lifetime value by segment; avg_transaction_value = revenue / (n * avg transactions)."""
-    agg = customers.groupBy(segment).agg(
-        F.count(id_col).alias("customer_count"), exact_sum(spend).alias("total_revenue"),
-        exact_mean(spend).alias("avg_customer_value"), F.avg(tx).alias("avg_transactions"))
+    agg = grouped(customers, [segment], {"total_revenue": spend}, {"customer_count": ("count", id_col), "avg_transactions": ("avg", tx)},
+                  means={"avg_customer_value": "total_revenue"}) \
+        .select(segment, "customer_count", "total_revenue", "avg_customer_value", "avg_transactions")
     return agg.withColumn("avg_transaction_value",
                           ratio("total_revenue", F.col("customer_count") * F.col("avg_transactions")))
 
 
 def category_efficiency(products: DataFrame, category: str = "category", id_col: str = "product_id",
                         sales: str = "sales_count", revenue: str = "total_revenue") -> DataFrame:
-    agg = products.groupBy(category).agg(
-        F.sum(sales).cast("long").alias("total_sales"), exact_sum(revenue).alias("total_revenue"),
-        F.count(id_col).alias("product_count"))
+    agg = grouped(products, [category], {"total_revenue": revenue}, {"total_sales": ("sum", sales), "product_count": ("count", id_col)}) \
+        .select(category, F.col("total_sales").cast("long").alias("total_sales"), "total_revenue", "product_count")
     return (agg.withColumn("revenue_per_product", ratio("total_revenue", "product_count"))
                .withColumn("sales_per_product", ratio("total_sales", "product_count"))
                .orderBy(F.col("revenue_per_product").desc(), category))
@@ -105,9 +106,8 @@ def category_efficiency(products: DataFrame, category: str = "category", id_col:
 
 def rfm_top(customers: DataFrame, n: int = 5, rfm: str = "rfm_segment", id_col: str = "customer_id",
             spend: str = "total_spend", tx: str = "transaction_count") -> DataFrame:
-    agg = customers.groupBy(rfm).agg(
-        F.count(id_col).alias("customer_count"), exact_sum(spend).alias("total_revenue"),
-        F.sum(tx).cast("long").alias("transaction_count"))
+    agg = grouped(customers, [rfm], {"total_revenue": spend}, {"customer_count": ("count", id_col), "transaction_count": ("sum", tx)}) \
+        .select(rfm, "customer_count", "total_revenue", F.col("transaction_count").cast("long").alias("transaction_count"))
     shared = with_share_of_total(agg, {"percent_customers": "customer_count",
                                        "percent_revenue": "total_revenue"})
     return shared.orderBy(F.col("total_revenue").desc(), rfm).limit(n)
@@ -133,10 +133,8 @@ def recommendations(category_perf: DataFrame, segment_val: DataFrame, category:
 
 def method_totals(df: DataFrame, method: str, amount: str) -> DataFrame:
     """Count, exact sum and mean per payment method, ordered by total descending."""
-    return (df.groupBy(method).agg(F.count(F.lit(1)).alias("transaction_count"),
-                                   exact_sum(amount).alias("total_sales"),
-                                   exact_mean(amount).alias("average_sale"))
-            .orderBy(F.col("total_sales").desc(), method))
+    agg = grouped(df, [method], {"total_sales": amount}, {"transaction_count": ("count", F.lit(1))}, means={"average_sale": "total_sales"})
+    return agg.select(method, "transaction_count", "total_sales", "average_sale").orderBy(F.col("total_sales").desc(), method)
 
 
 def two_level_segmentation(customers: DataFrame, transactions: DataFrame, cust_key: str, tx_key: str,
@@ -147,36 +145,42 @@ def two_level_segmentation(customers: DataFrame, transactions: DataFrame, cust_k
     one row per customer and a customer with a huge share of transactions is
     collapsed by the map-side partial aggregation instead of skewing the join.
     """
-    per_key = transactions.groupBy(F.col(tx_key).alias("_ck")).agg(
-        F.count(tx_id).alias("transaction_count"),
-        F.sum(exact(amount)).alias("total_spend"))
+    per_key = grouped(transactions, {"_ck": tx_key}, {"total_spend": amount}, {"transaction_count": ("count", tx_id)})
     per_customer = customers.join(per_key, customers[cust_key] == per_key["_ck"]) \
         .select(cust_key, region, segment, "transaction_count", "total_spend")
-    return (per_customer.groupBy(region, segment)
-            .agg(F.count(F.lit(1)).alias("customer_count"),
-                 F.sum("total_spend").cast("double").alias("total_revenue"),
-                 (F.sum("total_spend").cast("double") / F.count("total_spend")).alias("avg_customer_spend"))
-            .orderBy(region, F.col("total_revenue").desc(), segment))
+    agg = grouped(per_customer, [region, segment], {"total_revenue": "total_spend"}, {"customer_count": ("count", F.lit(1))},
+                  means={"avg_customer_spend": "total_revenue"})
+    return agg.select(region, segment, "customer_count", "total_revenue", "avg_customer_spend") \
+        .orderBy(region, F.col("total_revenue").desc(), segment)
 
 
 def period_summary(df: DataFrame, ts: str, amount: str) -> DataFrame:
     """Year / month summary: count, exact total and mean (the CTAS of a monthly table)."""
-    return (df.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"))
-            .agg(F.count(F.lit(1)).alias("order_count"), exact_sum(amount).alias("total_amount"),
-                 exact_mean(amount).alias("avg_amount"))
-            .orderBy("year", "month"))
+    agg = grouped(df, {"year": F.year(ts), "month": F.month(ts)}, {"total_amount": amount}, {"order_count": ("count", F.lit(1))},
+                  means={"avg_amount": "total_amount"})
+    return agg.select("year", "month", "order_count", "total_amount", "avg_amount").orderBy("year", "month")
 
 
-def _pivot_sum(df: DataFrame, month_col: str, category: str, value: str, always: Sequence[str]) -> DataFrame:
-    """Month x category sums of exact values, empty cells 0.
+PIVOT_COLUMNS = 1000     # a wider pivot is an error
 
-    The columns are ``always`` and every category found in the data (a null one is named ``null``), so
-    the cells of a month add up to its total whatever categories turn up.
+
+def category_months(df: DataFrame, ts: str, category: str, value: str, month_col: str = "month_year", out_col: str = "total") -> DataFrame:
+    """Month and category totals as rows, whatever the number of categories (a null one is named ``null``)."""
+    name = F.coalesce(F.col(category).cast("string"), F.lit("null"))
+    return grouped(df, {month_col: F.date_format(ts, "yyyy-MM"), category: name}, {out_col: value})
+
+
+def _pivoted(cells: DataFrame, month_col: str, category: str, always: Sequence[str]) -> DataFrame:
+    """Month x category, empty cells 0.
+
+    The columns are ``always`` and every category found in the data, so the cells of a month add up to its total
+    whatever categories turn up; more than ``PIVOT_COLUMNS`` are an error (``category_months`` gives them as rows).
     """
-    named = df.withColumn(category, F.coalesce(F.col(category).cast("string"), F.lit("null")))
-    found = [r[0] for r in named.select(category).distinct().orderBy(category).collect()]  # one per output column
+    found = [r[0] for r in cells.select(category).distinct().orderBy(category).limit(PIVOT_COLUMNS + 1).collect()]
     columns = [*always, *(c for c in found if c not in set(always))]
-    out = named.groupBy(month_col).pivot(category, columns).agg(F.sum(value).cast("double"))
+    if len(columns) > PIVOT_COLUMNS:
+        raise ValueError(f"more than {PIVOT_COLUMNS} categories: take category_months")
+    out = cells.groupBy(month_col).pivot(category, columns).agg(F.first("total", ignorenulls=True))
     return out.na.fill(0.0, subset=columns).orderBy(month_col)
 
 
@@ -186,18 +190,16 @@ def monthly_pivot(df: DataFrame, ts: str, category: str, value: str, categories:
 
     Duplicate (month, category) cells are summed.
     """
-    per = df.groupBy(F.date_format(ts, "yyyy-MM").alias(month_col), F.col(category)).agg(F.sum(exact(value)).alias("_v"))
-    return _pivot_sum(per, month_col, category, "_v", categories)
+    return _pivoted(category_months(df, ts, category, value, month_col), month_col, category, categories)
 
 
 def monthly_pivot_by_key(facts: DataFrame, dims: DataFrame, fact_key: str, dim_key: str, ts: str, category: str,
                          value: str, categories: Sequence[str] = (), month_col: str = "month_year") -> DataFrame:
     """``monthly_pivot`` where the category lives in a dimension: facts are first summed per
     (key, month), so the join carries one row per key and month instead of every fact."""
-    per = facts.groupBy(F.col(fact_key).alias("_k"), F.date_format(ts, "yyyy-MM").alias(month_col)) \
-        .agg(F.sum(exact(value)).alias("_v"))
-    j = per.join(dims.select(F.col(dim_key).alias("_k"), F.col(category)), "_k")
-    return _pivot_sum(j, month_col, category, "_v", categories)
+    per = grouped(facts, {"_k": fact_key, month_col: F.date_format(ts, "yyyy-MM")}, {"_v": value})
+    j = per.join(dims.select(F.col(dim_key).alias("_k"), F.coalesce(F.col(category).cast("string"), F.lit("null")).alias(category)), "_k")
+    return _pivoted(grouped(j, [month_col, category], {"total": "_v"}), month_col, category, categories)
 
 
 def density_vs_coverage(areas: DataFrame, area_key: str, left: DataFrame, left_key: str, left_out: str,

@@ -17,8 +17,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.functions.aggregates import exact
 from zonelake.functions.scalar import round_half_up_int, safe_cast, safe_timestamp, to_bool, weekday_name
+from zonelake.functions.totals import grouped
 from zonelake.operators import enrich, governance, quality as Q, reports, warehouse
 from zonelake.operators.clean import CleanSpec, clean, clean_and_check
 from zonelake.operators.dedup import dedup_full, dedup_keep_first
@@ -101,17 +101,14 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer_id, customer_segment, rfm_segment, total_spend, average_spend, transaction_count."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    per = o.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.sum(exact("o_totalprice")).alias("total_spend"),
-        F.max("o_orderdate").alias("last_order"))
+    per = grouped(o, ["o_custkey"], {"total_spend": "o_totalprice"}, {"transaction_count": ("count", F.lit(1)), "last_order": ("max", "o_orderdate")})
     j = per.join(c, per.o_custkey == c.c_custkey)
     rfm = F.concat(F.lit("R"), F.when(F.col("last_order") >= F.lit(RFM_RECENT_FROM), "H").otherwise("L"),
                    F.lit("F"), F.when(F.col("transaction_count") >= RFM_MIN_ORDERS, "H").otherwise("L"),
-                   F.lit("M"), F.when(F.col("total_spend") >= F.lit(RFM_MIN_SPEND), "H").otherwise("L"))
+                   F.lit("M"), F.when(F.col("total_spend") >= F.lit(float(RFM_MIN_SPEND)), "H").otherwise("L"))
     return j.select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("customer_segment"),
                     rfm.alias("rfm_segment"), F.col("total_spend"),
-                    (F.col("total_spend").cast("double") / F.col("transaction_count")).alias("average_spend"),
+                    (F.col("total_spend") / F.col("transaction_count")).alias("average_spend"),
                     "transaction_count")
 
 
@@ -119,12 +116,11 @@ def product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_id, product_name, category, sales_count, total_revenue, average_price."""
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    per = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("sales_count"),
-                                      F.sum(exact("l_extendedprice")).alias("total_revenue"))
+    per = grouped(li, ["l_partkey"], {"total_revenue": "l_extendedprice"}, {"sales_count": ("count", F.lit(1))})
     j = per.join(p, per.l_partkey == p.p_partkey)
     return j.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
                     F.col("p_type").alias("category"), "sales_count", "total_revenue",
-                    (F.col("total_revenue").cast("double") / F.col("sales_count")).alias("average_price"))
+                    (F.col("total_revenue") / F.col("sales_count")).alias("average_price"))
 
 
 def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,8 +414,7 @@ def q_rfm_top5(spark, sf_dir):
 
 
 def q_top_products(spark, sf_dir):
-    p = product_performance(spark, sf_dir).withColumn("total_revenue", F.col("total_revenue").cast("double"))
-    return reports.top_by(p, "total_revenue", 10, ["product_id"])
+    return reports.top_by(product_performance(spark, sf_dir), "total_revenue", 10, ["product_id"])
 
 
 def q_recommendations(spark, sf_dir):
