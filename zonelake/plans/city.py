@@ -58,7 +58,7 @@ def ingest(spark: SparkSession, raw_dir: str, root: str) -> DataFrame:
 def _read_sources(spark: SparkSession, raw: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Typed-as-text frames of every raw source; a source that cannot be read is reported, not fatal."""
     def raw_csv(name, schema):
-        return in_file_order(read_dataset(spark, raw[name], "csv", schemas.all_text(schema)))
+        return read_dataset(spark, raw[name], "csv", schemas.all_text(schema), multiline=True, placed=True)
 
     readers = {
         "traffic": lambda: {"traffic": raw_csv("traffic", schemas.TRAFFIC)},
@@ -68,8 +68,8 @@ def _read_sources(spark: SparkSession, raw: Mapping[str, str]) -> tuple[dict[str
             raw_csv("parking_info", schemas.PARKING_INFO).withColumnsRenamed({"_file": "_info_file", "_ord": "_info_ord"}),
             ["aparcamiento_id"], ["_info_file", "_info_ord"]).drop("_info_file", "_info_ord")},
         "dump": lambda: {DUMP_DATASETS[t]: df for t, df in read_sql_dump(spark, raw["dump"], schemas.DUMP_TABLES).items()},
-        "citizen_reports": lambda: {"citizen_reports": in_file_order(read_dataset(
-            spark, raw["citizen_reports"], "json", schemas.CITIZEN_REPORTS, multiline=True))},
+        "citizen_reports": lambda: {"citizen_reports": read_dataset(
+            spark, raw["citizen_reports"], "json", schemas.CITIZEN_REPORTS, multiline=True, placed=True)},
     }
     frames, failures = {}, {}
     for name, read in readers.items():

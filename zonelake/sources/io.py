@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonelake.sources.documents import read_csv_records, read_json_array
+
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
 
 
@@ -20,6 +22,10 @@ SUPPORTED_FORMATS = ("csv", "json", "parquet")
 CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+# A text that is one NUL character reads back as null; an empty field stands for null by itself.
+CSV_READ = {**CSV_TEXT, "nullValue": "\u0000"}
+
+
 def _check_format(fmt: str) -> str:
     fmt = fmt.lower()
     if fmt not in SUPPORTED_FORMATS:
@@ -37,7 +43,7 @@ def in_file_order(df: DataFrame) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
-                 schema: T.StructType | str | None = None, multiline: bool = False) -> DataFrame:
+                 schema: T.StructType | str | None = None, multiline: bool = False, placed: bool = False) -> DataFrame:
     """Read one dataset.
 
     * ``csv``: header row, declared schema, malformed values become null (PERMISSIVE);
@@ -45,19 +51,23 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
       is a quote, and blanks are kept.  ``multiline=True`` for texts with line ends.
     * ``json``: declared schema; ``multiline=True`` reads a JSON array of records and
       fails on malformed input (FAILFAST), as a document loader should.
+
+    ``multiline`` reads need a schema; a file is still read by many tasks.  ``placed=True`` adds ``_file`` and ``_ord``.
     * ``parquet``: schema from the files.
     """
     fmt = _check_format(fmt)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
+    if multiline and fmt != "parquet":
+        if schema is None:
+            raise ValueError("a multiline read needs a schema")
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        rows = read_csv_records(spark, path, schema, CSV_READ) if fmt == "csv" else read_json_array(spark, path, schema)
+        return rows if placed else rows.drop(*FILE_ORDER)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        return reader.options(header=True, mode="PERMISSIVE", multiLine=multiline, **CSV_TEXT, nullValue="\u0000").csv(path)
-    if fmt == "json":
-        if multiline:
-            reader = reader.option("multiLine", True).option("mode", "FAILFAST")
-        return reader.json(path)
-    return reader.parquet(path)
+        rows = reader.options(header=True, mode="PERMISSIVE", **CSV_READ).csv(path)
+    else:
+        rows = reader.json(path) if fmt == "json" else reader.parquet(path)
+    return in_file_order(rows) if placed else rows
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
