@@ -80,7 +80,7 @@ def test_no_single_task_funnel_at_scale(spark):
                     # allowed: map-side partial aggregates, the per-partition counts of key
                     # assignment (grouped by partition id: one row per partition), and the
                     # grouped rows of a report whose shares need the total
-                    grouped = name in ("segment_share", "rfm_top5") and "Aggregate" in lines[i + 1] + lines[i + 2]
+                    grouped = name in ("segment_share", "rfm_top5") and "Aggregate" in "".join(lines[i + 1:i + 5])
                     assert "partial_" in feed or "keys=[_pid" in feed or grouped, (name, feed)
     finally:
         for k, v in old.items():

@@ -48,10 +48,37 @@ def test_sql_dump_parse(spark, tmp_dir):
 
 def test_sql_dump_line_that_does_not_parse_is_an_error(spark, tmp_dir):
     path = os.path.join(tmp_dir, "dump.sql")
-    with open(path, "w") as f:
-        f.write("INSERT INTO distritos (id, nombre) VALUES\n(1, 'two\nlines');\n")
-    with pytest.raises(Exception, match="does not parse"):
-        read_sql_dump(spark, path, DUMP_TABLES)
+    for body, match in (("(1, 'x';\n", "does not parse"), ("(1, 'open\n", "inside a string")):
+        with open(path, "w") as f:
+            f.write("INSERT INTO distritos (id, nombre) VALUES\n" + body)
+        with pytest.raises(Exception, match=match):
+            read_sql_dump(spark, path, DUMP_TABLES)
+
+
+@pytest.mark.parametrize("split", ["128m", "64"])
+def test_sql_dump_strings_over_several_lines(spark, tmp_dir, split):
+    texts = ["one", "two\nlines", "a\n\n(b), 'c'\n-- no comment's end\nINSERT INTO zonas_verdes VALUES\n(1);", "end\n", "\n--\n", "it's -- here", "x\r\ny",
+             "tail -- '", "back\\\n'slash\\"] * 7
+    lines = ["-- it's a comment", "INSERT INTO distritos (id, nombre) VALUES"]
+    for i, t in enumerate(texts):
+        quoted = t.replace("\\", "\\\\").replace("'", "''" if i % 2 else "\\'")
+        lines.append(f"({i}, '{quoted}')" + ("," if i + 1 < len(texts) else ";") + (" -- don't (mind)" if i % 3 == 0 else ""))
+        if i % 5 == 0:
+            lines.append("-- a line's comment")
+    path = os.path.join(tmp_dir, "dump.sql")
+    with open(path, "w", newline="") as f:
+        f.write("\n".join(lines) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        tabs = read_sql_dump(spark, path, DUMP_TABLES)
+        got = tabs["distritos"].orderBy("_file", "_ord", "_pos").collect()
+        assert tabs["zonas_verdes"].count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [(r.id, r.nombre) for r in got] == list(enumerate(texts))
 
 
 TEXTS = ["", " lead and trail ", "a\nb\r\nc\rd", 'say "hi", it\'s', "back\\slash\\n \\\\", "NULL", "null", "x),(y", "x), (y", "-- c",

@@ -4,14 +4,16 @@ The dump is read line by line, so a table held in one huge ``INSERT`` statement
 still spread over every input split.  Lines are classified as ``INSERT INTO`` headers
 (with or without a schema name and a column list), tuple lines ``(...)`` or other (DDL,
 ``--`` comments, blank).  A tuple line belongs to the last header above it in the same
-file: found inside its own split by a window over that split's lines, or, for the lines
-before the first header of a split, from a carry computed over a table with one row per
-split.  Headers may carry tuples on their own line.
+file, which is carried over splits together with the strings' state.  Headers may carry tuples on their own line.
 
-Tuples and values are found by quote-aware patterns: strings in single quotes, with
+Strings in single quotes may go over several lines, also from one split into the next: the state at the
+beginning of each line (inside a string or not) is composed over lines and splits (``sources.lines``), and the lines of
+one tuple are put together before it is taken apart.
+
+Tuples and values are found by quote-aware patterns: strings with
 backslash escapes or doubled quotes; a bare ``NULL`` is null, a quoted one is text.
 Values go to columns by the statement's column list, else by position.  A line that does
-not parse, e.g. a string literal that goes over several lines, is an error.
+not parse, or a dump that ends inside a string, is an error.
 
 ``_file`` and ``_ord`` (increasing in file order within a file) are kept so that
 keep-first deduplication can follow file order.
@@ -21,11 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonelake.session import scratch_path
+from zonelake.sources.lines import count_of, physical_lines, records
 
 _STRING = r"'(?:[^'\\]++|\\.|'')*+'"
 _TUPLE = rf"\((?:[^'()]++|{_STRING})*+\)"
@@ -35,31 +38,25 @@ _HEADER = r"(?is)^\s*INSERT\s+INTO\s+(?:[`\"]?\w+[`\"]?\.)?[`\"]?(\w+)[`\"]?\s*(
 _MARK = "￿"  # stands for an escaped backslash while the other escapes are resolved
 
 
+def _ends_inside(line):
+    """1 if a line of code ends inside a string, else 0: complete strings and a comment behind them are left out."""
+    bare = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), "'[^']*'", "")
+    return count_of(F.regexp_replace(bare, "^([^']*?)--.*", "$1"), "'").cast("long")
+
+
 def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
     """One row per VALUES tuple: ``table``, ``columns`` (null without a list), ``_file``, ``_ord``, ``_pos``, ``values``."""
-    lines = spark.read.text(path).select(
-        F.col("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"))
     header = F.regexp_extract("value", _HEADER, 1)
-    kind = (F.when(header != "", "header")
-            .when(F.regexp_replace("value", r"^\s+", "").startswith("("), "tuple"))
-    split = Window.partitionBy("_file", "_block").orderBy("_id")
-    # a line has one byte at least, so block start + line number grows through the whole file
-    lines = lines.withColumn("_ord", F.col("_block") + F.row_number().over(split) - 1)
     names = F.regexp_extract("value", _HEADER, 2)
     columns = F.when(names != "", F.transform(F.split(names, ","), lambda c: F.regexp_replace(c, r"[\s`\"]", "")))
-    statement = F.struct(F.col("_ord").alias("o"), header.alias("t"), columns.alias("c"))
-    lines = lines.select("*", kind.alias("_kind")).where(F.col("_kind").isNotNull()) \
-        .withColumn("_own", F.when(F.col("_kind") == "header", statement))
-
-    # last header above each line inside its own split (a window over one split's lines)
-    lines = lines.withColumn("_last", F.last("_own", ignorenulls=True).over(
-        split.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # carry for lines above the first header of a split: one row per split, prefix over earlier splits
-    per_split = lines.groupBy("_file", "_block").agg(F.max("_own").alias("_split_last"))
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select("_file", "_block", F.last("_split_last", ignorenulls=True).over(before).alias("_carry"))
-    lines = lines.join(carry, ["_file", "_block"], "left").withColumn("_into", F.coalesce("_last", "_carry"))
+    statement = F.when(header != "", F.struct(header.alias("t"), columns.alias("c")))
+    # a line that begins outside or inside a string and where that leads: mostly the other way round, so it adds; else it sets
+    outside, inside = _ends_inside(F.col("value")), _ends_inside(F.concat(F.lit("'"), F.col("value")))
+    lines = records(physical_lines(spark, path), outside, lambda s: s % 2 == 0, lambda s: s % 2 == 1, "the dump ends inside a string",
+                    F.when(outside == inside, outside), statement)
+    lines = lines.select(F.regexp_replace("value", "\r$", "").alias("value"), "_file", "_ord", F.col("mark").alias("_into"))
+    kind = F.when(header != "", "header").when(F.regexp_replace("value", r"^\s+", "").startswith("("), "tuple")
+    lines = lines.withColumn("_kind", kind).where("_kind is not null")
 
     content = F.btrim(F.when(F.col("_kind") == "tuple", F.col("value")).otherwise(F.regexp_extract("value", _HEADER, 3)))
     found = F.regexp_extract(content, _LIST, 1)
