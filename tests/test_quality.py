@@ -44,3 +44,29 @@ def test_summary_failed_and_records(spark):
 
 def test_no_rules_gives_empty(spark):
     assert Q.run_checks(_df(spark), "t", []).count() == 0
+
+
+def test_five_unique_rules_scan_a_table_once(spark, tmp_dir):
+    df = spark.createDataFrame([(i, f"t{i % 7}" * (1 + i % 20), (-0.0, 0.0, 1.5, None)[i % 4], None if i % 9 else b"x", [i % 3, None], i % 2 == 0) for i in range(100)],
+                               "a int, b string, c double, d binary, e array<int>, f boolean")
+    df.write.parquet(tmp_dir + "/t")
+    table = spark.read.parquet(tmp_dir + "/t")
+    checks = Q.run_checks(table, "t", Q.unique("a", "b", "c", "d", "e", "f") + Q.no_nulls("c", "d"), dt.datetime(2024, 1, 1))
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    got = {(r.check_type, r.column): r.bad_count for r in checks.collect()}
+    want = {("unique", c): 100 - len({str(r[c]) if c != "c" else r[c] + 0.0 for r in df.collect() if r[c] is not None}) for c in "abcdef"}
+    assert got == {**want, ("no_nulls", "c"): 25, ("no_nulls", "d"): 88}
+    empty = Q.run_checks(table.limit(0), "t", Q.unique("a", "b") + Q.no_nulls("c")).collect()
+    assert [(r.bad_count, r.row_count, r.passed, r.timestamp) for r in empty] == [(0, 0, True, None)] * 3
+
+
+def test_row_rules_observed_by_the_write(spark, tmp_dir):
+    from zonelake.sources.io import publish_observed
+    df = _df(spark)
+    rules = Q.no_nulls("id", "v", "absent") + Q.unique("id") + [Q.accepted_values("status", ["F", "O"]), Q.in_range("v", 0.0, 2.0)]
+    meta, metrics = publish_observed(df, tmp_dir + "/out", "zone", "t", Q.observed(df, rules))
+    written = spark.read.parquet(tmp_dir + "/out")
+    key = lambda checks: sorted((r.rule_idx, r.check_type, r.column, r.bad_count, r.row_count, r.details) for r in checks.collect())
+    assert key(Q.run_checks(written, "t", rules, metrics=metrics)) == key(Q.run_checks(df, "t", rules))
+    assert meta.first()["rows"] == 4

@@ -1,9 +1,13 @@
 """Observe-only data quality rules.
 
 Checks never filter or fail a load: they produce rows of a ``quality_checks`` table.
-All column rules of one dataset are answered by a single aggregation pass; a
-``unique`` rule is its own group-by (so several of them do not expand the input),
-and a ``references`` rule is one left join against the distinct parent keys.
+All column rules of one dataset, the ``unique`` ones included, are answered by one scan and one shuffle:
+every row gives a pair (rule, value) for each unique rule and one for the row itself, the pairs are
+counted map-side first, and the row's own pair carries the counts of the other rules.  A ``references``
+rule is one left join against the distinct parent keys.
+
+A job that writes a dataset can count the row rules on the way (``observed``), so that only unique and
+references rules read what was written.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonelake.sources.io import utc
+
 RULE_KINDS = ("no_nulls", "unique", "accepted_values", "range", "references")
 
 
@@ -84,7 +90,8 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return col.isNull()
 
 
-def _bad_expr(df: DataFrame, rule: Rule) -> Column:
+def _bad(df: DataFrame, rule: Rule) -> Column:
+    """Whether a row breaks a row rule."""
     col = F.col(f"`{rule.column}`")
     if rule.kind == "no_nulls":
         cond = _is_missing(df, rule.column)
@@ -97,7 +104,36 @@ def _bad_expr(df: DataFrame, rule: Rule) -> Column:
         if rule.high is not None:
             parts.append(col > F.lit(rule.high))
         cond = reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
-    return F.count_if(F.coalesce(cond, F.lit(False))).cast("long")
+    return F.coalesce(cond, F.lit(False))
+
+
+ROW_RULES = ("no_nulls", "accepted_values", "range")
+SHORT = 32          # bytes; longer texts are compared by their SHA-256
+
+
+def _value_key(df: DataFrame, c: str) -> Column:
+    """A text that two values of the column share exactly if they are equal; null for null."""
+    col, dtype = F.col(f"`{c}`"), df.schema[c].dataType
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = F.when(col == 0, F.lit("0.0")).otherwise(col.cast("string"))      # -0.0 equals 0.0
+    elif isinstance(dtype, T.BinaryType):
+        text = F.hex(col)
+    elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        text = F.when(col.isNotNull(), F.to_json(F.struct(col), {"ignoreNullFields": "false"}))
+    else:
+        text = col.cast("string")
+    return F.when(F.octet_length(text) > SHORT, F.sha2(text, 256)).otherwise(text)
+
+
+def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """Rules on a column that the frame has."""
+    return [r for r in rules if r.column in df.columns]
+
+
+def observed(df: DataFrame, rules: Sequence[Rule]) -> list[Column]:
+    """Metrics for ``DataFrame.observe``: ``rows``, and ``bad_<i>`` for each row rule."""
+    row_rules = [(i, r) for i, r in enumerate(applicable(df, rules)) if r.kind in ROW_RULES]
+    return [F.count(F.lit(1)).alias("rows"), *(F.count_if(_bad(df, r)).cast("long").alias(f"bad_{i}") for i, r in row_rules)]
 
 
 def _rule_row(idx: int, rule: Rule, bad: Column, rows: Column) -> Column:
@@ -106,38 +142,49 @@ def _rule_row(idx: int, rule: Rule, bad: Column, rows: Column) -> Column:
                     rows.alias("row_count"))
 
 
-def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule],
-               timestamp: _dt.datetime | None = None) -> DataFrame:
+def _one_scan(df: DataFrame, row_rules: list, unique_rules: list) -> DataFrame:
+    """Rows of ``_rule_row`` for row and unique rules: pairs (rule, value) counted in one shuffle."""
+    own = F.struct(F.lit(-1).alias("rule"), F.lit(None).cast("string").alias("key"))
+    pairs = F.array(own, *(F.struct(F.lit(i).alias("rule"), _value_key(df, r.column).alias("key")) for i, r in unique_rules))
+    rows = df.select(*(_bad(df, r).alias(f"_b{i}") for i, r in row_rules), F.explode(pairs).alias("p"))
+    is_own = F.col("p.rule") == -1
+    held = rows.groupBy("p.rule", "p.key").agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(is_own & F.col(f"_b{i}")).alias(f"_b{i}") for i, _ in row_rules))
+    repeated = F.when(F.col("key").isNull(), F.col("n")).otherwise(F.col("n") - 1)
+    per_rule = held.groupBy("rule").agg(F.sum("n").alias("n"), F.sum(repeated).alias("repeated"), *(F.sum(f"_b{i}").alias(f"_b{i}") for i, _ in row_rules))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    at = lambda i, c: F.max(F.when(F.col("rule") == i, F.col(c)))
+    one = per_rule.agg(zero(at(-1, "n")).alias("rows"), *(zero(at(-1, f"_b{i}")).alias(f"bad_{i}") for i, _ in row_rules),
+                       *(zero(at(i, "repeated")).alias(f"bad_{i}") for i, _ in unique_rules))
+    return one.select(F.explode(F.array(*(_rule_row(i, r, F.col(f"bad_{i}"), F.col("rows")) for i, r in sorted(
+        row_rules + unique_rules, key=lambda x: x[0])))).alias("r")).select("r.*")
+
+
+def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule], timestamp: _dt.datetime | None = None,
+               metrics: dict | None = None) -> DataFrame:
     """Evaluate ``rules`` on ``df``; one output row per applicable rule.
 
     Rules on a column the frame does not have are skipped (as the reference does).
     ``passed`` is ``bad_count == 0``.  For ``unique`` every null counts as a duplicate
-    (row count minus distinct non-null values).
+    (row count minus distinct non-null values).  ``metrics`` are what a write of ``df`` has observed
+    (``observed``); the row rules are then taken from there.  An unset time is null.
     """
-    rules = [r for r in rules if r.column in df.columns]
-    ts = timestamp or _dt.datetime(1970, 1, 1)
+    rules = applicable(df, rules)
+    spark = df.sparkSession
     parts: list[DataFrame] = []
 
-    simple = [(i, r) for i, r in enumerate(rules) if r.kind in ("no_nulls", "accepted_values", "range")]
-    if simple or not rules:
-        exprs = [F.count(F.lit(1)).alias("_rows")]
-        exprs += [_bad_expr(df, r).alias(f"_b{i}") for i, r in simple]
-        one = df.agg(*exprs)
-        if simple:
-            rows = [_rule_row(i, r, F.col(f"_b{i}"), F.col("_rows")) for i, r in simple]
-            parts.append(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
-
+    row_rules = [(i, r) for i, r in enumerate(rules) if r.kind in ROW_RULES]
+    unique_rules = [(i, r) for i, r in enumerate(rules) if r.kind == "unique"]
+    if metrics is not None and row_rules:
+        parts.append(spark.createDataFrame([(i, r.kind, r.column, int(metrics[f"bad_{i}"]), int(metrics["rows"])) for i, r in row_rules],
+                                           "rule_idx int, check_type string, column string, bad_count long, row_count long"))
+        row_rules = []
+    if row_rules or unique_rules:
+        parts.append(_one_scan(df, row_rules, unique_rules))
     for i, r in enumerate(rules):
-        col = F.col(f"`{r.column}`")
-        if r.kind == "unique":
-            per_value = df.groupBy(col.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-            dup = F.when(F.col("_v").isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
-            one = per_value.agg(F.coalesce(F.sum(dup), F.lit(0)).cast("long").alias("_bad"),
-                                F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_rows"))
-            parts.append(one.select(_rule_row(i, r, F.col("_bad"), F.col("_rows")).alias("r")).select("r.*"))
-        elif r.kind == "references":
+        if r.kind == "references":
             # rows per child key first (a hot key collapses map-side), then one row per key is joined
-            per_key = df.groupBy(col.alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+            per_key = df.groupBy(F.col(f"`{r.column}`").alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
             keys = r.parent.select(F.col(f"`{r.parent_column}`").alias("_pk")).distinct()
             joined = per_key.join(keys, F.col("_fk") == F.col("_pk"), "left")
             orphan = F.col("_fk").isNotNull() & F.col("_pk").isNull()
@@ -145,7 +192,6 @@ def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule],
                              F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_rows"))
             parts.append(one.select(_rule_row(i, r, F.col("_bad"), F.col("_rows")).alias("r")).select("r.*"))
 
-    spark = df.sparkSession
     if not parts:
         return spark.createDataFrame([], CHECK_SCHEMA)
     rows = reduce(DataFrame.unionByName, parts)
@@ -153,7 +199,7 @@ def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule],
                        F.element_at(F.create_map(*[x for k, v in _DETAILS.items() for x in (F.lit(k), F.lit(v))]),
                                     F.col("check_type")))
     return rows.select(
-        F.lit(dataset).alias("dataset"), F.lit(ts).cast("timestamp").alias("timestamp"),
+        F.lit(dataset).alias("dataset"), F.lit(None if timestamp is None else utc(timestamp)).cast("timestamp").alias("timestamp"),
         F.col("row_count").cast("long").alias("row_count"), F.col("rule_idx").cast("int").alias("rule_idx"),
         "check_type", "column", (F.col("bad_count") == 0).alias("passed"),
         F.col("bad_count").cast("long").alias("bad_count"), details.alias("details"))

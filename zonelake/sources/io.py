@@ -7,9 +7,10 @@ declared, never inferred, so a malformed file cannot silently change a type.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,14 +112,20 @@ def publish(df: DataFrame, path: str, bucket: str, object_name: str, fmt: str =
 
     The row count is observed on the write job itself (no second pass over the data).
     """
-    obs = Observation(f"publish_{abs(hash((bucket, object_name)))}")
-    write_dataset(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
-    rows = obs.get["rows"]
+    return publish_observed(df, path, bucket, object_name, [F.count(F.lit(1)).alias("rows")], fmt, properties, uploaded_at)[0]
+
+
+def publish_observed(df: DataFrame, path: str, bucket: str, object_name: str, metrics: Sequence[Column], fmt: str = "parquet",
+                     properties: Mapping[str, str] | None = None, uploaded_at: _dt.datetime | None = None) -> tuple[DataFrame, dict]:
+    """``publish`` with further ``metrics`` (``rows`` among them) counted by the write: (metadata record, metrics)."""
+    obs = Observation(f"publish-{uuid.uuid4().hex}")
+    write_dataset(df.observe(obs, *metrics), path, fmt)
+    found = obs.get
     record = (bucket, object_name, utc(uploaded_at),
-              fmt, int(rows), list(df.columns),
+              fmt, int(found["rows"]), list(df.columns),
               {f.name: f.dataType.simpleString() for f in df.schema.fields},
               dict(properties or {}))
-    return df.sparkSession.createDataFrame([record], METADATA_SCHEMA)
+    return df.sparkSession.createDataFrame([record], METADATA_SCHEMA), found
 
 
 def preview(spark: SparkSession, path: str, fmt: str = "parquet", n: int = 5) -> DataFrame:
