@@ -127,3 +127,28 @@ def test_keep_first_follows_the_file_and_every_rule_is_checked(spark, tmp_dir):
     assert {("districts_clean", "range", "latitud"), ("districts_clean", "range", "poblacion"), ("lines_clean", "accepted_values", "tipo"),
             ("lines_clean", "range", "longitud_km"), ("parking_clean", "range", "hora"), ("parking_clean", "range", "porcentaje_ocupacion")} <= failed
     assert checks.first().timestamp == dt.datetime(2024, 12, 2)
+
+
+def test_star_and_foreign_keys_are_checked(spark, tmp_dir):
+    root, wh = os.path.join(tmp_dir, "lake"), os.path.join(tmp_dir, "wh")
+    tables = {
+        "dim_usuario": spark.createDataFrame([(1, 10, "a"), (2, 10, None)], "usuario_sk long, usuario_id int, tipo_usuario string"),
+        "dim_estacion": spark.createDataFrame([(1, 5), (1, 6)], "estacion_sk long, estacion_id int"),
+        "fact_viaje": spark.createDataFrame([(1, 1, 9, 60), (3, 1, 1, None)], "usuario_sk long, origen_sk long, destino_sk long, duracion_segundos int"),
+        "dim_distrito": spark.createDataFrame([(1,), (None,)], "distrito_id int")}
+    for name, df in tables.items():
+        df.write.parquet(f"{wh}/{name}")
+    paths = {n: f"{wh}/{n}" for n in (*tables, "dim_aparcamiento", "fact_parking_ocupacion")}
+    checks = city.star_checks(spark, paths, root, dt.datetime(2024, 12, 2))
+    failed = {(r.dataset, r.check_type, r.column): r.bad_count for r in checks.where("not passed").collect()}
+    assert failed == {("dim_usuario", "unique", "usuario_id"): 1, ("dim_usuario", "no_nulls", "tipo_usuario"): 1,
+                      ("dim_estacion", "unique", "estacion_sk"): 1, ("fact_viaje", "no_nulls", "duracion_segundos"): 1,
+                      ("fact_viaje", "references", "usuario_sk"): 1, ("fact_viaje", "references", "destino_sk"): 1,
+                      ("dim_distrito", "unique", "distrito_id"): 1, ("dim_distrito", "no_nulls", "distrito_id"): 1}
+    clean = {}
+    for name, rows_ in (("districts", [(1, None)]), ("buildings", [(7, 1), (8, 2)]), ("energy", [(1, 7), (2, 99)])):
+        clean[name] = f"{wh}/clean-{name}"
+        spark.createDataFrame(rows_, "id int, ref int").withColumnRenamed("ref", "edificio_id" if name == "energy" else "distrito_id").write.parquet(clean[name])
+    failed = {(r.dataset, r.column, r.bad_count) for r in city.foreign_key_checks(spark, clean, root).where("not passed").collect()}
+    assert failed == {("buildings_clean", "distrito_id", 1), ("energy_clean", "edificio_id", 1)}
+    assert spark.read.parquet(f"{root}/govern-zone-metadata/quality_checks").count() == checks.count() + 2

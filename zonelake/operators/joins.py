@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonelake.session import stored_table
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Keys with more rows than an even share per task, and ``_buckets``: the even shares they hold.
@@ -31,7 +33,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
                 tasks: int | None = None) -> DataFrame:
     """``big`` joined with ``small`` on ``keys`` (``inner`` or ``left``), hot keys spread over several tasks.
 
-    Rows of ``big`` with a hot key are dealt by their position to as many buckets as the key
+    Without a hot key this is a plain join.  Else ``big`` is stored first, so that a row keeps its position when a task runs
+    again, and rows with a hot key are dealt by position to as many buckets as the key
     holds even shares of the rows; the rows of ``small`` for those keys are replicated once per
     bucket, every other key keeps bucket 0 on both sides.  Equal rows are spread like any
     others, and ``small`` grows by one row per bucket only.  Null keys never match.
@@ -39,8 +42,11 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, tasks))
-    b = big.join(hot, keys, "left")
+    found = hot_keys(big, keys, tasks)
+    if found.isEmpty():
+        return big.join(small, keys, how)
+    hot = F.broadcast(found)
+    b = stored_table(big, "salted-side").join(hot, keys, "left")
     salt = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_buckets")), F.lit(0)).cast("int")
     b = b.withColumn("_salt", salt).drop("_buckets")
     s = small.join(hot, keys, "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from zonelake import schemas
 from zonelake.operators import enrich, quality as Q, reports, warehouse
 from zonelake.operators.clean import CITY_SPECS, clean
 from zonelake.operators.governance import LINEAGE_SCHEMA
-from zonelake.session import read_if_there
+from zonelake.session import read_if_there, stored_table
 from zonelake.sources.binary import file_manifest
 from zonelake.sources.io import publish, publish_observed, read_dataset, utc
 from zonelake.sources.sqldump import read_sql_dump
@@ -30,6 +31,21 @@ DIM_PARKING_TYPES = {"tarifa_hora_euros": "decimal(4,2)", "latitud": "decimal(9,
 DIM_DISTRICT_TYPES = {"superficie_km2": "decimal(6,2)", "densidad_poblacion": "decimal(10,2)",
                       "latitud": "decimal(9,6)", "longitud": "decimal(9,6)"}
 
+# Keys, columns that must be filled, and foreign keys (column, table, column) of the clean and star tables.
+CLEAN_FOREIGN_KEYS = {"buildings": (("distrito_id", "districts", "id"),), "energy": (("edificio_id", "buildings", "id"),),
+                      "green_zones": (("distrito_id", "districts", "id"),),
+                      "stations": (("linea_id", "lines", "id"), ("distrito_id", "districts", "id"))}
+STAR_KEYS = {"dim_usuario": ("usuario_sk", "usuario_id"), "dim_estacion": ("estacion_sk", "estacion_id"),
+             "dim_aparcamiento": ("aparcamiento_id",), "dim_distrito": ("distrito_id",)}
+STAR_FILLED = {"dim_usuario": ("usuario_sk", "usuario_id", "tipo_usuario"), "dim_estacion": ("estacion_sk", "estacion_id"),
+               "fact_viaje": ("usuario_sk", "origen_sk", "destino_sk", "duracion_segundos"),
+               "dim_aparcamiento": ("aparcamiento_id",), "dim_distrito": ("distrito_id",),
+               "fact_parking_ocupacion": ("aparcamiento_id", "fecha", "hora", "porcentaje_ocupacion", "distrito_id")}
+STAR_FOREIGN_KEYS = {"fact_viaje": (("usuario_sk", "dim_usuario", "usuario_sk"), ("origen_sk", "dim_estacion", "estacion_sk"),
+                                    ("destino_sk", "dim_estacion", "estacion_sk")),
+                     "fact_parking_ocupacion": (("aparcamiento_id", "dim_aparcamiento", "aparcamiento_id"),
+                                                ("distrito_id", "dim_distrito", "distrito_id"))}
+
 DUMP_DATASETS = {"distritos": "districts", "edificios_publicos": "buildings", "lineas_transporte": "lines",
                  "estaciones_transporte": "stations", "zonas_verdes": "green_zones",
                  "consumo_energetico": "energy"}
@@ -225,6 +241,34 @@ def load_warehouse(spark: SparkSession, access: Mapping[str, str], clean: Mappin
     return {"paths": paths, "appended": counts}
 
 
+def _references(spark: SparkSession, tables: Mapping[str, DataFrame], keys: tuple) -> list:
+    return [Q.references(column, tables[parent], parent_column) for column, parent, parent_column in keys if parent in tables]
+
+
+def foreign_key_checks(spark: SparkSession, clean: Mapping[str, str], root: str, now: _dt.datetime | None = None) -> DataFrame | None:
+    """Foreign keys between the published clean tables, appended to the quality checks; None if no two related ones are there."""
+    tables = {name: spark.read.parquet(path) for name, path in clean.items()}
+    found = [Q.run_checks(tables[name], f"{name}_clean", rules, utc(now)) for name, keys in CLEAN_FOREIGN_KEYS.items()
+             if name in tables and (rules := _references(spark, tables, keys))]
+    return _record_checks(found, root)
+
+
+def star_checks(spark: SparkSession, paths: Mapping[str, str], root: str, now: _dt.datetime | None = None) -> DataFrame | None:
+    """Keys, filled columns and foreign keys of the warehouse tables that exist, appended to the quality checks."""
+    tables = {name: df for name, path in paths.items() if (df := read_if_there(spark, path)) is not None}
+    found = [Q.run_checks(df, name, Q.no_nulls(*STAR_FILLED.get(name, ())) + Q.unique(*STAR_KEYS.get(name, ()))
+                          + _references(spark, tables, STAR_FOREIGN_KEYS.get(name, ())), utc(now)) for name, df in tables.items()]
+    return _record_checks(found, root)
+
+
+def _record_checks(found: list[DataFrame], root: str) -> DataFrame | None:
+    if not found:
+        return None
+    checks = stored_table(reduce(DataFrame.unionByName, found), "city-checks")
+    _append(checks, zone(root, "govern-zone-metadata/quality_checks"))
+    return checks
+
+
 def trip_reports(spark: SparkSession, warehouse_paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """The three star-schema reports: top-10 routes, top-10 per user type, statistics per user type."""
     f = spark.read.parquet(warehouse_paths["fact_viaje"])
@@ -255,7 +299,9 @@ def run_all(spark: SparkSession, raw: Mapping[str, str], raw_dir: str | None, ro
         ingest(spark, raw_dir, root)
     clean = clean_zone(spark, raw, root)
     access = access_zone(spark, clean, root)
+    foreign_key_checks(spark, clean, root)
     wh = load_warehouse(spark, access, clean, root)
+    star_checks(spark, wh["paths"], root)
     return trip_reports(spark, wh["paths"]) if "fact_viaje" in wh["appended"] else {}
 
 
