@@ -20,7 +20,7 @@ def within_one(a, b):
     return any(long[:i] + long[i + 1:] == short for i in range(len(long)))
 
 
-def slow(docs, min_chars=10, near_chars=20):
+def slow(docs, min_chars=1, near_chars=4):
     """Texts after line dedup, for distinct (id, text) rows in order of id."""
     firsts, order = {}, sorted({(d is None, d if d is not None else 0, t) for d, t, *_ in docs if t is not None})
     for no_id, d, t in order:
@@ -81,10 +81,18 @@ def test_defined_cases(spark):
     out = D.drop_duplicate_lines(frame)
     assert out.columns == frame.columns and out.count() == len(docs)
     by = {r.doc_id: r.text for r in out.collect()}
-    assert by[1] is None and by[2] == "" and by[3] == f"{base}\nshort\nshort\n{base[:9]}" and by[9] == "one two threE" and by[10] == ""
+    assert by[1] is None and by[2] == "" and by[3] == f"{base}\nshort\n{base[:9]}" and by[9] == by[10] == ""
     same(spark, [])
 
 
+def test_lines_of_every_length(spark):
+    docs = [(1, "Yes.\nno\n\n\nYes.\nYes!\nno\nna", None, None, None), (2, "これは短い文です。\nYes.", None, None, None),
+            (3, "これは短い文です。\nx\nfifteen letters", None, None, None), (4, "x\nfifteen lettars\ny\nabcd\nabc", None, None, None)]
+    same(spark, docs)
+    by = {r.doc_id: r.text for r in D.drop_duplicate_lines(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert by == {1: "Yes.\nno\n\n\nna", 2: "これは短い文です。", 3: "x\nfifteen letters", 4: "y\nabcd\nabc"}
+
+
 def test_hot_line_in_a_third_of_the_documents(spark):
     docs = [(i, f"line {i} of its own with number {i * 7919}\n" + ("the very same boilerplate line everywhere" if i % 3 == 0 else "x"), None, None, None)
             for i in range(300)]

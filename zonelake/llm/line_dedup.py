@@ -2,8 +2,8 @@
 
 A line (text between newlines, outer blanks removed) goes if the same line, or one within edit distance 1,
 occurs earlier in the corpus; "earlier" is by (id, text hash, line number), null ids last, and holds
-whether or not the earlier line stays itself.  Lines under ``min_chars`` characters always stay; lines under
-``near_chars`` characters go only for an equal line.
+whether or not the earlier line stays itself.  Empty lines stay (``min_chars`` is 1); lines under ``near_chars`` (4)
+characters go only for an equal line, as one edit makes another word of them.
 
 1. Distinct lines: one pre-aggregated row per MD5 with the first place and the count.
 2. Exact filter before variants are made: two lines within one edit share the first or the last
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from zonelake.llm.common import bitmap, fresh, load, maybe_in, stored
 
-MIN_CHARS, NEAR_CHARS = 10, 20
+MIN_CHARS, NEAR_CHARS = 1, 4      # lines that are not empty; one edit in less than four characters makes another line
 BLANKS = " \t\r"
 
 
@@ -181,10 +181,12 @@ WITH raw AS (
 lines AS (
   SELECT doc_id, line_no, trim(raw, ' ' || chr(9) || chr(13)) AS line, raw FROM raw),
 firsts AS (
-  SELECT line, length(line) AS n, min({'doc': doc_id, 'no': line_no}) AS place FROM lines WHERE length(line) >= 10 GROUP BY line),
+  SELECT line, length(line) AS n, min({'doc': doc_id, 'no': line_no}) AS place FROM lines WHERE line <> '' GROUP BY line),
 ends AS (
   SELECT line, n, place, left(line, 8) AS e, 0 AS side FROM firsts WHERE n >= 20
-  UNION ALL SELECT line, n, place, right(line, 8), 1 FROM firsts WHERE n >= 20),
+  UNION ALL SELECT line, n, place, right(line, 8), 1 FROM firsts WHERE n >= 20
+  UNION ALL SELECT line, n, place, left(line, 2), 2 FROM firsts WHERE n BETWEEN 4 AND 20
+  UNION ALL SELECT line, n, place, right(line, 2), 3 FROM firsts WHERE n BETWEEN 4 AND 20),
 near AS (
   SELECT DISTINCT b.line
   FROM ends a JOIN ends b ON a.e = b.e AND a.side = b.side AND b.n BETWEEN a.n - 1 AND a.n + 1 AND a.place < b.place
@@ -195,7 +197,7 @@ near AS (
       left(CASE WHEN a.n > b.n THEN a.line ELSE b.line END, i - 1) || substr(CASE WHEN a.n > b.n THEN a.line ELSE b.line END, i + 1))) > 0 END),
 judged AS (
   SELECT l.doc_id, l.line_no, l.raw,
-         length(l.line) >= 10 AND (l.line IN (SELECT line FROM near) OR f.place <> {'doc': l.doc_id, 'no': l.line_no}) AS gone
+         l.line <> '' AND (l.line IN (SELECT line FROM near) OR f.place <> {'doc': l.doc_id, 'no': l.line_no}) AS gone
   FROM lines l LEFT JOIN firsts f ON f.line = l.line),
 docs AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
