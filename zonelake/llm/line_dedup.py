@@ -8,8 +8,8 @@ characters go only for an equal line, as one edit makes another word of them.
 1. Distinct lines: one pre-aggregated row per MD5 with the first place and the count.
 2. Exact filter before variants are made: two lines within one edit share the first or the last
    ``floor(m / 2)`` characters, m being the shorter length.  Only lines whose half is shared by another
-   distinct line go on.  Their texts are picked out of the documents by a bitmap of fixed size (4 MB at
-   most, broadcast) followed by the exact join, so unshared lines never shuffle their text.
+   distinct line go on, as digests.  Their texts are picked out of the documents by a bitmap of fixed size (4 MB at
+   most, broadcast) followed by the exact join, so other lines never shuffle their text.
 3. Deletion neighbourhood: each such line emits the hash of itself with character i deleted, for every i of
    the half that is not shared, and joins equal variants (same position: substitution; the shorter line
    itself: insertion).  A variant hashes a window of about sqrt(m) characters and, once per window, what
@@ -46,34 +46,49 @@ def corpus_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
         F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "line_no").alias("place"), "line", "chars")
 
 
+# of the keys in ``_half_keys``: the half's side, and whether the line is the longer one of the pair
+HALVES = (("pre", 0), ("pre", 1), ("suf", 0), ("suf", 1))
+
+
 def _half_keys() -> Column:
-    """(m, key) of both halves, for a partner of the same or a longer length (m = chars) and a shorter one."""
+    """A key of each half, for a partner of the same or a longer length (m = chars) and for a shorter one."""
     def key(side: str, shorter: int) -> Column:
         m = F.col("chars") - shorter
         half = F.floor(m / 2).cast("int")
-        part = F.left("line", half) if side == "pre" else F.right("line", half)
-        return F.struct(F.lit(side).alias("side"), F.lit(shorter).alias("shorter"), F.xxhash64(m, F.lit(side), part).alias("key"))
-    return F.array(*[key(s, d) for s in ("pre", "suf") for d in (0, 1)])
+        return F.xxhash64(m, F.lit(side), F.left("line", half) if side == "pre" else F.right("line", half))
+    return F.array(*[key(*h) for h in HALVES])
+
+
+def _keyed(distinct: DataFrame, near_chars: int, *columns: str) -> DataFrame:
+    """A row for each half key: the columns, key, side and shorter."""
+    rows = distinct.where(F.col("chars") >= near_chars).select(*columns, F.posexplode("halves").alias("half", "key"))
+    return rows.withColumn("side", F.when(F.col("half") < 2, "pre").otherwise("suf")).withColumn("shorter", F.col("half") % 2).drop("half")
 
 
 def shared_halves(distinct: DataFrame, near_chars: int) -> DataFrame:
     """Half keys of two or more distinct lines, with the number of lines of length m and m + 1."""
-    keys = distinct.where(F.col("chars") >= near_chars).select(F.explode("halves").alias("h")).select("h.key", "h.shorter")
-    counts = keys.groupBy("key").agg(F.sum(1 - F.col("shorter")).alias("same"), F.sum("shorter").alias("longer"))
+    counts = _keyed(distinct, near_chars).groupBy("key").agg(F.sum(1 - F.col("shorter")).alias("same"), F.sum("shorter").alias("longer"))
     return counts.where((F.col("same") > 1) | (F.col("same") > 0) & (F.col("longer") > 0))
 
 
-def candidates(lines: DataFrame, shared: DataFrame) -> DataFrame:
+def candidates(lines: DataFrame, distinct: DataFrame, shared: DataFrame, near_chars: int) -> DataFrame:
     """Stored distinct lines that share a half with another: cid (in order of place), line, chars and the
-    roles in which they can have a partner (same length, the shorter, the longer; by first or last half)."""
-    keyed = lines.select("place", "line", "chars", F.explode(_half_keys()).alias("h")).select("place", "line", "chars", "h.*")
-    likely = maybe_in(keyed, "key", bitmap(shared, "key"))
-    first = likely.groupBy("line", "chars", "side", "shorter", "key").agg(F.min("place").alias("place"))
-    own = first.join(shared, "key")
+    roles in which they can have a partner (same length, the shorter, the longer; by first or last half).
+
+    Roles are found on digests; the texts of those that have one are fetched last.
+    """
+    keyed = _keyed(distinct, near_chars, "digest", "first").withColumnRenamed("first", "place")
+    own = maybe_in(keyed, "key", bitmap(shared, "key")).join(shared, "key")
     roles = {"sub": (F.col("shorter") == 0) & (F.col("same") > 1), "short": (F.col("shorter") == 0) & (F.col("longer") > 0),
              "long": (F.col("shorter") == 1) & (F.col("same") > 0)}
-    flags = [F.max(roles[r] & (F.col("side") == s)).alias(f"{r}_{s}") for r in roles for s in ("pre", "suf")]
-    out = own.groupBy("line", "chars").agg(F.min("place").alias("place"), *flags)
+    names = [f"{r}_{s}" for r in roles for s in ("pre", "suf")]
+    flags = [F.max(roles[n[:-4]] & (F.col("side") == n[-3:])).alias(n) for n in names]
+    found = own.groupBy("digest").agg(F.min("place").alias("place"), *flags).where(" or ".join(names))
+    found = stored(found.withColumn("key", F.xxhash64("digest")), "lines-roles")
+    texts = lines.where(F.col("chars") >= near_chars).select(F.unhex(F.md5("line")).alias("digest"), "line", "chars") \
+        .withColumn("key", F.xxhash64("digest"))
+    texts = maybe_in(texts, "key", bitmap(found, "key")).select("digest", "line", "chars").distinct()
+    out = texts.join(found.drop("key"), "digest").drop("digest")
     return stored(out.sort("place").withColumn("cid", F.monotonically_increasing_id()), "lines-near")
 
 
@@ -128,7 +143,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     distinct = stored(distinct, "lines-distinct")
     shared = stored(shared_halves(distinct, near_chars), "lines-halves")
-    near = candidates(lines.where(F.col("chars") >= near_chars), shared)
+    near = candidates(lines, distinct, shared, near_chars)
     copies = near.join(near_copies(near), "cid", "left_semi").select(digest)
     gone = distinct.join(copies.withColumn("near", F.lit(True)), "digest", "left") \
         .where("n > 1 or near").select("digest", F.when(F.col("near").isNull(), F.col("first")).alias("stays"))
