@@ -24,6 +24,9 @@ result; further columns are kept by ``drop_duplicate_lines`` and not read otherw
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +44,9 @@ def corpus_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     """Lines of ``min_chars`` characters and more: place (id missing, id, doc hash, line number), line, chars."""
     lines = docs.select(F.col(id_col).alias("id"), _doc_hash(id_col, text_col).alias("hash"),
                         F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "raw"))
-    lines = lines.withColumn("line", F.btrim("raw", F.lit(BLANKS))).withColumn("chars", F.char_length("line"))
+    # trimming goes through every character of a line: only where there is something to trim
+    outer = reduce(or_, [F.startswith("raw", F.lit(b)) | F.endswith("raw", F.lit(b)) for b in BLANKS])
+    lines = lines.withColumn("line", F.when(outer, F.btrim("raw", F.lit(BLANKS))).otherwise(F.col("raw"))).withColumn("chars", F.char_length("line"))
     return lines.where(F.col("chars") >= min_chars).select(
         F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "line_no").alias("place"), "line", "chars")
 
