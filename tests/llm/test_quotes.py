@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -45,13 +47,61 @@ def test_links_threads_and_bodies(spark):
     assert all(r.reply_to is None or r.reply_to < r.turn for r in got.values())
 
 
-def test_equals_the_sql(spark):
-    data = [r[:4] for r in rows()]
+def by_sql(data):
     db = duckdb.connect()
     db.execute("create table conversations (conv_id bigint, turn int, role varchar, text varchar)")
-    db.executemany("insert into conversations values (?, ?, ?, ?)", data)
-    want = db.execute("select conv_id, turn, role, reply_to, thread, depth, body, chat from (" + Q.OP10_SQL + ")").fetchall()
-    assert as_set(Q.format_chats(spark.createDataFrame(rows(), SCHEMA)).collect()) == sorted(want, key=str)
+    db.executemany("insert into conversations values (?, ?, ?, ?)", [r[:4] for r in data])
+    return sorted(db.execute("select conv_id, turn, role, reply_to, thread, depth, body, chat from (" + Q.OP10_SQL + ")").fetchall(), key=str)
+
+
+def test_equals_the_sql(spark):
+    assert as_set(Q.format_chats(spark.createDataFrame(rows(), SCHEMA)).collect()) == by_sql(rows())
+
+
+def test_short_quotes_and_sentences(spark):
+    data = [(1, 0, "user", "Why?"), (1, 1, "user", "> Why?\nBecause."), (1, 2, "user", "A first sentence here. A second sentence here. And 3.5 more!"),
+            (1, 3, "user", "> A second sentence here.\nOk."), (1, 4, "user", "> And 3.5 more!\nNo."), (1, 5, "user", "> Because.\n> A first sentence here.\nboth"),
+            (1, 6, "user", "> a first\n> sentence here.\nwrapped"), (1, 7, "user", "> 5 more!\nno sentence"),
+            (2, 0, "user", "\u4f60\u597d\u3002\u518d\u89c1\uff01"), (2, 1, "user", "> \u518d\u89c1\uff01\nx"), (2, 2, "user", "> x\n>\n> Nobody.\ny"), (2, 3, "user", ">\n> \nblank quote")]
+    data = [(*r, None, None, None) for r in data]
+    got = {k: r.reply_to for k, r in by_key(spark, data).items()}
+    assert got == {(1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 2, (1, 4): 2, (1, 5): 2, (1, 6): 2, (1, 7): None,
+                   (2, 0): None, (2, 1): 0, (2, 2): 1, (2, 3): None}
+    assert as_set(Q.format_chats(spark.createDataFrame(data, SCHEMA)).collect()) == by_sql(data)
+
+
+def quote_trees(seed, conversations=12, turns=70):
+    """Messages that answer a random earlier one: its text, a line or a sentence of it is quoted, with the quotes it held."""
+    rnd, out, answered = random.Random(seed), [], {}
+    for c in range(conversations):
+        written, parents = [], []
+        for t in range(turns):
+            own = [" ".join(f"{rnd.choice('abcdefgh')}{c}t{t}s{rnd.randrange(10**6)}" for _ in range(rnd.randint(1, 4))) + rnd.choice(".!?") for _ in range(4)]
+            own = [" ".join(own[:2]), " ".join(own[2:])]
+            parent = rnd.randrange(t) if t and rnd.random() < 0.85 else None
+            quote = []
+            if parent is not None:
+                above, said = written[parent]
+                pick = [said, [rnd.choice(said)], [rnd.choice(rnd.choice(said).replace("! ", ". ").replace("? ", ". ").split(". "))]][rnd.randrange(3)]
+                if len(pick) == 1 and pick[0] not in said:  # a sentence: with the mark that it ends with
+                    whole = next(x for x in said if pick[0] in x)
+                    end = whole.index(pick[0]) + len(pick[0])
+                    pick = [pick[0] + whole[end:end + 1].strip()]
+                quote = [">" + x if x.startswith(">") else "> " + x for x in (above if rnd.random() < 0.5 else [])] + ["> " + x.upper() for x in pick]
+            written.append((quote, own))
+            parents.append(parent)
+            out.append((c, t, "user", "\n".join(quote + own), None, None, None))
+        answered.update({(c, t): p for t, p in enumerate(parents)})
+    return out, answered
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_generated_quote_trees(spark, seed):
+    data, answered = quote_trees(seed)
+    got = Q.format_chats(spark.createDataFrame(data, SCHEMA)).collect()
+    assert as_set(got) == by_sql(data)
+    assert {(r.conv_id, r.turn): r.reply_to for r in got} == answered
+    assert max(r.depth for r in got) > 5
 
 
 @pytest.mark.parametrize("data", [[]])

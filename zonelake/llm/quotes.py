@@ -5,10 +5,12 @@ depth.  Every line of a message has a quote level; consecutive lines of one leve
 passages and original text are normalised (marks removed, white space collapsed, lower-cased) and hashed;
 the hashes are joined within a conversation:
 
-* every own (level 0) passage, and every own line, of a message is an original; of equal ones the earliest
-  turn counts, so a hash has one original and a passage that many quote is joined once per quotation;
+* every own (level 0) passage of a message, every own line and every sentence of either is an original,
+  whatever its length; of equal ones the earliest turn counts, so a hash has one original and a passage that
+  many quote is joined once per quotation;
 * a quoted passage links to the earliest message before it that holds it whole, else its lines are
-  linked singly.
+  linked singly; the lines left over are put together again, so that wrapped lines do no harm, and linked by
+  sentence.  A sentence ends at ``. ! ?`` before a blank, or at the full stops of Chinese and Japanese.
 
 A message answers the message that its lowest linked quote level points to (most linked characters, then
 the latest turn).  Threads are the trees of these links; the thread of a message is its first message, found
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from zonelake.llm.common import load, stored
 
 MARKS = r"^[ \t]*((?:>[ \t]?)+)"
-LEAST_CHARS = 8     # shorter passages and lines are too common to tell who wrote them
+SENTENCE_END = r"([.!?]+[\"')\]]*) |([\u3002\uff01\uff1f]+)"
 TAGS = {"system": "<|system|>", "user": "<|user|>", "assistant": "<|assistant|>"}
 END = "<|end|>"
 
@@ -62,33 +64,48 @@ def passages(lines: DataFrame) -> DataFrame:
     return joined.select("conv_id", "turn", "copy", "level", "first", _normal(F.col("text")).alias("normal"))
 
 
+def _sentences(normal: Column) -> Column:
+    """Sentences of a normalised text (which holds no line end)."""
+    return F.filter(F.transform(F.split(F.regexp_replace(normal, SENTENCE_END, "$1$2\n"), "\n"), F.btrim), lambda x: x != "")
+
+
 def quotation_links(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, level, source, chars): quoted characters per level and quoted message."""
     known = messages.where("conv_id is not null and turn is not null and text is not null").distinct()
     lines = message_lines(known)
     parts = stored(passages(lines), "quotes-passages")
-    own_lines = lines.where("level = 0").select("conv_id", "turn", _normal(F.col("line")).alias("normal"))
-    originals = parts.where("level = 0").select("conv_id", "turn", "normal").union(own_lines) \
-        .where(F.length("normal") >= LEAST_CHARS) \
+    own = parts.where("level = 0").select("conv_id", "turn", "normal") \
+        .union(lines.where("level = 0").select("conv_id", "turn", _normal(F.col("line")).alias("normal")))
+    texts = F.array_distinct(F.concat(F.array("normal"), _sentences(F.col("normal"))))
+    originals = own.where("normal != ''").select("conv_id", "turn", F.explode(texts).alias("normal")) \
         .groupBy("conv_id", _hash(F.col("normal")).alias("hash")).agg(F.min("turn").alias("source"))
     originals = stored(originals, "quotes-originals")
-    quoted = parts.where((F.col("level") > 0) & (F.length("normal") >= LEAST_CHARS)) \
-        .select("conv_id", "turn", "copy", "level", "first", F.length("normal").alias("chars"), _hash(F.col("normal")).alias("hash"))
-    whole = quoted.join(originals, ["conv_id", "hash"]).where("source < turn")
-    whole = stored(whole.select("conv_id", "turn", "copy", "level", "first", "source", "chars"), "quotes-whole")
-    single = _lines_of(lines, parts).join(whole.select("conv_id", "turn", "copy", "first"), ["conv_id", "turn", "copy", "first"], "left_anti") \
-        .join(originals, ["conv_id", "hash"]).where("source < turn").select("conv_id", "turn", "copy", "level", "first", "source", "chars")
-    return whole.union(single).groupBy("conv_id", "turn", "level", "source").agg(F.sum("chars").alias("chars"))
-
-
-def _lines_of(lines: DataFrame, parts: DataFrame) -> DataFrame:
-    """Quoted lines with the first line of their passage."""
+    passage = ["conv_id", "turn", "copy", "level", "first"]
+    quoted = parts.where("level > 0 and normal != ''").select(*passage, F.length("normal").alias("chars"), _hash(F.col("normal")).alias("hash"))
+    whole = stored(_linked(quoted, originals).select(*passage, "source", "chars"), "quotes-whole")
+    single = _lines_of(lines).join(whole.select(passage), passage, "left_anti")
+    single = stored(single.join(originals, ["conv_id", "hash"], "left")
+                    .withColumn("source", F.when(F.col("source") < F.col("turn"), F.col("source"))), "quotes-lines")
+    rest = single.where("source is null").groupBy(passage) \
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "normal"))), lambda x: x["normal"]), " ").alias("text"))
+    said = rest.select(*passage, F.explode(_sentences(_normal(F.col("text")))).alias("normal"))
+    said = said.select(*passage, F.length("normal").alias("chars"), _hash(F.col("normal")).alias("hash"))
+    columns = [*passage, "source", "chars"]
+    links = whole.union(single.where("source is not null").select(columns)).union(_linked(said, originals).select(columns))
+    return links.groupBy("conv_id", "turn", "level", "source").agg(F.sum("chars").alias("chars"))
+
+
+def _linked(quoted: DataFrame, originals: DataFrame) -> DataFrame:
+    return quoted.join(originals, ["conv_id", "hash"]).where("source < turn")
+
+
+def _lines_of(lines: DataFrame) -> DataFrame:
+    """Quoted lines that are not blank, with the first line of their passage."""
     order = Window.partitionBy("conv_id", "turn", "copy").orderBy("line_no")
     opens = F.when(F.lag("level").over(order).eqNullSafe(F.col("level")), None).otherwise(F.col("line_no"))
-    named = lines.withColumn("first", F.max(opens).over(order)).where("level > 0")
-    normal = _normal(F.col("line"))
-    return named.select("conv_id", "turn", "copy", "level", "first", F.length(normal).alias("chars"), _hash(normal).alias("hash")) \
-        .where(F.col("chars") >= LEAST_CHARS)
+    named = lines.withColumn("first", F.max(opens).over(order)).where("level > 0").withColumn("normal", _normal(F.col("line")))
+    return named.where("normal != ''").select("conv_id", "turn", "copy", "level", "first", "line_no", "normal",
+                                              F.length("normal").alias("chars"), _hash(F.col("normal")).alias("hash"))
 
 
 def answers(links: DataFrame) -> DataFrame:
@@ -157,19 +174,35 @@ marked AS (
 parts AS (
   SELECT conv_id, turn, copy, level, run, lower(trim(regexp_replace(string_agg(line, chr(10) ORDER BY line_no), '\s+', ' ', 'g'))) AS normal
   FROM marked GROUP BY ALL),
+own AS (
+  SELECT conv_id, turn, normal FROM parts WHERE level = 0 AND normal <> ''
+  UNION SELECT conv_id, turn, normal FROM marked WHERE level = 0 AND normal <> ''),
 originals AS (
   SELECT conv_id, normal, min(turn) AS source FROM (
-    SELECT conv_id, turn, normal FROM parts WHERE level = 0 UNION ALL SELECT conv_id, turn, normal FROM marked WHERE level = 0)
-  WHERE length(normal) >= 8 GROUP BY ALL),
+    SELECT * FROM own UNION ALL
+    SELECT conv_id, turn, trim(unnest(string_split(regexp_replace(normal, '([.!?]+["'')\]]*) |([。！？]+)', '\1\2' || chr(10), 'g'), chr(10)))) FROM own)
+  WHERE normal <> '' GROUP BY ALL),
 whole AS (
   SELECT p.conv_id, p.turn, p.copy, p.level, p.run, o.source, length(p.normal) AS chars
   FROM parts p JOIN originals o USING (conv_id, normal) WHERE p.level > 0 AND o.source < p.turn),
-single AS (
-  SELECT m.conv_id, m.turn, m.copy, m.level, m.run, o.source, length(m.normal) AS chars
-  FROM marked m JOIN originals o USING (conv_id, normal)
-  WHERE m.level > 0 AND o.source < m.turn AND (m.conv_id, m.turn, m.copy, m.level, m.run) NOT IN (SELECT (conv_id, turn, copy, level, run) FROM whole)),
+apart AS (
+  SELECT m.*, o.source, length(m.normal) AS chars
+  FROM marked m LEFT JOIN originals o ON o.conv_id = m.conv_id AND o.normal = m.normal AND o.source < m.turn
+  WHERE m.level > 0 AND m.normal <> '' AND (m.conv_id, m.turn, m.copy, m.level, m.run) NOT IN (SELECT (conv_id, turn, copy, level, run) FROM whole)),
+single AS (SELECT conv_id, turn, copy, level, run, source, chars FROM apart WHERE source IS NOT NULL),
+rest AS (
+  SELECT conv_id, turn, copy, level, run, string_agg(normal, ' ' ORDER BY line_no) AS normal
+  FROM apart WHERE source IS NULL GROUP BY ALL),
+said AS (
+  SELECT conv_id, turn, level, trim(unnest(string_split(regexp_replace(normal, '([.!?]+["'')\]]*) |([。！？]+)', '\1\2' || chr(10), 'g'), chr(10)))) AS normal
+  FROM rest),
+sentences AS (
+  SELECT s.conv_id, s.turn, s.level, o.source, length(s.normal) AS chars
+  FROM said s JOIN originals o USING (conv_id, normal) WHERE o.source < s.turn),
 links AS (
-  SELECT conv_id, turn, level, source, sum(chars) AS chars FROM (SELECT * FROM whole UNION ALL SELECT * FROM single) GROUP BY ALL),
+  SELECT conv_id, turn, level, source, sum(chars) AS chars FROM (
+    SELECT conv_id, turn, level, source, chars FROM whole UNION ALL SELECT conv_id, turn, level, source, chars FROM single
+    UNION ALL SELECT * FROM sentences) GROUP BY ALL),
 parents AS (
   SELECT conv_id, turn, source AS parent FROM links
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, chars DESC, source DESC) = 1),
