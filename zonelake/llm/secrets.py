@@ -1,7 +1,14 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are maximal runs of ``[A-Za-z0-9+/_-]`` (and closing ``=``) of 16 characters and more that hold a
-digit or an upper-case letter after the first character.  Each is described by
+Candidates are
+
+* the values in credential positions, of any length and with any punctuation: what is assigned to a credential
+  name (``password = "..."``, ``api_key_prod: ...``), what follows ``Bearer``, the password of ``://user:...@``;
+  a value in quotes goes to the closing quote of the line, another to the next blank, without closing punctuation;
+* elsewhere, maximal runs of ``[A-Za-z0-9+/_-]`` (and closing ``=``) of 16 characters and more that hold a
+  digit or an upper-case letter after the first character.
+
+Each is described by
 
 * its length, character classes and entropy,
 * character transitions: class changes, and the mean log probability of its letter pairs under the pair
@@ -12,7 +19,10 @@ digit or an upper-case letter after the first character.  Each is described by
 The forest is trained in numpy on labelled findings, ``PER_CLASS`` of each class at most (those with the
 smallest hash of their id and value; the bound is a parameter), and scores every finding.  Where no labels
 are given, ``weak_labels`` takes them from the corpus itself: a finding is a secret if it has the exact form
-of a provider key or is assigned to a credential name.
+of a provider key or is a mixed value in a credential position; it is none if it is a placeholder, a plain
+number, word, path or UUID outside such a position, or follows a name like ``commit``.  What neither rule
+decides has no label, and is judged by the forest only.  As position decides some of these labels, those
+examples are also learned without their context: a secret of the same make is found in other places.
 
 Defined results: a null text or path is empty; repeated rows and null ids are returned as they are; without
 findings of both classes to learn from every finding has score 1 (nothing is removed); an empty table gives
@@ -38,12 +48,22 @@ WANTED = re.compile(r"[0-9]|(?<=.)[A-Z]")
 CONTEXT = 48              # characters of context that are looked at on each side
 DICTIONARY, LEAST_WORD = 4000, 3
 PER_CLASS, TREES, DEPTH, THRESHOLDS = 1500, 40, 8, 16
-CREDENTIAL = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential)s?")
-ASSIGNED = re.compile(CREDENTIAL.pattern + r"[\"']?\s*[:=]\s*[\"']?$")
+CREDENTIAL = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?:orization)?|bearer|credential)s?")
+SET_TO = CREDENTIAL.pattern + r"(?:[_-]\w{1,16})?[\"']?\s*(?:=>|:=|[:=])\s*"
+SCHEME = r"(?:(?:bearer|basic)[ \t]+)?"
+BEGINS = re.compile(SET_TO + r"|\bbearer[ \t]+")
+VALUE = re.compile(r"(?i)([\"'`])" + SCHEME + r"(?P<quoted>[^\n]+?)\1|[\"'`]?" + SCHEME + r"(?P<bare>[^\s\"'`]+)")
+USERINFO = re.compile(r"://[^\s/:@]*:([^\s/@]+)@")
+CLOSING = ".,;:)]}>"
+ASSIGNED = re.compile(SET_TO + r"[\"'`]?" + SCHEME + r"$")
+IN_POSITION = re.compile(r"(?i)(?:" + SET_TO.removeprefix("(?i)") + r"[\"'`]?" + SCHEME + r"|\bbearer[ \t]+|://[^\s/:@]*:)$")
+PLACEHOLDER = re.compile(r"(?i)(?:change.?me|your.*|my.*|example.*|none|null|nil|true|false|todo|test|x{3,}|\*{3,}|\.{3,}|<.*>?|\$?\{.*\}?|\$\w+|%\w+%?)")
+PLAIN = re.compile(r"[0-9]+|[^\W\d_]+|/?(?:[^\W\d_]+[/_-])+[^\W\d_]*|(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
+NO_SECRET_LEFT = re.compile(r"(?i)\b(?:sha-?\d*|md5|commit|checksum|digest|uuid|etag|rev(?:ision)?|hash)\W{1,4}$")
 PROVIDER = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z_-]{20,}|xox[abp]-[0-9A-Za-z-]{10,}")
 PATH_WORDS = ("test", "example", "sample", "doc", "config", "env", "key", "secret")
 FEATURES = ("length", "digits", "uppers", "others", "entropy", "distinct", "class_changes", "pair_score", "hex_only", "coverage",
-            "longest_word", "assigned", "quoted", "credential_left", "credential_right", "left_coverage", "right_coverage",
+            "longest_word", "assigned", "quoted", "userinfo", "digest_left", "credential_left", "credential_right", "left_coverage", "right_coverage",
             "left_prose", "path_depth", *(f"path_{w}" for w in PATH_WORDS))
 
 
@@ -79,8 +99,31 @@ def frequent_words(docs: DataFrame, text_col: str, size: int = DICTIONARY) -> fr
 # --- findings and their features ---------------------------------------------------------
 
 def find(text: str) -> list[tuple[int, int]]:
-    """Spans of the candidates of a text."""
-    return [m.span() for m in CANDIDATE.finditer(text) if WANTED.search(m.group())]
+    """Spans of the candidates of a text, in order; a run that meets a value in a credential position is not one."""
+    spans = [m.span(1) for m in USERINFO.finditer(text)]
+    for begin in BEGINS.finditer(text):
+        m = VALUE.match(text, begin.end())
+        if m and m["quoted"]:
+            spans.append(m.span("quoted"))
+        elif m and (bare := m["bare"].rstrip(CLOSING)):
+            spans.append((m.start("bare"), m.start("bare") + len(bare)))
+    runs = [m.span() for m in CANDIDATE.finditer(text) if WANTED.search(m.group())]
+    out = []
+    for a, b, _ in sorted([(a, b, 0) for a, b in spans] + [(a, b, 1) for a, b in _apart(runs, sorted(spans))]):
+        if not out or a >= out[-1][1]:
+            out.append((a, b))
+    return out
+
+
+def _apart(runs: list, spans: list) -> list:
+    """The runs that no span meets; both are sorted."""
+    out, at, reach = [], 0, 0
+    for a, b in runs:
+        while at < len(spans) and spans[at][0] < b:
+            reach, at = max(reach, spans[at][1]), at + 1
+        if reach <= a:
+            out.append((a, b))
+    return out
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
@@ -121,28 +164,44 @@ def describe(value: str, left: str, right: str, path: str, pairs: np.ndarray, wo
     n = len(value)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in value]
     share = {c: value.count(c) / n for c in set(value)}
-    codes = value.lower().encode()
-    score = float(np.mean(pairs[list(codes[:-1]), list(codes[1:])]))
+    codes = value.lower().encode("ascii", "replace")
+    score = float(np.mean(pairs[list(codes[:-1]), list(codes[1:])])) if len(codes) > 1 else 0.0
     coverage, longest = covered(value, words)
     before, after = re.findall(r"\w+", left)[-3:], re.findall(r"\w+", right)[:3]
     low = path.lower()
     return [n, kinds.count("d") / n, kinds.count("u") / n, kinds.count("o") / n, -sum(p * math.log2(p) for p in share.values()),
             len(share) / n, sum(a != b for a, b in zip(kinds, kinds[1:])) / n, score, float(bool(re.fullmatch(r"[0-9a-f]+", value))),
             coverage, longest, float(bool(re.search(r"[:=]\s*[\"']?$", left))), float(left[-1:] in ("'", '"')),
+            float(bool(re.search(r"://[^\s/:@]*:$", left))), float(bool(NO_SECRET_LEFT.search(left))),
             float(any(CREDENTIAL.fullmatch(w) for w in before)), float(any(CREDENTIAL.fullmatch(w) for w in after)),
             float(np.mean([covered(w, words)[0] for w in before] or [0.0])), float(np.mean([covered(w, words)[0] for w in after] or [0.0])),
             float(bool(re.search(r"[a-zà-ÿ]{2,}[.,]?\s$", left))), low.count("/") + low.count("."), *(float(w in low) for w in PATH_WORDS)]
 
 
+def judge(value: str, left: str) -> int | None:
+    """1 for a provider's form or a mixed value in a credential position, 0 for what cannot be a secret, else None."""
+    placed = bool(IN_POSITION.search(left))
+    if PROVIDER.fullmatch(value):
+        return 1
+    if PLACEHOLDER.fullmatch(value) or (not placed and (PLAIN.fullmatch(value) or NO_SECRET_LEFT.search(left))):
+        return 0
+    return 1 if placed and len(value) >= 8 and re.search(r"\d", value) and re.search(r"[^\W\d_]", value) and not re.search(r"\s", value) else None
+
+
 def weak_labels() -> Column:
-    """1 for findings with a provider's form or a credential name before them, 0 for the others."""
+    """The label of ``judge``, null where it has none."""
     @F.pandas_udf("int")
     def label(value: pd.Series, left: pd.Series) -> pd.Series:
-        return pd.Series([int(bool(PROVIDER.fullmatch(v) or ASSIGNED.search(x))) for v, x in zip(value, left)])
+        return pd.Series([judge(v, x) for v, x in zip(value, left)], dtype="Int32")
 
     return label("value", "left")
 
 
+def without_context(sample: list) -> list[tuple]:
+    """(value, left, right, path, label) of the weakly labelled findings whose make, not whose context, is to be learned."""
+    return [(r.value, "", "", r.path, r.label) for r in sample if r.label == 1 or not NO_SECRET_LEFT.search(r.left)]
+
+
 # --- random forest -----------------------------------------------------------------------
 # A tree is a table of nodes: feature (-1: leaf), threshold, left child, right child, share of secrets.
 
@@ -215,13 +274,15 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     """
     pairs, words = pair_scores(docs, text_col), frequent_words(docs, text_col)
     found = findings(docs, id_col, text_col, path_col)
-    if labelled is None:
+    weak = labelled is None
+    if weak:
         labelled = (found if training is None else found.where(training)).withColumn("label", weak_labels())
     sample = labelled_sample(labelled)
-    y = np.array([r.label for r in sample], float)
+    examples = [(r.value, r.left, r.right, r.path, r.label) for r in sample] + (without_context(sample) if weak else [])
+    y = np.array([e[4] for e in examples], float)
     forest = None
     if 0 < y.sum() < len(y):
-        forest = grow_forest(np.array([describe(r.value, r.left, r.right, r.path, pairs, words) for r in sample]), y)
+        forest = grow_forest(np.array([describe(*e[:4], pairs, words) for e in examples]), y)
 
     @F.pandas_udf("double")
     def score(value: pd.Series, left: pd.Series, right: pd.Series, path: pd.Series) -> pd.Series:
