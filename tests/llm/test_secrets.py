@@ -56,7 +56,7 @@ def test_values_in_credential_positions():
     assert values(f"secret: {key}. then {key}==") == [key, key + "=="]  # a run in a value is not found twice
     assert values(f'token="x {key} y" {key}') == [f"x {key} y", key]
     # each token is set to the next one, the last to nothing; long runs of marks take linear time
-    assert len(values("token: " * 50_000)) == 49_999 and values("://" * 100_000) == [] and values("token " * 100_000 + "=" * 3) == []
+    assert len(values("token: " * 50_000)) == 49_999 and values("://" * 100_000) == [] and values("token " * 100_000) == []
 
 
 def test_weak_labels_leave_open_what_no_rule_decides():
