@@ -276,6 +276,14 @@ cand AS (SELECT * EXCLUDE (rn) FROM (
 SELECT * FROM existing
 UNION ALL
 SELECT * FROM cand WHERE event_id NOT IN (SELECT event_id FROM existing)""",
+    "atomic_load": """
+WITH loaded AS (
+  SELECT 'orders' AS loaded, o_orderdate AS day, o_totalprice AS amount FROM orders
+  UNION ALL
+  SELECT 'lines', l_shipdate, min(l_extendedprice) FROM lineitem GROUP BY l_orderkey, l_linenumber, l_shipdate)
+SELECT loaded, CAST(year(day) * 100 + month(day) AS INTEGER) AS period, count(*) AS n_rows,
+       CAST(sum(round(amount * 100)) AS BIGINT) AS cents
+FROM loaded GROUP BY loaded, period""",
     "top_routes": f"""
 WITH {_TRIP_STAGING}
 SELECT estacion_origen || ' → ' || estacion_destino AS ruta, CAST(COUNT(*) AS BIGINT) AS total_viajes

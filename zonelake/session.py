@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every zonelake job relies on.  Shuffle width and broadcast threshold are
@@ -89,6 +90,27 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches the pattern."""
+    hadoop, store = _path_of(spark, pattern)
+    return bool(store.globStatus(hadoop))
+
+
+def publish_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder of our own to ``target`` in one step; False, and nothing is done, if ``target`` is there already."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    (old, store), (new, _) = _path_of(spark, source), _path_of(spark, target)
+    old, new = old.makeQualified(store.getUri(), store.getWorkingDirectory()), new.makeQualified(store.getUri(), store.getWorkingDirectory())
+    plain = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark._jsc.hadoopConfiguration()).rename(old, new, plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.toString():
+            raise
+        return False
+    return True
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of our own."""
     hadoop, store = _path_of(spark, path)
