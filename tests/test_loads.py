@@ -58,6 +58,14 @@ def test_nulls_ties_and_empty_batches(spark, tmp_path):
         L.load(spark, root, "5", {"a": L.Batch(spark.createDataFrame(rows, SCHEMA), ["id"], "day")})
 
 
+def test_folders_of_years(spark, tmp_path):
+    rows = [(1, day(1, year=2023), "x"), (2, day(7, year=2024), "y"), (3, None, "z")]
+    for name in ("1", "2"):
+        L.load(spark, str(tmp_path), name, {"a": batch(spark, rows, monthly=False)})
+    assert sorted(p.name for p in (tmp_path / "zl_load=1" / "zl_table=a").glob("zl_period=*")) == ["zl_period=0", "zl_period=202300", "zl_period=202400"]
+    assert seen(spark, str(tmp_path)) == rows
+
+
 def test_bitmap_keeps_every_key_of_the_batch_and_few_others(spark):
     rows = spark.range(200_000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 300 as int)) as day", "'v' as value")
     new = rows.where("id >= 190000")

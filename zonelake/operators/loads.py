@@ -2,7 +2,7 @@
 
 A warehouse folder holds one folder per load, and in it the new rows of every table of that load::
 
-    <root>/zl_load=<id>/zl_table=<table>/zl_period=<yyyymm>/...
+    <root>/zl_load=<id>/zl_table=<table>/zl_period=<yyyymm or yyyy00>/...
 
 * **Atomic.** The files are written below ``<root>/_aside`` first, which no reader lists; one rename of that
   folder publishes all tables of the load.  A load that dies before leaves nothing visible, and a load whose id
@@ -35,15 +35,17 @@ NO_PERIOD = 0  # of rows without a day
 
 @dataclass(frozen=True)
 class Batch:
-    """New rows of one table: its key, the day column that is part of the key, and which row of equal keys counts."""
+    """New rows of one table: its key, the day column that is part of the key, which row of equal keys counts, and
+    whether its folders hold a month or a year (the same in all loads of a table)."""
     rows: DataFrame
     keys: Sequence[str]
     day_col: str
     order_by: Sequence[str] | None = None
+    monthly: bool = True
 
-
-def _period(day: str) -> Column:
-    return F.coalesce((F.year(day) * 100 + F.month(day)).cast("int"), F.lit(NO_PERIOD))
+    def period(self) -> Column:
+        day = F.col(f"`{self.day_col}`")
+        return F.coalesce((F.year(day) * 100 + (F.month(day) if self.monthly else F.lit(0))).cast("int"), F.lit(NO_PERIOD))
 
 
 def read_loaded(spark: SparkSession, root: str, table: str, columns: str) -> DataFrame:
@@ -79,16 +81,16 @@ def absent_rows(root: str, table: str, batch: Batch) -> DataFrame:
         raise ValueError(f"the day {batch.day_col!r} must be part of the key {list(batch.keys)}")
     rows = stored_table(batch.rows, f"load-{table}")
     keys = list(batch.keys)
-    span = rows.agg(F.min(_period(batch.day_col)).alias("low_all"), F.min(F.when(F.col(f"`{batch.day_col}`").isNotNull(), _period(batch.day_col))).alias("low"),
-                    F.max(_period(batch.day_col)).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    span = rows.select(batch.period().alias("p")).agg(F.min("p").alias("least"), F.min(F.when(F.col("p") != NO_PERIOD, F.col("p"))).alias("low"),
+                                                      F.max("p").alias("high"), F.count(F.lit(1)).alias("n")).first()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     met = F.col("zl_period").between(span.low, span.high) if span.low is not None else F.lit(False)
-    if span.low_all == NO_PERIOD:
+    if span.least == NO_PERIOD:
         met = met | (F.col("zl_period") == NO_PERIOD)
     existing = read_loaded(rows.sparkSession, root, table, columns).where(met).select(rows.columns)
     has_key = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
     seen = thin_out(existing.where(has_key), rows.where(has_key), keys, span.n).unionByName(existing.where(~has_key))
-    return insert_if_absent(seen, rows, keys, batch.order_by).withColumn("zl_period", _period(batch.day_col))
+    return insert_if_absent(seen, rows, keys, batch.order_by).withColumn("zl_period", batch.period())
 
 
 def write_aside(root: str, batches: Mapping[str, Batch]) -> str:

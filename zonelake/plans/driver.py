@@ -351,16 +351,16 @@ def q_incremental_load(spark, sf_dir):
 
 def q_atomic_load(spark, sf_dir):
     """Orders and lineitems loaded together: the old ones, all of them in a load that dies before it is published, all
-    of them again, and the same load once more; what is visible then, by table and period."""
+    of them again, and the same load once more; what is visible then, by table and month."""
     root = scratch_path(spark, "loads")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
 
     def batches(old: bool):
         first = F.lit(LOADED_BEFORE)
-        return {"orders": loads.Batch(orders.where(F.col("o_orderdate") < first) if old else orders, ["o_orderkey", "o_orderdate"], "o_orderdate"),
+        return {"orders": loads.Batch(orders.where(F.col("o_orderdate") < first) if old else orders, ["o_orderkey", "o_orderdate"], "o_orderdate", monthly=False),
                 "lines": loads.Batch(lines.where(F.col("l_shipdate") < first) if old else lines,
-                                     ["l_orderkey", "l_linenumber", "l_shipdate"], "l_shipdate", ["l_extendedprice"])}
+                                     ["l_orderkey", "l_linenumber", "l_shipdate"], "l_shipdate", ["l_extendedprice"], monthly=False)}
 
     loads.load(spark, root, "old", batches(True))
     loads.write_aside(root, batches(False))  # killed before it is published
@@ -368,9 +368,9 @@ def q_atomic_load(spark, sf_dir):
     loads.load(spark, root, "all", batches(False))
     loads.load(spark, root, "again", batches(False))
     out = []
-    for name, rows, amount in (("orders", orders, "o_totalprice"), ("lines", lines, "l_extendedprice")):
+    for name, rows, day, amount in (("orders", orders, "o_orderdate", "o_totalprice"), ("lines", lines, "l_shipdate", "l_extendedprice")):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        out.append(loads.read_loaded(spark, root, name, columns).groupBy(F.lit(name).alias("loaded"), F.col("zl_period").alias("period"))
+        out.append(loads.read_loaded(spark, root, name, columns).groupBy(F.lit(name).alias("loaded"), (F.year(day) * 100 + F.month(day)).alias("period"))
                    .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.round(F.col(amount) * 100).cast("decimal(20,0)")).cast("long").alias("cents")))
     return out[0].unionByName(out[1])
 
