@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from zonelake.schemas import DUMP_TABLES
 from zonelake.sources import file_manifest, publish, read_dataset, read_sql_dump, write_dataset, write_sql_dump
+from zonelake.sources.sqldump import insert_tuples
 
 from tests.conftest import rows
 
@@ -168,6 +169,30 @@ def test_publish_records_metadata(spark, tmp_dir):
     assert meta.properties == {"purpose": "test"} and meta.format == "parquet"
 
 
+def test_sql_dump_keeps_quotes_in_a_row_and_every_character(spark, tmp_dir):
+    texts = ["''", "a'''b", "\\''", "\\n\n\\\\n", "\r\\r", "\uffff", "x\\''\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    write_sql_dump(df, tmp_dir + "/d", "t")
+    assert rows(read_sql_dump(spark, tmp_dir + "/d", {"t": df.schema})["t"].select("id", "s"), "id") == list(enumerate(texts))
+
+
+def test_sql_dump_of_whole_lines_is_read_where_it_is(spark, tmp_dir):
+    def plan(path):
+        return insert_tuples(spark, path)._jdf.queryExecution().executedPlan().toString()
+
+    def put(name, text):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+
+    schema = T.StructType.fromDDL("id int, s string")
+    put("a.sql", "-- it's\nINSERT INTO t (id, s) VALUES (1, 'a--\\'('), (2, '');\nINSERT INTO t (id, s) VALUES (3, 'it''s');\n")
+    assert "Window" not in plan(tmp_dir) and "Exchange" not in plan(tmp_dir)
+    put("b.sql", "INSERT INTO t (id, s) VALUES\n(4, 'x\n(5, y'),\n(6, '-');\n")
+    assert "Window" in plan(tmp_dir)
+    got = read_sql_dump(spark, tmp_dir, {"t": schema})["t"].orderBy("_file", "_ord", "_pos")
+    assert [(r.id, r.s) for r in got.collect()] == [(1, "a--'("), (2, ""), (3, "it's"), (4, "x\n(5, y"), (6, "-")]
+
+
 def test_file_manifest_hash(spark, tmp_dir):
     for name, body in (("a.csv", b"x,y\n1,2\n"), ("b.csv", b"")):
         with open(os.path.join(tmp_dir, name), "wb") as f:

@@ -1,7 +1,7 @@
 """SQL-dump load and write as plain Spark text jobs (no database, no SQL parser).
 
 The dump is read line by line, so a table held in one huge ``INSERT`` statement is
-still spread over every input split.  Lines are classified as ``INSERT INTO`` headers
+still spread over every input split.  Files whose lines are all whole statements need no more than that.  Lines are classified as ``INSERT INTO`` headers
 (with or without a schema name and a column list), tuple lines ``(...)`` or other (DDL,
 ``--`` comments, blank).  A tuple line belongs to the last header above it in the same
 file, which is carried over splits together with the strings' state.  Headers may carry tuples on their own line.
@@ -27,21 +27,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonelake.session import scratch_path
+from zonelake.session import scratch_path, stored_table
 from zonelake.sources.lines import count_of, physical_lines, records
 
 _STRING = r"'(?:[^'\\]++|\\.|'')*+'"
 _TUPLE = rf"\((?:[^'()]++|{_STRING})*+\)"
-_LIST = rf"(?s)^((?:\s*,?\s*{_TUPLE})++)\s*[,;]?\s*(?:--.*)?$"
+_ITEM = rf"\G\s*,?\s*{_TUPLE}"  # the next tuple of a list, without a gap
+_TAIL = r"(?s)^\s*[,;]?\s*(?:--.*)?$"
 _VALUE = rf"(?s)(?:^|,)\s*({_STRING}|[^,']*?)\s*(?=,|$)"
-_HEADER = r"(?is)^\s*INSERT\s+INTO\s+(?:[`\"]?\w+[`\"]?\.)?[`\"]?(\w+)[`\"]?\s*(?:\(([^)]*)\))?\s*VALUES\s*(.*)$"
-_MARK = "￿"  # stands for an escaped backslash while the other escapes are resolved
+_HEADER = r"(?is)^\s*INSERT\s+INTO\s+(?:[`\"]?\w+[`\"]?\.)?[`\"]?(\w+)[`\"]?\s*(?:\(([^)]*)\))?\s*VALUES\s*"
 
 
 def _ends_inside(line):
     """1 if a line of code ends inside a string, else 0: complete strings and a comment behind them are left out."""
     bare = F.regexp_replace(F.regexp_replace(line, r"\\.", ""), "'[^']*'", "")
-    return count_of(F.regexp_replace(bare, "^([^']*?)--.*", "$1"), "'").cast("long")
+    commented = count_of(F.regexp_replace(bare, "^([^']*?)--.*", "$1"), "'")
+    quotes = count_of(F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit("\\'"), F.lit("")), "'") % 2
+    return F.when(F.contains(line, F.lit("--")), commented).otherwise(quotes).cast("long")
+
+
+def _placed_lines(spark: SparkSession, path: str, outside, inside, statement, loose) -> DataFrame:
+    """The records of the dump: value, _file, _ord (grows in a file), _into (the header they belong to).
+
+    A file in which every line ends outside strings and brings its own header has a record a line, each where it is.
+    Only the lines of the other files need the state and the header that the lines before them lead to.
+    """
+    lines = physical_lines(spark, path)
+    files = stored_table(lines.groupBy("_file").agg(F.max((outside == 1) | loose).alias("_carries")), "dump-files")
+    kinds = {r[0] for r in files.select("_carries").distinct().collect()}
+    plain = lines.select("value", "_file", F.struct(F.col("_block").alias("block"), F.col("_id").alias("row")).alias("_ord"), statement.alias("_into"))
+    if True not in kinds:
+        return plain
+    carrying = files.where("_carries").select("_file")
+    # a line that begins outside or inside a string and where that leads: mostly the other way round, so it adds; else it sets
+    carried = records(lines if False not in kinds else lines.join(carrying, "_file", "left_semi"), outside, lambda s: s % 2 == 0, lambda s: s % 2 == 1,
+                      "the dump ends inside a string", F.when(outside == inside, outside), statement) \
+        .select("value", "_file", F.struct(F.col("_ord").alias("block"), F.lit(0).cast("long").alias("row")).alias("_ord"), F.col("mark").alias("_into"))
+    return carried if False not in kinds else plain.join(carrying, "_file", "left_anti").select(plain.columns).unionByName(carried)
 
 
 def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
@@ -50,32 +72,44 @@ def insert_tuples(spark: SparkSession, path: str) -> DataFrame:
     names = F.regexp_extract("value", _HEADER, 2)
     columns = F.when(names != "", F.transform(F.split(names, ","), lambda c: F.regexp_replace(c, r"[\s`\"]", "")))
     statement = F.when(header != "", F.struct(header.alias("t"), columns.alias("c")))
-    # a line that begins outside or inside a string and where that leads: mostly the other way round, so it adds; else it sets
+    loose = F.col("value").rlike(r"^\s*\(")
     outside, inside = _ends_inside(F.col("value")), _ends_inside(F.concat(F.lit("'"), F.col("value")))
-    lines = records(physical_lines(spark, path), outside, lambda s: s % 2 == 0, lambda s: s % 2 == 1, "the dump ends inside a string",
-                    F.when(outside == inside, outside), statement)
-    lines = lines.select(F.regexp_replace("value", "\r$", "").alias("value"), "_file", "_ord", F.col("mark").alias("_into"))
-    kind = F.when(header != "", "header").when(F.regexp_replace("value", r"^\s+", "").startswith("("), "tuple")
-    lines = lines.withColumn("_kind", kind).where("_kind is not null")
-
-    content = F.btrim(F.when(F.col("_kind") == "tuple", F.col("value")).otherwise(F.regexp_extract("value", _HEADER, 3)))
-    found = F.regexp_extract(content, _LIST, 1)
-    bad = (content != "") & ~content.startswith("--") & (found == "")
+    lines = _placed_lines(spark, path, outside, inside, statement, loose) \
+        .select(F.regexp_replace("value", "\r$", "").alias("value"), "_file", "_ord", "_into")
+    kind = F.when(header != "", "header").when(loose, "tuple")
+    lines = lines.withColumn("_kind", kind).where("_kind is not null and _into is not null")
+
+    behind = F.substring(F.col("value"), F.length(F.regexp_extract("value", _HEADER, 0)) + 1, F.length("value"))
+    content = F.btrim(F.when(F.col("_kind") == "tuple", F.col("value")).otherwise(behind))
+    lines = lines.select("value", "_file", "_ord", "_into", content.alias("content"))
+    lines = lines.withColumn("items", F.regexp_extract_all("content", F.lit(_ITEM), F.lit(0)))
+    tail = F.substring(F.col("content"), F.aggregate("items", F.lit(1), lambda n, x: n + F.length(x)), F.length("content"))
+    bad = (F.col("content") != "") & ~F.col("content").startswith("--") & ((F.size("items") == 0) | ~tail.rlike(_TAIL))
     error = F.raise_error(F.concat(F.lit("INSERT line does not parse: "), F.substring("value", 1, 200)))
-    tuples = F.when(bad, error.cast("array<string>")).otherwise(F.regexp_extract_all(found, F.lit(_TUPLE), F.lit(0)))
-    rows = lines.where(F.col("_into").isNotNull()) \
-        .select(F.col("_into.t").alias("table"), F.col("_into.c").alias("columns"), "_file", "_ord", F.posexplode(tuples).alias("_pos", "t"))
-    body = F.btrim(F.expr("substring(t, 2, length(t) - 2)"))
+    # outer, for else a filter on the size of the list would be put before all this and take the lines apart twice
+    rows = lines.withColumn("items", F.when(bad, error.cast("array<string>")).otherwise(F.col("items"))) \
+        .select(F.col("_into.t").alias("table"), F.col("_into.c").alias("columns"), "_file", "_ord", F.posexplode_outer("items").alias("_pos", "t")) \
+        .where("t is not null")
+    body = F.btrim(F.expr("substring(t, instr(t, '(') + 1, length(t) - instr(t, '(') - 1)"))
     return rows.select("table", "columns", "_file", "_ord", "_pos", F.regexp_extract_all(body, F.lit(_VALUE), F.lit(1)).alias("values"))
 
 
 def _text(value):
     """Content of a string literal; a bare value as it is, a bare NULL as null."""
-    inner = F.regexp_replace(F.regexp_replace(value, r"(?s)^'(.*)'$", "$1"), r"\\\\", _MARK)
-    inner = F.regexp_replace(F.regexp_replace(inner, r"\\n", "\n"), r"\\r", "\r")
-    inner = F.regexp_replace(F.regexp_replace(inner, r"(?s)\\(.)", "$1"), "''", "'")
+    inner = F.substring(value, F.lit(2), F.length(value) - 2)
+    # doubled quotes first: of quotes in a row only the first can be escaped, so pairs from the left leave the right number
+    inner = F.replace(inner, F.lit("''"), F.lit("'"))
+
+    def unescaped(part):
+        for letter, meant in (("\\n", "\n"), ("\\r", "\r"), ("\\", "")):
+            part = F.replace(part, F.lit(letter), F.lit(meant))
+        return part
+
+    # what is between escaped backslashes holds no other backslash but those that escape
+    several = F.array_join(F.transform(F.split(inner, r"\\\\"), unescaped), "\\")
+    inner = F.when(F.contains(inner, F.lit("\\\\")), several).otherwise(unescaped(inner))
     plain = F.when(F.upper(value) == "NULL", F.lit(None)).otherwise(value)
-    return F.when(value.startswith("'"), F.replace(inner, F.lit(_MARK), F.lit("\\"))).otherwise(plain)
+    return F.when(value.startswith("'"), inner).otherwise(plain)
 
 
 def read_sql_dump(spark: SparkSession, path: str,
