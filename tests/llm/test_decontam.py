@@ -228,3 +228,36 @@ def test_worker_vocabulary_is_not_copied_with_the_task():
         return D.vocabulary()
 
     assert loads(dumps(task))() is loads(dumps(task))() is D.vocabulary()
+
+
+def test_a_text_is_looked_up_in_one_pass():
+    """New words between known ones cost no second look-up of the known ones."""
+    from zonelake.llm import decontam as D
+
+    class Counted(bytes):
+        asked = 0
+
+        def __hash__(self):
+            Counted.asked += 1
+            return super().__hash__()
+
+        def __eq__(self, other):
+            return super().__eq__(other)
+
+    v = D.Vocabulary()
+    first = v.look_up([b"alpha", b"beta"])
+    again = v.look_up([Counted(b"alpha"), b"new1", Counted(b"beta"), b"new2", Counted(b"alpha")])
+    assert Counted.asked == 3
+    assert again[[0, 2, 4]].tolist() == first[[0, 1, 0]].tolist() and len(set(again.tolist())) == 4
+    assert v.look_up([b"new2", b"new1"]).tolist() == again[[3, 1]].tolist()
+
+
+def test_window_hashes_do_not_depend_on_how_many_are_usable():
+    from zonelake.llm import decontam as D
+    t = D.Template("one two three 4 5 6 7 8 9 alpha beta gamma delta epsilon zeta eta theta", D.Vocabulary())
+    slots, at, h = t.forms[0]
+    tokens = t._form(np.arange(t.n + t.words - 1, dtype=np.uint64), np.ones(t.n, bool))[1]
+    for usable in (np.arange(t.n) % 2 == 0, np.arange(t.n) % 4 == 0, np.arange(t.n) % 4 > 0, np.zeros(t.n, bool)):
+        where, some = t._form(np.arange(t.n + t.words - 1, dtype=np.uint64), usable)
+        assert where.tolist() == np.flatnonzero(usable).tolist() and some.tolist() == tokens[usable].tolist()
+    assert len(at) == len(h) == t.usable

@@ -53,6 +53,17 @@ BREAK = b"\x00"
 BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+class _Index(dict):
+    """Number of each word; a word that is not in it yet is learnt when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> int:
+        return self.learn(word)
+
+
 class Vocabulary:
     """Hash and properties of words, kept per Python worker in a bounded cache."""
 
@@ -61,7 +72,7 @@ class Vocabulary:
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.cores = {}, []
+        self.index, self.cores = _Index(self._learn), []
         self.hashes, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
 
     def _learn(self, word: bytes) -> int:
@@ -92,11 +103,7 @@ class Vocabulary:
     def look_up(self, words: list[bytes]) -> np.ndarray:
         if len(self.index) > self.cached_words:
             self._clear()
-        at = list(map(self.index.get, words))
-        if None in at:
-            learn, index = self._learn, self.index
-            at = [index[w] if w in index else learn(w) for w in words]
-        return np.array(at, np.int64)
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -104,12 +111,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _may_lack_blanks(text: str) -> bool:
+    """Whether any character lies in the span of the scripts without blanks (punctuation in between left out)."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return bool(((code >= 0xe00) & ((code < 0x2000) | (code >= 0x3005))).any())
+
+
 class Template:
     """Template tokens of one text and its windows."""
 
     def __init__(self, text: str | None, vocabulary: Vocabulary, words: int = WORDS):
         text = text or ""
-        if not text.isascii():
+        if not text.isascii() and _may_lack_blanks(text):
             text = NO_BLANKS.sub(r" \1 ", text)
         raw = text.encode().replace(b"\n", b" " + BREAK + b" ").split()
         at = vocabulary.look_up(raw)
@@ -118,8 +131,10 @@ class Template:
         first = np.ones(len(at), bool)
         first[1:] = (flags[:-1] & ENDS) > 0
         real = (flags & EMPTY) == 0
-        self.whole = vocabulary.hashes[at[real | ((flags & SYMBOL) > 0)]] if real.any() else np.zeros(0, np.uint64)
-        self.at, flags, first = at[real], flags[real], first[real]
+        self._all, self._vocabulary = (at, flags, real), vocabulary
+        if not real.all():
+            at, flags, first = at[real], flags[real], first[real]
+        self.at = at
         num = (flags & IS_NUM) > 0
         unit = (flags & IS_UNIT) > 0
         unit[:1] = False
@@ -131,9 +146,7 @@ class Template:
         plain[num], plain[unit] = NUM, UNIT
         self.words, self.n = words, max(0, len(plain) - words + 1)
         # hashes of the windows with enough literal words; further forms only where they differ
-        usable = np.ones(self.n, bool)
-        if self.fixed.any():
-            usable = self._sums(~self.fixed) >= LITERALS
+        usable = self._sums(~self.fixed) >= LITERALS if self.fixed.any() else np.ones(self.n, bool)
         self.forms = [(self.fixed, *self._form(plain, usable))]  # slots, positions, hashes
         slots = self.fixed
         for added in (self.name, opens):
@@ -149,12 +162,19 @@ class Template:
     def _form(self, tokens: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the usable windows."""
         at = np.flatnonzero(usable)
-        h, mixed = np.zeros(len(at), np.uint64), _mixed(tokens)
+        every = 2 * len(at) > self.n  # slices of all windows are quicker than picking most of them
+        h, mixed = np.zeros(self.n if every else len(at), np.uint64), _mixed(tokens)
         for j in range(self.words if len(at) else 0):
-            h ^= mixed[at + j]
+            h ^= mixed[j:j + self.n] if every else mixed[at + j]
             h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
-        return at, h
+        return at, h[at] if every and len(at) < self.n else h
+
+    @cached_property
+    def whole(self) -> np.ndarray:
+        """Hashes of the words and symbols, if there is any word; to be asked for before the vocabulary sees further texts."""
+        at, flags, real = self._all
+        return self._vocabulary.hashes[at[real | ((flags & SYMBOL) > 0)]] if real.any() else np.zeros(0, np.uint64)
 
     def exact(self, size: int) -> np.ndarray:
         """Hashes of all runs of ``size`` words and symbols as they are."""
