@@ -66,3 +66,13 @@ def test_clean_json_field(spark):
     df = spark.createDataFrame([(1, '{"k": 5}'), (2, '{"k": "x"}'), (3, "not json")], "id int, props string")
     spec = CleanSpec("e", json_fields={"k": ("props", "$.k", "int")})
     assert [r.k for r in clean(df, spec).orderBy("id").collect()] == [5, None, None]
+
+
+def test_keep_first_of_one_value_is_aggregated_by_hash(spark):
+    rows_in = [(1, 2, 5.0), (1, 2, 3.0), (1, 3, 4.0), (None, 2, 7.0), (None, 2, 6.0), (2, 2, None), (2, 2, -1.0), (3, 3, float("nan")), (3, 3, 9.0)]
+    df = spark.createDataFrame(rows_in, "a int, `k.b` int, v double")
+    for order in (None, ["v"], ["a", "v"]):
+        got = dedup_keep_first(df, ["a", "k.b"], order) if order != ["a", "v"] else dedup_keep_first(df.withColumnRenamed("k.b", "b"), ["a", "b"], order)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+        assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 2, 3.0), (1, 3, 4.0), (None, 2, 6.0), (2, 2, None), (3, 3, 9.0)], key=str)

@@ -81,3 +81,15 @@ def test_only_the_periods_of_the_batch_are_read(spark, tmp_path):
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert "zl_period#" in plan and "202405" in plan and "202406" in plan and "PartitionFilters: [isnotnull(zl_period" in plan
     assert [(r.id, r.value, r.zl_period) for r in new.collect()] == [(77, "new", 202406)]
+
+
+def test_batch_of_all_there_is_builds_no_bitmap(spark, tmp_path, monkeypatch):
+    calls, thin_out = [], L.thin_out
+    monkeypatch.setattr(L, "thin_out", lambda *a: calls.append(1) or thin_out(*a))
+    rows = [(i, day(1 + i % 12), "x") for i in range(30)]
+    for name, some in (("1", rows[:20]), ("2", rows), ("3", rows)):
+        L.load(spark, str(tmp_path), name, {"a": batch(spark, some)})
+    assert not calls and seen(spark, str(tmp_path)) == sorted(rows, key=str)
+    L.load(spark, str(tmp_path), "4", {"a": batch(spark, [*rows[:2], (99, day(1), "new")])})
+    L.load(spark, str(tmp_path), "5", {"a": batch(spark, [(1, day(2), "late"), (98, day(1), "new")])})
+    assert calls and seen(spark, str(tmp_path)) == sorted([*rows, (99, day(1), "new"), (98, day(1), "new")], key=str)

@@ -31,6 +31,11 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str],
     if not rest:
         return df.select(*keys).dropDuplicates()
     order = list(order_by or [])
+    if len(rest) == 1 and set(order) <= {*keys, *rest}:
+        # the row that sorts first holds the least value (null before all): plain minima are aggregated by hash, structs by sort
+        value = F.col(f"`{rest[0]}`")
+        least = F.when(F.bool_or(value.isNull()), F.lit(None)).otherwise(F.min(value)).alias(rest[0])
+        return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(least).select(*[F.col(f"`{c}`") for c in df.columns])
     ordering = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)]
     packed = F.struct(*ordering, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"))
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))

@@ -9,7 +9,7 @@ A warehouse folder holds one folder per load, and in it the new rows of every ta
   is published already adds nothing.  The rename is one step on HDFS and on a local disk; on an object store
   that copies to rename, put the warehouse on a store that has it.
 * **Pruned.** A key holds the day of its row, so a batch can only meet rows of its own periods: the fact's other
-  folders are not read.  Of the rows that are, only those whose key may be in the batch (a bitmap of the batch's
+  folders are not read.  Of the rows that are, if more than the batch's, only those whose key may be in the batch (a bitmap of the batch's
   key hashes, ``BITMAP_BYTES`` at most, broadcast) reach the shuffle of the anti-join, which stays exact.
 
 Loads with different ids must follow each other; two at a time would not see each other's rows.
@@ -89,7 +89,9 @@ def absent_rows(root: str, table: str, batch: Batch) -> DataFrame:
         met = met | (F.col("zl_period") == NO_PERIOD)
     existing = read_loaded(rows.sparkSession, root, table, columns).where(met).select(rows.columns)
     has_key = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
-    seen = thin_out(existing.where(has_key), rows.where(has_key), keys, span.n).unionByName(existing.where(~has_key))
+    seen = existing
+    if existing.count() > span.n:  # a batch of all that is there would leave nothing out
+        seen = thin_out(existing.where(has_key), rows.where(has_key), keys, span.n).unionByName(existing.where(~has_key))
     return insert_if_absent(seen, rows, keys, batch.order_by).withColumn("zl_period", batch.period())
 
 
