@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import types as T
@@ -202,6 +203,35 @@ def test_file_manifest_hash(spark, tmp_dir):
     assert m["b.csv"].file_hash == hashlib.sha256(b"").hexdigest() and m["b.csv"].file_size == 0
 
 
+def test_file_manifest_hashes_files_over_a_row_by_bounded_tasks(spark, tmp_dir, monkeypatch):
+    from zonelake.sources import binary
+    rng = random.Random(5)
+    noise = rng.randbytes(900_000)
+    files = {"noise.bin": noise, "feeds.bin": b"\n" * 150_000 + b"\r\n\r" * 30_000, "open.bin": noise[:300_000] + b"x", "closed.bin": noise[:300_000] + b"\n",
+             "marked.bin": b"\xef\xbb\xbf" + noise[:200_000], "marked twice.bin": b"\xef\xbb\xbf" * 2 + noise[:200_000] + b"\n", "na[m]e{1}.bin": noise[5:250_000],
+             "one line.bin": bytes(200_000), "small.bin": b"a\nb", "empty.bin": b""}
+    for name, body in files.items():
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(body)
+    monkeypatch.setattr(binary, "LARGEST", 100_000)      # more does not fit a row
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        got = {r.object_name: (r.file_hash, r.file_size) for r in file_manifest(spark, tmp_dir, "raw-ingestion-zone").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {name: (hashlib.sha256(body).hexdigest(), len(body)) for name, body in files.items()}
+
+
+def test_file_manifest_reads_whole_what_line_readers_unpack(spark, tmp_dir, monkeypatch):
+    from zonelake.sources import binary
+    for name in ("a.csv.gz", "b.csv"):
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(b"no gzip\n" * 100)
+    monkeypatch.setattr(binary, "WHOLE", 50)
+    assert {r.file_hash for r in file_manifest(spark, tmp_dir, "raw-ingestion-zone").collect()} == {hashlib.sha256(b"no gzip\n" * 100).hexdigest()}
+
+
 def test_preview_catalog_and_ctas(spark, tmp_dir):
     from zonelake.operators.reports import period_summary
     from zonelake.sources import create_table_as, describe, drop_table, preview, show_tables
