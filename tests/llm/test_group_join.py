@@ -109,3 +109,29 @@ def test_sets_and_prefix_lengths():
     assert (np.diff(shingle_set(text).astype(object)) > 0).all()
     for n in range(1, 200):   # two sets of similarity 4/5 share at least ceil(4 n / 5) of n
         assert prefix_length(n) == n - -(-4 * n // 5) + 1
+
+
+def test_sketches_differ_by_no_more_bits_than_the_sets_by_shingles():
+    from zonelake.llm.group_join import SKETCH, sketches
+    rng = random.Random(7)
+    base = [rng.randrange(2**64) for _ in range(400)]
+    sets = [np.unique(np.array(base[k:] + [rng.randrange(2**64) for _ in range(m)], np.uint64)) for k, m in ((0, 0), (0, 1), (30, 0), (60, 50), (400, 0), (400, 9000))]
+    made = sketches(np.concatenate(sets), np.array([len(x) for x in sets]))
+    assert made.shape == (len(sets), SKETCH // 64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            bits = np.unpackbits((made[i] ^ made[j]).view(np.uint8)).sum()
+            assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_near_misses_of_a_family_are_not_moved_as_pairs(spark, monkeypatch):
+    from zonelake.llm import group_join
+    rng = random.Random(3)
+    base = [f"f{i}" for i in range(110)]
+    rows = [row(i, changed(rng, base, 5)) for i in range(150)]       # most pairs have a similarity of 0.5 to 0.75
+    rows += [row(1000 + i, r[1] + " end") for i, r in enumerate(rows[:20])]
+    moved = []
+    whole = group_join.verified
+    monkeypatch.setattr(group_join, "verified", lambda pairs, *a: moved.append(pairs.count()) or whole(pairs, *a))
+    assert result(jaccard_components(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    assert sum(moved) < 5 * len(rows), moved

@@ -83,7 +83,7 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> tuple[DataFrame, np
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
     both = stored(rows.mapInArrow(sets, "row_no long, doc_id long, n long, digest binary, shingles array<long>, block int, counts binary"),
-                  "join-sets")
+                  "join-sets", **{"parquet.writer.version": "v2"})      # sorted hashes as differences
     return both.where("row_no is not null").drop("block", "counts"), bin_levels(both.where("block is not null").select("block", "counts"))
 
 
@@ -349,20 +349,20 @@ def cross_pairs(postings: DataFrame, classes: DataFrame, numerator: int, denomin
     rows = stored(rows.join(mixed, "token"), "join-mixed")
     # what the members of a component have at best
     best = rows.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("room"),
-                                             F.max("left").alias("left"))
-    x, y = (best.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "least", "most", "room", "left"))) for s in "ab")
+                                             F.max("left").alias("left"), *(F.when(F.count(F.lit(1)) == 1, F.min(c)).alias(c) for c in brief))
+    # null, and no filter, for several groups of a component or several classes of a group
+    close = "coalesce(" + _differ_little("{0}_a", "{0}_b", [f"bit_count({c}_a ^ {c}_b)" for c in brief], numerator, denominator) + ", true)"
+    x, y = (best.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "least", "most", "room", "left", *brief))) for s in "ab")
     met = x.join(y, "token").where(" and ".join([
         "root_a < root_b", f"least_a * {numerator} <= most_b * {denominator}", f"least_b * {numerator} <= most_a * {denominator}",
         f"{numerator + denominator} * least(room_a, room_b) >= {numerator} * (least_a + least_b)",
         f"{numerator + denominator} * (least(left_a, left_b) + {_rest('greatest(most_a, most_b)', numerator, denominator)}) "
-        f">= {numerator} * (least_a + least_b)"])) \
+        f">= {numerator} * (least_a + least_b)", close.format("most")])) \
         .select("token", "root_a", "root_b")
     a, b = (rows.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "group", "n", "pos", "left", *brief))) for s in "ab")
-    # null, and no filter, for groups of several classes
-    close = _differ_little("n_a", "n_b", [f"bit_count({c}_a ^ {c}_b)" for c in brief], numerator, denominator)
     groups = met.join(a, ["token", "root_a"]).join(b, ["token", "root_b"]) \
         .where(F.col("group_a") != F.col("group_b")).where(_may_link("_a", "_b", numerator, denominator)) \
-        .where(f"coalesce({close}, true)").select("group_a", "root_a", "group_b", "root_b").distinct()
+        .where(close.format("n")).select("group_a", "root_a", "group_b", "root_b").distinct()
     parts = classes.select("group", "root").distinct()      # of a group whose members reached different components
     inside = parts.select("group", F.col("root").alias("root_a")).join(parts.select("group", F.col("root").alias("root_b")), "group") \
         .where("root_a < root_b").select(F.col("group").alias("group_a"), "root_a", F.col("group").alias("group_b"), "root_b")
