@@ -358,9 +358,16 @@ def cross_pairs(postings: DataFrame, classes: DataFrame, numerator: int, denomin
         f"{numerator + denominator} * least(room_a, room_b) >= {numerator} * (least_a + least_b)",
         f"{numerator + denominator} * (least(left_a, left_b) + {_rest('greatest(most_a, most_b)', numerator, denominator)}) "
         f">= {numerator} * (least_a + least_b)", close.format("most")])) \
-        .select("token", "root_a", "root_b")
+        .select("token", "root_a", "root_b", *(F.col(f"{c}_b").alias(f"{c}_o") for c in ("least", "most", "room", "left", *brief)))
     a, b = (rows.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("root", "group", "n", "pos", "left", *brief))) for s in "ab")
-    groups = met.join(a, ["token", "root_a"]).join(b, ["token", "root_b"]) \
+    # the groups of one component against what the other has at best
+    near = met.join(a, ["token", "root_a"]).where(" and ".join([
+        f"least_o * {numerator} <= n_a * {denominator}", f"n_a * {numerator} <= most_o * {denominator}",
+        f"{numerator + denominator} * least(n_a - pos_a, room_o) >= {numerator} * (n_a + least_o)",
+        f"{numerator + denominator} * (least(left_a, left_o) + {_rest('greatest(n_a, most_o)', numerator, denominator)}) >= {numerator} * (n_a + least_o)",
+        "coalesce(" + _differ_little("n_a", "most_o", [f"bit_count({c}_a ^ {c}_o)" for c in brief], numerator, denominator) + ", true)"])) \
+        .select("token", "root_a", "root_b", "group_a", "n_a", "pos_a", "left_a", *(f"{c}_a" for c in brief))
+    groups = near.join(b, ["token", "root_b"]) \
         .where(F.col("group_a") != F.col("group_b")).where(_may_link("_a", "_b", numerator, denominator)) \
         .where(close.format("n")).select("group_a", "root_a", "group_b", "root_b").distinct()
     parts = classes.select("group", "root").distinct()      # of a group whose members reached different components
