@@ -261,3 +261,42 @@ def test_window_hashes_do_not_depend_on_how_many_are_usable():
         where, some = t._form(np.arange(t.n + t.words - 1, dtype=np.uint64), usable)
         assert where.tolist() == np.flatnonzero(usable).tolist() and some.tolist() == tokens[usable].tolist()
     assert len(at) == len(h) == t.usable
+
+
+MIXED = ["", None, "5", "km of road", "Tom has 5", "km Tom ran. Anna ran 5 km", "+ - *", "1 2 3 4 5 6", "What is 12 + 7?", "日本語 テキスト です", ". , ΑΣ. ΑΣ",
+         "a\nb\n\nc d e f.", "Lima is far", "% 5 %", "...", "- 5 -", ITEM, "Intro. " + ITEM, None]
+
+
+def test_texts_taken_together_equal_single_ones():
+    """No window, sentence beginning or unit goes from a text to the next."""
+    together = D.Templates(MIXED, D.Vocabulary())
+    found = {i: [] for i in range(len(MIXED))}
+    for form, places, hashes in together.forms:
+        for p, h in zip(places.tolist(), hashes.tolist()):
+            found[together.of[p]].append((p - together.starts[together.of[p]], h, together.values(p, form)))
+    lone = {i: (size, h) for i, size, h in zip(*(x.tolist() for x in together.ones_without_windows()))}
+    for i, text in enumerate(MIXED):
+        t = D.Template(text, D.Vocabulary())
+        assert sorted(found[i]) == sorted((p, h, t.values(p, form)) for form, at, hashes in t.forms for p, h in zip(at.tolist(), hashes.tolist()))
+        assert together.usable[i] == t.usable and together.whole_sizes[i] == len(t.whole)
+        assert lone.get(i) == ((len(t.whole), t.exact(len(t.whole)).tolist()[0]) if len(t.whole) and not t.usable else None)
+        for size in (1, 2, 5):
+            of, position, h = together.runs(size)
+            assert h[of == i].tolist() == t.exact(size).tolist() and position[of == i].tolist() == list(range(max(0, len(t.whole) - size + 1)))
+
+
+def test_short_texts_of_a_batch_are_taken_apart_in_one_pass(spark, monkeypatch):
+    """One look-up for an Arrow batch of short texts instead of one a text; a long text has its own."""
+    import pyarrow as pa
+    passes, cut = [], []
+    look_up = D.Vocabulary.look_up
+    monkeypatch.setattr(D.Vocabulary, "look_up", lambda self, words: passes.append(len(words)) or look_up(self, words))
+    rows = spark.createDataFrame([(1, "x")], "key long, text string")
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, f, schema: cut.append(f))
+    D._windows(rows, 5, None, [])
+    batch = [f"text {i} of the batch {ITEM}" for i in range(100)]
+    out = list(cut[0](iter([pa.record_batch([pa.array(range(100)), pa.array(batch)], names=["key", "text"])])))
+    assert passes == [100 * len(batch[0].split())]
+    assert set(out[0].column("key").to_pylist()) == set(range(100))
+    assert D.together(["a" * D.TOGETHER, "b", None, "c" * D.TOGETHER, "d"]) == [["a" * D.TOGETHER], ["b", None], ["c" * D.TOGETHER], ["d"]]
+    assert D.together([]) == []

@@ -40,6 +40,7 @@ from zonelake.llm.common import bitmap, bitmap_bytes, bits_set, bound_batches, f
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 2
 CACHED_WORDS = 600_000
+TOGETHER = 1 << 18   # characters of the texts that are taken apart in one pass
 UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t ton tons tonne
 tonnes oz lb lbs pound pounds ml cl l liter liters litre litres gallon gallons s sec second seconds min minute
 minutes h hr hour hours day days week weeks month months year years percent % degree degrees c f k w kw v a hz
@@ -54,14 +55,16 @@ BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A
 
 
 class _Index(dict):
-    """Number of each word; a word that is not in it yet is learnt when it is asked for."""
+    """Number of each word; a word that is not in it yet gets the next one and is noted as new."""
 
-    def __init__(self, learn):
+    def __init__(self):
         super().__init__()
-        self.learn = learn
+        self.new = []
 
     def __missing__(self, word: bytes) -> int:
-        return self.learn(word)
+        self.new.append(word)
+        self[word] = at = len(self)
+        return at
 
 
 class Vocabulary:
@@ -72,38 +75,45 @@ class Vocabulary:
         self._clear()
 
     def _clear(self) -> None:
-        self.index, self.cores = _Index(self._learn), []
+        self.index, self.cores = _Index(), []
         self.hashes, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint8)
 
-    def _learn(self, word: bytes) -> int:
-        shown = word.decode()
-        stem = shown[:-1] if shown[-1:] in (".", ",") else shown
-        if stem.isalpha():  # the common case: letters, at most a point or comma behind
-            low = stem.lower()
-            flags = ENDS * (shown[-1] == ".") | IS_UNIT * (low in UNITS) | IS_CAP * (stem[0].isupper() and stem != stem.upper())
-        else:
-            core = re.sub(r"^[\W_]+|[\W_]+$", "", shown)
-            flags = ENDS if shown.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", BREAK.decode())) else 0
-            low = core.lower()
-            if not core:
-                symbol = SYMBOL * any(c in "-*/&#@" or unicodedata.category(c) == "Sm" for c in shown)
-                low, flags = ("%", flags | IS_UNIT) if shown == "%" else (shown, flags | EMPTY | symbol)
-            elif NUMBER.fullmatch(low):
-                flags |= IS_NUM
+    def _learn(self, words: list[bytes]) -> None:
+        shown = b"\n".join(words).decode().split("\n")
+        stems = [w[:-1] if w[-1] in ".," else w for w in shown]
+        lows, flags = "\n".join(stems).lower().split("\n"), []
+        for i, (stem, low) in enumerate(zip(stems, lows)):
+            if stem.isalpha():  # the common case: letters, at most a point or comma behind
+                flags.append(ENDS * (shown[i][-1] == ".") | IS_UNIT * (low in UNITS) | IS_CAP * (stem[0].isupper() and stem != stem.upper()))
             else:
-                flags |= IS_UNIT * (low in UNITS) | IS_CAP * (core[0].isupper() and core != core.upper())
-        at = len(self.cores)
-        if at == len(self.hashes):
+                lows[i], flag = self._odd(shown[i])
+                flags.append(flag)
+        at, end = len(self.cores), len(self.cores) + len(words)
+        while end > len(self.hashes):
             self.hashes, self.flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.flags))
-        self.hashes[at], self.flags[at] = xxhash.xxh64_intdigest(low), flags
-        self.cores.append(low)
-        self.index[word] = at
-        return at
+        self.hashes[at:end], self.flags[at:end] = np.fromiter(map(xxhash.xxh64_intdigest, lows), np.uint64, len(words)), flags
+        self.cores += lows
+
+    def _odd(self, shown: str) -> tuple[str, int]:
+        """Core and properties of a word that is not only letters."""
+        core = re.sub(r"^[\W_]+|[\W_]+$", "", shown)
+        flags = ENDS if shown.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", BREAK.decode())) else 0
+        low = core.lower()
+        if not core:
+            symbol = SYMBOL * any(c in "-*/&#@" or unicodedata.category(c) == "Sm" for c in shown)
+            return ("%", flags | IS_UNIT) if shown == "%" else (shown, flags | EMPTY | symbol)
+        if NUMBER.fullmatch(low):
+            return low, flags | IS_NUM
+        return low, flags | IS_UNIT * (low in UNITS) | IS_CAP * (core[0].isupper() and core != core.upper())
 
     def look_up(self, words: list[bytes]) -> np.ndarray:
         if len(self.index) > self.cached_words:
             self._clear()
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if self.index.new:
+            self._learn(self.index.new)
+            self.index.new = []
+        return at
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -117,44 +127,52 @@ def _may_lack_blanks(text: str) -> bool:
     return bool(((code >= 0xe00) & ((code < 0x2000) | (code >= 0x3005))).any())
 
 
-class Template:
-    """Template tokens of one text and its windows."""
+class Templates:
+    """Template tokens of texts, one text after the other, and the windows inside each."""
 
-    def __init__(self, text: str | None, vocabulary: Vocabulary, words: int = WORDS):
-        text = text or ""
-        if not text.isascii() and _may_lack_blanks(text):
-            text = NO_BLANKS.sub(r" \1 ", text)
-        raw = text.encode().replace(b"\n", b" " + BREAK + b" ").split()
+    def __init__(self, texts: list[str | None], vocabulary: Vocabulary, words: int = WORDS):
+        raw, sizes = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            text = text or ""
+            if not text.isascii() and _may_lack_blanks(text):
+                text = NO_BLANKS.sub(r" \1 ", text)
+            own = text.encode().replace(b"\n", b" " + BREAK + b" ").split()
+            sizes[i] = len(own)
+            raw += own
         at = vocabulary.look_up(raw)
         self.cores = vocabulary.cores
         flags = vocabulary.flags[at]
+        of = np.repeat(np.arange(len(texts)), sizes)
         first = np.ones(len(at), bool)
-        first[1:] = (flags[:-1] & ENDS) > 0
+        first[1:] = ((flags[:-1] & ENDS) > 0) | (of[1:] != of[:-1])
         real = (flags & EMPTY) == 0
-        self._all, self._vocabulary = (at, flags, real), vocabulary
+        self._all, self._vocabulary = (at, flags, real, of), vocabulary
         if not real.all():
-            at, flags, first = at[real], flags[real], first[real]
-        self.at = at
+            at, flags, first, of = at[real], flags[real], first[real], of[real]
+        self.at, self.of = at, of
+        counts = np.bincount(of, minlength=len(texts))
+        self.starts = np.cumsum(counts) - counts
         num = (flags & IS_NUM) > 0
         unit = (flags & IS_UNIT) > 0
         unit[:1] = False
-        unit[1:] &= num[:-1]
+        unit[1:] &= num[:-1] & (of[1:] == of[:-1])
         self.fixed = num | unit
         cap = ((flags & IS_CAP) > 0) & ~self.fixed
         self.name, opens = cap & ~first, cap & first
         plain = vocabulary.hashes[self.at]
         plain[num], plain[unit] = NUM, UNIT
         self.words, self.n = words, max(0, len(plain) - words + 1)
+        inside = self.of[:self.n] == self.of[words - 1:]
         # hashes of the windows with enough literal words; further forms only where they differ
-        usable = self._sums(~self.fixed) >= LITERALS if self.fixed.any() else np.ones(self.n, bool)
-        self.forms = [(self.fixed, *self._form(plain, usable))]  # slots, positions, hashes
+        usable = inside & (self._sums(~self.fixed) >= LITERALS) if self.fixed.any() else inside
+        self.forms = [(self.fixed, *self._form(plain, usable))]  # slots, places, hashes
         slots = self.fixed
         for added in (self.name, opens):
             if added.any():
                 slots = slots | added
                 tokens = np.where(slots & ~self.fixed, NAME, plain)
-                self.forms.append((slots, *self._form(tokens, (self._sums(~slots) >= LITERALS) & (self._sums(added) > 0))))
-        self.usable = int(usable.sum())
+                self.forms.append((slots, *self._form(tokens, inside & (self._sums(~slots) >= LITERALS) & (self._sums(added) > 0))))
+        self.usable = np.bincount(self.of[:self.n][usable], minlength=len(texts))  # of each text
 
     def _sums(self, mask: np.ndarray) -> np.ndarray:
         return sum(mask[j:j + self.n].astype(np.int8) for j in range(self.words)) if self.n else np.zeros(0, np.int8)
@@ -171,13 +189,42 @@ class Template:
         return at, h[at] if every and len(at) < self.n else h
 
     @cached_property
+    def _whole(self) -> tuple[np.ndarray, np.ndarray]:
+        at, flags, real, of = self._all
+        worded = np.bincount(of[real], minlength=len(self.usable)) > 0
+        kept = (real | ((flags & SYMBOL) > 0)) & worded[of]
+        return self._vocabulary.hashes[at[kept]], of[kept]
+
+    @property
     def whole(self) -> np.ndarray:
-        """Hashes of the words and symbols, if there is any word; to be asked for before the vocabulary sees further texts."""
-        at, flags, real = self._all
-        return self._vocabulary.hashes[at[real | ((flags & SYMBOL) > 0)]] if real.any() else np.zeros(0, np.uint64)
+        """Hashes of the words and symbols of texts with any word; to be asked for before the vocabulary sees further texts."""
+        return self._whole[0]
+
+    @cached_property
+    def whole_sizes(self) -> np.ndarray:
+        """How many words and symbols each text has in ``whole``."""
+        return np.bincount(self._whole[1], minlength=len(self.usable))
+
+    @cached_property
+    def whole_starts(self) -> np.ndarray:
+        return np.cumsum(self.whole_sizes) - self.whole_sizes
+
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All runs of ``size`` words and symbols inside a text: its number, their positions in it and hashes."""
+        of = self._whole[1]
+        n = max(0, len(of) - size + 1)
+        at = np.flatnonzero(of[:n] == of[size - 1:])
+        return of[at], at - self.whole_starts[of[at]], self.exact(size)[at]
+
+    def ones_without_windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts that have words and no usable window: numbers, sizes and hashes, each as one run."""
+        which = np.flatnonzero((self.whole_sizes > 0) & (self.usable == 0))
+        start, size = self.whole_starts[which], self.whole_sizes[which]
+        total, back = self._polynomial
+        return which, size, _mixed((total[start + size] - total[start]) * back[start] + size.astype(np.uint64))
 
     def exact(self, size: int) -> np.ndarray:
-        """Hashes of all runs of ``size`` words and symbols as they are."""
+        """Hashes of all runs of ``size`` words and symbols as they are, those that go from a text to the next included."""
         n = max(0, len(self.whole) - size + 1)
         total, back = self._polynomial
         return _mixed((total[size:size + n] - total[:n]) * back[:n] + np.uint64(size))
@@ -190,12 +237,31 @@ class Template:
         np.cumsum(_mixed(self.whole) * np.cumprod(np.full(m, BASE, np.uint64)), out=total[1:])
         return total, np.cumprod(np.full(m, BASE_INVERSE, np.uint64))
 
-    def values(self, position: int, slots: np.ndarray) -> list[str]:
-        """Values of the window's placeholders, in order."""
-        part = slice(position, position + self.words)
+    def values(self, place: int, slots: np.ndarray) -> list[str]:
+        """Values of the placeholders of the window at a place, in order."""
+        part = slice(place, place + self.words)
         return [self.cores[k] for k in self.at[part][slots[part]]]
 
 
+class Template(Templates):
+    """Template tokens of one text and its windows."""
+
+    def __init__(self, text: str | None, vocabulary: Vocabulary, words: int = WORDS):
+        super().__init__([text], vocabulary, words)
+
+
+def together(texts: list[str | None]) -> list[list[str | None]]:
+    """The texts in runs of ``TOGETHER`` characters at most, or of one text."""
+    out, held = [], TOGETHER
+    for text in texts:
+        held += len(text or "")
+        if held > TOGETHER or not out:
+            out.append([])
+            held = len(text or "")
+        out[-1].append(text)
+    return out
+
+
 _VOCABULARY = Vocabulary()
 
 
@@ -216,28 +282,39 @@ def _windows(rows: DataFrame, words: int, wanted: np.ndarray | None, sizes: list
     bound_batches(rows.sparkSession)
     key_type = rows.schema["key"].dataType.simpleString()
 
+    def found(t: Templates) -> list[tuple]:
+        """(number of the text, n_windows, positions, hashes, slots, size), as arrays."""
+        out = []
+        for form, place, h in t.forms:
+            if wanted is not None and len(place):
+                set_ = bits_set(wanted, h)
+                place, h = place[set_], h[set_]
+            of = t.of[place]
+            out.append((of, t.usable[of], place - t.starts[of], h, [t.values(p, form) for p in place.tolist()], [None] * len(of)))
+        if sizes is None:
+            of, size, h = t.ones_without_windows()
+            runs = [(of, np.zeros(len(of), np.int64), h, size.tolist())]
+        else:
+            runs = [(*t.runs(k), [k]) for k in sizes]
+        for of, position, h, size in runs:
+            if sizes is not None:
+                size = size * len(of)
+            if wanted is not None and len(of):
+                set_ = bits_set(wanted, h)
+                of, position, h, size = of[set_], position[set_], h[set_], [k for k, s in zip(size, set_.tolist()) if s]
+            out.append((of, np.ones(len(of), np.int64), position, h, [[]] * len(of), size))
+        return out
+
     def cut(batches):
         for batch in batches:
-            source, total, position, hashes, slots, size = [], [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                t = Template(text, vocabulary(), words)
-                lengths = sizes if sizes is not None else [len(t.whole)] * (len(t.whole) > 0 and not t.usable)
-                runs = [(k, t.exact(k)) for k in lengths if k <= len(t.whole)]
-                forms = [(None, form, at, values) for form, at, values in t.forms]
-                for k, form, at, values in forms + [(k, None, np.arange(len(h)), h) for k, h in runs]:
-                    if wanted is not None and len(at):
-                        set_ = bits_set(wanted, values)
-                        at, values = at[set_], values[set_]
-                    for p, h in zip(at.tolist(), values):
-                        source.append(i)
-                        total.append(t.usable if k is None else 1)
-                        position.append(p)
-                        hashes.append(h)
-                        slots.append(t.values(p, form) if k is None else [])
-                        size.append(k)
+            before, parts = 0, []
+            for texts in together(batch.column("text").to_pylist()):
+                parts += [(of + before, *rest) for of, *rest in found(Templates(texts, vocabulary(), words))]
+                before += len(texts)
+            source, total, position, hashes = (np.concatenate([p[i] for p in parts] + [np.zeros(0, kind)]) for i, kind in enumerate(("i8", "i8", "i8", "u8")))
+            slots, size = ([x for p in parts for x in p[i]] for i in (4, 5))
             yield pa.record_batch([
-                batch.column("key").take(pa.array(source, pa.int64())), pa.array(total, pa.int64()),
-                pa.array(position, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64)),
+                batch.column("key").take(pa.array(source)), pa.array(total), pa.array(position.astype(np.int32)), pa.array(hashes.view(np.int64)),
                 pa.array(slots, pa.list_(pa.string())), pa.array(size, pa.int32())],
                 names=["key", "n_windows", "position", "hash", "slots", "size"])
 
