@@ -135,3 +135,17 @@ def test_near_misses_of_a_family_are_not_moved_as_pairs(spark, monkeypatch):
     monkeypatch.setattr(group_join, "verified", lambda pairs, *a: moved.append(pairs.count()) or whole(pairs, *a))
     assert result(jaccard_components(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
     assert sum(moved) < 5 * len(rows), moved
+
+
+def test_reading_stored_tables_keeps_no_direct_buffers(spark):
+    """A column chunk of 16 MB is not held outside the heap by the threads that read it."""
+    from pyspark.sql import functions as F
+
+    from zonelake.llm.common import stored
+    jvm = spark._jvm
+    pools = jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+    direct = lambda: sum(p.getMemoryUsed() for p in pools if p.getName() == "direct")
+    table = stored(spark.range(0, 2_000_000, 1, 1).select(F.xxhash64("id").alias("h")), "join-direct")
+    before = direct()
+    assert table.agg(F.count("h")).first()[0] == 2_000_000
+    assert direct() - before < 8 << 20
